@@ -187,7 +187,164 @@ SELECT run_id, s.logged_at, s.workflow_name, s.step_name, s.step_value, s.item_c
     return out
 
 
+
+
+# ---------------------------------------------------------------------------------------------
+# naming
+# ---------------------------------------------------------------------------------------------
+FIXTURES["blob_names"] = """
+blob_names AS (
+  SELECT 'doc' AS origin, doc_id AS item_id, filename AS name, lang FROM ocr_text
+  UNION ALL
+  SELECT 'page', page_id,
+         CASE WHEN page_id % 5 = 0 THEN './' || p WHEN page_id % 7 = 0 THEN replace(p, '/', '//') ELSE p END,
+         nullif(regexp_extract(p, '^([a-z]{2})/', 1), '')
+  FROM (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]+/([^?#]*)', 1) AS p FROM pages))"""
+FIXTURE_DEPS["blob_names"] = ["ocr_text"]
+
+
+def path_ctes(src: str, name: str = "name", out: str = "paths") -> str:
+    """CTEs adding _p (normalised), _base, _dir, _suf, _stem, _clean, _lang."""
+    norm = (f"regexp_replace(regexp_replace(regexp_replace(regexp_replace({name}, '/{{2,}}', '/', 'g'), "
+            f"'^(\\./)+', ''), '/(\\./)+', '/', 'g'), '(.)/+$', '\\1')")
+    return f""",
+{out}_0 AS (SELECT *, {norm} AS _p FROM {src}),
+{out}_1 AS (SELECT *, regexp_extract(_p, '([^/]*)$', 1) AS _base, regexp_extract(_p, '^(.*/)', 1) AS _dir FROM {out}_0),
+{out}_2 AS (SELECT *, regexp_extract(_base, '^.+(\\.[^.]+)$', 1) AS _suf FROM {out}_1),
+{out}_3 AS (SELECT *, CASE WHEN _suf = '' THEN _base ELSE substr(_base, 1, length(_base) - length(_suf)) END AS _stem FROM {out}_2),
+{out} AS (SELECT *, regexp_replace(_stem, '_([a-zA-Z]{{2}})$', '') AS _clean,
+                 lower(nullif(regexp_extract(_stem, '_([a-zA-Z]{{2}})$', 1), '')) AS _lang FROM {out}_3)"""
+
+
+def _names_sql(select: str) -> str:
+    return with_fixtures(["blob_names"], "") .replace("WITH ", "WITH ", 1) + path_ctes("blob_names") + \
+        f"\nSELECT origin, item_id, name, {select} FROM paths"
+
+
+def _map_case(expr: str, pairs, default: str) -> str:
+    return "CASE " + " ".join(f"WHEN {expr} = {_q(k)} THEN {_q(v)}" for k, v in pairs) + f" ELSE {_q(default)} END"
+
+
+def naming_sql() -> dict[str, str]:
+    out = {
+        "path_stem_suffix": _names_sql("_base AS base, _dir AS dir, _stem AS stem, lower(_suf) AS suffix"),
+        "extract_source_lang": _names_sql("_lang AS source_lang"),
+        "clean_stem": _names_sql("_clean AS clean_stem"),
+        "translated_blob_name": _names_sql("_dir || _clean || '_en' || _suf AS translated_name"),
+        "json_blob_name": _names_sql("_dir || _clean || '_en.json' AS json_name"),
+        "raw_invoice_blob_name": _names_sql("_dir || _clean || '_' || coalesce(lang, 'xx') || _suf AS raw_name"),
+        "normalize_blob_name": _names_sql("translate(name, ' -', '__') AS normalized"),
+        "ocr_output_name": _names_sql(
+            "translate(_stem || CASE WHEN item_id % 2 = 1 THEN '_enhanced_ocr.pdf' ELSE '_ocr.pdf' END, ' -', '__')"
+            " AS ocr_name"),
+        "effective_lang": _names_sql("coalesce(_lang, 'de') AS lang_used"),
+        "mime_lookup": _names_sql(
+            _map_case("lower(_suf)", vocab.ATTACHMENT_CONTENT_TYPES, vocab.DEFAULT_CONTENT_TYPE) + " AS attachment_type, "
+            + _map_case("lower(_suf)", vocab.DOCUMENT_CONTENT_TYPES, vocab.DEFAULT_CONTENT_TYPE) + " AS document_type"),
+    }
+    tb = FIXTURES["target_blobs"].replace("WHERE doc_id % 3 <> 0", "WHERE doc_id % 3 <> 0").replace(
+        "WHERE e.ts <= ", "WHERE e.ts <= ")
+    out["strip_ocr_suffix"] = (
+        "WITH " + FIXTURES["source_blobs"].strip().replace(f"\n  WHERE e.ts <= {AS_OF_BLOB}", "") + ",\n"
+        + tb.strip() + path_ctes("target_blobs")
+        + "\nSELECT doc_id, name, regexp_replace(lower(_stem), '(_enhanced)?_ocr$', '') AS stem_key FROM paths")
+    out["normalize_mime"] = with_fixtures(["attachments"], """
+SELECT message_id, att_id, content_type,
+       trim(split_part(lower(coalesce(content_type, '')), ';', 1)) AS mime FROM attachments""")
+    return out
+
+
+# ---------------------------------------------------------------------------------------------
+# listing
+# ---------------------------------------------------------------------------------------------
+FIXTURES["translated_blobs"] = """
+translated_blobs AS (
+  SELECT 'translated-invoices' AS container, _dir || _clean || '_en' || _suf AS name, last_modified
+  FROM src_paths WHERE doc_id % 5 <> 0
+  UNION ALL
+  SELECT 'translated-invoices', _dir || _clean || '_en.json', last_modified
+  FROM src_paths WHERE doc_id % 5 <> 0 AND doc_id % 3 <> 0)"""
+
+FIXTURES["blob_writes"] = """
+blob_writes AS (
+  SELECT CASE WHEN is_valid THEN 'raw-invoices' ELSE 'invalid-invoices' END AS container,
+         CAST(message_id AS VARCHAR) || '/' || name AS name, written_at, tiebreak, size, att_id, message_id
+  FROM attachments)"""
+FIXTURE_DEPS["blob_writes"] = ["attachments"]
+
+L_COLS = "container, name, last_modified, size"
+SRC_STEM = "lower(CASE WHEN _suf = '' THEN _base ELSE substr(_base, 1, length(_base) - length(_suf)) END)"
+
+
+def _today(t: str) -> str:
+    return (f"SELECT * FROM {t} WHERE CAST(last_modified AS DATE) = DATE '2024-01-10' "
+            f"AND lower(name) LIKE '%.pdf'")
+
+
+def _reconcile_body(normalize: bool) -> str:
+    key = "translate(_skey, ' -', '__')" if normalize else "_skey"
+    return f""",
+src_today AS ({_today('source_blobs')}),
+tgt_today AS ({_today('target_blobs')}){path_ctes('src_today', out='sp')}{path_ctes('tgt_today', out='tp')},
+src_keys AS (SELECT *, {SRC_STEM} AS _skey FROM sp),
+tgt_keys AS (SELECT DISTINCT regexp_replace(lower(_stem), '(_enhanced)?_ocr$', '') AS k FROM tp),
+recon AS (SELECT {L_COLS} FROM src_keys s WHERE NOT EXISTS (SELECT 1 FROM tgt_keys t WHERE t.k = {key}))"""
+
+
+def listing_sql() -> dict[str, str]:
+    out = {}
+    base = with_fixtures(["source_blobs"], "")
+    out["scan_blob_listing"] = base + f"\nSELECT {L_COLS} FROM source_blobs"
+    out["lookback_filter"] = base + f"\nSELECT {L_COLS} FROM source_blobs WHERE last_modified >= {AS_OF_BLOB} - INTERVAL 12 HOUR"
+    out["pdf_filter"] = base + f"\nSELECT {L_COLS} FROM source_blobs WHERE lower(name) LIKE '%.pdf'"
+    out["same_utc_day_filter"] = base + f"\nSELECT {L_COLS} FROM source_blobs WHERE CAST(last_modified AS DATE) = DATE '2024-01-10'"
+    tb = with_fixtures(["target_blobs"], "")
+    for norm, key in ((False, "reconcile_unprocessed"), (True, "reconcile_unprocessed_normalized")):
+        out[key] = tb + _reconcile_body(norm) + "\nSELECT * FROM recon"
+    for hours, key in ((12, "ocr_worklist"), (0, "ocr_worklist_reconcile")):
+        out[key] = tb + _reconcile_body(False) + f""",
+prim AS (SELECT {L_COLS}, 'lookback' AS path FROM source_blobs
+         WHERE last_modified >= {AS_OF_BLOB} - INTERVAL {hours} HOUR AND lower(name) LIKE '%.pdf')
+SELECT * FROM prim UNION ALL SELECT *, 'reconcile' AS path FROM recon WHERE NOT EXISTS (SELECT 1 FROM prim)"""
+    src_paths = path_ctes("source_blobs", out="src_paths")
+    skip_base = with_fixtures(["source_blobs"], "") + src_paths + "," + FIXTURES["translated_blobs"]
+    out["skip_if_exists"] = skip_base + """,
+s AS (SELECT name, _dir || _clean || '_en' || _suf AS target_name FROM src_paths)
+SELECT name, target_name, CASE WHEN target_name IN (SELECT name FROM translated_blobs) THEN 'skipped' ELSE 'todo' END AS status
+FROM s"""
+    out["skip_if_exists_both_outputs"] = skip_base + """,
+s AS (SELECT name, _dir || _clean || '_en' || _suf AS target_name, _dir || _clean || '_en.json' AS target_json FROM src_paths)
+SELECT name, target_name, target_json,
+       CASE WHEN target_name IN (SELECT name FROM translated_blobs) AND target_json IN (SELECT name FROM translated_blobs)
+            THEN 'skipped' ELSE 'todo' END AS status
+FROM s"""
+    sb_all = FIXTURES["source_blobs"].strip().replace(f"\n  WHERE e.ts <= {AS_OF_BLOB}", "")
+    out["dedup_listing"] = "WITH " + sb_all + f""",
+pages AS (
+  SELECT {L_COLS} FROM source_blobs WHERE last_modified <= {AS_OF_BLOB}
+  UNION ALL
+  SELECT {L_COLS} FROM source_blobs WHERE last_modified <= TIMESTAMP '2024-01-10 06:00:00')
+SELECT container, name, max(last_modified) AS last_modified, arg_max(size, last_modified) AS size
+FROM (SELECT DISTINCT * FROM pages) GROUP BY container, name"""
+    out["latest_write_per_blob"] = with_fixtures(["blob_writes"], """
+SELECT container, name, w.written_at, w.tiebreak, w.size, w.att_id, w.message_id FROM (
+  SELECT container, name, max({'written_at': written_at, 'tiebreak': tiebreak, 'size': size, 'att_id': att_id,
+                               'message_id': message_id}) AS w
+  FROM blob_writes GROUP BY container, name)""")
+    out["target_name_collisions"] = with_fixtures(["attachments"], """,
+t AS (
+  SELECT message_id, att_id, name,
+         CASE WHEN is_valid THEN 'raw-invoices/' || regexp_replace(regexp_extract(name, '^(.*)\\.[^.]+$', 1), '_([a-zA-Z]{2})$', '') || '_en' || regexp_extract(name, '^.+(\\.[^.]+)$', 1)
+              ELSE 'invalid-invoices/' || name END AS target_name
+  FROM attachments),
+c AS (SELECT target_name, count(*) AS n_sources FROM t GROUP BY target_name HAVING count(*) > 1)
+SELECT t.message_id, t.att_id, t.name, t.target_name, c.n_sources FROM t JOIN c USING (target_name)""".lstrip(","))
+    return out
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(lineage_sql())
+    out.update(naming_sql())
+    out.update(listing_sql())
     return out

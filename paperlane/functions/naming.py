@@ -22,7 +22,7 @@ def posix_normalize(path) -> Column:
     p = F.regexp_replace(_c(path), "/{2,}", "/")
     p = F.regexp_replace(p, r"^(\./)+", "")
     p = F.regexp_replace(p, r"/(\./)+", "/")
-    return F.regexp_replace(p, "(?<=.)/+$", "")
+    return F.regexp_replace(p, "(.)/+$", "$1")
 
 
 def base_name(path) -> Column:

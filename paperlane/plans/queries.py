@@ -22,7 +22,14 @@ def register(name: str):
     def deco(fn: Query) -> Query:
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = fn
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+
+        run.__name__ = getattr(fn, "__name__", name)
+        run.__doc__ = fn.__doc__
+        REGISTRY[name] = run
         return fn
     return deco
 
@@ -69,3 +76,172 @@ def q_run_drilldown(spark, sf):
 @register("latest_step_per_run")
 def q_latest_step_per_run(spark, sf):
     return lin.latest_step_per_run(fx.process_log(spark, sf))
+
+
+# ---------------------------------------------------------------------------------------------
+# naming (H1-H11, D4)
+# ---------------------------------------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from paperlane.functions import naming as nm  # noqa: E402
+from paperlane.operators import listing as ls  # noqa: E402
+
+
+def _names(spark, sf):
+    return fx.blob_names(spark, sf)
+
+
+@register("path_stem_suffix")
+def q_path_stem_suffix(spark, sf):
+    stem, suffix = nm.stem_and_suffix(F.col("name"))
+    return _names(spark, sf).select("origin", "item_id", "name", nm.base_name("name").alias("base"),
+                                    nm.dir_prefix("name").alias("dir"), stem.alias("stem"), suffix.alias("suffix"))
+
+
+@register("extract_source_lang")
+def q_extract_source_lang(spark, sf):
+    return _names(spark, sf).select("origin", "item_id", "name", nm.extract_source_lang("name").alias("source_lang"))
+
+
+@register("clean_stem")
+def q_clean_stem(spark, sf):
+    return _names(spark, sf).select("origin", "item_id", "name", nm.clean_stem("name").alias("clean_stem"))
+
+
+@register("translated_blob_name")
+def q_translated_blob_name(spark, sf):
+    return _names(spark, sf).select("origin", "item_id", "name",
+                                    nm.translated_blob_name("name").alias("translated_name"))
+
+
+@register("json_blob_name")
+def q_json_blob_name(spark, sf):
+    return _names(spark, sf).select("origin", "item_id", "name", nm.json_blob_name("name").alias("json_name"))
+
+
+@register("raw_invoice_blob_name")
+def q_raw_invoice_blob_name(spark, sf):
+    lang = F.coalesce(F.col("lang"), F.lit("xx"))
+    return _names(spark, sf).select("origin", "item_id", "name",
+                                    nm.raw_invoice_blob_name("name", lang).alias("raw_name"))
+
+
+@register("normalize_blob_name")
+def q_normalize_blob_name(spark, sf):
+    return _names(spark, sf).select("origin", "item_id", "name", nm.normalize_blob_name("name").alias("normalized"))
+
+
+@register("strip_ocr_suffix")
+def q_strip_ocr_suffix(spark, sf):
+    t = fx.target_blobs(spark, sf, as_of=None)
+    return t.select("doc_id", "name", nm.strip_ocr_suffix("name").alias("stem_key"))
+
+
+@register("ocr_output_name")
+def q_ocr_output_name(spark, sf):
+    return _names(spark, sf).select(
+        "origin", "item_id", "name",
+        nm.ocr_output_name("name", F.col("item_id") % 2 == 1).alias("ocr_name"))
+
+
+@register("normalize_mime")
+def q_normalize_mime(spark, sf):
+    a = fx.attachments(spark, sf)
+    return a.select("message_id", "att_id", "content_type", nm.normalize_mime("content_type").alias("mime"))
+
+
+@register("effective_lang")
+def q_effective_lang(spark, sf):
+    return _names(spark, sf).select("origin", "item_id", "name", nm.effective_lang("name", "de").alias("lang_used"))
+
+
+@register("mime_lookup")
+def q_mime_lookup(spark, sf):
+    return _names(spark, sf).select(
+        "origin", "item_id", "name",
+        nm.content_type_for("name", "attachment").alias("attachment_type"),
+        nm.content_type_for("name", "document").alias("document_type"))
+
+
+# ---------------------------------------------------------------------------------------------
+# listing (A1, C1-C3, D1, D2, G2, F2, F4, J1)
+# ---------------------------------------------------------------------------------------------
+LISTING_COLS = ["container", "name", "last_modified", "size"]
+
+
+@register("scan_blob_listing")
+def q_scan_blob_listing(spark, sf):
+    return fx.source_blobs(spark, sf).select(*LISTING_COLS)
+
+
+@register("lookback_filter")
+def q_lookback_filter(spark, sf):
+    return ls.lookback_filter(fx.source_blobs(spark, sf), 12, fx.AS_OF_BLOB).select(*LISTING_COLS)
+
+
+@register("pdf_filter")
+def q_pdf_filter(spark, sf):
+    return ls.pdf_filter(fx.source_blobs(spark, sf)).select(*LISTING_COLS)
+
+
+@register("same_utc_day_filter")
+def q_same_utc_day_filter(spark, sf):
+    return ls.same_utc_day_filter(fx.source_blobs(spark, sf), fx.AS_OF_BLOB).select(*LISTING_COLS)
+
+
+@register("reconcile_unprocessed")
+def q_reconcile_unprocessed(spark, sf):
+    return ls.reconcile_unprocessed(fx.source_blobs(spark, sf), fx.target_blobs(spark, sf),
+                                    fx.AS_OF_BLOB).select(*LISTING_COLS)
+
+
+@register("reconcile_unprocessed_normalized")
+def q_reconcile_unprocessed_normalized(spark, sf):
+    return ls.reconcile_unprocessed(fx.source_blobs(spark, sf), fx.target_blobs(spark, sf),
+                                    fx.AS_OF_BLOB, normalize_keys=True).select(*LISTING_COLS)
+
+
+@register("ocr_worklist")
+def q_ocr_worklist(spark, sf):
+    return ls.ocr_worklist(fx.source_blobs(spark, sf), fx.target_blobs(spark, sf), 12,
+                           fx.AS_OF_BLOB).select(*LISTING_COLS, "path")
+
+
+@register("ocr_worklist_reconcile")
+def q_ocr_worklist_reconcile(spark, sf):
+    return ls.ocr_worklist(fx.source_blobs(spark, sf), fx.target_blobs(spark, sf), 0,
+                           fx.AS_OF_BLOB).select(*LISTING_COLS, "path")
+
+
+@register("skip_if_exists")
+def q_skip_if_exists(spark, sf):
+    return ls.skip_if_exists(fx.source_blobs(spark, sf), fx.translated_blobs(spark, sf)).select(
+        "name", "target_name", "status")
+
+
+@register("skip_if_exists_both_outputs")
+def q_skip_if_exists_both(spark, sf):
+    return ls.skip_if_exists(fx.source_blobs(spark, sf), fx.translated_blobs(spark, sf),
+                             require_also=nm.json_blob_name).select("name", "target_name", "target_json", "status")
+
+
+@register("dedup_listing")
+def q_dedup_listing(spark, sf):
+    page1 = fx.source_blobs(spark, sf).select(*LISTING_COLS)
+    page2 = fx.source_blobs(spark, sf, as_of=fx.AS_OF_BLOB.replace(hour=6)).select(*LISTING_COLS)
+    return ls.dedup_listing(page1.unionByName(page2))
+
+
+@register("latest_write_per_blob")
+def q_latest_write_per_blob(spark, sf):
+    return ls.latest_write_per_blob(fx.blob_writes(spark, sf))
+
+
+@register("target_name_collisions")
+def q_target_name_collisions(spark, sf):
+    w = fx.attachments(spark, sf)
+    stored = F.when(F.col("is_valid"), nm.raw_invoice_blob_name("name", F.lit("en"))).otherwise(F.col("name"))
+    df = w.select("message_id", "att_id", "name",
+                  F.concat(F.when(F.col("is_valid"), F.lit("raw-invoices/")).otherwise(F.lit("invalid-invoices/")),
+                           stored).alias("target_name"))
+    return ls.target_name_collisions(df)

@@ -268,3 +268,46 @@ def ocr_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- A10 ------------------------------------------------------------------------------------------
 def doc_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+
+
+# --- names with many path shapes (documents + web page paths) -------------------------------
+def blob_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names for the naming functions: document blob names plus the paths of
+    the crawled pages (directories, trailing ``/``, no extension, ``./`` and
+    ``//`` forms)."""
+    docs = ocr_text(spark, sf_dir).select(
+        F.lit("doc").alias("origin"), F.col("doc_id").alias("item_id"), F.col("filename").alias("name"), "lang")
+    pages = read_table(spark, sf_dir, "pages").select(
+        "page_id", F.regexp_extract("url", r"^[a-z]+://[^/]+/([^?#]*)", 1).alias("p"))
+    pid = F.col("page_id")
+    page_names = pages.select(
+        F.lit("page").alias("origin"), pid.alias("item_id"),
+        F.when(pid % 5 == 0, F.concat(F.lit("./"), F.col("p")))
+         .when(pid % 7 == 0, F.replace(F.col("p"), F.lit("/"), F.lit("//")))
+         .otherwise(F.col("p")).alias("name"),
+        F.nullif(F.regexp_extract("p", r"^([a-z]{2})/", 1), F.lit("")).alias("lang"))
+    return docs.unionByName(page_names)
+
+
+def translated_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target container of the translator: outputs that already exist."""
+    from paperlane.functions.naming import json_blob_name, translated_blob_name
+
+    src = source_blobs(spark, sf_dir)
+    done = src.where(F.col("doc_id") % 5 != 0)
+    docs = done.select(F.lit("translated-invoices").alias("container"),
+                       translated_blob_name(F.col("name")).alias("name"), "last_modified")
+    jsons = done.where(F.col("doc_id") % 3 != 0).select(
+        F.lit("translated-invoices").alias("container"), json_blob_name(F.col("name")).alias("name"),
+        "last_modified")
+    return docs.unionByName(jsons)
+
+
+def blob_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upload log of the mail scanner: one write per attachment."""
+    a = attachments(spark, sf_dir)
+    return a.select(
+        F.when(F.col("is_valid"), F.lit(vocab.RAW_INVOICE_CONTAINER))
+         .otherwise(F.lit(vocab.INVALID_INVOICE_CONTAINER)).alias("container"),
+        F.concat(F.col("message_id").cast("string"), F.lit("/"), F.col("name")).alias("name"),
+        "written_at", "tiebreak", "size", "att_id", "message_id")
