@@ -342,9 +342,90 @@ SELECT t.message_id, t.att_id, t.name, t.target_name, c.n_sources FROM t JOIN c
     return out
 
 
+
+
+# ---------------------------------------------------------------------------------------------
+# mail
+# ---------------------------------------------------------------------------------------------
+DENY = ", ".join(_q(x) for x in vocab.SKIP_ATTACHMENT_TYPES)
+ALLOW = ", ".join(_q(x) for x in vocab.SUPPORTED_ATTACHMENT_TYPES)
+MIME = "trim(split_part(lower(coalesce(content_type, '')), ';', 1))"
+USABLE = f"NOT coalesce(is_inline, false) AND {MIME} NOT IN ({DENY}) AND coalesce(size, 0) >= 100"
+WIN_ALL = "received_at >= TIMESTAMP '1994-08-02 00:00:00' AND has_attachments"
+WIN_30 = "received_at >= TIMESTAMP '2001-07-02 00:00:00' AND has_attachments"
+SENDER = ("coalesce(subject, '(no subject)') AS subject, coalesce(from_address, '') AS sender_email, "
+          "coalesce(from_name, split_part(coalesce(from_address, ''), '@', 1)) AS sender_name")
+
+
+def mail_sql() -> dict[str, str]:
+    out = {}
+    m = with_fixtures(["messages"], "")
+    a = with_fixtures(["attachments"], "")
+    ma = with_fixtures(["messages", "attachments"], "")
+    stand_in = ma + f""",
+outcomes AS (SELECT * FROM attachments WHERE {USABLE}
+             AND message_id IN (SELECT id FROM messages WHERE {WIN_ALL}))"""
+    out["scan_messages"] = m + f"\nSELECT id, subject, from_name, from_address, received_at, has_attachments FROM messages WHERE {WIN_30}"
+    out["message_window_filter"] = m + f"\nSELECT id, received_at FROM messages WHERE {WIN_ALL}"
+    out["usable_attachment_filter"] = a + f"\nSELECT message_id, att_id, content_type, size FROM attachments WHERE {USABLE}"
+    out["supported_mime_filter"] = a + (f"\nSELECT message_id, att_id, content_type FROM attachments "
+                                        f"WHERE {USABLE} AND {MIME} IN ({ALLOW})")
+    out["scan_attachments"] = ma + (f"\nSELECT message_id, att_id, name, content_type, size FROM attachments "
+                                    f"WHERE {USABLE} AND message_id IN (SELECT id FROM messages WHERE {WIN_30})")
+    out["decode_attachment_payload"] = a + """
+SELECT message_id, att_id,
+       CAST(octet_length(from_base64(coalesce(CASE WHEN content_type IS NOT NULL THEN to_base64(encode(reason)) END, ''))) AS INTEGER) AS n_bytes,
+       decode(from_base64(coalesce(CASE WHEN content_type IS NOT NULL THEN to_base64(encode(reason)) END, ''))) AS payload_text
+FROM attachments"""
+    out["message_attachments"] = ma + f"""
+SELECT a.message_id, a.att_id, m.subject, m.sender_email, m.sender_name
+FROM attachments a JOIN (SELECT id, {SENDER} FROM messages WHERE {WIN_ALL}) m ON a.message_id = m.id
+WHERE {USABLE.replace('is_inline', 'a.is_inline').replace('size', 'a.size')}"""
+    out["sender_name_default"] = m + ("\nSELECT id, coalesce(from_address, '') AS sender_email, "
+                                      "coalesce(from_name, split_part(coalesce(from_address, ''), '@', 1)) AS sender_name "
+                                      "FROM messages")
+    out["subject_filename_defaults"] = ma + """
+SELECT a.message_id, a.att_id,
+       coalesce(CASE WHEN a.size >= 100 THEN a.name END, 'attachment_' || a.att_id) AS filename,
+       coalesce(m.subject, '(no subject)') AS subject
+FROM attachments a JOIN messages m ON a.message_id = m.id"""
+    out["skip_message_without_usable_attachments"] = ma + (
+        f"\nSELECT id FROM messages WHERE {WIN_ALL} AND id IN (SELECT message_id FROM attachments WHERE {USABLE})")
+    out["message_rollup"] = stand_in + """
+SELECT message_id,
+       CAST(sum(CASE WHEN is_valid THEN 1 ELSE 0 END) AS BIGINT) AS valid_count,
+       CAST(sum(CASE WHEN is_valid THEN 0 ELSE 1 END) AS BIGINT) AS invalid_count,
+       count(*) > 0 AND sum(CASE WHEN is_valid THEN 0 ELSE 1 END) = 0 AS all_valid,
+       count(*) > 0 AND sum(CASE WHEN is_valid THEN 1 ELSE 0 END) = 0 AS all_invalid
+FROM outcomes GROUP BY message_id"""
+    out["scan_summary"] = stand_in + f"""
+SELECT (SELECT count(*) FROM messages WHERE {WIN_ALL}) AS messages_scanned,
+       count(DISTINCT message_id) AS messages_with_attachments,
+       count(*) AS total_attachments,
+       CAST(coalesce(sum(CASE WHEN is_valid THEN 1 ELSE 0 END), 0) AS BIGINT) AS valid_invoices,
+       CAST(coalesce(sum(CASE WHEN is_valid THEN 0 ELSE 1 END), 0) AS BIGINT) AS invalid_invoices
+FROM outcomes"""
+    out["run_exit_status"] = stand_in + "\nSELECT coalesce(max(CASE WHEN NOT is_valid THEN 1 ELSE 0 END), 0) AS exit_code FROM outcomes"
+    out["split_valid_invalid"] = stand_in + """
+SELECT message_id, att_id, is_valid, CASE WHEN is_valid THEN 'valid' ELSE 'invalid' END AS half FROM outcomes"""
+    ct = _map_case("lower(regexp_extract(name, '^.+(\\.[^.]+)$', 1))", vocab.ATTACHMENT_CONTENT_TYPES,
+                   vocab.DEFAULT_CONTENT_TYPE)
+    out["route_by_outcome"] = stand_in + f"""
+SELECT message_id, att_id,
+       CASE WHEN content_type IS NULL THEN NULL WHEN is_valid THEN 'raw-invoices' ELSE 'invalid-invoices' END AS container,
+       CASE WHEN content_type IS NULL THEN NULL
+            WHEN is_valid THEN regexp_replace(regexp_extract(name, '^(.*)\\.[^.]+$', 1), '_([a-zA-Z]{{2}})$', '') || '_en'
+                               || regexp_extract(name, '^.+(\\.[^.]+)$', 1)
+            ELSE name END AS blob_name,
+       {ct} AS content_type
+FROM outcomes"""
+    return out
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(lineage_sql())
     out.update(naming_sql())
     out.update(listing_sql())
+    out.update(mail_sql())
     return out

@@ -245,3 +245,114 @@ def q_target_name_collisions(spark, sf):
                   F.concat(F.when(F.col("is_valid"), F.lit("raw-invoices/")).otherwise(F.lit("invalid-invoices/")),
                            stored).alias("target_name"))
     return ls.target_name_collisions(df)
+
+
+# ---------------------------------------------------------------------------------------------
+# mail (A3-A5, C4-C6, C10, C13, D3, E3, E4, E6, H17, H18, B2)
+# ---------------------------------------------------------------------------------------------
+from paperlane.operators import mail as ml  # noqa: E402
+
+MAIL_WINDOW_H = 720          # 30 days before the mail anchor
+MAIL_ALL_H = 61368           # 7 years: every message of the fixture
+
+
+def _window_messages(spark, sf, hours=MAIL_ALL_H):
+    m = fx.messages(spark, sf)
+    return m.where(ml.message_window_predicate(m, hours, fx.AS_OF_MAIL))
+
+
+def _stand_in_outcomes(spark, sf):
+    """Usable attachments of all window messages with the fixture's stand-in verdict."""
+    return ml.scan_attachments(_window_messages(spark, sf), fx.attachments(spark, sf))
+
+
+@register("scan_messages")
+def q_scan_messages(spark, sf):
+    return ml.scan_messages(fx.messages(spark, sf), MAIL_WINDOW_H, fx.AS_OF_MAIL)
+
+
+@register("message_window_filter")
+def q_message_window_filter(spark, sf):
+    return _window_messages(spark, sf).select("id", "received_at")
+
+
+@register("usable_attachment_filter")
+def q_usable_attachment_filter(spark, sf):
+    return ml.usable_attachments(fx.attachments(spark, sf)).select("message_id", "att_id", "content_type", "size")
+
+
+@register("supported_mime_filter")
+def q_supported_mime_filter(spark, sf):
+    return ml.usable_attachments(fx.attachments(spark, sf), apply_allow_list=True).select(
+        "message_id", "att_id", "content_type")
+
+
+@register("scan_attachments")
+def q_scan_attachments(spark, sf):
+    return ml.scan_attachments(_window_messages(spark, sf, MAIL_WINDOW_H), fx.attachments(spark, sf)).select(
+        "message_id", "att_id", "name", "content_type", "size")
+
+
+@register("decode_attachment_payload")
+def q_decode_attachment_payload(spark, sf):
+    a = fx.attachments(spark, sf)
+    b64 = F.when(F.col("content_type").isNotNull(), F.base64(F.encode(F.col("reason"), "UTF-8")))
+    raw = ml.decode_payload(b64)
+    return a.select("message_id", "att_id", F.length(raw).alias("n_bytes"),
+                    F.decode(raw, "UTF-8").alias("payload_text"))
+
+
+@register("message_attachments")
+def q_message_attachments(spark, sf):
+    return ml.message_attachments(_window_messages(spark, sf), fx.attachments(spark, sf)).select(
+        "message_id", "att_id", "subject", "sender_email", "sender_name")
+
+
+@register("sender_name_default")
+def q_sender_name_default(spark, sf):
+    return ml.with_sender_defaults(fx.messages(spark, sf)).select("id", "sender_email", "sender_name")
+
+
+@register("subject_filename_defaults")
+def q_subject_filename_defaults(spark, sf):
+    m = ml.with_sender_defaults(fx.messages(spark, sf)).select(F.col("id").alias("message_id"), "subject")
+    a = fx.attachments(spark, sf).select(
+        "message_id", "att_id",
+        ml.attachment_filename(F.when(F.col("size") >= 100, F.col("name")), "att_id").alias("filename"))
+    return a.join(m, "message_id", "inner")
+
+
+@register("skip_message_without_usable_attachments")
+def q_skip_message(spark, sf):
+    return ml.messages_with_usable_attachments(_window_messages(spark, sf), fx.attachments(spark, sf)).select("id")
+
+
+@register("message_rollup")
+def q_message_rollup(spark, sf):
+    return ml.message_rollup(_stand_in_outcomes(spark, sf))
+
+
+@register("scan_summary")
+def q_scan_summary(spark, sf):
+    return ml.scan_summary(_window_messages(spark, sf), _stand_in_outcomes(spark, sf))
+
+
+@register("run_exit_status")
+def q_run_exit_status(spark, sf):
+    return ml.exit_status(_stand_in_outcomes(spark, sf), ~F.col("is_valid"))
+
+
+@register("split_valid_invalid")
+def q_split_valid_invalid(spark, sf):
+    good, bad = ml.split_valid_invalid(_stand_in_outcomes(spark, sf))
+    cols = ["message_id", "att_id", "is_valid"]
+    return (good.select(*cols, F.lit("valid").alias("half"))
+            .unionByName(bad.select(*cols, F.lit("invalid").alias("half"))))
+
+
+@register("route_by_outcome")
+def q_route_by_outcome(spark, sf):
+    o = _stand_in_outcomes(spark, sf).select(
+        "message_id", "att_id", F.col("name").alias("filename"), "is_valid",
+        F.lit("en").alias("lang_code"), F.col("content_type").isNull().alias("is_empty"))
+    return ml.route_by_outcome(o).select("message_id", "att_id", "container", "blob_name", "content_type")
