@@ -111,11 +111,11 @@ invoice_text AS (
            'Total: ' || CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) AS VARCHAR)) AS text
   FROM orders o LEFT JOIN order_vendor v ON o.o_orderkey = v.l_orderkey)"""
 
-FIXTURES["ocr_pairs"] = """
+FIXTURES["ocr_pairs"] = f"""
 ocr_pairs AS (
-  SELECT doc_id, text AS original_text,
+  SELECT d.doc_id, {_DOC_NAME} AS name, text AS original_text,
          CASE WHEN doc_id % 2 = 0 THEN regexp_replace(text, '[.]', ' ', 'g') ELSE text END AS ocr_text
-  FROM documents)"""
+  FROM documents d)"""
 
 FIXTURE_DEPS = {
     "target_blobs": ["source_blobs"],
@@ -422,10 +422,125 @@ FROM outcomes"""
     return out
 
 
+
+
+# ---------------------------------------------------------------------------------------------
+# text
+# ---------------------------------------------------------------------------------------------
+def _chunks_cte(size: int) -> str:
+    return f""",
+chunks AS (
+  SELECT doc_id, CAST(i + 1 AS INTEGER) AS chunk_idx, substr(text, CAST(i * {size} + 1 AS BIGINT), {size}) AS chunk
+  FROM (SELECT doc_id, text, unnest(range(0, CAST(ceil(length(text) / {size}.0) AS BIGINT))) AS i FROM ocr_text))"""
+
+
+def _lang_sql() -> str:
+    from paperlane.operators.language import FUNCTION_WORDS, LANGS
+
+    hits = ",\n".join(
+        f"       len(list_filter(tok, lambda t: list_contains([{', '.join(_q(w) for w in FUNCTION_WORDS[l])}], t))) AS h_{l}"
+        for l in LANGS)
+    best = "CASE " + " ".join(
+        "WHEN " + " AND ".join([f"h_{l} >= h_{o}" for o in LANGS[i + 1:]] + [f"h_{l} > h_{o}" for o in LANGS[:i]])
+        + f" THEN '{l}'" for i, l in enumerate(LANGS[:-1])) + f" ELSE '{LANGS[-1]}' END"
+    total = " + ".join(f"h_{l}" for l in LANGS)
+    top = "greatest(" + ", ".join(f"h_{l}" for l in LANGS) + ")"
+    return with_fixtures(["ocr_text"], "") + f""",
+tk AS (SELECT doc_id, text, lang, regexp_extract_all(lower(substr(text, 1, 500)), '\\p{{L}}+') AS tok FROM ocr_text),
+hh AS (SELECT doc_id, text, lang,
+{hits}
+       FROM tk),
+det AS (
+  SELECT doc_id, lang,
+         CASE WHEN text IS NULL OR regexp_replace(text, '\\s+', '', 'g') = '' OR ({total}) = 0 THEN NULL ELSE {best} END AS detected,
+         CAST({top} AS INTEGER) AS hits, CAST({total} AS INTEGER) AS total_hits,
+         CASE WHEN ({total}) > 0 THEN {top} / ({total}) ELSE 0.0 END AS score
+  FROM hh),
+dl AS (SELECT *, coalesce(CASE WHEN score >= 0.5 AND length(detected) = 2 THEN lower(detected) END, 'xx') AS lang_code FROM det)"""
+
+
+NUM_RE = "\\b\\d{1,3}(?:[ ,]\\d{3})*(?:\\.\\d+)?\\b"
+
+
+def _num_sql(col: str) -> str:
+    return f"list_distinct(list_transform(regexp_extract_all(coalesce({col}, ''), '{NUM_RE}'), lambda x: translate(x, ' ,', '')))"
+
+
+def text_sql() -> dict[str, str]:
+    out = {}
+    ot = with_fixtures(["ocr_text"], "")
+    out["text_prefix"] = ot + "\nSELECT doc_id, substr(text, 1, 500) AS prefix_500, substr(text, 1, 4000) AS prefix_4000 FROM ocr_text"
+    out["chunk_text"] = ot + _chunks_cte(9000) + "\nSELECT doc_id, chunk_idx, chunk FROM chunks"
+    out["chunk_index"] = ot + _chunks_cte(1000) + "\nSELECT doc_id, chunk_idx, CAST(length(chunk) AS INTEGER) AS chunk_len FROM chunks"
+    out["reassemble_chunks"] = ot + _chunks_cte(2000) + """
+SELECT doc_id, CAST(count(*) AS INTEGER) AS n_chunks, string_agg('[EN]' || chunk, chr(10) ORDER BY chunk_idx) AS translated_text
+FROM chunks GROUP BY doc_id"""
+    tr_all = "array_to_string(list_transform(range(0, CAST(ceil(length(text) / 9000.0) AS BIGINT)), lambda i: '[EN]' || substr(text, CAST(i * 9000 + 1 AS BIGINT), 9000)), chr(10))"
+    nchunks = "CAST(ceil(length(text) / 9000.0) AS INTEGER)"
+    out["translate_documents"] = ot + f"""
+SELECT doc_id, {nchunks} AS n_chunks, {tr_all} AS translated_text, CAST(NULL AS VARCHAR) AS translation_error FROM ocr_text"""
+    out["translate_documents_distributed"] = out["translate_documents"]
+    # fallback: 'es' fails then auto works; under auto a chunk without letters fails
+    out["translate_with_fallback"] = ot + f""",
+d AS (SELECT doc_id, lang, CASE WHEN doc_id % 10 = 3 THEN regexp_replace(text, '\\p{{L}}', '', 'g') ELSE text END AS text FROM ocr_text),
+c AS (SELECT doc_id, lang, CAST(i + 1 AS INTEGER) AS idx, substr(text, CAST(i * 9000 + 1 AS BIGINT), 9000) AS chunk
+      FROM (SELECT doc_id, lang, text, unnest(range(0, CAST(ceil(length(text) / 9000.0) AS BIGINT))) AS i FROM d)),
+r AS (SELECT doc_id, idx, '[EN]' || chunk AS t,
+             CASE WHEN lang = 'es' AND NOT regexp_matches(chunk, '\\p{{L}}') THEN 'language detection failed' END AS e FROM c),
+g AS (SELECT doc_id, CAST(count(*) AS INTEGER) AS n_chunks,
+             min(idx) FILTER (WHERE e IS NOT NULL) AS first_bad,
+             string_agg(t, chr(10) ORDER BY idx) AS txt FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(g.n_chunks, 0) AS n_chunks,
+       CASE WHEN g.doc_id IS NULL THEN '' WHEN g.first_bad IS NULL THEN g.txt END AS translated_text,
+       CASE WHEN g.first_bad IS NOT NULL THEN 'language detection failed' END AS translation_error
+FROM d LEFT JOIN g ON d.doc_id = g.doc_id"""
+    ls = _lang_sql()
+    out["detect_language"] = ls + "\nSELECT doc_id, detected, hits, total_hits, score, lang_code FROM dl"
+    out["language_accuracy"] = ls + """
+SELECT lang, count(*) AS n_docs, CAST(sum(CASE WHEN lang_code = lang THEN 1 ELSE 0 END) AS BIGINT) AS n_correct,
+       CAST(sum(CASE WHEN lang_code = 'xx' THEN 1 ELSE 0 END) AS BIGINT) AS n_unsure
+FROM dl GROUP BY lang"""
+    out["accept_lang"] = ls + """,
+rp AS (SELECT doc_id, score, CASE WHEN doc_id % 3 = 0 THEN detected || '-Latn' ELSE detected END AS reported FROM dl)
+SELECT doc_id, reported, score,
+       CASE WHEN score >= 0.5 AND length(reported) = 2 THEN lower(reported)
+            WHEN score >= 0.5 AND contains(reported, '-') AND length(split_part(reported, '-', 1)) = 2
+            THEN lower(split_part(reported, '-', 1)) END AS accepted
+FROM rp"""
+    out["needs_translation"] = ls + "\nSELECT doc_id, lang_code, lang_code NOT IN ('en', 'xx') AS needs_translation FROM dl"
+    out["non_empty_guard"] = ot + """
+SELECT doc_id, t IS NULL OR regexp_replace(t, '\\s+', '', 'g') = '' AS is_blank
+FROM (SELECT doc_id, CASE WHEN doc_id % 17 = 0 THEN regexp_replace(text, '\\S', '', 'g') ELSE text END AS t FROM ocr_text)"""
+    out["extract_numbers"] = ot + f"""
+SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '{NUM_RE}')) AS INTEGER) AS n_numbers,
+       array_to_string(regexp_extract_all(coalesce(text, ''), '{NUM_RE}'), '|') AS numbers FROM ocr_text"""
+    out["normalize_numbers"] = ot + f"""
+SELECT doc_id, CAST(len({_num_sql('text')}) AS INTEGER) AS n_distinct,
+       array_to_string(list_sort({_num_sql('text')}), '|') AS numbers FROM ocr_text"""
+    op = with_fixtures(["ocr_pairs"], "") + f""",
+nums AS (SELECT doc_id, name, {_num_sql('original_text')} AS a, {_num_sql('ocr_text')} AS b FROM ocr_pairs),
+chk AS (SELECT doc_id, name, CAST(len(a) AS INTEGER) AS n_original,
+               CAST(len(list_filter(a, lambda x: NOT list_contains(b, x))) AS INTEGER) AS n_missing,
+               CASE WHEN len(a) > 0 THEN len(list_filter(a, lambda x: NOT list_contains(b, x))) / len(a) END AS missing_ratio
+        FROM nums),
+flag AS (SELECT *, coalesce(missing_ratio >= 0.2, false) AS amounts_missing FROM chk)"""
+    out["missing_amount_ratio"] = op + "\nSELECT doc_id, n_original, n_missing, missing_ratio, amounts_missing FROM flag"
+    out["missing_amounts"] = op + "\nSELECT doc_id, unnest(list_filter(a, lambda x: NOT list_contains(b, x))) AS number FROM nums"
+    paths = op + """,
+pth AS (SELECT doc_id, name, amounts_missing, CASE WHEN amounts_missing THEN 'enhanced' ELSE 'normal' END AS path,
+               translate(regexp_replace(regexp_extract(name, '([^/]*)$', 1), '\\.[^.]+$', '')
+                         || CASE WHEN amounts_missing THEN '_enhanced_ocr.pdf' ELSE '_ocr.pdf' END, ' -', '__') AS output_name
+        FROM flag)"""
+    out["amount_integrity_check"] = paths + "\nSELECT * FROM pth"
+    out["union_paths"] = paths + "\nSELECT path, count(*) AS n_docs FROM pth GROUP BY path"
+    return out
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(lineage_sql())
     out.update(naming_sql())
     out.update(listing_sql())
     out.update(mail_sql())
+    out.update(text_sql())
     return out

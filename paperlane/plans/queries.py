@@ -356,3 +356,138 @@ def q_route_by_outcome(spark, sf):
         "message_id", "att_id", F.col("name").alias("filename"), "is_valid",
         F.lit("en").alias("lang_code"), F.col("content_type").isNull().alias("is_empty"))
     return ml.route_by_outcome(o).select("message_id", "att_id", "container", "blob_name", "content_type")
+
+
+# ---------------------------------------------------------------------------------------------
+# text: prefixes, chunks, translation, language, numbers (H12-H16, C8, C9, E9, E10, F3, G1,
+# G3, I1-I3, I11)
+# ---------------------------------------------------------------------------------------------
+from paperlane.functions import text as tx  # noqa: E402
+from paperlane.operators import integrity as ig  # noqa: E402
+from paperlane.operators import language as lg  # noqa: E402
+from paperlane.operators import translate as tr  # noqa: E402
+
+
+@register("text_prefix")
+def q_text_prefix(spark, sf):
+    d = fx.ocr_text(spark, sf)
+    return d.select("doc_id", tx.text_prefix("text", 500).alias("prefix_500"),
+                    tx.text_prefix("text", 4000).alias("prefix_4000"))
+
+
+@register("chunk_text")
+def q_chunk_text(spark, sf):
+    return tr.explode_chunks(fx.ocr_text(spark, sf), ["doc_id"]).select("doc_id", "chunk_idx", "chunk")
+
+
+@register("chunk_index")
+def q_chunk_index(spark, sf):
+    ch = tr.explode_chunks(fx.ocr_text(spark, sf), ["doc_id"], chunk_size=1000)
+    return ch.select("doc_id", "chunk_idx", F.length("chunk").alias("chunk_len"))
+
+
+@register("reassemble_chunks")
+def q_reassemble_chunks(spark, sf):
+    ch = tr.explode_chunks(fx.ocr_text(spark, sf), ["doc_id"], chunk_size=2000)
+    ch = ch.withColumn("text", F.concat(F.lit("[EN]"), F.col("chunk"))).withColumn("error", F.lit(None).cast("string"))
+    return tr.reassemble_chunks(ch, ["doc_id"]).select("doc_id", "n_chunks", "translated_text")
+
+
+def _doc_with_lang(spark, sf):
+    d = fx.ocr_text(spark, sf)
+    return d.withColumn("src_lang", nm.effective_lang(F.col("filename"), None))
+
+
+@register("translate_documents")
+def q_translate_documents(spark, sf):
+    out = tr.translate_native(_doc_with_lang(spark, sf), tr.prefix_translator(), lang_col="src_lang")
+    return out.select("doc_id", "n_chunks", "translated_text", "translation_error")
+
+
+@register("translate_documents_distributed")
+def q_translate_documents_distributed(spark, sf):
+    out = tr.translate_distributed(_doc_with_lang(spark, sf), tr.prefix_batch_translator(), ["doc_id"],
+                                   lang_col="src_lang")
+    return out.select("doc_id", "n_chunks", "translated_text", "translation_error")
+
+
+@register("translate_with_fallback")
+def q_translate_with_fallback(spark, sf):
+    d = _doc_with_lang(spark, sf).withColumn(
+        "text", F.when(F.col("doc_id") % 10 == 3, F.regexp_replace("text", r"\p{L}", "")).otherwise(F.col("text")))
+    out = tr.translate_native(d, tr.failing_translator(("es",)), lang_col="src_lang")
+    return out.select("doc_id", "n_chunks", "translated_text", "translation_error")
+
+
+@register("detect_language")
+def q_detect_language(spark, sf):
+    return lg.detect_language(fx.ocr_text(spark, sf)).select(
+        "doc_id", "detected", "hits", "total_hits", "score", "lang_code")
+
+
+@register("language_accuracy")
+def q_language_accuracy(spark, sf):
+    d = lg.detect_language(fx.ocr_text(spark, sf))
+    return d.groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"),
+                                 F.sum(F.when(F.col("lang_code") == F.col("lang"), 1).otherwise(0)).cast("bigint")
+                                 .alias("n_correct"),
+                                 F.sum(F.when(F.col("lang_code") == "xx", 1).otherwise(0)).cast("bigint")
+                                 .alias("n_unsure"))
+
+
+@register("accept_lang")
+def q_accept_lang(spark, sf):
+    d = lg.detect_language(fx.ocr_text(spark, sf))
+    reported = F.when(F.col("doc_id") % 3 == 0, F.concat(F.col("detected"), F.lit("-Latn"))).otherwise(F.col("detected"))
+    return d.select("doc_id", reported.alias("reported"), "score",
+                    tx.accept_language(reported, F.col("score")).alias("accepted"))
+
+
+@register("non_empty_guard")
+def q_non_empty_guard(spark, sf):
+    d = fx.ocr_text(spark, sf)
+    t = F.when(F.col("doc_id") % 17 == 0, F.regexp_replace("text", r"\S", "")).otherwise(F.col("text"))
+    return d.select("doc_id", tx.is_blank(t).alias("is_blank"))
+
+
+@register("needs_translation")
+def q_needs_translation(spark, sf):
+    d = lg.detect_language(fx.ocr_text(spark, sf))
+    return d.select("doc_id", "lang_code", tx.needs_translation(F.col("lang_code")).alias("needs_translation"))
+
+
+@register("extract_numbers")
+def q_extract_numbers(spark, sf):
+    d = fx.ocr_text(spark, sf)
+    nums = tx.extract_numbers(F.col("text"))
+    return d.select("doc_id", F.size(nums).alias("n_numbers"), F.array_join(nums, "|").alias("numbers"))
+
+
+@register("normalize_numbers")
+def q_normalize_numbers(spark, sf):
+    d = fx.ocr_text(spark, sf)
+    nums = tx.normalize_numbers(tx.extract_numbers(F.col("text")))
+    return d.select("doc_id", F.size(nums).alias("n_distinct"), F.array_join(F.array_sort(nums), "|").alias("numbers"))
+
+
+@register("missing_amount_ratio")
+def q_missing_amount_ratio(spark, sf):
+    return ig.amount_check(fx.ocr_pairs(spark, sf)).select(
+        "doc_id", "n_original", "n_missing", "missing_ratio", "amounts_missing")
+
+
+@register("missing_amounts")
+def q_missing_amounts(spark, sf):
+    return ig.missing_amounts(fx.ocr_pairs(spark, sf), ["doc_id"])
+
+
+@register("amount_integrity_check")
+def q_amount_integrity_check(spark, sf):
+    return ig.amount_integrity_paths(fx.ocr_pairs(spark, sf)).select(
+        "doc_id", "name", "amounts_missing", "path", "output_name")
+
+
+@register("union_paths")
+def q_union_paths(spark, sf):
+    return ig.amount_integrity_paths(fx.ocr_pairs(spark, sf)).groupBy("path").agg(
+        F.count(F.lit(1)).alias("n_docs"))

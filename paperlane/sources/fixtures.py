@@ -256,9 +256,10 @@ def extraction_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- A9 -----------------------------------------------------------------------------------------
 def ocr_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return d.select(
         "doc_id",
+        _doc_blob_name(F.col("doc_id"), F.col("lang")).alias("name"),
         F.col("text").alias("original_text"),
         F.when(F.col("doc_id") % 2 == 0, F.regexp_replace("text", "[.]", " ")).otherwise(F.col("text")).alias(
             "ocr_text"),
