@@ -536,6 +536,261 @@ pth AS (SELECT doc_id, name, amounts_missing, CASE WHEN amounts_missing THEN 'en
     return out
 
 
+
+
+# ---------------------------------------------------------------------------------------------
+# extraction / classification / notifications
+# ---------------------------------------------------------------------------------------------
+def _rx(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _inv_no(t: str) -> str:
+    from paperlane.operators.extract import label_regex
+
+    pats = [label_regex(l) for l in vocab.INVOICE_NUMBER_LABELS]
+    pats.append(r"(?i)\binvoice\s*no\s*[:#]\s*([A-Za-z0-9/\-]*[0-9][A-Za-z0-9/\-]*)")
+    found = "coalesce(" + ", ".join(f"nullif(regexp_extract({t}, {_rx(p)}, 1), '')" for p in pats) + ")"
+    return (f"CASE WHEN {found} IS NULL OR regexp_matches({found}, {_rx(vocab.PO_NUMBER_PATTERN)}) "
+            f"THEN '' ELSE {found} END")
+
+
+def _norm_date(v: str) -> str:
+    return (f"coalesce(strftime(coalesce(try_strptime({v}, '%d-%m-%Y'), try_strptime({v}, '%d/%m/%Y'), "
+            f"try_strptime({v}, '%Y-%m-%d'), try_strptime({v}, '%d-%b-%Y')), '%Y%m%d'), '')")
+
+
+def _inv_date(t: str) -> str:
+    from paperlane.operators.extract import DATE_VALUE
+
+    return _norm_date(f"regexp_extract({t}, {_rx(DATE_VALUE)}, 1)")
+
+
+def _amount(t: str, labels) -> str:
+    pat = r"(?i)\b(?:" + "|".join(l.replace(" ", r"\s+") for l in labels) + r")\s*[:.]?\s*(-?[0-9][0-9,]*(?:\.[0-9]+)?)"
+    raw = f"replace(regexp_extract({t}, {_rx(pat)}, 1), ',', '')"
+    return f"CASE WHEN {raw} = '' THEN NULL ELSE TRY_CAST({raw} AS DECIMAL(18,2)) END"
+
+
+def _currency(t: str) -> str:
+    from paperlane.operators.extract import CURRENCY_SYMBOLS
+
+    code = f"regexp_extract({t}, {_rx(r'(?i)\bcurrency\s*[:.]?\s*([A-Za-z]{3})\b')}, 1)"
+    sym = "CASE " + " ".join(f"WHEN contains({t}, {_q(s)}) THEN {_q(c)}" for s, c in CURRENCY_SYMBOLS) + " ELSE '' END"
+    return f"CASE WHEN {code} <> '' THEN upper({code}) ELSE {sym} END"
+
+
+def _kw_rx(words) -> str:
+    return r"(?i)\b(?:" + "|".join(w.replace(" ", r"\s+") for w in words) + r")\b"
+
+
+def _inv_type(t: str, cur: str) -> str:
+    return (f"CASE WHEN regexp_matches({t}, {_rx(_kw_rx(vocab.RETURN_KEYWORDS))}) THEN 'RETURN' "
+            f"WHEN regexp_matches({t}, {_rx('(?i)' + vocab.FREELANCE_KEYWORD.replace(' ', chr(92) + 's+'))}) THEN 'FREELANCE_INVOICE' "
+            f"WHEN regexp_matches({t}, {_rx(r'(?i)\b' + vocab.RECEIPT_KEYWORD + r'\b')}) THEN 'RECEIPT' "
+            f"WHEN contains({t}, {_q(vocab.NOTARY_KEYWORD)}) THEN 'NOTARY_E_RECEIPT' "
+            f"WHEN {cur} <> '' AND {cur} <> 'TRY' THEN 'FOREIGN_CURRENCY' "
+            f"WHEN regexp_matches({t}, {_rx(r'(?i)\bimport')}) THEN 'IMPORT' ELSE 'STANDARD' END")
+
+
+def _details_cte(src: str = "invoice_text") -> str:
+    po = f"regexp_extract(text, {_rx('(' + vocab.PO_NUMBER_IN_TEXT + ')')}, 1)"
+    return f""",
+det0 AS (
+  SELECT doc_id, text, {po} AS purchaseOrderNumber, {_currency('text')} AS currency,
+         regexp_extract(text, {_rx(r'(?i)\b(?:vendor\s*(?:no\.?|number|id)|supplier\s*id)\s*[:#]?\s*([A-Za-z0-9\-]+)')}, 1) AS vendorNumber,
+         {_amount('text', ('grand total', 'total amount', 'amount due', 'total'))} AS totalInvoiceAmount,
+         {_amount('text', ('tax amount', 'tax'))} AS taxAmount,
+         regexp_extract(text, {_rx(r'(?i)\b(?:account\s*(?:no\.?|number)?)\s*[:#]?\s*([0-9]{9,18})\b')}, 1) AS Bank_Account_Number,
+         regexp_extract(text, {_rx(r'(?i)\b(?:swift|bic)\s*[:#]?\s*([A-Za-z0-9]{11}|[A-Za-z0-9]{8})\b')}, 1) AS Global_Bank_Identifier
+  FROM {src}),
+det1 AS (SELECT *, {_inv_type('text', 'currency')} AS invoiceType FROM det0),
+det AS (SELECT *, CASE WHEN regexp_matches(text, '(?i)invoice') AND purchaseOrderNumber <> '' AND invoiceType <> 'RETURN' THEN 'POI'
+                       WHEN regexp_matches(text, '(?i)invoice') AND purchaseOrderNumber = '' AND invoiceType <> 'RETURN' THEN 'NPI'
+                       ELSE 'N/A' END AS doctype FROM det1)"""
+
+
+FIXTURES["extraction_json"] = """
+extraction_json AS (
+  SELECT o.o_orderkey AS doc_id,
+         CASE WHEN o.o_orderkey % 19 = 0 THEN 'XXX' WHEN o.o_orderkey % 2 = 0 THEN 'POI' ELSE 'NPI' END AS doctype,
+         CASE WHEN o.o_orderkey % 17 = 0 THEN NULL ELSE CASE o.o_orderkey % 4 WHEN 0 THEN 'TRY' WHEN 1 THEN 'USD' WHEN 2 THEN 'EUR' ELSE 'JPY' END END AS currency,
+         o.o_totalprice AS total, o.o_orderkey % 23 = 0 AS total_is_string,
+         coalesce(li.n_items, 0) AS n_items
+  FROM orders o LEFT JOIN (SELECT l_orderkey, count(*) AS n_items FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey) li
+       ON o.o_orderkey = li.l_orderkey)"""
+
+CATEGORY_CASE = None
+
+
+def extract_sql() -> dict[str, str]:
+    from paperlane.sources.fixtures import CATEGORY_BY_PTYPE
+
+    out = {}
+    it = with_fixtures(["invoice_text"], "")
+    out["extract_baseline"] = it + f"\nSELECT doc_id, {_inv_no('text')} AS invoiceNumber, {_inv_date('text')} AS invoiceDate FROM invoice_text"
+    from paperlane.operators.extract import DATE_VALUE
+    out["normalize_invoice_date"] = it + f"""
+SELECT doc_id, raw_date, {_norm_date('raw_date')} AS invoiceDate
+FROM (SELECT doc_id, regexp_extract(text, {_rx(DATE_VALUE)}, 1) AS raw_date FROM invoice_text)"""
+    po_ok = f"coalesce(regexp_matches(po, {_rx(vocab.PO_NUMBER_PATTERN)}), false)"
+    out["valid_po_number"] = it + f"""
+SELECT doc_id, po, {po_ok} AS po_valid, alt_po, coalesce(regexp_matches(alt_po, {_rx(vocab.PO_NUMBER_PATTERN)}), false) AS alt_valid
+FROM (SELECT doc_id, regexp_extract(text, 'PO:\\s*([0-9]+)', 1) AS po, '66' || lpad(CAST(doc_id % 1000 AS VARCHAR), 7, '0') AS alt_po FROM invoice_text)"""
+    out["bank_swift_checks"] = f"""
+SELECT c_custkey, account, coalesce(regexp_matches(account, {_rx(vocab.BANK_ACCOUNT_PATTERN)}), false) AS account_valid,
+       bic, coalesce(regexp_matches(bic, {_rx(vocab.SWIFT_BIC_PATTERN)}), false) AS bic_valid
+FROM (SELECT c_custkey, CAST(c_custkey AS VARCHAR) || '0000000' AS account,
+             substr(upper(regexp_replace(c_name, '[^A-Za-z0-9]', '', 'g')), 1,
+                    CASE WHEN c_custkey % 5 = 0 THEN 10 WHEN c_custkey % 2 = 0 THEN 11 ELSE 8 END) AS bic
+      FROM customer)"""
+    d = it + _details_cte()
+    out["extract_details_doctype"] = d + "\nSELECT doc_id, purchaseOrderNumber, doctype FROM det"
+    out["extract_details_invoice_type"] = d + "\nSELECT doc_id, currency, invoiceType FROM det"
+    out["extract_details_amounts_ids"] = d + ("\nSELECT doc_id, vendorNumber, totalInvoiceAmount, taxAmount, currency, "
+                                              "Bank_Account_Number, Global_Bank_Identifier FROM det")
+    cat = "CASE " + " ".join(f"WHEN p_type = {_q(a)} THEN {_q(b)}" for a, b in CATEGORY_BY_PTYPE) + " ELSE 'OTHER_SERVICES' END"
+    out["flatten_line_items"] = f"""
+WITH li AS (
+  SELECT l_orderkey AS doc_id, CAST(l_linenumber AS VARCHAR) AS lineNumber, {cat} AS category, 'EA' AS unitOfMeasure,
+         l_quantity AS quantity, p_retailprice AS unitPrice, l_extendedprice * (1.0 - l_discount) AS net, l_tax
+  FROM lineitem JOIN part ON l_partkey = p_partkey)
+SELECT o.o_orderkey AS doc_id, li.lineNumber, li.category, li.unitOfMeasure,
+       CAST(CAST(floor((li.quantity) * 100.0 + 0.5) AS DECIMAL(38,0)) / 100 AS DECIMAL(18,2)) AS quantity, CAST(CAST(floor((li.unitPrice) * 100.0 + 0.5) AS DECIMAL(38,0)) / 100 AS DECIMAL(18,2)) AS unitPrice,
+       CAST(CAST(floor((li.net) * 100.0 + 0.5) AS DECIMAL(38,0)) / 100 AS DECIMAL(18,2)) AS netAmount, CAST(CAST(floor((li.net * li.l_tax) * 100.0 + 0.5) AS DECIMAL(38,0)) / 100 AS DECIMAL(18,2)) AS taxAmount,
+       CAST(CAST(floor((li.net * li.l_tax) * 100.0 + 0.5) AS DECIMAL(38,0)) / 100 AS DECIMAL(18,2)) AS vatAmount,
+       CAST(CAST(floor((li.l_tax * 100) * 100.0 + 0.5) AS DECIMAL(38,0)) / 100 AS DECIMAL(9,2)) AS taxPercentage, CAST(CAST(floor((li.l_tax * 100) * 100.0 + 0.5) AS DECIMAL(38,0)) / 100 AS DECIMAL(9,2)) AS vatPercentage,
+       CASE WHEN li.doc_id IS NULL THEN NULL ELSE CAST(0 AS DECIMAL(9,2)) END AS withholdingPercentage
+FROM orders o LEFT JOIN li ON o.o_orderkey = li.doc_id"""
+    ej = with_fixtures(["extraction_json"], "")
+    out["validate_extraction"] = ej + """,
+v AS (SELECT doc_id, list_filter([
+        CASE WHEN currency IS NULL THEN 'missing:currency' END,
+        CASE WHEN total_is_string THEN 'not_number:totalInvoiceAmount' END,
+        CASE WHEN doctype NOT IN ('POI', 'NPI', 'N/A') THEN 'enum:doctype' END], lambda x: x IS NOT NULL) AS vs
+      FROM extraction_json)
+SELECT doc_id, CAST(len(vs) AS INTEGER) AS n_violations, array_to_string(vs, ',') AS violations FROM v"""
+    out["json_roundtrip"] = ej + """
+SELECT doc_id, doctype, currency,
+       CASE WHEN total_is_string THEN NULL ELSE CAST(CAST(floor((total) * 100.0 + 0.5) AS DECIMAL(38,0)) / 100 AS DECIMAL(18,2)) END AS totalInvoiceAmount,
+       CAST(n_items AS INTEGER) AS n_items FROM extraction_json"""
+    out["merge_extractions"] = with_fixtures(["invoice_text", "extraction_json"], "") + f"""
+SELECT coalesce(b.doc_id, e.doc_id) AS doc_id, b.invoiceNumber, b.invoiceDate, coalesce(e.currency, b.currency) AS currency,
+       e.doctype
+FROM (SELECT doc_id, {_inv_no('text')} AS invoiceNumber, {_inv_date('text')} AS invoiceDate, {_currency('text')} AS currency
+      FROM invoice_text) b
+FULL OUTER JOIN extraction_json e ON b.doc_id = e.doc_id"""
+    norm = "trim(regexp_replace(upper({x}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+    out["buyer_match"] = f"""
+WITH inv AS (SELECT o.o_orderkey AS doc_id, lower(replace(c.c_name, '#', ' # ')) AS buyer_text
+             FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+b AS (SELECT {norm.format(x='c_name')} AS k, min(c_name) AS buyerName FROM customer WHERE c_mktsegment = 'BUILDING' GROUP BY 1)
+SELECT doc_id, coalesce(b.buyerName, '') AS buyerName FROM inv LEFT JOIN b ON {norm.format(x='inv.buyer_text')} = b.k"""
+    return out
+
+
+def _classify_cte(src: str) -> str:
+    from paperlane.operators.classify import AMOUNT_LABELS, VENDOR_LINE
+
+    kind = "CASE " + " ".join(
+        f"WHEN regexp_matches(p, {_rx(r'(?i)\b' + k.replace(' ', chr(92) + 's+') + r'\b')}) THEN {_q(k)}"
+        for k in vocab.NON_INVOICE_KINDS) + " END"
+    return f""",
+c0 AS (SELECT doc_id, substr(text, 1, 4000) AS p FROM {src}),
+c1 AS (SELECT doc_id, {_inv_no('p')} AS detected_invoice_number, regexp_extract(p, {_rx(VENDOR_LINE)}, 1) AS detected_vendor,
+              {_inv_date('p')} <> '' AS has_date, ({_amount('p', AMOUNT_LABELS)}) IS NOT NULL AS has_amount,
+              {kind} AS doc_kind, regexp_matches(p, '(?i)\\binvoice\\b') AS mentions_invoice FROM c0),
+c2 AS (SELECT *, detected_invoice_number <> '' AND has_date AND detected_vendor <> '' AND has_amount AND doc_kind IS NULL AS is_invoice,
+              list_filter([CASE WHEN detected_invoice_number = '' THEN 'invoice number' END,
+                           CASE WHEN NOT has_date THEN 'invoice date' END,
+                           CASE WHEN detected_vendor = '' THEN 'vendor' END,
+                           CASE WHEN NOT has_amount THEN 'amount payable' END], lambda x: x IS NOT NULL) AS missing FROM c1),
+cls AS (SELECT doc_id, is_invoice,
+               CASE WHEN is_invoice AND mentions_invoice THEN 'high' WHEN is_invoice THEN 'medium'
+                    WHEN doc_kind IS NOT NULL THEN 'high' ELSE 'low' END AS confidence,
+               CASE WHEN is_invoice THEN 'Invoice number, date, vendor and amount found.'
+                    WHEN doc_kind IS NOT NULL THEN 'Document is a ' || doc_kind || ', not an invoice.' ||
+                         CASE WHEN len(missing) > 0 THEN ' Missing: ' || array_to_string(missing, ', ') || '.' ELSE '' END
+                    ELSE 'Not an invoice.' ||
+                         CASE WHEN len(missing) > 0 THEN ' Missing: ' || array_to_string(missing, ', ') || '.' ELSE '' END
+               END AS reason, doc_kind, detected_vendor, detected_invoice_number FROM c2)"""
+
+
+def classify_sql() -> dict[str, str]:
+    out = {}
+    out["classify_invoice"] = with_fixtures(["invoice_text"], "") + _classify_cte("invoice_text") + """
+SELECT doc_id, is_invoice, confidence, reason, doc_kind, detected_vendor, detected_invoice_number FROM cls"""
+    out["classify_documents"] = with_fixtures(["ocr_text"], "") + _classify_cte("ocr_text") + """
+SELECT doc_id, is_invoice, confidence, reason FROM cls"""
+    out["classification_defaults"] = with_fixtures(["invoice_text"], "") + _classify_cte("invoice_text") + f"""
+SELECT doc_id,
+       CASE WHEN doc_id % 11 = 0 THEN false WHEN doc_id % 5 = 0 AND doc_id % 7 <> 0 THEN false ELSE is_invoice END AS is_invoice,
+       CASE WHEN doc_id % 11 = 0 THEN 'low' ELSE confidence END AS confidence,
+       CASE WHEN doc_id % 11 = 0 THEN {_q(vocab.CLASSIFIER_FAILED_REASON)}
+            WHEN doc_id % 7 = 0 THEN {_q(vocab.NO_REASON)} ELSE reason END AS reason
+FROM cls"""
+    return out
+
+
+def _esc(x: str) -> str:
+    return f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+def notify_sql() -> dict[str, str]:
+    from paperlane.operators import notify as nt
+
+    base = with_fixtures(["messages", "attachments"], "") + f""",
+outcomes AS (SELECT message_id, att_id, name AS filename, reason, is_valid FROM attachments WHERE {USABLE}
+             AND message_id IN (SELECT id FROM messages WHERE {WIN_ALL})),
+frag AS (SELECT message_id, att_id, is_valid,
+                CASE WHEN is_valid THEN '<li>' || {_esc('filename')} || '</li>'
+                     ELSE '<tr><td>' || {_esc('filename')} || '</td><td>' || {_esc('reason')} || '</td></tr>' END AS h
+         FROM outcomes),
+rt AS (SELECT message_id,
+              CAST(sum(CASE WHEN is_valid THEN 1 ELSE 0 END) AS BIGINT) AS valid_count,
+              CAST(sum(CASE WHEN is_valid THEN 0 ELSE 1 END) AS BIGINT) AS invalid_count,
+              coalesce(string_agg(h, '' ORDER BY att_id, h) FILTER (WHERE NOT is_valid), '') AS rejected_rows,
+              coalesce(string_agg(h, '' ORDER BY att_id, h) FILTER (WHERE is_valid), '') AS valid_items
+       FROM frag GROUP BY message_id)"""
+    out = {"rejection_table": base + "\nSELECT * FROM rt"}
+
+    def subj(fmt):
+        head, tail = fmt.split("{subject}")
+        return f"{_q(head)} || m.subject || {_q(tail)}"
+
+    day = _q(nt.long_date(__import__('datetime').datetime(2001, 8, 1)))
+    name = _esc("m.sender_name")
+    table = ("'<table><thead><tr><th>Attachment</th><th>Reason</th></tr></thead><tbody>' || rt.rejected_rows || "
+             "'</tbody></table>'")
+    success = (f"'<p>Dear ' || {name} || ',</p><p>All <strong>' || CAST(rt.valid_count AS VARCHAR) || "
+               f"'</strong> attachment(s) of your email dated <strong>' || {day} || "
+               "'</strong> were received and registered for payment.</p>'")
+    partial = (f"'<p>Dear ' || {name} || ',</p><p>We reviewed the attachments of your email dated <strong>' || {day} || "
+               "'</strong>.</p><p>✅ Processed (' || CAST(rt.valid_count AS VARCHAR) || '):</p><ul>' || rt.valid_items || "
+               "'</ul><p>⚠️ Needs your attention (' || CAST(rt.invalid_count AS VARCHAR) || '):</p>' || " + table)
+    failure = (f"'<p>Dear ' || {name} || ',</p><p>None of the attachments of your email dated <strong>' || {day} || "
+               "'</strong> could be accepted as an invoice.</p>' || " + table +
+               " || '<p>Please resubmit each invoice with its number, date, vendor details and amount due.</p>'")
+    kind = ("CASE WHEN rt.valid_count + rt.invalid_count > 0 AND rt.invalid_count = 0 THEN 'success' "
+            "WHEN rt.valid_count + rt.invalid_count > 0 AND rt.valid_count = 0 THEN 'full_failure' ELSE 'partial_failure' END")
+    out["compose_notifications"] = base + f""",
+m AS (SELECT id AS message_id, coalesce(subject, '(no subject)') AS subject,
+             coalesce(from_name, split_part(coalesce(from_address, ''), '@', 1)) AS sender_name
+      FROM messages WHERE {WIN_ALL}),
+k AS (SELECT rt.*, m.subject, m.sender_name, {kind} AS kind FROM rt JOIN m USING (message_id))
+SELECT message_id, kind, valid_count, invalid_count,
+       CASE kind WHEN 'success' THEN {subj(nt.SUBJECT_SUCCESS).replace('m.subject', 'subject')}
+                 WHEN 'full_failure' THEN {subj(nt.SUBJECT_FAILURE).replace('m.subject', 'subject')}
+                 ELSE {subj(nt.SUBJECT_PARTIAL).replace('m.subject', 'subject')} END AS subject,
+       '<html><body>' || CASE kind WHEN 'success' THEN {success.replace('m.sender_name', 'sender_name').replace('rt.', '')}
+                                   WHEN 'full_failure' THEN {failure.replace('m.sender_name', 'sender_name').replace('rt.', '')}
+                                   ELSE {partial.replace('m.sender_name', 'sender_name').replace('rt.', '')} END
+       || '<p>Accounts Payable Team</p></body></html>' AS body_html
+FROM k"""
+    out["long_date_format"] = with_fixtures(["messages"], "") + "\nSELECT id, strftime(received_at, '%d %B %Y') AS received_long FROM messages"
+    return out
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(lineage_sql())
@@ -543,4 +798,7 @@ def oracle_sql() -> dict[str, str]:
     out.update(listing_sql())
     out.update(mail_sql())
     out.update(text_sql())
+    out.update(extract_sql())
+    out.update(classify_sql())
+    out.update(notify_sql())
     return out

@@ -491,3 +491,156 @@ def q_amount_integrity_check(spark, sf):
 def q_union_paths(spark, sf):
     return ig.amount_integrity_paths(fx.ocr_pairs(spark, sf)).groupBy("path").agg(
         F.count(F.lit(1)).alias("n_docs"))
+
+
+# ---------------------------------------------------------------------------------------------
+# extraction (I5-I10, D5, D6, H21-H23, H26), classification (I4, H27), notifications
+# ---------------------------------------------------------------------------------------------
+from paperlane.operators import classify as cl  # noqa: E402
+from paperlane.operators import extract as ex  # noqa: E402
+from paperlane.operators import notify as nt  # noqa: E402
+
+
+@register("extract_baseline")
+def q_extract_baseline(spark, sf):
+    return ex.extract_baseline(fx.invoice_text(spark, sf)).select("doc_id", "invoiceNumber", "invoiceDate")
+
+
+@register("normalize_invoice_date")
+def q_normalize_invoice_date(spark, sf):
+    t = fx.invoice_text(spark, sf)
+    raw = F.regexp_extract("text", ex.DATE_VALUE, 1)
+    return t.select("doc_id", raw.alias("raw_date"), ex.normalize_invoice_date(raw).alias("invoiceDate"))
+
+
+@register("valid_po_number")
+def q_valid_po_number(spark, sf):
+    t = fx.invoice_text(spark, sf)
+    po = F.regexp_extract("text", r"PO:\s*([0-9]+)", 1)
+    alt = F.concat(F.lit("66"), F.lpad((F.col("doc_id") % 1000).cast("string"), 7, "0"))
+    return t.select("doc_id", po.alias("po"), ex.valid_po_number(po).alias("po_valid"),
+                    alt.alias("alt_po"), ex.valid_po_number(alt).alias("alt_valid"))
+
+
+@register("bank_swift_checks")
+def q_bank_swift_checks(spark, sf):
+    c = fx.read_table(spark, sf, "customer")
+    acct = F.concat(F.col("c_custkey").cast("string"), F.lit("0000000"))
+    bic = F.substring(F.upper(F.regexp_replace("c_name", "[^A-Za-z0-9]", "")), 1,
+                      F.when(F.col("c_custkey") % 5 == 0, 10).when(F.col("c_custkey") % 2 == 0, 11).otherwise(8))
+    return c.select("c_custkey", acct.alias("account"), ex.valid_bank_account(acct).alias("account_valid"),
+                    bic.alias("bic"), ex.valid_swift(bic).alias("bic_valid"))
+
+
+def _details(spark, sf):
+    return ex.extract_details(fx.invoice_text(spark, sf))
+
+
+@register("extract_details_doctype")
+def q_extract_details_doctype(spark, sf):
+    return _details(spark, sf).select("doc_id", "purchaseOrderNumber", "doctype")
+
+
+@register("extract_details_invoice_type")
+def q_extract_details_invoice_type(spark, sf):
+    return _details(spark, sf).select("doc_id", "currency", "invoiceType")
+
+
+@register("extract_details_amounts_ids")
+def q_extract_details_amounts_ids(spark, sf):
+    return _details(spark, sf).select("doc_id", "vendorNumber", "totalInvoiceAmount", "taxAmount", "currency",
+                                      "Bank_Account_Number", "Global_Bank_Identifier")
+
+
+@register("flatten_line_items")
+def q_flatten_line_items(spark, sf):
+    return ex.flatten_line_items(fx.extraction_json(spark, sf))
+
+
+@register("validate_extraction")
+def q_validate_extraction(spark, sf):
+    return ex.validate_extraction(fx.extraction_json(spark, sf)).select("doc_id", "n_violations", "violations")
+
+
+@register("json_roundtrip")
+def q_json_roundtrip(spark, sf):
+    p = ex.parse_details(fx.extraction_json(spark, sf))
+    return p.select("doc_id", F.col("d.doctype").alias("doctype"), F.col("d.currency").alias("currency"),
+                    ex.money(F.col("d.totalInvoiceAmount")).alias("totalInvoiceAmount"),
+                    F.size(F.coalesce("d.invoiceLineItems", F.array())).alias("n_items"))
+
+
+@register("merge_extractions")
+def q_merge_extractions(spark, sf):
+    base = ex.extract_baseline(fx.invoice_text(spark, sf)).select(
+        "doc_id", "invoiceNumber", "invoiceDate", ex.currency(F.col("text")).alias("currency"))
+    det = ex.parse_details(fx.extraction_json(spark, sf)).select(
+        "doc_id", F.col("d.doctype").alias("doctype"), F.col("d.currency").alias("currency"))
+    return ex.merge_extractions(base, det)
+
+
+@register("buyer_match")
+def q_buyer_match(spark, sf):
+    o = fx.read_table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    c = fx.read_table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    inv = o.join(c, o.o_custkey == c.c_custkey).select(
+        F.col("o_orderkey").alias("doc_id"), F.lower(F.replace("c_name", F.lit("#"), F.lit(" # "))).alias("buyer_text"))
+    buyers = c.where(F.col("c_mktsegment") == "BUILDING").select(F.col("c_name").alias("buyer_name"))
+    return ex.buyer_match(inv, buyers).select("doc_id", "buyerName")
+
+
+@register("classify_invoice")
+def q_classify_invoice(spark, sf):
+    return cl.classify_rules(fx.invoice_text(spark, sf)).select(
+        "doc_id", "is_invoice", "confidence", "reason", "doc_kind", "detected_vendor", "detected_invoice_number")
+
+
+@register("classify_documents")
+def q_classify_documents(spark, sf):
+    return cl.classify_rules(fx.ocr_text(spark, sf)).select("doc_id", "is_invoice", "confidence", "reason")
+
+
+@register("classification_defaults")
+def q_classification_defaults(spark, sf):
+    c = cl.classify_rules(fx.invoice_text(spark, sf))
+    k = F.col("doc_id")
+    js = (F.when(k % 11 == 0, F.lit(None).cast("string"))
+           .when(k % 7 == 0, F.to_json(F.struct("is_invoice", "confidence")))
+           .when(k % 5 == 0, F.to_json(F.struct("confidence", "reason")))
+           .otherwise(F.to_json(F.struct("is_invoice", "confidence", "reason"))))
+    return cl.classification_defaults(c.select("doc_id", js.alias("classification_json"))).select(
+        "doc_id", "is_invoice", "confidence", "reason")
+
+
+@register("classify_invoice_learned")
+def q_classify_invoice_learned(spark, sf):
+    docs = fx.read_table(spark, sf, "documents").select("doc_id", "text")
+    labelled = docs.join(fx.doc_labels(spark, sf), "doc_id").select("text", F.col("quality").alias("label"))
+    model = cl.train_learned_classifier(labelled)
+    return cl.score_learned(model, docs).select("doc_id", "predicted", "p_positive")
+
+
+def _notify_inputs(spark, sf):
+    outcomes = _stand_in_outcomes(spark, sf).select("message_id", "att_id", F.col("name").alias("filename"),
+                                                    "reason", "is_valid")
+    msgs = ml.with_sender_defaults(_window_messages(spark, sf)).select(
+        F.col("id").alias("message_id"), "subject", "sender_name")
+    return msgs, outcomes
+
+
+@register("rejection_table")
+def q_rejection_table(spark, sf):
+    _, outcomes = _notify_inputs(spark, sf)
+    return nt.rejection_table(outcomes)
+
+
+@register("compose_notifications")
+def q_compose_notifications(spark, sf):
+    msgs, outcomes = _notify_inputs(spark, sf)
+    return nt.compose_notifications(msgs, outcomes, fx.AS_OF_MAIL)
+
+
+@register("long_date_format")
+def q_long_date_format(spark, sf):
+    m = fx.messages(spark, sf)
+    return m.select("id", nt.long_date_col("received_at").alias("received_long"))
