@@ -82,7 +82,9 @@ attachments AS (
          l_returnflag <> 'R' AS is_valid,
          CASE WHEN l_returnflag <> 'R' THEN 'Valid invoice.' ELSE 'Rejected: ' || l_linestatus END AS reason,
          l_shipdate AS written_at,
-         l_extendedprice AS tiebreak
+         l_extendedprice AS tiebreak,
+         l_partkey AS part_key,
+         l_linenumber AS line_no
   FROM lineitem)"""
 
 FIXTURES["ocr_text"] = f"""
@@ -331,14 +333,14 @@ SELECT container, name, w.written_at, w.tiebreak, w.size, w.att_id, w.message_id
   SELECT container, name, max({'written_at': written_at, 'tiebreak': tiebreak, 'size': size, 'att_id': att_id,
                                'message_id': message_id}) AS w
   FROM blob_writes GROUP BY container, name)""")
-    out["target_name_collisions"] = with_fixtures(["attachments"], """,
+    out["target_name_collisions"] = with_fixtures(["attachments"], "") + """,
 t AS (
   SELECT message_id, att_id, name,
          CASE WHEN is_valid THEN 'raw-invoices/' || regexp_replace(regexp_extract(name, '^(.*)\\.[^.]+$', 1), '_([a-zA-Z]{2})$', '') || '_en' || regexp_extract(name, '^.+(\\.[^.]+)$', 1)
               ELSE 'invalid-invoices/' || name END AS target_name
   FROM attachments),
 c AS (SELECT target_name, count(*) AS n_sources FROM t GROUP BY target_name HAVING count(*) > 1)
-SELECT t.message_id, t.att_id, t.name, t.target_name, c.n_sources FROM t JOIN c USING (target_name)""".lstrip(","))
+SELECT t.message_id, t.att_id, t.name, t.target_name, c.n_sources FROM t JOIN c USING (target_name)"""
     return out
 
 

@@ -25,7 +25,8 @@ def text_prefix(text, n: int) -> Column:
 def is_blank(text) -> Column:
     """Null, empty or only (Unicode) white space."""
     t = _c(text)
-    return t.isNull() | (F.regexp_replace(t, r"(?U)\s+", "") == "")
+    # a search that stops at the first non-space character (no rewrite of the text)
+    return t.isNull() | ~t.rlike(r"(?U)\S")
 
 
 def needs_translation(lang) -> Column:

@@ -53,12 +53,27 @@ def valid_swift(value) -> Column:
     return F.coalesce(_c(value).rlike(vocab.SWIFT_BIC_PATTERN), F.lit(False))
 
 
+def gated(t: Column, words, expr: Column) -> Column:
+    """``expr`` only where the lower-cased text contains one of ``words``.
+
+    A literal byte search is far cheaper than a case-insensitive regex; the
+    regex can only match where its (ASCII) keyword occurs, so the result is
+    unchanged.
+    """
+    low = F.lower(t)
+    cond = None
+    for w in words:
+        c = low.contains(w)
+        cond = c if cond is None else cond | c
+    return F.when(cond, expr)
+
+
 def invoice_number(text) -> Column:
     """Value after the first label (priority order) that has one; a PO
     number is never an invoice number; '' when unknown."""
     t = _c(text)
-    found = F.coalesce(*[F.nullif(F.regexp_extract(t, label_regex(l), 1), F.lit(""))
-                         for l in vocab.INVOICE_NUMBER_LABELS] + [_inv_no_short(t)])
+    found = F.coalesce(*[gated(t, [l.split()[0].lower()], F.nullif(F.regexp_extract(t, label_regex(l), 1), F.lit("")))
+                         for l in vocab.INVOICE_NUMBER_LABELS] + [gated(t, ["invoice"], _inv_no_short(t))])
     return F.when(found.isNull() | valid_po_number(found), F.lit("")).otherwise(found)
 
 
@@ -69,7 +84,8 @@ def _inv_no_short(t: Column) -> Column:
 
 
 def invoice_date(text) -> Column:
-    return normalize_invoice_date(F.regexp_extract(_c(text), DATE_VALUE, 1))
+    t = _c(text)
+    return normalize_invoice_date(F.coalesce(gated(t, ["date"], F.regexp_extract(t, DATE_VALUE, 1)), F.lit("")))
 
 
 def extract_baseline(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -98,7 +114,9 @@ def currency(text) -> Column:
 def amount_after(text, labels) -> Column:
     """Decimal amount after one of ``labels`` (thousands commas dropped)."""
     pat = r"(?i)\b(?:" + "|".join(l.replace(" ", r"\s+") for l in labels) + r")\s*[:.]?\s*(-?[0-9][0-9,]*(?:\.[0-9]+)?)"
-    raw = F.regexp_replace(F.regexp_extract(_c(text), pat, 1), ",", "")
+    t = _c(text)
+    firsts = sorted({l.split()[0] for l in labels})
+    raw = F.coalesce(gated(t, firsts, F.regexp_replace(F.regexp_extract(t, pat, 1), ",", "")), F.lit(""))
     return F.when(raw == "", F.lit(None).cast("decimal(18,2)")).otherwise(raw.try_cast("decimal(18,2)"))
 
 

@@ -86,19 +86,24 @@ def _with_fallback(tr: NativeTranslator, chunk: Column, lang: Column) -> Column:
 
 def translate_native(df: DataFrame, translator: NativeTranslator, text_col: str = "text",
                      lang_col: str | None = "lang", chunk_size: int = vocab.TRANSLATION_CHUNK_SIZE,
-                     out_col: str = "translated_text") -> DataFrame:
+                     out_col: str = "translated_text", only_when: Column | None = None) -> DataFrame:
+    """``only_when``: rows to translate; other rows keep their text unchanged
+    and are never chunked."""
     lang = F.col(lang_col) if lang_col else F.lit(None).cast("string")
     results = F.transform(chunk_text(F.col(text_col), chunk_size),
                           lambda c: _with_fallback(translator, c, lang))
-    errors = F.filter(F.transform(F.col("_tr"), lambda r: r["error"]), lambda e: e.isNotNull())
-    return (df.withColumn("_tr", results)
+    if only_when is not None:
+        results = F.when(only_when, results)
+    errors = F.filter(F.transform(F.col("__trc"), lambda r: r["error"]), lambda e: e.isNotNull())
+    return (df.withColumn("__trc", results)
             .withColumns({
-                "n_chunks": F.size("_tr"),
+                "n_chunks": F.size("__trc"),
                 "translation_error": F.get(errors, 0),
             })
-            .withColumn(out_col, F.when(F.col("translation_error").isNull(),
-                                        F.array_join(F.transform("_tr", lambda r: r["text"]), "\n")))
-            .drop("_tr"))
+            .withColumn(out_col, F.when(F.col("__trc").isNull(), F.col(text_col))
+                        .when(F.col("translation_error").isNull(),
+                              F.array_join(F.transform("__trc", lambda r: r["text"]), "\n")))
+            .drop("__trc"))
 
 
 # ---------------------------------------------------------------------------------------------

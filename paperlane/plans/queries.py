@@ -644,3 +644,105 @@ def q_compose_notifications(spark, sf):
 def q_long_date_format(spark, sf):
     m = fx.messages(spark, sf)
     return m.select("id", nt.long_date_col("received_at").alias("received_long"))
+
+
+# ---------------------------------------------------------------------------------------------
+# composite pipelines (J2-J4), sinks (B1, B3-B5), batch summary (E5)
+# ---------------------------------------------------------------------------------------------
+from paperlane.operators import sinks as sk  # noqa: E402
+from paperlane.plans import pipelines as pl  # noqa: E402
+
+RUN_AS_OF = fx.AS_OF_BLOB
+
+
+def _ocr_outcomes(spark, sf, force=True):
+    texts = fx.ocr_pairs(spark, sf).select(
+        "doc_id", "original_text",
+        F.when(F.col("doc_id") % 13 == 0, F.lit("  ")).otherwise(F.col("ocr_text")).alias("ocr_text"))
+    return pl.ocr_batch_outcomes(fx.source_blobs(spark, sf), fx.target_blobs(spark, sf), texts, 24,
+                                 fx.AS_OF_BLOB, force_img_processing=force)
+
+
+@register("ocr_batch_outcomes")
+def q_ocr_batch_outcomes(spark, sf):
+    return _ocr_outcomes(spark, sf, force=False)
+
+
+@register("ocr_batch_log")
+def q_ocr_batch_log(spark, sf):
+    return pl.ocr_batch_log(_ocr_outcomes(spark, sf), "ocr-20240110-120000-000000", RUN_AS_OF)
+
+
+@register("dead_letter")
+def q_dead_letter(spark, sf):
+    ok, failed = sk.split_dead_letters(_ocr_outcomes(spark, sf))
+    return failed.select("doc_id", "name", "failed_name", "error")
+
+
+def _scan(spark, sf):
+    return pl.email_scan_outcomes(fx.messages(spark, sf), fx.attachments_with_text(spark, sf), MAIL_ALL_H,
+                                  fx.AS_OF_MAIL)
+
+
+@register("email_scan_outcomes")
+def q_email_scan_outcomes(spark, sf):
+    return _scan(spark, sf)
+
+
+@register("email_scan_notifications")
+def q_email_scan_notifications(spark, sf):
+    return pl.email_scan_notifications(fx.messages(spark, sf), _scan(spark, sf), fx.AS_OF_MAIL).select(
+        "message_id", "kind", "valid_count", "invalid_count", "subject")
+
+
+@register("email_scan_summary")
+def q_email_scan_summary(spark, sf):
+    return pl.email_scan_summary(fx.messages(spark, sf), _scan(spark, sf), MAIL_ALL_H, fx.AS_OF_MAIL)
+
+
+@register("append_process_log")
+def q_append_process_log(spark, sf):
+    return pl.email_scan_log(fx.messages(spark, sf), _scan(spark, sf), MAIL_ALL_H, fx.AS_OF_MAIL,
+                             "email-20010801-000000-000000")
+
+
+def _payloads(spark, sf):
+    d = fx.ocr_text(spark, sf).select(F.col("filename").alias("name"), "text")
+    return d.withColumn("text", F.when(F.col("name").contains("_13"), F.lit(" ")).otherwise(F.col("text")))
+
+
+def _batch(spark, sf):
+    return pl.translate_batch(fx.source_blobs(spark, sf), fx.translated_blobs(spark, sf), _payloads(spark, sf))
+
+
+@register("translate_batch_results")
+def q_translate_batch_results(spark, sf):
+    return _batch(spark, sf)
+
+
+@register("batch_summary")
+def q_batch_summary(spark, sf):
+    return pl.batch_summary(_batch(spark, sf))
+
+
+@register("failed_results")
+def q_failed_results(spark, sf):
+    return _batch(spark, sf).where(~F.col("success")).select("name", "error")
+
+
+@register("translate_exit_status")
+def q_translate_exit_status(spark, sf):
+    return ml.exit_status(_batch(spark, sf), ~F.col("success"))
+
+
+@register("write_extraction_json")
+def q_write_extraction_json(spark, sf):
+    ok = _batch(spark, sf).where(F.col("success") & ~F.col("skipped"))
+    return sk.extraction_documents(ok.select("json_blob", F.from_json("extracted_json", "invoiceNumber string, "
+                                             "invoiceDate string, doctype string, currency string").alias("x")),
+                                   fields=["x.invoiceNumber", "x.invoiceDate", "x.doctype", "x.currency"])
+
+
+@register("overwrite_by_key")
+def q_overwrite_by_key(spark, sf):
+    return ls.latest_write_per_blob(fx.blob_writes(spark, sf)).select("container", "name", "written_at", "att_id")

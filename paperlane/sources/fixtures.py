@@ -135,6 +135,8 @@ def attachments(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.concat(F.lit("Rejected: "), F.col("l_linestatus"))).alias("reason"),
         F.col("l_shipdate").alias("written_at"),
         F.col("l_extendedprice").alias("tiebreak"),
+        F.col("l_partkey").alias("part_key"),
+        F.col("l_linenumber").alias("line_no"),
     )
 
 
@@ -312,3 +314,15 @@ def blob_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.lit(vocab.INVALID_INVOICE_CONTAINER)).alias("container"),
         F.concat(F.col("message_id").cast("string"), F.lit("/"), F.col("name")).alias("name"),
         "written_at", "tiebreak", "size", "att_id", "message_id")
+
+
+def attachments_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 with the OCR result of each attachment: odd line numbers carry the
+    order's invoice text, even ones the prose document whose id is the part
+    key; no such document -> no text (empty OCR)."""
+    a = attachments(spark, sf_dir)
+    inv = invoice_text(spark, sf_dir).select(F.col("doc_id").alias("message_id"), F.col("text").alias("_inv"))
+    docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("part_key"), F.col("text").alias("_doc"))
+    j = a.join(inv, "message_id", "left").join(docs, "part_key", "left")
+    return j.withColumn("ocr_text", F.when(F.col("line_no") % 2 == 1, F.col("_inv")).otherwise(F.col("_doc"))).drop(
+        "_inv", "_doc")
