@@ -19,32 +19,46 @@ def _c(x) -> Column:
 
 
 def posix_normalize(path) -> Column:
-    p = F.regexp_replace(_c(path), "/{2,}", "/")
-    p = F.regexp_replace(p, r"^(\./)+", "")
-    p = F.regexp_replace(p, r"/(\./)+", "/")
-    return F.regexp_replace(p, "(.)/+$", "$1")
+    """Collapse ``//``, drop leading / inner ``./`` and trailing ``/``.
+
+    The regular expressions run only for names that need them; ordinary names
+    pass through a few byte searches.
+    """
+    p = _c(path)
+    needs = p.contains("//") | p.startswith("./") | p.contains("/./") | p.endswith("/")
+    n = F.regexp_replace(p, "/{2,}", "/")
+    n = F.regexp_replace(n, r"^(\./)+", "")
+    n = F.regexp_replace(n, r"/(\./)+", "/")
+    n = F.regexp_replace(n, "(.)/+$", "$1")
+    return F.when(needs, n).otherwise(p)
 
 
 def base_name(path) -> Column:
     """Last path component."""
-    return F.regexp_extract(posix_normalize(path), r"([^/]*)$", 1)
+    return F.substring_index(posix_normalize(path), "/", -1)
 
 
 def dir_prefix(path) -> Column:
     """Directory part including its trailing ``/`` ('' at top level)."""
-    return F.regexp_extract(posix_normalize(path), r"^(.*/)", 1)
+    n = posix_normalize(path)
+    return n.substr(F.lit(1), F.length(n) - F.length(F.substring_index(n, "/", -1)))
 
 
 def path_suffix(name) -> Column:
-    """Suffix of a base name, original case ('' when none)."""
-    return F.regexp_extract(_c(name), r"^.+(\.[^.]+)$", 1)
+    """Suffix of a base name, original case ('' when none): from the last dot,
+    when that dot is neither the first nor the last character."""
+    n = _c(name)
+    after = F.substring_index(n, ".", -1)
+    dot_at = F.length(n) - F.length(after) - 1  # 0-based index of the last dot
+    return F.when(n.contains(".") & (dot_at >= 1) & (F.length(after) >= 1),
+                  F.concat(F.lit("."), after)).otherwise(F.lit(""))
 
 
 def path_stem(name) -> Column:
     """Base name without its suffix."""
     n = _c(name)
     suf = path_suffix(n)
-    return F.when(suf == "", n).otherwise(n.substr(F.lit(1), F.length(n) - F.length(suf)))
+    return n.substr(F.lit(1), F.length(n) - F.length(suf))
 
 
 def stem_and_suffix(path) -> tuple[Column, Column]:
