@@ -793,6 +793,42 @@ FROM k"""
     return out
 
 
+
+
+# ---------------------------------------------------------------------------------------------
+# streaming batch twins
+# ---------------------------------------------------------------------------------------------
+def streaming_sql() -> dict[str, str]:
+    out = {}
+    pl = with_fixtures(["process_log"], "")
+    out["stream_lineage_counts"] = pl + """
+SELECT time_bucket(INTERVAL 30 MINUTE, logged_at) AS window_start,
+       time_bucket(INTERVAL 30 MINUTE, logged_at) + INTERVAL 30 MINUTE AS window_end,
+       step_name, CAST(sum(item_count) AS BIGINT) AS total, count(*) AS n_rows
+FROM process_log GROUP BY ALL"""
+    out["stream_run_sessions"] = pl + """,
+g AS (SELECT run_id, logged_at, item_count,
+             CASE WHEN lag(logged_at) OVER (PARTITION BY run_id ORDER BY logged_at) IS NULL
+                    OR logged_at >= lag(logged_at) OVER (PARTITION BY run_id ORDER BY logged_at) + INTERVAL 30 MINUTE
+                  THEN 1 ELSE 0 END AS new_s FROM process_log),
+s AS (SELECT *, sum(new_s) OVER (PARTITION BY run_id ORDER BY logged_at ROWS UNBOUNDED PRECEDING) AS sid FROM g)
+SELECT run_id, min(logged_at) AS session_start, max(logged_at) + INTERVAL 30 MINUTE AS session_end,
+       count(*) AS n_events, CAST(sum(item_count) AS BIGINT) AS items
+FROM s GROUP BY run_id, sid"""
+    sb = with_fixtures(["source_blobs"], "")
+    out["stream_new_documents"] = sb + f"""
+SELECT DISTINCT container, name FROM (
+  SELECT container, name FROM source_blobs
+  UNION ALL SELECT container, name FROM source_blobs WHERE last_modified <= TIMESTAMP '2024-01-10 06:00:00')"""
+    out["stream_skip_processed"] = (sb + path_ctes("source_blobs", out="src_paths") + "," + FIXTURES["translated_blobs"]
+                                    + """
+SELECT name FROM src_paths WHERE _dir || _clean || '_en' || _suf NOT IN (SELECT name FROM translated_blobs)""")
+    allsrc = FIXTURES["source_blobs"].strip().replace(f"\n  WHERE e.ts <= {AS_OF_BLOB}", "")
+    out["stream_late_reconcile"] = "WITH " + allsrc + f"""
+SELECT name, last_modified FROM source_blobs WHERE last_modified > {AS_OF_BLOB}"""
+    return out
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(lineage_sql())
@@ -803,4 +839,5 @@ def oracle_sql() -> dict[str, str]:
     out.update(extract_sql())
     out.update(classify_sql())
     out.update(notify_sql())
+    out.update(streaming_sql())
     return out

@@ -746,3 +746,43 @@ def q_write_extraction_json(spark, sf):
 @register("overwrite_by_key")
 def q_overwrite_by_key(spark, sf):
     return ls.latest_write_per_blob(fx.blob_writes(spark, sf)).select("container", "name", "written_at", "att_id")
+
+
+# ---------------------------------------------------------------------------------------------
+# streaming batch twins (K1, K2, K3, K5, K6)
+# ---------------------------------------------------------------------------------------------
+from paperlane.streaming import jobs as sj  # noqa: E402
+
+
+def _ntz(df, *cols):
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+
+
+@register("stream_lineage_counts")
+def q_stream_lineage_counts(spark, sf):
+    return _ntz(sj.lineage_window_counts(fx.process_log(spark, sf)), "window_start", "window_end")
+
+
+@register("stream_new_documents")
+def q_stream_new_documents(spark, sf):
+    page1 = fx.source_blobs(spark, sf).select(*LISTING_COLS)
+    page2 = fx.source_blobs(spark, sf, as_of=fx.AS_OF_BLOB.replace(hour=6)).select(*LISTING_COLS)
+    out = sj.new_documents(page1.unionByName(page2))
+    return _ntz(out, "last_modified").select("container", "name")
+
+
+@register("stream_skip_processed")
+def q_stream_skip_processed(spark, sf):
+    return sj.skip_processed(fx.source_blobs(spark, sf), fx.translated_blobs(spark, sf)).select("name")
+
+
+@register("stream_late_reconcile")
+def q_stream_late_reconcile(spark, sf):
+    src = fx.source_blobs(spark, sf, as_of=None)
+    emitted = fx.source_blobs(spark, sf, as_of=fx.AS_OF_BLOB)
+    return sj.late_reconcile(src, emitted).select("name", "last_modified")
+
+
+@register("stream_run_sessions")
+def q_stream_run_sessions(spark, sf):
+    return _ntz(sj.run_sessions(fx.process_log(spark, sf)), "session_start", "session_end")

@@ -31,7 +31,11 @@ def _case(key: Column, values) -> Column:
 
 # --- A1 ------------------------------------------------------------------------------
 def process_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events")
+    return process_log_from(read_table(spark, sf_dir, "events"))
+
+
+def process_log_from(ev: DataFrame) -> DataFrame:
+    """A1 over an events DataFrame (batch or streaming)."""
     step = _case(F.col("event_id") % 13, vocab.STEP_NAMES + ("unknown_step",))
     workflow = _case(F.col("user_id") % 3, ("EmailScanner", "OCRPipeline", "DocTranslator"))
     failed = step.endswith("_failed")
