@@ -829,6 +829,14 @@ SELECT name, last_modified FROM source_blobs WHERE last_modified > {AS_OF_BLOB}"
     return out
 
 
+
+
+def injected_sql() -> dict[str, str]:
+    return {"injected_document_function": with_fixtures(["ocr_text"], "") + """
+SELECT doc_id, CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars, CAST(NULL AS VARCHAR) AS error,
+       CAST(1 AS INTEGER) AS attempts FROM ocr_text"""}
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(lineage_sql())
@@ -840,4 +848,5 @@ def oracle_sql() -> dict[str, str]:
     out.update(classify_sql())
     out.update(notify_sql())
     out.update(streaming_sql())
+    out.update(injected_sql())
     return out

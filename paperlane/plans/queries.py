@@ -786,3 +786,25 @@ def q_stream_late_reconcile(spark, sf):
 @register("stream_run_sessions")
 def q_stream_run_sessions(spark, sf):
     return _ntz(sj.run_sessions(fx.process_log(spark, sf)), "session_start", "session_end")
+
+
+# ---------------------------------------------------------------------------------------------
+# injected document function (L1-L3)
+# ---------------------------------------------------------------------------------------------
+from pyspark.sql import types as T  # noqa: E402
+
+from paperlane.operators import injected as inj  # noqa: E402
+
+
+def _measure_service(batch):
+    """Stand-in for a per-document service: text length in characters."""
+    import pandas as pd
+
+    return pd.DataFrame({"n_chars": batch["text"].fillna("").str.len().astype("int64")})
+
+
+@register("injected_document_function")
+def q_injected_document_function(spark, sf):
+    d = fx.ocr_text(spark, sf)
+    schema = T.StructType([T.StructField("n_chars", T.LongType())])
+    return inj.apply_document_fn(d, _measure_service, ["text"], schema, keep_cols=["doc_id"], policy=inj.NO_WAIT)
