@@ -837,6 +837,30 @@ SELECT doc_id, CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars, CAST(NULL
        CAST(1 AS INTEGER) AS attempts FROM ocr_text"""}
 
 
+
+
+def pipeline_sql() -> dict[str, str]:
+    out = {}
+    out["overwrite_by_key"] = with_fixtures(["blob_writes"], """
+SELECT container, name, w.written_at, w.att_id FROM (
+  SELECT container, name, max({'written_at': written_at, 'tiebreak': tiebreak, 'size': size, 'att_id': att_id,
+                               'message_id': message_id}) AS w
+  FROM blob_writes GROUP BY container, name)""")
+    # translate batch: todo rows whose OCR text is blank fail; the test translator never fails
+    base = (with_fixtures(["source_blobs"], "") + path_ctes("source_blobs", out="src_paths") + ","
+            + FIXTURES["translated_blobs"] + """,
+s AS (SELECT name, _dir || _clean || '_en' || _suf AS target_name FROM src_paths),
+r AS (SELECT name, NOT (target_name NOT IN (SELECT name FROM translated_blobs) AND contains(name, '_13')) AS success
+      FROM s)""")
+    out["failed_results"] = base + "\nSELECT name, 'OCR returned no text' AS error FROM r WHERE NOT success"
+    out["batch_summary"] = base + """
+SELECT count(*) AS total, count(*) FILTER (WHERE success) AS succeeded, count(*) FILTER (WHERE NOT success) AS failed,
+       format('total={:d} succeeded={:d} failed={:d}', count(*), count(*) FILTER (WHERE success),
+              count(*) FILTER (WHERE NOT success)) AS summary FROM r"""
+    out["translate_exit_status"] = base + "\nSELECT coalesce(max(CASE WHEN NOT success THEN 1 ELSE 0 END), 0) AS exit_code FROM r"
+    return out
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(lineage_sql())
@@ -849,4 +873,5 @@ def oracle_sql() -> dict[str, str]:
     out.update(notify_sql())
     out.update(streaming_sql())
     out.update(injected_sql())
+    out.update(pipeline_sql())
     return out
