@@ -25,7 +25,7 @@ def posix_normalize(path) -> Column:
     pass through a few byte searches.
     """
     p = _c(path)
-    needs = p.contains("//") | p.startswith("./") | p.contains("/./") | p.endswith("/")
+    needs = p.rlike(r"//|^\./|/\./|/$")  # one reference to p keeps nested expressions small
     n = F.regexp_replace(p, "/{2,}", "/")
     n = F.regexp_replace(n, r"^(\./)+", "")
     n = F.regexp_replace(n, r"/(\./)+", "/")
@@ -47,11 +47,7 @@ def dir_prefix(path) -> Column:
 def path_suffix(name) -> Column:
     """Suffix of a base name, original case ('' when none): from the last dot,
     when that dot is neither the first nor the last character."""
-    n = _c(name)
-    after = F.substring_index(n, ".", -1)
-    dot_at = F.length(n) - F.length(after) - 1  # 0-based index of the last dot
-    return F.when(n.contains(".") & (dot_at >= 1) & (F.length(after) >= 1),
-                  F.concat(F.lit("."), after)).otherwise(F.lit(""))
+    return F.regexp_extract(_c(name), r"^.+(\.[^.]+)$", 1)
 
 
 def path_stem(name) -> Column:

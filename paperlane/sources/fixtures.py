@@ -52,10 +52,14 @@ def process_log_from(ev: DataFrame) -> DataFrame:
 
 
 # --- A2 / A6 --------------------------------------------------------------------------
-def _doc_blob_name(doc_id: Column, lang: Column) -> Column:
+def _doc_blob_stem(doc_id: Column, lang: Column) -> Column:
     prefix = F.when(doc_id % 4 == 0, "doc-").otherwise("doc_")
+    return F.concat(prefix, doc_id.cast("string"), F.lit("_"), lang)
+
+
+def _doc_blob_name(doc_id: Column, lang: Column) -> Column:
     ext = (F.when(doc_id % 7 == 0, ".PDF").when(doc_id % 11 == 0, ".txt").otherwise(".pdf"))
-    return F.concat(F.lit("source/"), prefix, doc_id.cast("string"), F.lit("_"), lang, ext)
+    return F.concat(F.lit("source/"), _doc_blob_stem(doc_id, lang), ext)
 
 
 def source_blobs(spark: SparkSession, sf_dir: str, as_of: dt.datetime | None = AS_OF_BLOB) -> DataFrame:
@@ -64,6 +68,7 @@ def source_blobs(spark: SparkSession, sf_dir: str, as_of: dt.datetime | None = A
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts")
     df = docs.join(ev, ev.event_id == docs.doc_id * 5, "inner").select(
         F.col("doc_id"),
+        F.col("lang"),
         F.lit(vocab.RAW_INVOICE_CONTAINER).alias("container"),
         _doc_blob_name(F.col("doc_id"), F.col("lang")).alias("name"),
         F.col("ts").alias("last_modified"),
@@ -76,10 +81,12 @@ def source_blobs(spark: SparkSession, sf_dir: str, as_of: dt.datetime | None = A
 
 # --- A3 ---------------------------------------------------------------------------------
 def target_blobs(spark: SparkSession, sf_dir: str, as_of: dt.datetime | None = AS_OF_BLOB) -> DataFrame:
-    from paperlane.functions.naming import base_name, path_stem, normalize_blob_name
+    from paperlane.functions.naming import normalize_blob_name
 
     src = source_blobs(spark, sf_dir, as_of)
-    stem = path_stem(base_name(F.col("name")))
+    # the stem of the source base name, built from its parts (it equals
+    # path_stem(base_name(name)) for these names, as the SQL twin checks)
+    stem = _doc_blob_stem(F.col("doc_id"), F.col("lang"))
     suffix = F.when(F.col("doc_id") % 2 == 0, "_ocr.pdf").otherwise("_enhanced_ocr.pdf")
     return src.where(F.col("doc_id") % 3 != 0).select(
         F.col("doc_id"),
