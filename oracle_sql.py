@@ -861,6 +861,52 @@ SELECT count(*) AS total, count(*) FILTER (WHERE success) AS succeeded, count(*)
     return out
 
 
+
+
+def _ocr_outcomes_sql(force: bool) -> str:
+    tb = with_fixtures(["target_blobs"], "")
+    body = tb + _reconcile_body(False) + f""",
+prim AS (SELECT doc_id, {L_COLS}, 'lookback' AS path FROM source_blobs
+         WHERE last_modified >= {AS_OF_BLOB} - INTERVAL 24 HOUR AND lower(name) LIKE '%.pdf'),
+wl AS (SELECT * FROM prim UNION ALL
+       SELECT s.doc_id, r.*, 'reconcile' FROM recon r JOIN source_blobs s USING (name) WHERE NOT EXISTS (SELECT 1 FROM prim)),
+tx AS (SELECT doc_id, text AS original_text,
+              CASE WHEN doc_id % 13 = 0 THEN '  ' WHEN doc_id % 2 = 0 THEN regexp_replace(text, '[.]', ' ', 'g') ELSE text END AS ocr_text
+       FROM documents),
+j AS (SELECT wl.*, tx.original_text, tx.ocr_text FROM wl LEFT JOIN tx USING (doc_id)),
+n AS (SELECT *, {_num_sql('original_text')} AS a, {_num_sql('ocr_text')} AS b FROM j),
+c AS (SELECT *, {'CAST(NULL AS BOOLEAN)' if force else "coalesce(CASE WHEN len(a) > 0 THEN len(list_filter(a, lambda x: NOT list_contains(b, x))) / len(a) END >= 0.2, false)"} AS amounts_missing,
+             ocr_text IS NULL OR NOT regexp_matches(ocr_text, '\\S') AS failed FROM n),
+e AS (SELECT *, {'true' if force else 'amounts_missing'} AS enhanced FROM c)
+{path_ctes('e', out='op')}
+"""
+    return body
+
+
+def ocr_pipeline_sql() -> dict[str, str]:
+    out = {}
+    sel = """SELECT doc_id, container, name, path AS worklist, amounts_missing,
+       CASE WHEN enhanced THEN 'enhanced' ELSE 'normal' END AS ocr_path,
+       CASE WHEN NOT failed THEN translate(_stem || CASE WHEN enhanced THEN '_enhanced_ocr.pdf' ELSE '_ocr.pdf' END, ' -', '__') END AS output_name,
+       CASE WHEN failed THEN translate(name, ' -', '__') END AS failed_name,
+       CASE WHEN failed THEN 'OCR returned no text' END AS error
+FROM op"""
+    out["ocr_batch_outcomes"] = _ocr_outcomes_sql(False) + sel
+    forced = _ocr_outcomes_sql(True) + ",\noc AS (" + sel + ")"
+    out["dead_letter"] = forced + "\nSELECT doc_id, name, failed_name, error FROM oc WHERE error IS NOT NULL"
+    out["ocr_batch_log"] = forced + """
+SELECT 'ocr-20240110-120000-000000' AS run_id, 'OCRPipeline' AS workflow_name,
+       CASE WHEN error IS NULL THEN 'ocr_completed' ELSE 'ocr_failed' END AS step_name, name AS step_value,
+       1 AS item_count, CASE WHEN error IS NULL THEN 'Completed' ELSE 'Failed' END AS status,
+       TIMESTAMP '2024-01-10 12:00:00' AS logged_at,
+       CASE WHEN error IS NULL THEN 'Output: ' || output_name ELSE error END AS detail
+FROM oc
+UNION ALL
+SELECT 'ocr-20240110-120000-000000', 'OCRPipeline', 'workflow_completed', NULL, 1, 'Completed',
+       TIMESTAMP '2024-01-10 12:00:00', 'Processed ' || CAST(count(*) AS VARCHAR) || ' file(s).' FROM oc"""
+    return out
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(lineage_sql())
@@ -874,4 +920,5 @@ def oracle_sql() -> dict[str, str]:
     out.update(streaming_sql())
     out.update(injected_sql())
     out.update(pipeline_sql())
+    out.update(ocr_pipeline_sql())
     return out
