@@ -907,6 +907,90 @@ SELECT 'ocr-20240110-120000-000000', 'OCRPipeline', 'workflow_completed', NULL,
     return out
 
 
+
+
+def _email_scan_cte() -> str:
+    from paperlane.operators.classify import AMOUNT_LABELS, VENDOR_LINE
+    from paperlane.operators.language import FUNCTION_WORDS, LANGS
+
+    hits = ",\n         ".join(
+        f"len(list_filter(tok, lambda t: list_contains([{', '.join(_q(w) for w in FUNCTION_WORDS[l])}], t))) AS h_{l}"
+        for l in LANGS)
+    best = "CASE " + " ".join(
+        "WHEN " + " AND ".join([f"h_{l} >= h_{o}" for o in LANGS[i + 1:]] + [f"h_{l} > h_{o}" for o in LANGS[:i]])
+        + f" THEN '{l}'" for i, l in enumerate(LANGS[:-1])) + f" ELSE '{LANGS[-1]}' END"
+    total = " + ".join(f"h_{l}" for l in LANGS)
+    top = "greatest(" + ", ".join(f"h_{l}" for l in LANGS) + ")"
+    kind = "CASE " + " ".join(
+        f"WHEN regexp_matches(p, {_rx(r'(?i)\b' + k.replace(' ', chr(92) + 's+') + r'\b')}) THEN {_q(k)}"
+        for k in vocab.NON_INVOICE_KINDS) + " END"
+    tr_expr = ("array_to_string(list_transform(range(0, CAST(ceil(length(ocr_text) / 9000.0) AS BIGINT)), "
+               "lambda i: '[EN]' || substr(ocr_text, CAST(i * 9000 + 1 AS BIGINT), 9000)), chr(10))")
+    return with_fixtures(["messages", "attachments", "invoice_text"], "") + f""",
+win AS (SELECT * FROM messages WHERE {WIN_ALL}),
+ua AS (SELECT * EXCLUDE (is_valid, reason) FROM attachments WHERE {USABLE} AND message_id IN (SELECT id FROM win)),
+at0 AS (SELECT ua.*, coalesce(CASE WHEN ua.line_no % 2 = 1 THEN it.text ELSE d.text END, '') AS ocr_text
+        FROM ua LEFT JOIN invoice_text it ON it.doc_id = ua.message_id LEFT JOIN documents d ON d.doc_id = ua.part_key),
+at1 AS (SELECT *, coalesce(name, 'attachment_' || att_id) AS filename, NOT regexp_matches(ocr_text, '\\S') AS is_empty,
+               regexp_extract_all(lower(substr(ocr_text, 1, 500)), '\\p{{L}}+') AS tok FROM at0),
+at2 AS (SELECT *, {hits} FROM at1),
+at3 AS (SELECT *, CASE WHEN is_empty OR ({total}) = 0 THEN NULL ELSE {best} END AS detected,
+               CASE WHEN ({total}) > 0 THEN {top} / ({total}) ELSE 0.0 END AS score FROM at2),
+at4 AS (SELECT *, CASE WHEN is_empty THEN NULL
+                       ELSE coalesce(CASE WHEN score >= 0.5 AND length(detected) = 2 THEN lower(detected) END, 'xx') END AS lang_code
+        FROM at3),
+at5 AS (SELECT *, CASE WHEN coalesce(lang_code, 'xx') NOT IN ('en', 'xx') THEN {tr_expr} ELSE ocr_text END AS translated_text
+        FROM at4),
+at6 AS (SELECT *, substr(translated_text, 1, 4000) AS p FROM at5),
+at7 AS (SELECT *, {_inv_no('p')} AS detected_invoice_number, regexp_extract(p, {_rx(VENDOR_LINE)}, 1) AS detected_vendor,
+               {_inv_date('p')} <> '' AS has_date, ({_amount('p', AMOUNT_LABELS)}) IS NOT NULL AS has_amount,
+               {kind} AS doc_kind FROM at6),
+at8 AS (SELECT *, detected_invoice_number <> '' AND has_date AND detected_vendor <> '' AND has_amount AND doc_kind IS NULL AS is_invoice,
+               list_filter([CASE WHEN detected_invoice_number = '' THEN 'invoice number' END,
+                            CASE WHEN NOT has_date THEN 'invoice date' END,
+                            CASE WHEN detected_vendor = '' THEN 'vendor' END,
+                            CASE WHEN NOT has_amount THEN 'amount payable' END], lambda x: x IS NOT NULL) AS missing FROM at7),
+at9 AS (SELECT *, NOT is_empty AND is_invoice AS is_valid,
+               CASE WHEN is_empty THEN {_q(vocab.EMPTY_TEXT_REASON)}
+                    WHEN is_invoice THEN 'Invoice number, date, vendor and amount found.'
+                    WHEN doc_kind IS NOT NULL THEN 'Document is a ' || doc_kind || ', not an invoice.' ||
+                         CASE WHEN len(missing) > 0 THEN ' Missing: ' || array_to_string(missing, ', ') || '.' ELSE '' END
+                    ELSE 'Not an invoice.' ||
+                         CASE WHEN len(missing) > 0 THEN ' Missing: ' || array_to_string(missing, ', ') || '.' ELSE '' END
+               END AS reason FROM at8)
+{path_ctes('at9', out='atp')},
+outcomes AS MATERIALIZED (
+  SELECT message_id, att_id, filename, is_valid,
+         CASE WHEN is_empty THEN NULL WHEN is_valid THEN 'raw-invoices' ELSE 'invalid-invoices' END AS container,
+         CASE WHEN is_empty THEN NULL WHEN is_valid THEN _dir || _clean || '_' || lang_code || _suf ELSE filename END AS blob_name,
+         lang_code, reason, is_empty
+  FROM atp)"""
+
+
+def email_scan_sql() -> dict[str, str]:
+    base = _email_scan_cte()
+    out = {"email_scan_outcomes": base + "\nSELECT * FROM outcomes"}
+    out["email_scan_summary"] = base + f"""
+SELECT (SELECT count(*) FROM win) AS messages_scanned, count(DISTINCT message_id) AS messages_with_attachments,
+       count(*) AS total_attachments,
+       CAST(coalesce(sum(CASE WHEN is_valid THEN 1 ELSE 0 END), 0) AS BIGINT) AS valid_invoices,
+       CAST(coalesce(sum(CASE WHEN is_valid THEN 0 ELSE 1 END), 0) AS BIGINT) AS invalid_invoices
+FROM outcomes"""
+    out["email_scan_notifications"] = base + """,
+rt AS (SELECT message_id, CAST(sum(CASE WHEN is_valid THEN 1 ELSE 0 END) AS BIGINT) AS valid_count,
+              CAST(sum(CASE WHEN is_valid THEN 0 ELSE 1 END) AS BIGINT) AS invalid_count FROM outcomes GROUP BY message_id),
+m AS (SELECT id AS message_id, coalesce(subject, '(no subject)') AS subject FROM messages)
+SELECT rt.message_id,
+       CASE WHEN valid_count + invalid_count > 0 AND invalid_count = 0 THEN 'success'
+            WHEN valid_count + invalid_count > 0 AND valid_count = 0 THEN 'full_failure' ELSE 'partial_failure' END AS kind,
+       valid_count, invalid_count,
+       CASE WHEN valid_count + invalid_count > 0 AND invalid_count = 0 THEN 'RE: ' || m.subject || ' — Invoice(s) Received Successfully'
+            WHEN valid_count + invalid_count > 0 AND valid_count = 0 THEN 'RE: ' || m.subject || ' — Action Required: Invoice(s) Could Not Be Processed'
+            ELSE 'RE: ' || m.subject || ' — Action Required: Some Attachments Could Not Be Processed' END AS subject
+FROM rt JOIN m USING (message_id)"""
+    return out
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(lineage_sql())
@@ -921,4 +1005,5 @@ def oracle_sql() -> dict[str, str]:
     out.update(injected_sql())
     out.update(pipeline_sql())
     out.update(ocr_pipeline_sql())
+    out.update(email_scan_sql())
     return out
