@@ -991,6 +991,61 @@ FROM rt JOIN m USING (message_id)"""
     return out
 
 
+
+
+def batch_results_sql() -> dict[str, str]:
+    out = {}
+    scan = _email_scan_cte()
+    rid = "'email-20010801-000000-000000'"
+    ts = "TIMESTAMP '2001-08-01 00:00:00'"
+    out["append_process_log"] = scan + f"""
+SELECT {rid} AS run_id, 'EmailScanner' AS workflow_name, 'email_received' AS step_name,
+       CAST(message_id AS VARCHAR) AS step_value, 1 AS item_count, 'Completed' AS status, {ts} AS logged_at,
+       CAST(NULL AS VARCHAR) AS detail
+FROM (SELECT DISTINCT message_id FROM outcomes)
+UNION ALL
+SELECT {rid}, 'EmailScanner', 'attachment_processed', filename, 1, 'Completed', {ts}, NULL FROM outcomes
+UNION ALL
+SELECT {rid}, 'EmailScanner', CASE WHEN is_valid THEN 'attachment_validation_passed' ELSE 'attachment_validation_failed' END,
+       filename, 1, CASE WHEN is_valid THEN 'Completed' ELSE 'Failed' END, {ts}, reason FROM outcomes
+UNION ALL
+SELECT {rid}, 'EmailScanner', 'workflow_completed', NULL, 1, 'Completed', {ts},
+       'messages=' || CAST((SELECT count(*) FROM win) AS VARCHAR) || ' valid=' ||
+       CAST(coalesce(sum(CASE WHEN is_valid THEN 1 ELSE 0 END), 0) AS VARCHAR) || ' invalid=' ||
+       CAST(coalesce(sum(CASE WHEN is_valid THEN 0 ELSE 1 END), 0) AS VARCHAR)
+FROM outcomes"""
+    tr_expr = ("array_to_string(list_transform(range(0, CAST(ceil(length(text) / 9000.0) AS BIGINT)), "
+               "lambda i: '[EN]' || substr(text, CAST(i * 9000 + 1 AS BIGINT), 9000)), chr(10))")
+    base = (with_fixtures(["source_blobs", "ocr_text"], "") + path_ctes("source_blobs", out="src_paths") + ","
+            + FIXTURES["translated_blobs"] + f""",
+s AS (SELECT name, _dir || _clean || '_en' || _suf AS target_name, _dir || _clean || '_en.json' AS json_name FROM src_paths),
+pay AS (SELECT filename AS name, CASE WHEN contains(filename, '_13') THEN ' ' ELSE text END AS text FROM ocr_text),
+todo AS (SELECT s.*, pay.text FROM s LEFT JOIN pay USING (name) WHERE target_name NOT IN (SELECT name FROM translated_blobs)),
+tt AS (SELECT name AS doc_id, name, target_name, json_name,
+              CASE WHEN text IS NULL THEN 'Downloaded blob is empty'
+                   WHEN NOT regexp_matches(text, '\\S') THEN 'OCR returned no text' END AS error,
+              {tr_expr} AS text FROM todo)""" + _details_cte("tt") + f""",
+res AS (
+  SELECT tt.name, tt.error IS NULL AS success, CASE WHEN tt.error IS NULL THEN tt.target_name END AS translated_blob,
+         CASE WHEN tt.error IS NULL THEN tt.json_name END AS json_blob, tt.error, false AS skipped,
+         CASE WHEN tt.error IS NULL THEN {_inv_no('tt.text')} END AS invoiceNumber,
+         CASE WHEN tt.error IS NULL THEN {_inv_date('tt.text')} END AS invoiceDate,
+         CASE WHEN tt.error IS NULL THEN det.doctype END AS doctype,
+         CASE WHEN tt.error IS NULL THEN det.invoiceType END AS invoiceType,
+         CASE WHEN tt.error IS NULL THEN det.currency END AS currency
+  FROM tt JOIN det ON det.doc_id = tt.doc_id
+  UNION ALL
+  SELECT name, true, target_name, json_name, NULL, true, NULL, NULL, NULL, NULL, NULL
+  FROM s WHERE target_name IN (SELECT name FROM translated_blobs))""")
+    out["translate_batch_results"] = base + "\nSELECT * FROM res"
+    out["write_extraction_json"] = base + """
+SELECT json_blob AS name,
+       '{"invoiceNumber":' || to_json(invoiceNumber) || ',"invoiceDate":' || to_json(invoiceDate) ||
+       ',"doctype":' || to_json(doctype) || ',"currency":' || to_json(currency) || '}' AS json
+FROM res WHERE success AND NOT skipped"""
+    return out
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(lineage_sql())
@@ -1006,4 +1061,5 @@ def oracle_sql() -> dict[str, str]:
     out.update(pipeline_sql())
     out.update(ocr_pipeline_sql())
     out.update(email_scan_sql())
+    out.update(batch_results_sql())
     return out

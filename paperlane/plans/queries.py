@@ -717,7 +717,13 @@ def _batch(spark, sf):
 
 @register("translate_batch_results")
 def q_translate_batch_results(spark, sf):
-    return _batch(spark, sf)
+    b = _batch(spark, sf)
+    x = F.from_json("extracted_json", "invoiceNumber string, invoiceDate string, doctype string, "
+                                      "invoiceType string, currency string")
+    return b.select("name", "success", "translated_blob", "json_blob", "error", "skipped",
+                    x["invoiceNumber"].alias("invoiceNumber"), x["invoiceDate"].alias("invoiceDate"),
+                    x["doctype"].alias("doctype"), x["invoiceType"].alias("invoiceType"),
+                    x["currency"].alias("currency"))
 
 
 @register("batch_summary")
