@@ -53,14 +53,14 @@ def valid_swift(value) -> Column:
     return F.coalesce(_c(value).rlike(vocab.SWIFT_BIC_PATTERN), F.lit(False))
 
 
-def gated(t: Column, words, expr: Column) -> Column:
+def gated(t: Column, words, expr: Column, low: Column | None = None) -> Column:
     """``expr`` only where the lower-cased text contains one of ``words``.
 
     A literal byte search is far cheaper than a case-insensitive regex; the
     regex can only match where its (ASCII) keyword occurs, so the result is
     unchanged.
     """
-    low = F.lower(t)
+    low = F.lower(t) if low is None else low
     cond = None
     for w in words:
         c = low.contains(w)
@@ -68,12 +68,14 @@ def gated(t: Column, words, expr: Column) -> Column:
     return F.when(cond, expr)
 
 
-def invoice_number(text) -> Column:
+def invoice_number(text, low: Column | None = None) -> Column:
     """Value after the first label (priority order) that has one; a PO
-    number is never an invoice number; '' when unknown."""
+    number is never an invoice number; '' when unknown. ``low``: the text
+    already lower-cased (computed once by the caller)."""
     t = _c(text)
-    found = F.coalesce(*[gated(t, [l.split()[0].lower()], F.nullif(F.regexp_extract(t, label_regex(l), 1), F.lit("")))
-                         for l in vocab.INVOICE_NUMBER_LABELS] + [gated(t, ["invoice"], _inv_no_short(t))])
+    found = F.coalesce(*[gated(t, [l.split()[0].lower()], F.nullif(F.regexp_extract(t, label_regex(l), 1), F.lit("")),
+                               low)
+                         for l in vocab.INVOICE_NUMBER_LABELS] + [gated(t, ["invoice"], _inv_no_short(t), low)])
     return F.when(found.isNull() | valid_po_number(found), F.lit("")).otherwise(found)
 
 
@@ -83,15 +85,17 @@ def _inv_no_short(t: Column) -> Column:
                     F.lit(""))
 
 
-def invoice_date(text) -> Column:
+def invoice_date(text, low: Column | None = None) -> Column:
     t = _c(text)
-    return normalize_invoice_date(F.coalesce(gated(t, ["date"], F.regexp_extract(t, DATE_VALUE, 1)), F.lit("")))
+    return normalize_invoice_date(F.coalesce(gated(t, ["date"], F.regexp_extract(t, DATE_VALUE, 1), low), F.lit("")))
 
 
 def extract_baseline(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``invoiceNumber``, ``invoiceDate`` (both always present, '' when unknown)."""
-    return df.withColumns({"invoiceNumber": invoice_number(F.col(text_col)),
-                           "invoiceDate": invoice_date(F.col(text_col))})
+    d = df.withColumn("__low", F.lower(F.col(text_col)))
+    low = F.col("__low")
+    return d.withColumns({"invoiceNumber": invoice_number(F.col(text_col), low),
+                          "invoiceDate": invoice_date(F.col(text_col), low)}).drop("__low")
 
 
 def _kw(words) -> str:
@@ -111,12 +115,12 @@ def currency(text) -> Column:
     return F.when(code != "", F.upper(code)).otherwise(F.coalesce(sym, F.lit("")))
 
 
-def amount_after(text, labels) -> Column:
+def amount_after(text, labels, low: Column | None = None) -> Column:
     """Decimal amount after one of ``labels`` (thousands commas dropped)."""
     pat = r"(?i)\b(?:" + "|".join(l.replace(" ", r"\s+") for l in labels) + r")\s*[:.]?\s*(-?[0-9][0-9,]*(?:\.[0-9]+)?)"
     t = _c(text)
     firsts = sorted({l.split()[0] for l in labels})
-    raw = F.coalesce(gated(t, firsts, F.regexp_replace(F.regexp_extract(t, pat, 1), ",", "")), F.lit(""))
+    raw = F.coalesce(gated(t, firsts, F.regexp_replace(F.regexp_extract(t, pat, 1), ",", ""), low), F.lit(""))
     return F.when(raw == "", F.lit(None).cast("decimal(18,2)")).otherwise(raw.try_cast("decimal(18,2)"))
 
 
@@ -135,6 +139,8 @@ def invoice_type(text, cur: Column) -> Column:
 def extract_details(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Doctype, invoiceType, PO / vendor numbers, amounts, currency, bank ids."""
     t = F.col(text_col)
+    df = df.withColumn("__low", F.lower(t))
+    low = F.col("__low")
     po = F.regexp_extract(t, "(" + vocab.PO_NUMBER_IN_TEXT + ")", 1)
     cur = currency(t)
     out = df.withColumns({
@@ -142,8 +148,8 @@ def extract_details(df: DataFrame, text_col: str = "text") -> DataFrame:
         "currency": cur,
         "vendorNumber": F.regexp_extract(
             t, r"(?i)\b(?:vendor\s*(?:no\.?|number|id)|supplier\s*id)\s*[:#]?\s*([A-Za-z0-9\-]+)", 1),
-        "totalInvoiceAmount": amount_after(t, ("grand total", "total amount", "amount due", "total")),
-        "taxAmount": amount_after(t, ("tax amount", "tax")),
+        "totalInvoiceAmount": amount_after(t, ("grand total", "total amount", "amount due", "total"), low),
+        "taxAmount": amount_after(t, ("tax amount", "tax"), low),
         "Bank_Account_Number": F.regexp_extract(t, r"(?i)\b(?:account\s*(?:no\.?|number)?)\s*[:#]?\s*([0-9]{9,18})\b", 1),
         "Global_Bank_Identifier": F.regexp_extract(t, r"(?i)\b(?:swift|bic)\s*[:#]?\s*([A-Za-z0-9]{11}|[A-Za-z0-9]{8})\b", 1),
     })
@@ -151,7 +157,7 @@ def extract_details(df: DataFrame, text_col: str = "text") -> DataFrame:
     has_invoice = t.rlike("(?i)invoice")
     not_return = F.col("invoiceType") != "RETURN"
     return out.withColumn("doctype", F.when(has_invoice & (po != "") & not_return, "POI")
-                          .when(has_invoice & (po == "") & not_return, "NPI").otherwise("N/A"))
+                          .when(has_invoice & (po == "") & not_return, "NPI").otherwise("N/A")).drop("__low")
 
 
 BASELINE_FIELDS = ["invoiceNumber", "invoiceDate"]
