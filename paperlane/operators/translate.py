@@ -159,13 +159,19 @@ def translate_distributed(df: DataFrame, translator: BatchTranslator, key_cols:
                           text_col: str = "text", lang_col: str | None = "lang",
                           chunk_size: int = vocab.TRANSLATION_CHUNK_SIZE, num_partitions: int | None = None,
                           out_col: str = "translated_text") -> DataFrame:
+    """Returns ``key_cols + (n_chunks, translation_error, translated_text)``.
+
+    Documents with text go chunk -> repartition -> pandas UDF -> ordered
+    re-assembly; empty documents ('' with no call) come from a narrow filter
+    and are added by ``union``, so the original text is never shuffled back.
+    """
     ch = explode_chunks(df, key_cols, text_col, lang_col, chunk_size)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ch = ch.repartition(n, *key_cols, "chunk_idx")
     res = ch.withColumn("_r", _batch_udf(translator)(F.col("chunk"), F.col("src_lang")))
     res = res.select(*key_cols, "chunk_idx", F.col("_r.text").alias("text"), F.col("_r.error").alias("error"))
     back = reassemble_chunks(res, key_cols, out_col=out_col)
-    # documents without chunks (empty text) translate to '' with no call
-    return (df.join(back, key_cols, "left")
-            .withColumn("n_chunks", F.coalesce(F.col("n_chunks"), F.lit(0)))
-            .withColumn(out_col, F.when(F.col("n_chunks") == 0, F.lit("")).otherwise(F.col(out_col))))
+    empty = df.where(F.coalesce(F.length(F.col(text_col)), F.lit(0)) == 0).select(
+        *key_cols, F.lit(0).alias("n_chunks"), F.lit(None).cast("string").alias("translation_error"),
+        F.lit("").alias(out_col))
+    return back.unionByName(empty)
