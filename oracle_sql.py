@@ -1046,6 +1046,52 @@ FROM res WHERE success AND NOT skipped"""
     return out
 
 
+
+
+def inventory_sql() -> dict[str, str]:
+    out = {}
+    ot = with_fixtures(["ocr_text"], "")
+    out["scan_documents"] = ot + """
+SELECT filename AS name, coalesce(octet_length(encode(text)), 0) AS n_bytes,
+       coalesce(octet_length(encode(text)), 0) = 0 AS is_empty, coalesce(text, '') AS text FROM ocr_text"""
+    pl = with_fixtures(["process_log"], "")
+    out["period_filter"] = pl + "\n" + "\nUNION ALL\n".join(
+        f"SELECT {_q(p)} AS period, count(*) AS n_rows FROM process_log WHERE {PERIOD_SQL[p]}" for p in vocab.VALID_PERIODS)
+    out["response_filter_echo"] = _summary_sql(
+        "overall", ",\n  'TR' AS filter_country_code, 'tr' AS filter_source_lang")
+    ma = with_fixtures(["messages", "attachments"], "")
+    out["outcome_join"] = ma + f""",
+outcomes AS (SELECT * FROM attachments WHERE {USABLE} AND message_id IN (SELECT id FROM messages WHERE {WIN_ALL})),
+r AS (SELECT message_id,
+             CAST(sum(CASE WHEN is_valid THEN 1 ELSE 0 END) AS BIGINT) AS valid_count,
+             CAST(sum(CASE WHEN is_valid THEN 0 ELSE 1 END) AS BIGINT) AS invalid_count FROM outcomes GROUP BY message_id)
+SELECT r.message_id, valid_count, invalid_count,
+       valid_count + invalid_count > 0 AND invalid_count = 0 AS all_valid,
+       valid_count + invalid_count > 0 AND valid_count = 0 AS all_invalid,
+       coalesce(m.subject, '(no subject)') AS subject, coalesce(m.from_address, '') AS sender_email,
+       coalesce(m.from_name, split_part(coalesce(m.from_address, ''), '@', 1)) AS sender_name
+FROM r JOIN messages m ON m.id = r.message_id"""
+    out["order_messages_newest_first"] = with_fixtures(["messages"], "") + f"\nSELECT id, received_at FROM messages WHERE {WIN_ALL}"
+    out["run_id_format"] = pl + "\nSELECT run_id, step_name, logged_at, 'ocr-' || strftime(logged_at, '%Y%m%d-%H%M%S-%f') AS new_run_id FROM process_log"
+    out["parse_lookback_param"] = """
+SELECT event_id, raw, CASE WHEN TRY_CAST(nullif(trim(raw), '') AS DOUBLE) IS NULL THEN 0.5
+                           ELSE TRY_CAST(nullif(trim(raw), '') AS DOUBLE) END AS lookback_hours
+FROM (SELECT event_id, CASE WHEN event_id % 5 = 0 THEN '' WHEN event_id % 5 = 1 THEN 'abc'
+                            ELSE regexp_extract(props, '(\\d+)', 1) || '.' || CAST(event_id % 10 AS VARCHAR) END AS raw
+      FROM events)"""
+    out["summary_strings"] = ma + f""",
+outcomes AS (SELECT * FROM attachments WHERE {USABLE} AND message_id IN (SELECT id FROM messages WHERE {WIN_ALL}))
+SELECT 'messages=' || CAST((SELECT count(*) FROM messages WHERE {WIN_ALL}) AS VARCHAR)
+       || ' valid=' || CAST(sum(CASE WHEN is_valid THEN 1 ELSE 0 END) AS VARCHAR)
+       || ' invalid=' || CAST(sum(CASE WHEN is_valid THEN 0 ELSE 1 END) AS VARCHAR) AS scan_line,
+       'Processed ' || CAST(count(*) AS VARCHAR) || ' file(s).' AS files_line
+FROM outcomes"""
+    out["stream_route"] = (with_fixtures(["source_blobs"], "") + path_ctes("source_blobs", out="src_paths") + ","
+                           + FIXTURES["translated_blobs"] + """
+SELECT DISTINCT container, name FROM src_paths WHERE _dir || _clean || '_en' || _suf NOT IN (SELECT name FROM translated_blobs)""")
+    return out
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(lineage_sql())
@@ -1062,4 +1108,5 @@ def oracle_sql() -> dict[str, str]:
     out.update(ocr_pipeline_sql())
     out.update(email_scan_sql())
     out.update(batch_results_sql())
+    out.update(inventory_sql())
     return out

@@ -814,3 +814,85 @@ def q_injected_document_function(spark, sf):
     d = fx.ocr_text(spark, sf)
     schema = T.StructType([T.StructField("n_chars", T.LongType())])
     return inj.apply_document_fn(d, _measure_service, ["text"], schema, keep_cols=["doc_id"], policy=inj.NO_WAIT)
+
+
+# ---------------------------------------------------------------------------------------------
+# remaining inventory items under their own names
+# ---------------------------------------------------------------------------------------------
+@register("scan_documents")
+def q_scan_documents(spark, sf):
+    """A2: each payload read once; its byte length and the empty-payload guard."""
+    d = fx.ocr_text(spark, sf)
+    n_bytes = F.octet_length(F.col("text"))
+    return d.select(F.col("filename").alias("name"), F.coalesce(n_bytes, F.lit(0)).alias("n_bytes"),
+                    (F.coalesce(n_bytes, F.lit(0)) == 0).alias("is_empty"),
+                    F.coalesce(F.col("text"), F.lit("")).alias("text"))
+
+
+@register("period_filter")
+def q_period_filter(spark, sf):
+    """Rows selected by each period predicate."""
+    log = fx.process_log(spark, sf)
+    parts = [log.where(lin.period_predicate(log, p, fx.AS_OF_LOG)).agg(F.count(F.lit(1)).alias("n_rows"))
+             .select(F.lit(p).alias("period"), "n_rows") for p in vocab.VALID_PERIODS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("response_filter_echo")
+def q_response_filter_echo(spark, sf):
+    """Filters are echoed, not applied (totals equal the unfiltered summary)."""
+    return lin.lineage_response(fx.process_log(spark, sf), "overall", fx.AS_OF_LOG, country_code="TR",
+                                source_lang="tr")
+
+
+@register("outcome_join")
+def q_outcome_join(spark, sf):
+    """Per-message outcome counts re-attached to the message header."""
+    roll = ml.message_rollup(_stand_in_outcomes(spark, sf))
+    head = ml.with_sender_defaults(fx.messages(spark, sf)).select(
+        F.col("id").alias("message_id"), "subject", "sender_email", "sender_name")
+    return roll.join(head, "message_id", "inner")
+
+
+@register("order_messages_newest_first")
+def q_order_messages_newest_first(spark, sf):
+    """the whole window sorted newest first (a distributed range sort)."""
+    return ml.scan_messages(fx.messages(spark, sf), MAIL_ALL_H, fx.AS_OF_MAIL).select("id", "received_at")
+
+
+@register("run_id_format")
+def q_run_id_format(spark, sf):
+    """Run ids from log timestamps."""
+    log = fx.process_log(spark, sf)
+    return log.select("run_id", "step_name", "logged_at", lin.run_id_for("ocr", F.col("logged_at")).alias("new_run_id"))
+
+
+@register("parse_lookback_param")
+def q_parse_lookback_param(spark, sf):
+    """Lookback parameters as sent (empty, junk, numbers) parsed with a default."""
+    ev = fx.read_table(spark, sf, "events")
+    k = F.regexp_extract("props", r"(\d+)", 1)
+    raw = (F.when(F.col("event_id") % 5 == 0, F.lit("")).when(F.col("event_id") % 5 == 1, F.lit("abc"))
+            .otherwise(F.concat(k, F.lit("."), (F.col("event_id") % 10).cast("string"))))
+    return ev.select("event_id", raw.alias("raw"), lin.parse_lookback(raw, 0.5).alias("lookback_hours"))
+
+
+@register("summary_strings")
+def q_summary_strings(spark, sf):
+    """The operator-facing summary lines of a scan and of a batch."""
+    s = ml.scan_summary(_window_messages(spark, sf), _stand_in_outcomes(spark, sf))
+    return s.select(
+        F.format_string("messages=%d valid=%d invalid=%d", "messages_scanned", "valid_invoices",
+                        "invalid_invoices").alias("scan_line"),
+        F.format_string("Processed %d file(s).", "total_attachments").alias("files_line"))
+
+
+@register("stream_route")
+def q_stream_route(spark, sf):
+    """K4 batch twin: the rows the routing sink writes, by container."""
+    new = sj.new_documents(fx.source_blobs(spark, sf).select(*LISTING_COLS))
+    todo = sj.skip_processed(new, fx.translated_blobs(spark, sf))
+    return todo.select("container", "name")
