@@ -20,6 +20,38 @@ BASE_CONF = {
 }
 
 
+# Settings for a large cluster (hundreds of executors, ~100 TB inputs). Shuffle
+# partitions start high and AQE coalesces them to ~256 MB; skewed partitions
+# over 5x the median (and 512 MB) are split; parquet splits are 256 MB so a
+# task reads a bounded slice; broadcasts stay under a fixed, measured size.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+}
+
+
+def cluster_session(app_name: str = "paperlane", extra_conf: dict | None = None) -> SparkSession:
+    """Session for cluster runs: the master and ``spark.checkpoint.dir`` come
+    from the submit configuration; :data:`CLUSTER_CONF` sizes partitions and
+    skew handling."""
+    conf = dict(CLUSTER_CONF)
+    conf.update(extra_conf or {})
+    spark = build_session(None, app_name, extra_conf=conf)
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def build_session(master: str | None = None, app_name: str = "paperlane",
                   shuffle_partitions: int | None = None,
                   extra_conf: dict | None = None) -> SparkSession:
