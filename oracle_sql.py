@@ -1092,6 +1092,20 @@ SELECT DISTINCT container, name FROM src_paths WHERE _dir || _clean || '_en' ||
     return out
 
 
+
+
+def l3_sql() -> dict[str, str]:
+    return {"structured_output_schema": """
+SELECT o.o_orderkey AS doc_id,
+       CASE WHEN o.o_orderkey % 19 = 0 THEN 'XXX' WHEN o.o_orderkey % 2 = 0 THEN 'POI' ELSE 'NPI' END AS doctype,
+       CASE WHEN o.o_orderkey % 17 = 0 THEN NULL ELSE CASE o.o_orderkey % 4 WHEN 0 THEN 'TRY' WHEN 1 THEN 'USD' WHEN 2 THEN 'EUR' ELSE 'JPY' END END AS currency,
+       CASE WHEN o.o_orderkey % 2 = 0 THEN '45' || lpad(CAST(o.o_orderkey AS VARCHAR), 8, '0') ELSE '' END AS purchaseOrderNumber,
+       CAST(CAST(floor((floor(o.o_totalprice * 0.18 * 100 + 0.5) / 100) * 100.0 + 0.5) AS DECIMAL(38,0)) / 100 AS DECIMAL(18,2)) AS vatTaxAmount,
+       CAST(coalesce(li.n_items, 0) AS INTEGER) AS n_items
+FROM orders o LEFT JOIN (SELECT l_orderkey, count(*) AS n_items FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey) li
+     ON o.o_orderkey = li.l_orderkey"""}
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(lineage_sql())
@@ -1109,4 +1123,5 @@ def oracle_sql() -> dict[str, str]:
     out.update(email_scan_sql())
     out.update(batch_results_sql())
     out.update(inventory_sql())
+    out.update(l3_sql())
     return out

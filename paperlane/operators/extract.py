@@ -221,26 +221,23 @@ def buyer_match(df: DataFrame, buyers: DataFrame, name_col: str = "buyer_text",
 # ---------------------------------------------------------------------------------------------
 # structured output (model JSON) -> typed rows
 # ---------------------------------------------------------------------------------------------
-LINE_ITEM_TYPE = T.StructType([
-    T.StructField("lineNumber", T.StringType()), T.StructField("description", T.StringType()),
-    T.StructField("category", T.StringType()), T.StructField("quantity", T.DoubleType()),
-    T.StructField("unitOfMeasure", T.StringType()), T.StructField("unitPrice", T.DoubleType()),
-    T.StructField("netAmount", T.DoubleType()), T.StructField("taxAmount", T.DoubleType()),
-    T.StructField("taxPercentage", T.DoubleType()), T.StructField("vatAmount", T.DoubleType()),
-    T.StructField("vatPercentage", T.DoubleType()), T.StructField("withholdingPercentage", T.DoubleType()),
-])
-DETAILS_TYPE = T.StructType([
-    T.StructField("doctype", T.StringType()), T.StructField("invoiceType", T.StringType()),
-    T.StructField("purchaseOrderNumber", T.StringType()), T.StructField("vendorNumber", T.StringType()),
-    T.StructField("taxAmount", T.DoubleType()), T.StructField("vatTaxAmount", T.DoubleType()),
-    T.StructField("totalNetAmount", T.DoubleType()), T.StructField("totalInvoiceAmount", T.DoubleType()),
-    T.StructField("taxIdentification", T.StringType()), T.StructField("receiverVATID", T.StringType()),
-    T.StructField("taxPercentage", T.DoubleType()), T.StructField("vatPercentage", T.DoubleType()),
-    T.StructField("withholdingPercentage", T.DoubleType()),
-    T.StructField("Bank_Account_Number", T.StringType()), T.StructField("Global_Bank_Identifier", T.StringType()),
-    T.StructField("Bank_Key", T.StringType()), T.StructField("buyerName", T.StringType()),
-    T.StructField("currency", T.StringType()), T.StructField("invoiceLineItems", T.ArrayType(LINE_ITEM_TYPE)),
-])
+def details_json_schema() -> dict:
+    """The details record as a JSON schema (function-call ``parameters`` form)."""
+    item = {"type": "object", "properties": {k: {"type": t} for k, t in vocab.LINE_ITEM_FIELD_TYPES}}
+    props = {k: {"type": t} for k, t in vocab.DETAILS_FIELD_TYPES}
+    props["invoiceLineItems"] = {"type": "array", "items": item}
+    return {"type": "object", "properties": props}
+
+
+def _spark_types():
+    from paperlane.operators.injected import structured_output_schema
+
+    details = structured_output_schema(details_json_schema())
+    return details, details["invoiceLineItems"].dataType.elementType
+
+
+# L3: Spark types derived from the structured-output schema
+DETAILS_TYPE, LINE_ITEM_TYPE = _spark_types()
 NUMBER_FIELDS = [f.name for f in DETAILS_TYPE.fields if isinstance(f.dataType, T.DoubleType)]
 
 

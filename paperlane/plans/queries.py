@@ -896,3 +896,13 @@ def q_stream_route(spark, sf):
     new = sj.new_documents(fx.source_blobs(spark, sf).select(*LISTING_COLS))
     todo = sj.skip_processed(new, fx.translated_blobs(spark, sf))
     return todo.select("container", "name")
+
+
+@register("structured_output_schema")
+def q_structured_output_schema(spark, sf):
+    """L3: model JSON parsed with the type derived from the JSON schema."""
+    p = fx.extraction_json(spark, sf).select("doc_id", F.from_json("details_json", ex.DETAILS_TYPE).alias("d"))
+    return p.select("doc_id", F.col("d.doctype").alias("doctype"), F.col("d.currency").alias("currency"),
+                    F.col("d.purchaseOrderNumber").alias("purchaseOrderNumber"),
+                    ex.money(F.col("d.vatTaxAmount")).alias("vatTaxAmount"),
+                    F.size(F.coalesce("d.invoiceLineItems", F.array())).alias("n_items"))

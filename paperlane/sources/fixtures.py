@@ -207,6 +207,11 @@ CATEGORY_BY_PTYPE = (
 )
 
 
+def _cents(x: Column) -> Column:
+    """Round to cents on the binary value (identical in every IEEE engine)."""
+    return F.floor(x * 100 + 0.5) / 100
+
+
 def extraction_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One structured-output JSON document per order, with planted violations.
 
@@ -250,9 +255,9 @@ def extraction_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 2 == 0, F.concat(F.lit("45"), F.lpad(k.cast("string"), 8, "0"))).otherwise(F.lit("")).alias(
             "purchaseOrderNumber"),
         F.concat(F.lit("V"), (k % 97).cast("string")).alias("vendorNumber"),
-        F.round(total * 0.18, 2).alias("taxAmount"),
-        F.round(total * 0.18, 2).alias("vatTaxAmount"),
-        F.round(total - total * 0.18, 2).alias("totalNetAmount"),
+        _cents(total * 0.18).alias("taxAmount"),
+        _cents(total * 0.18).alias("vatTaxAmount"),
+        _cents(total - total * 0.18).alias("totalNetAmount"),
         total.alias("totalInvoiceAmount"),
         F.lit(18.0).alias("taxPercentage"),
         F.lit(18.0).alias("vatPercentage"),

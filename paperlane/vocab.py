@@ -190,3 +190,39 @@ NON_INVOICE_KINDS = (
     "brochure",
     "contract",
 )
+
+# --- structured-output contract of the details extraction: field -> JSON type ----------
+DETAILS_FIELD_TYPES = (
+    ("doctype", "string"),
+    ("invoiceType", "string"),
+    ("purchaseOrderNumber", "string"),
+    ("vendorNumber", "string"),
+    ("taxAmount", "number"),
+    ("vatTaxAmount", "number"),
+    ("totalNetAmount", "number"),
+    ("totalInvoiceAmount", "number"),
+    ("taxIdentification", "string"),
+    ("receiverVATID", "string"),
+    ("taxPercentage", "number"),
+    ("vatPercentage", "number"),
+    ("withholdingPercentage", "number"),
+    ("Bank_Account_Number", "string"),
+    ("Global_Bank_Identifier", "string"),
+    ("Bank_Key", "string"),
+    ("buyerName", "string"),
+    ("currency", "string"),
+)
+LINE_ITEM_FIELD_TYPES = (
+    ("lineNumber", "string"),
+    ("description", "string"),
+    ("category", "string"),
+    ("quantity", "number"),
+    ("unitOfMeasure", "string"),
+    ("unitPrice", "number"),
+    ("netAmount", "number"),
+    ("taxAmount", "number"),
+    ("taxPercentage", "number"),
+    ("vatAmount", "number"),
+    ("vatPercentage", "number"),
+    ("withholdingPercentage", "number"),
+)
