@@ -1052,7 +1052,7 @@ def inventory_sql() -> dict[str, str]:
     out = {}
     ot = with_fixtures(["ocr_text"], "")
     out["scan_documents"] = ot + """
-SELECT filename AS name, coalesce(octet_length(encode(text)), 0) AS n_bytes,
+SELECT filename AS name, CAST(coalesce(octet_length(encode(text)), 0) AS INTEGER) AS n_bytes,
        coalesce(octet_length(encode(text)), 0) = 0 AS is_empty, coalesce(text, '') AS text FROM ocr_text"""
     pl = with_fixtures(["process_log"], "")
     out["period_filter"] = pl + "\n" + "\nUNION ALL\n".join(
