@@ -31,6 +31,12 @@ def read_blob_files(spark: SparkSession, path: str, glob: str | None = None,
     Returns ``(container, name, last_modified, size, content)``. Selecting
     only the metadata columns prunes ``content`` so a listing never reads
     payloads.
+
+    Spark file sources skip zero-length files, so an empty blob never shows
+    up here. The listing that drives a pipeline (A1) should therefore be the
+    store's inventory table (parquet, read with :func:`spark.read.parquet`),
+    which includes zero-byte objects; the empty-payload rule then turns them
+    into error rows. Use this reader for payloads of listed blobs.
     """
     from pyspark.sql import functions as F
 
