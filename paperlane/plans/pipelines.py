@@ -25,7 +25,6 @@ from paperlane.operators import notify as nt
 from paperlane.operators import sinks as sk
 from paperlane.operators import translate as tr
 from paperlane.operators.language import detect_language
-from paperlane.operators.lineage import run_id_for
 
 
 # ---------------------------------------------------------------------------------------------
@@ -157,7 +156,7 @@ def run_email_scan(messages: DataFrame, attachments: DataFrame, lookback_hours:
     outcomes = spark.read.parquet(paths["outcomes"])
     email_scan_notifications(messages, outcomes, as_of).write.mode("overwrite").parquet(paths["notifications"])
     email_scan_summary(messages, outcomes, lookback_hours, as_of).write.mode("overwrite").parquet(paths["summary"])
-    rid = spark.range(1).select(run_id_for("email", F.lit(as_of))).first()[0]
+    rid = f"email-{as_of.strftime('%Y%m%d-%H%M%S-%f')}"  # H19 format, no Spark job needed
     sk.append_process_log(email_scan_log(messages, outcomes, lookback_hours, as_of, rid), paths["log"])
     return paths
 

@@ -50,3 +50,22 @@ def test_dead_letters_and_log_append(spark):
     assert spark.read.parquet(os.path.join(base, "log")).count() == 2
     # a failing log write is reported, never raised
     assert sk.append_process_log(rows.withColumn("item_count", F.lit("x").cast("int") / 0), "/proc/nope") is False
+
+
+def test_run_email_scan_writes_once_and_derives(spark):
+    from paperlane.plans import pipelines as pl
+    from paperlane.sources import fixtures as fx
+    from tests.conftest import SF_SMALL
+
+    out = tempfile.mkdtemp(prefix="paperlane-scan-")
+    paths = pl.run_email_scan(fx.messages(spark, SF_SMALL), fx.attachments_with_text(spark, SF_SMALL), 61368,
+                              fx.AS_OF_MAIL, out)
+    outcomes = spark.read.parquet(paths["outcomes"])
+    summary = spark.read.parquet(paths["summary"]).first()
+    assert summary.total_attachments == outcomes.count()
+    assert summary.valid_invoices == outcomes.where("is_valid").count()
+    notes = spark.read.parquet(paths["notifications"])
+    assert notes.count() == outcomes.select("message_id").distinct().count()
+    log = spark.read.parquet(paths["log"])
+    assert log.where("step_name = 'workflow_completed'").count() == 1
+    assert log.where("step_name = 'attachment_processed'").count() == outcomes.count()
