@@ -132,17 +132,23 @@ def scan_summary(window_messages: DataFrame, outcomes: DataFrame, valid_col: str
 
     ``messages_scanned`` counts every message in the window;
     ``messages_with_attachments`` counts those with at least one outcome row.
-    Two global aggregates combined by a one-row equi-join on a constant key.
+    Both inputs are tagged and unioned, then reduced by one global aggregate
+    (partial per task, one final row): no join of the two totals.
     """
-    scanned = window_messages.agg(F.count(F.lit(1)).alias("messages_scanned")).withColumn("_k", F.lit(1))
-    v = F.col(valid_col)
-    per = outcomes.agg(
-        F.count_distinct("message_id").alias("messages_with_attachments"),
-        F.count(F.lit(1)).alias("total_attachments"),
-        F.coalesce(F.sum(F.when(v, 1).otherwise(0)), F.lit(0)).cast("bigint").alias("valid_invoices"),
-        F.coalesce(F.sum(F.when(v, 0).otherwise(1)), F.lit(0)).cast("bigint").alias("invalid_invoices"),
-    ).withColumn("_k", F.lit(1))
-    return scanned.join(per, "_k").drop("_k")
+    m = window_messages.select(F.lit(True).alias("_is_msg"), F.lit(None).cast("long").alias("_mid"),
+                               F.lit(None).cast("boolean").alias("_v"))
+    o = outcomes.select(F.lit(False).alias("_is_msg"), F.col("message_id").cast("long").alias("_mid"),
+                        F.col(valid_col).alias("_v"))
+    u = m.unionByName(o)
+    is_o = ~F.col("_is_msg")
+    return u.agg(
+        F.count_if(F.col("_is_msg")).alias("messages_scanned"),
+        F.count_distinct(F.when(is_o, F.col("_mid"))).alias("messages_with_attachments"),
+        F.count_if(is_o).alias("total_attachments"),
+        F.coalesce(F.sum(F.when(is_o & F.col("_v"), 1).when(is_o, 0)), F.lit(0)).cast("bigint").alias("valid_invoices"),
+        F.coalesce(F.sum(F.when(is_o & ~F.col("_v"), 1).when(is_o, 0)), F.lit(0)).cast("bigint").alias(
+            "invalid_invoices"),
+    )
 
 
 def exit_status(df: DataFrame, bad: Column, name: str = "exit_code") -> DataFrame:

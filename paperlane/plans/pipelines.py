@@ -117,10 +117,9 @@ def email_scan_log(messages: DataFrame, outcomes: DataFrame, lookback_hours: flo
                    run_id: str) -> DataFrame:
     """Process-log rows of a scan (all step kinds, SURVEY Q1) + the summary line.
 
-    Two reads of ``outcomes``: one ``explode`` makes both per-attachment rows
-    (processed + validation verdict); one per-message aggregate (map-side
-    partial sums) gives the ``email_received`` rows and, re-aggregated, the
-    final summary row.
+    One ``explode`` makes both per-attachment rows (processed + validation
+    verdict); a per-message aggregate (map-side partial) gives the
+    ``email_received`` rows; the one-pass scan summary gives the final row.
     """
     v = F.col("is_valid")
     step = F.struct(F.lit("attachment_processed").alias("step_name"), F.lit("Completed").alias("status"),
@@ -130,16 +129,10 @@ def email_scan_log(messages: DataFrame, outcomes: DataFrame, lookback_hours: flo
     per_att = outcomes.select("filename", F.explode(F.array(step, verdict)).alias("s"))
     per_att = sk.log_rows(per_att, run_id, "EmailScanner", F.col("s.step_name"), F.col("s.status"),
                           step_value=F.col("filename"), detail=F.col("s.detail"), logged_at=as_of)
-    per_msg = outcomes.groupBy("message_id").agg(
-        F.sum(F.when(v, 1).otherwise(0)).cast("bigint").alias("valid"),
-        F.sum(F.when(v, 0).otherwise(1)).cast("bigint").alias("invalid"))
+    per_msg = outcomes.groupBy("message_id").agg(F.count(F.lit(1)).alias("n"))
     received = sk.log_rows(per_msg, run_id, "EmailScanner", "email_received", "Completed",
                            step_value=F.col("message_id").cast("string"), logged_at=as_of)
-    window = messages.where(ml.message_window_predicate(messages, lookback_hours, as_of))
-    scanned = window.agg(F.count(F.lit(1)).alias("messages_scanned")).withColumn("_k", F.lit(1))
-    totals = per_msg.agg(F.coalesce(F.sum("valid"), F.lit(0)).alias("valid_invoices"),
-                         F.coalesce(F.sum("invalid"), F.lit(0)).alias("invalid_invoices")).withColumn("_k", F.lit(1))
-    s = scanned.join(totals, "_k")
+    s = email_scan_summary(messages, outcomes, lookback_hours, as_of)
     final = sk.log_rows(s, run_id, "EmailScanner", "workflow_completed", "Completed",
                         detail=F.format_string("messages=%d valid=%d invalid=%d", F.col("messages_scanned"),
                                                F.col("valid_invoices"), F.col("invalid_invoices")),
