@@ -10,3 +10,19 @@ plans      the composite pipelines built from the operators
 streaming  Structured Streaming forms of the polling jobs
 """
 __version__ = "0.1.0"
+
+
+def _ship_by_value() -> None:
+    """Functions of this package that run in Python workers (pandas UDFs,
+    ``mapInPandas``) are pickled by value, so executors need no installed
+    copy of the package."""
+    import sys
+
+    try:
+        from pyspark import cloudpickle
+    except ImportError:  # pragma: no cover - pyspark always bundles it
+        return
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_ship_by_value()
