@@ -103,3 +103,30 @@ def test_property_path_parts(spark, names):
         if n.endswith("/.") or n == "." or n.endswith("/..") or "/./" in n or n.startswith("./"):
             continue
         assert g == e, n
+
+
+def py_names(name: str):
+    p = PurePosixPath(name)
+    base, stem, suffix_lower, _ = py_parts(name)
+    suffix = base[len(stem):]
+    clean = re.sub(r"_([a-zA-Z]{2})$", "", stem)
+    parent = "" if str(p.parent) == "." else str(p.parent) + "/"
+    norm = lambda s: s.replace(" ", "_").replace("-", "_")
+    return (parent + clean + "_en" + suffix, parent + clean + "_en.json", parent + clean + "_xx" + suffix,
+            norm(name), re.sub(r"(_enhanced)?_ocr$", "", stem.lower()), norm(stem + "_enhanced_ocr.pdf"))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="ab._-/ XY1", min_size=1, max_size=12), min_size=1, max_size=40))
+def test_property_derived_names(spark, names):
+    names = [n for n in names if n.strip("/") and not n.startswith("/") and PurePosixPath(n).name
+             and "/./" not in n and not n.startswith("./") and not n.endswith("/.") and ".." not in n.split("/")
+             and n != "."]
+    if not names:
+        return
+    df = one_col(spark, names)
+    got = [tuple(r) for r in df.select(
+        nm.translated_blob_name("v"), nm.json_blob_name("v"), nm.raw_invoice_blob_name("v", F.lit("xx")),
+        nm.normalize_blob_name("v"), nm.strip_ocr_suffix("v"), nm.ocr_output_name("v", True)).collect()]
+    for n, g in zip(names, got):
+        assert g == py_names(n), n
