@@ -64,3 +64,19 @@ def test_reconcile_with_hot_stem(spark):
     names = {r.name for r in out.collect()}
     assert not any(n.endswith("/x.pdf") for n in names) and "y1.pdf" not in names
     assert len(names) == 3000 - 1000 - 1
+
+
+def test_long_document_is_spread_over_tasks(spark):
+    from paperlane.operators import translate as tr
+
+    long_text = "".join(chr(97 + i % 26) for i in range(400))
+    df = spark.createDataFrame([(1, long_text, "de"), (2, "short", "fr")], "doc_id long, text string, lang string")
+    chunks = tr.explode_chunks(df, ["doc_id"], chunk_size=10).repartition(8, "doc_id", "chunk_idx")
+    parts = chunks.where("doc_id = 1").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts > 1  # 40 chunks of one document land in several tasks
+    dist = {r.doc_id: r.translated_text for r in
+            tr.translate_distributed(df, tr.prefix_batch_translator(), ["doc_id"], chunk_size=10,
+                                     num_partitions=8).collect()}
+    native = {r.doc_id: r.translated_text for r in
+              tr.translate_native(df, tr.prefix_translator(), chunk_size=10).collect()}
+    assert dist == native and dist[1].count("[EN]") == 40
