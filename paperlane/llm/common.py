@@ -151,3 +151,31 @@ def sha_hex(data: bytes) -> str:
     import hashlib
 
     return hashlib.sha256(data).hexdigest()
+
+
+def word_hashes(words: list[bytes], known: dict, most: int = 300_000):
+    """64-bit hashes of words as numpy; ``known`` is the task's table of those
+    seen, emptied beyond ``most``."""
+    import numpy as np
+    import xxhash
+
+    if len(known) > most:
+        known.clear()
+    for w in set(words).difference(known):
+        known[w] = xxhash.xxh64_intdigest(w)
+    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+
+
+def rolling(hashes, n: int):
+    """Hash of each run of ``n`` consecutive entries (none if there are fewer)."""
+    import numpy as np
+
+    m = len(hashes) - n + 1
+    if m < 1:
+        return np.zeros(0, np.uint64)
+    out = hashes[:m].copy()
+    for j in range(1, n):
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+        out += hashes[j:j + m]
+    return out

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, id_type, map_rows
+from .common import id_and_text, id_type, map_rows, rolling
 
 #: Per cent of word characters that may lie in n-grams (by length) found twice.
 NGRAM_LIMITS = {5: 25, 6: 22, 8: 20, 10: 18}
@@ -39,13 +39,9 @@ def coverage_marks(hashes, n: int):
     m = len(hashes) - n + 1
     if m < 2:
         return np.zeros(len(hashes), bool)
-    rolling = hashes[:m].copy()
-    for j in range(1, n):
-        rolling *= np.uint64(0x9E3779B97F4A7C15)
-        rolling ^= rolling >> np.uint64(29)
-        rolling += hashes[j:j + m]
-    order = np.argsort(rolling)
-    s = rolling[order]
+    grams = rolling(hashes, n)
+    order = np.argsort(grams)
+    s = grams[order]
     same = s[1:] == s[:-1]
     starts = np.unique(np.concatenate([order[1:][same], order[:-1][same]]))
     edges = np.zeros(len(hashes) + 1, np.int64)

@@ -6,8 +6,9 @@ digest columns of its contract from the operator's output.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, licenses, quality
+from . import bpe, decontaminate, licenses, linededup, quality, simhash
 from .common import table
 
 
@@ -18,15 +19,33 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        public_tokenizers.PATTERN)
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.simhash_groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.repetition_coverage(table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
-REGISTRY = {f.__name__: f for f in (op4_byte_bpe, op8_quality_rules, op10_license_scan)}
+REGISTRY = {f.__name__: f for f in (op4_byte_bpe, op5_simhash, op7_line_dedup, op8_quality_rules, op9_decontamination,
+                                       op10_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -40,4 +40,36 @@ SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
 FROM joined"""
 
 
-ORACLES = {"op8_quality_rules": _op8()}
+_OP7 = """
+WITH lines AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+keyed AS (SELECT *, translate(regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+firsts AS (SELECT k, min(doc_id) AS keeper FROM keyed WHERE length(k) >= 10 GROUP BY k),
+marked AS (SELECT doc_id, i, line, keeper IS NOT NULL AND keeper <> doc_id AS gone
+  FROM keyed LEFT JOIN firsts USING (k))
+SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id"""
+
+_OP9 = """
+WITH dl AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+il AS (SELECT item_id::VARCHAR AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark),
+starts AS (SELECT item_id, ws, least(len(ws), 10) AS n, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i
+  FROM il WHERE len(ws) > 0),
+windows AS (SELECT DISTINCT item_id, n, array_to_string(ws[i:i + n - 1], ' ') AS g FROM starts),
+lengths AS (SELECT DISTINCT n FROM windows),
+places AS (SELECT doc_id, n, ws, unnest(range(1, len(ws) - n + 2)) AS i FROM dl, lengths WHERE len(ws) >= n),
+hits AS (SELECT doc_id, i, n, item_id FROM (SELECT doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') AS g FROM places)
+  JOIN windows USING (n, g)),
+marked AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY 1)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dl LEFT JOIN marked USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
+ORACLES = {"op7_line_dedup": _OP7, "op8_quality_rules": _op8(), "op9_decontamination": _OP9}
