@@ -8,10 +8,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, licenses, linededup, quality, simhash
+from . import bpe, decontaminate, language, licenses, linededup, quality, simhash, toxicity
 from .common import table
 
 
+def _held_out(remainder: int, modulus: int):
+    return F.crc32(F.col("doc_id").cast("string")) % modulus == remainder
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels").filter(~_held_out(0, 5)))
+    return toxicity.score_documents(docs, model).select(
+        "doc_id", _held_out(0, 5).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.array_join("spans", ",").alias("spans"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.learn(docs.filter(~_held_out(1, 3)))
+    return language.identify(docs, model).select(
+        "doc_id", _held_out(1, 3).alias("held_out"), "lang_pred", "score")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -44,7 +63,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
-REGISTRY = {f.__name__: f for f in (op4_byte_bpe, op5_simhash, op7_line_dedup, op8_quality_rules, op9_decontamination,
+REGISTRY = {f.__name__: f for f in (op1_toxicity, op2_language_id, op4_byte_bpe, op5_simhash, op7_line_dedup, op8_quality_rules, op9_decontamination,
                                        op10_license_scan)}
 
 
