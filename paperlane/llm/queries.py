@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, licenses, linededup, quality, simhash, toxicity
+from . import bpe, decontaminate, language, licenses, linededup, quality, secrets, simhash, toxicity
 from .common import table
 
 
@@ -31,6 +31,19 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", _held_out(1, 3).alias("held_out"), "lang_pred", "score")
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+    spans = F.coalesce("found", F.array().cast(found.schema["found"].dataType))
+
+    def count(kind: str):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter(spans, lambda s: s["rule"] < len(secrets.BASE_RULES))
+    return found.select("doc_id", *(count(r.kind) for r in secrets.BASE_RULES),
+                        F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+                        secrets.span_text(spans).alias("spans"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -63,7 +76,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
-REGISTRY = {f.__name__: f for f in (op1_toxicity, op2_language_id, op4_byte_bpe, op5_simhash, op7_line_dedup, op8_quality_rules, op9_decontamination,
+REGISTRY = {f.__name__: f for f in (op1_toxicity, op2_language_id, op3_secret_scan, op4_byte_bpe, op5_simhash, op7_line_dedup, op8_quality_rules, op9_decontamination,
                                        op10_license_scan)}
 
 

@@ -72,4 +72,37 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM dl LEFT JOIN marked USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
 
-ORACLES = {"op7_line_dedup": _OP7, "op8_quality_rules": _op8(), "op9_decontamination": _OP9}
+#: Kinds of op3 in order: pattern, group whose length counts, least length.
+_OP3 = {
+    "assign": ("(?i)(password|passwd|secret|token|api_?key)[\"\']?\\x20*[:=]\\x20*[\"\']?([A-Za-z0-9+/_.=-]+)", 2, 8),
+    "access": ("AKIA[A-Z0-9]+", 0, 16),
+    "hex": ("[0-9a-f]+", 0, 32),
+    "private_key": ("-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 0, 1),
+    "forge_token": ("gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
+    "chat_token": ("xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
+    "signed_token": ("eyJ[A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]{8,}", 0, 1),
+}
+
+
+def _op3() -> str:
+    parts = []
+    for n, (kind, (pattern, group, least)) in enumerate(_OP3.items()):
+        p = pattern.replace("'", "''")
+        parts.append(f"""SELECT doc_id, {n} AS rule, '{kind}' AS kind, unnest(v) AS v, unnest(m) AS m, unnest(b[:len(m)]) AS b,
+            generate_subscripts(m, 1) AS i, {least} AS least FROM (SELECT doc_id, regexp_extract_all(text, '{p}', {group}) AS v,
+            regexp_extract_all(text, '{p}') AS m, string_split_regex(text, '{p}') AS b FROM docs WHERE regexp_matches(text, '{p}'))""")
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+found AS ({" UNION ALL ".join(parts)}),
+placed AS (SELECT *, sum(length(b) + length(m)) OVER (PARTITION BY doc_id, rule ORDER BY i) AS e FROM found),
+spans AS (SELECT doc_id, rule, kind, e - length(m) AS s, kind || ':' || (e - length(m))::VARCHAR || ':' || e::VARCHAR AS t
+  FROM placed WHERE length(v) >= least),
+sums AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+    count(*) FILTER (kind = 'hex') AS n_hex, string_agg(t, ',' ORDER BY s, rule) FILTER (rule < 3) AS base,
+    string_agg(t, ',' ORDER BY s, rule) AS spans FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+  coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN sums USING (doc_id)"""
+
+
+ORACLES = {"op3_secret_scan": _op3(), "op7_line_dedup": _OP7, "op8_quality_rules": _op8(), "op9_decontamination": _OP9}
