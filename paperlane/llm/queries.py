@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, licenses, linededup, quality, secrets, simhash, toxicity
+from . import bpe, decontaminate, language, licenses, linededup, passages, quality, secrets, simhash, toxicity
 from .common import table
 
 
@@ -56,6 +56,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.by_pair(passages.find_passages(table(spark, sf_dir, "documents")))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = linededup.dedup_lines(table(spark, sf_dir, "documents"))
     return made.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -76,7 +80,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
-REGISTRY = {f.__name__: f for f in (op1_toxicity, op2_language_id, op3_secret_scan, op4_byte_bpe, op5_simhash, op7_line_dedup, op8_quality_rules, op9_decontamination,
+REGISTRY = {f.__name__: f for f in (op1_toxicity, op2_language_id, op3_secret_scan, op4_byte_bpe, op5_simhash, op6_substring_dedup, op7_line_dedup, op8_quality_rules, op9_decontamination,
                                        op10_license_scan)}
 
 

@@ -1,22 +1,51 @@
-"""The stages of ``corpus_pipeline``, each one call of an operator."""
+"""The stages of ``corpus_pipeline``, each one call of an operator.
+
+All but the last return the columns of their input. Rows are chosen by id:
+rows that repeat an id stay or go together.
+"""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import bpe, decontaminate, linededup, simhash, toxicity
+from .common import table
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` less the rows whose id is in ``gone`` (``doc_id``)."""
+    gone = gone.select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone"]), "left_anti")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score under one half."""
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_documents(docs, model)
+    return _without(docs, scored.filter("score >= 0.5"))
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that a smaller id keeps; ``n_chars`` follows."""
+    made = linededup.dedup_lines(docs).select(docs.columns)
+    return made.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
-from . import bpe
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each SimHash group the document with the smallest id."""
+    groups = simhash.simhash_groups(docs)
+    return _without(docs, groups.filter("not (doc_id <=> component_id)"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    return _without(docs, found.filter("n_hit > 0"))
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``(doc_id, n_tokens, ids)`` of every document."""
     import public_tokenizers
-    from pyspark.sql import functions as F
 
     made = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return made.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
-
-
-def drop_toxic(spark, docs, sf_dir):
-    raise NotImplementedError
-
-
-drop_repeated_lines = keep_one_of_each_group = drop_contaminated = drop_toxic
