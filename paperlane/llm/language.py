@@ -87,8 +87,9 @@ def has_letter(text: str) -> bool:
 
 def build(samples: dict[str, list[str]], most: int = SAMPLE_BYTES) -> dict | None:
     """The tables of all languages: for each state and symbol the next state,
-    or, where there is none, the complement of the state that a new phrase
-    begins in."""
+    or, where there is none, the complement of the state after a new phrase's
+    first symbol. After a symbol that the labelled text lacks, as before a
+    text, the state is one from which every symbol begins a phrase."""
     import numpy as np
 
     texts = {}
@@ -101,21 +102,22 @@ def build(samples: dict[str, list[str]], most: int = SAMPLE_BYTES) -> dict | Non
     used = sorted(set(b"".join(texts.values())))
     symbol = np.zeros(256, np.int32)  # 0: in no labelled text
     symbol[used] = np.arange(1, len(used) + 1)
-    width, tables, roots = len(used) + 1, [], []
+    width, tables, begins = len(used) + 1, [], []
     base = 0
     for data in texts.values():
         moves = suffix_automaton(symbol[np.frombuffer(data, np.uint8)].tolist())
-        start = np.zeros(width, np.int32)
+        begin = len(moves)
+        start = np.full(width, begin, np.int32)
         start[list(moves[0])] = list(moves[0].values())
-        t = np.broadcast_to(~((start + base) * width), (len(moves), width)).copy()
+        t = np.broadcast_to(~((start + base) * width), (begin + 1, width)).copy()
         for s, m in enumerate(moves):
             t[s, list(m)] = (np.fromiter(m.values(), np.int32, len(m)) + base) * width
         tables.append(t.astype(np.int32))
-        roots.append(base * width)
-        base += len(moves)
+        begins.append((begin + base) * width)
+        base += begin + 1
     cost = np.log2([max(2, len(d)) for d in texts.values()])
     return {"langs": list(texts), "symbol": symbol, "table": np.concatenate(tables).ravel(),
-            "roots": np.array(roots, np.int32), "cost": cost}
+            "begins": np.array(begins, np.int32), "cost": cost}
 
 
 def phrase_counts(lanes: list, model: dict):
@@ -130,8 +132,8 @@ def phrase_counts(lanes: list, model: dict):
         grid[:sizes[j], j] = lanes[i]
     active = np.searchsorted(-sizes, -np.arange(longest), side="left")  # lanes longer than t
     table = model["table"]
-    state = np.repeat(model["roots"][:, None], n, axis=1)
-    count = np.ones((k, n), np.int32)
+    state = np.repeat(model["begins"][:, None], n, axis=1)
+    count = np.zeros((k, n), np.int32)
     for t in range(longest):
         a = active[t]
         to = table[state[:, :a] + grid[t, :a]]

@@ -32,10 +32,12 @@ from .common import id_and_text, id_type, map_texts
 SAMPLE = 600
 #: Weights smaller than this are left out of the model that is sent.
 LEAST_WEIGHT = 0.02
-#: A feature marks tokens if it stands in so many different surroundings (the
-#: words before and after) in toxic documents, and in so many times fewer in
-#: others. Copies of a document are the same surroundings.
-MARK_PLACES, MARK_RATIO = 15, 20
+#: A feature marks tokens if it stands in at least MARK_LEAST toxic documents
+#: and different surroundings (the words before and after) of them, where
+#: chance would have put it into MARK_PLACES of the others, and its share of
+#: the toxic ones is MARK_RATIO times that of the others. Copies of a document
+#: are the same surroundings.
+MARK_LEAST, MARK_PLACES, MARK_RATIO = 3, 15, 20
 EPOCHS = 25
 
 
@@ -106,8 +108,10 @@ def _mark_tokens(texts: list[list[str]], labels: list[int]) -> set[str]:
     from collections import Counter
 
     places: tuple[set, set] = (set(), set())
+    holders = (Counter(), Counter())
     for words, y in zip(texts, labels, strict=True):
         places[y].update(zip(["", *words], words, [*words[1:], ""], strict=False))
+        holders[y].update({f for w in set(words) for f in features(w)[:-1]})
     found = []
     for y in (0, 1):
         by_word, by_feature = Counter(w for _, w, _ in places[y]), Counter()
@@ -115,21 +119,23 @@ def _mark_tokens(texts: list[list[str]], labels: list[int]) -> set[str]:
             for f in features(w)[:-1]:
                 by_feature[f] += n
         found.append(by_feature)
-    even = len(places[1]) / max(1, len(places[0]))
-    strong = {f for f, n in found[1].items() if n >= MARK_PLACES and n >= MARK_RATIO * even * found[0][f]}
+    even, share = len(places[1]) / max(1, len(places[0])), labels.count(1) / max(1, labels.count(0))
+    strong = {f for f, n in found[1].items()
+              if n >= max(MARK_LEAST, MARK_PLACES * even, MARK_RATIO * even * found[0][f])
+              and holders[1][f] >= max(MARK_LEAST, MARK_PLACES * share)}
     return {w for words, y in zip(texts, labels, strict=True) if y for w in set(words)
             if any(f in strong for f in features(w)[:-1])}
 
 
 def document_signals(p, begins):
-    """Per chain: log-odds of the largest marginal and log of the expected
-    number of toxic tokens (marginals under one in a hundred are noise)."""
+    """Per chain: log-odds of the largest marginal and log of one more than
+    the expected number of toxic tokens (marginals under a fifth are noise)."""
     import numpy as np
 
     starts = np.flatnonzero(begins)
     most = np.clip(np.maximum.reduceat(p, starts), 1e-6, 1 - 1e-6)
-    total = np.add.reduceat(np.where(p > 0.01, p, 0), starts)
-    return np.stack([np.log(most / (1 - most)) / 5, np.log(total + 0.01), np.ones(len(starts))], axis=1)
+    total = np.add.reduceat(np.where(p > 0.2, p, 0), starts)
+    return np.stack([np.log(most / (1 - most)) / 5, np.log1p(total), np.ones(len(starts))], axis=1)
 
 
 def without_copies(lists: list[list[str]], labels: list[int]) -> list[tuple[list[str], int]]:
@@ -179,7 +185,7 @@ def fit(texts: list[str], labels: list[int]) -> dict | None:
         gap = np.bincount(ids, y - p, len(table))
         g = np.bincount(flat, gap[owner], len(places)) - 0.05 * weights
         squares += g * g
-        weights += 0.5 * g / np.sqrt(squares)
+        weights += 1.0 * g / np.sqrt(squares)
         b = float((y - p).sum())
         b_square += b * b
         bias += 0.1 * b / b_square ** 0.5
@@ -192,11 +198,14 @@ def fit(texts: list[str], labels: list[int]) -> dict | None:
     odds = np.bincount(owner, weights[flat], len(table)) + bias
     x = document_signals(marginals(odds[ids], begins, follow, start)[0], begins)
     final, target = np.zeros(3), np.array(labels, float)
-    for _ in range(60):  # logistic regression, Newton steps with a ridge
+    for _ in range(60):  # logistic regression, Newton steps with a ridge; no signal may count against toxicity
         q = 1 / (1 + np.exp(-np.clip(x @ final, -30, 30)))
         grad = x.T @ (target - q) - 0.1 * final
         hess = (x * (q * (1 - q))[:, None]).T @ x + 0.1 * np.eye(3)
-        final = final + np.linalg.solve(hess, grad)
+        free = [k for k in range(3) if k == 2 or final[k] > 0 or grad[k] > 0]
+        step = np.linalg.solve(hess[np.ix_(free, free)], grad[free])
+        final[free] += step / max(1.0, float(np.abs(step).max()))
+        final[:2] = np.maximum(final[:2], 0)
     kept = {f: float(weights[i]) for f, i in places.items() if abs(weights[i]) >= LEAST_WEIGHT}
     return {"weights": kept, "bias": bias, "follow": follow, "start": start, "final": final}
 
@@ -220,7 +229,7 @@ def scorer(model: dict | None):
         for w in {w for words in lists for w in words}.difference(known):
             known[w] = sum(weights.get(f, 0.0) for f in features(w)) + model["bias"]
         sizes = np.array([len(w) for w in lists])
-        none = float(1 / (1 + np.exp(-np.clip(model["final"] @ [np.log(1e-6) / 5, np.log(0.01), 1], -30, 30))))
+        none = float(1 / (1 + np.exp(-np.clip(model["final"] @ [np.log(1e-6) / 5, 0, 1], -30, 30))))
         scores, spans = [none] * len(texts), [[] for _ in texts]
         full = np.flatnonzero(sizes)
         if not len(full):
