@@ -9,6 +9,36 @@ from __future__ import annotations
 from paperlane import vocab
 
 AS_OF_LOG = "TIMESTAMP '2024-01-30 12:00:00'"
+# Rules restated from their description, not imported from the code under test.
+FUNCTION_WORDS = {
+    "en": "the of and to is that it for on was with as be are by this at from or he she they we have not but which",
+    "fr": "et les du sur une pour qui au est par dans avec pas elle aux ou ce il nous vous sont mais",
+    "de": "der die und den von sich zu das mit auf ist im für dem ein nicht als eine er auch wird sind oder",
+    "es": "el los se del y las por no con su para una al lo como más pero sus ya",
+    "tr": "ve bir bu için ile olarak daha çok gibi değil olan ama kadar sonra ise göre tarafından şey biz onlar",
+}
+FUNCTION_WORDS = {k: v.split() for k, v in FUNCTION_WORDS.items()}
+LANGS = tuple(FUNCTION_WORDS)
+EXTRACTED_FIELDS = ("invoiceNumber", "invoiceDate", "doctype", "invoiceType", "purchaseOrderNumber", "vendorNumber",
+                    "currency", "totalInvoiceAmount", "taxAmount", "Bank_Account_Number", "Global_Bank_Identifier")
+DATE_VALUE = r"(?i)\b(?:invoice|billing|issue)?\s*date\s*[:.]?\s*([0-9]{1,4}[-/][0-9A-Za-z]{1,3}[-/][0-9]{1,4})"
+VENDOR_LINE = r"(?im)^\s*(?:vendor|supplier|seller|from)\s*[:#]\s*(\S.*?)\s*$"
+AMOUNT_LABELS = ("grand total", "total amount", "amount due", "balance due", "total")
+CURRENCY_SYMBOLS = (("$", "USD"), ("€", "EUR"), ("£", "GBP"), ("¥", "JPY"), ("₺", "TRY"))
+CATEGORY_BY_PTYPE = (
+    ("ECONOMY", "OTHER_SERVICES"), ("SMALL", "PRINTING_PUBLISHING"), ("MEDIUM", "MAINTENANCE_TECHNICAL"),
+    ("PROMO", "ADVERTISING"), ("STANDARD", "INDUSTRIAL_OTHER_DELIVERIES"), ("LARGE", "TRANSPORT_FREIGHT"))
+SUBJECT_SUCCESS = "RE: {subject} — Invoice(s) Received Successfully"
+SUBJECT_PARTIAL = "RE: {subject} — Action Required: Some Attachments Could Not Be Processed"
+SUBJECT_FAILURE = "RE: {subject} — Action Required: Invoice(s) Could Not Be Processed"
+
+
+def label_regex(label: str) -> str:
+    """Label, optional full stop, optional ``:`` or ``#``, then a value that holds a digit."""
+    core = label.rstrip(".").replace(".", r"\.").replace(" ", r"\s*")
+    return r"(?i)\b" + core + r"\.?\s*[:#]?\s*([A-Za-z0-9/\-]*[0-9][A-Za-z0-9/\-]*)"
+
+
 AS_OF_BLOB = "TIMESTAMP '2024-01-10 12:00:00'"
 
 
@@ -48,8 +78,14 @@ _DOC_NAME = ("'source/' || CASE WHEN d.doc_id % 4 = 0 THEN 'doc-' ELSE 'doc_' EN
 FIXTURES["source_blobs"] = f"""
 source_blobs AS (
   SELECT d.doc_id, 'raw-invoices' AS container, {_DOC_NAME} AS name, e.ts AS last_modified, d.n_chars AS size
-  FROM documents d JOIN events e ON e.event_id = d.doc_id * 5
-  WHERE e.ts <= {AS_OF_BLOB})"""
+  FROM documents d JOIN events e ON e.event_id = d.doc_id * 5)"""
+
+
+def _as_of(sql: str) -> str:
+    """The same with the source listing as it was at the anchor."""
+    join = "JOIN events e ON e.event_id = d.doc_id * 5)"
+    return sql.replace(join, join[:-1] + f" WHERE e.ts <= {AS_OF_BLOB})")
+
 
 # stem of 'source/<base>': base has exactly one dot in the fixture names
 FIXTURES["target_blobs"] = """
@@ -247,7 +283,7 @@ def naming_sql() -> dict[str, str]:
     tb = FIXTURES["target_blobs"].replace("WHERE doc_id % 3 <> 0", "WHERE doc_id % 3 <> 0").replace(
         "WHERE e.ts <= ", "WHERE e.ts <= ")
     out["strip_ocr_suffix"] = (
-        "WITH " + FIXTURES["source_blobs"].strip().replace(f"\n  WHERE e.ts <= {AS_OF_BLOB}", "") + ",\n"
+        "WITH " + FIXTURES["source_blobs"].strip() + ",\n"
         + tb.strip() + path_ctes("target_blobs")
         + "\nSELECT doc_id, name, regexp_replace(lower(_stem), '(_enhanced)?_ocr$', '') AS stem_key FROM paths")
     out["normalize_mime"] = with_fixtures(["attachments"], """
@@ -297,10 +333,10 @@ def listing_sql() -> dict[str, str]:
     out = {}
     base = with_fixtures(["source_blobs"], "")
     out["scan_blob_listing"] = base + f"\nSELECT {L_COLS} FROM source_blobs"
-    out["lookback_filter"] = base + f"\nSELECT {L_COLS} FROM source_blobs WHERE last_modified >= {AS_OF_BLOB} - INTERVAL 12 HOUR"
+    out["lookback_filter"] = _as_of(base) + f"\nSELECT {L_COLS} FROM source_blobs WHERE last_modified >= {AS_OF_BLOB} - INTERVAL 12 HOUR"
     out["pdf_filter"] = base + f"\nSELECT {L_COLS} FROM source_blobs WHERE lower(name) LIKE '%.pdf'"
-    out["same_utc_day_filter"] = base + f"\nSELECT {L_COLS} FROM source_blobs WHERE CAST(last_modified AS DATE) = DATE '2024-01-10'"
-    tb = with_fixtures(["target_blobs"], "")
+    out["same_utc_day_filter"] = _as_of(base) + f"\nSELECT {L_COLS} FROM source_blobs WHERE CAST(last_modified AS DATE) = DATE '2024-01-10'"
+    tb = _as_of(with_fixtures(["target_blobs"], ""))
     for norm, key in ((False, "reconcile_unprocessed"), (True, "reconcile_unprocessed_normalized")):
         out[key] = tb + _reconcile_body(norm) + "\nSELECT * FROM recon"
     for hours, key in ((12, "ocr_worklist"), (0, "ocr_worklist_reconcile")):
@@ -320,10 +356,10 @@ SELECT name, target_name, target_json,
        CASE WHEN target_name IN (SELECT name FROM translated_blobs) AND target_json IN (SELECT name FROM translated_blobs)
             THEN 'skipped' ELSE 'todo' END AS status
 FROM s"""
-    sb_all = FIXTURES["source_blobs"].strip().replace(f"\n  WHERE e.ts <= {AS_OF_BLOB}", "")
+    sb_all = FIXTURES["source_blobs"].strip()
     out["dedup_listing"] = "WITH " + sb_all + f""",
 pages AS (
-  SELECT {L_COLS} FROM source_blobs WHERE last_modified <= {AS_OF_BLOB}
+  SELECT {L_COLS} FROM source_blobs
   UNION ALL
   SELECT {L_COLS} FROM source_blobs WHERE last_modified <= TIMESTAMP '2024-01-10 06:00:00')
 SELECT container, name, max(last_modified) AS last_modified, arg_max(size, last_modified) AS size
@@ -437,8 +473,6 @@ chunks AS (
 
 
 def _lang_sql() -> str:
-    from paperlane.operators.language import FUNCTION_WORDS, LANGS
-
     hits = ",\n".join(
         f"       len(list_filter(tok, lambda t: list_contains([{', '.join(_q(w) for w in FUNCTION_WORDS[l])}], t))) AS h_{l}"
         for l in LANGS)
@@ -448,17 +482,17 @@ def _lang_sql() -> str:
     total = " + ".join(f"h_{l}" for l in LANGS)
     top = "greatest(" + ", ".join(f"h_{l}" for l in LANGS) + ")"
     return with_fixtures(["ocr_text"], "") + f""",
-tk AS (SELECT doc_id, text, lang, regexp_extract_all(lower(substr(text, 1, 500)), '\\p{{L}}+') AS tok FROM ocr_text),
-hh AS (SELECT doc_id, text, lang,
+tk AS (SELECT doc_id, text, lang, regexp_extract_all(lower(text), '\\p{{L}}+') AS tok FROM ocr_text),
+hh AS (SELECT doc_id, text, lang, len(tok) AS n_tok,
 {hits}
        FROM tk),
 det AS (
-  SELECT doc_id, lang,
+  SELECT doc_id, lang, n_tok,
          CASE WHEN text IS NULL OR regexp_replace(text, '\\s+', '', 'g') = '' OR ({total}) = 0 THEN NULL ELSE {best} END AS detected,
          CAST({top} AS INTEGER) AS hits, CAST({total} AS INTEGER) AS total_hits,
          CASE WHEN ({total}) > 0 THEN {top} / ({total}) ELSE 0.0 END AS score
   FROM hh),
-dl AS (SELECT *, coalesce(CASE WHEN score >= 0.5 AND length(detected) = 2 THEN lower(detected) END, 'xx') AS lang_code FROM det)"""
+dl AS (SELECT *, coalesce(CASE WHEN score >= 0.5 AND hits >= 2 AND 50 * hits >= n_tok AND length(detected) = 2 THEN lower(detected) END, 'xx') AS lang_code FROM det)"""
 
 
 NUM_RE = "\\b\\d{1,3}(?:[ ,]\\d{3})*(?:\\.\\d+)?\\b"
@@ -548,8 +582,6 @@ def _rx(s: str) -> str:
 
 
 def _inv_no(t: str) -> str:
-    from paperlane.operators.extract import label_regex
-
     pats = [label_regex(l) for l in vocab.INVOICE_NUMBER_LABELS]
     pats.append(r"(?i)\binvoice\s*no\s*[:#]\s*([A-Za-z0-9/\-]*[0-9][A-Za-z0-9/\-]*)")
     found = "coalesce(" + ", ".join(f"nullif(regexp_extract({t}, {_rx(p)}, 1), '')" for p in pats) + ")"
@@ -563,20 +595,25 @@ def _norm_date(v: str) -> str:
 
 
 def _inv_date(t: str) -> str:
-    from paperlane.operators.extract import DATE_VALUE
-
     return _norm_date(f"regexp_extract({t}, {_rx(DATE_VALUE)}, 1)")
 
 
 def _amount(t: str, labels) -> str:
-    pat = r"(?i)\b(?:" + "|".join(l.replace(" ", r"\s+") for l in labels) + r")\s*[:.]?\s*(-?[0-9][0-9,]*(?:\.[0-9]+)?)"
-    raw = f"replace(regexp_extract({t}, {_rx(pat)}, 1), ',', '')"
-    return f"CASE WHEN {raw} = '' THEN NULL ELSE TRY_CAST({raw} AS DECIMAL(18,2)) END"
+    """Label by label, the first value that neither ``%`` nor a word in small letters follows."""
+    found = []
+    for label in labels:
+        pat = (r"\b(?i:" + label.replace(" ", r"\s+") + r")\s*(?:[0-9]+(?:[.,][0-9]+)?\s*%)?\s*[:.]?\s*"
+               r"(-?[0-9](?:[0-9.,]*[0-9])?)([ \t]*(?:%|[a-z]+))?")
+        v, w = (f"regexp_extract_all({t}, {_rx(pat)}, {g})" for g in (1, 2))
+        found.append(f"list_extract(list_filter(list_transform(range(1, len({v}) + 1), lambda i: "
+                     f"CASE WHEN coalesce({w}[i], '') = '' THEN {v}[i] END), lambda x: x IS NOT NULL), 1)")
+    raw = "coalesce(" + ", ".join(found) + ")"
+    return (f"TRY_CAST(CASE WHEN regexp_full_match({raw}, '-?[0-9.]*,[0-9]{{1,2}}') THEN replace(replace({raw}, '.', ''), ',', '.') "
+            f"WHEN regexp_full_match({raw}, '-?[0-9]{{1,3}}([.][0-9]{{3}}){{2,}}') THEN replace({raw}, '.', '') "
+            f"ELSE replace({raw}, ',', '') END AS DECIMAL(18,2))")
 
 
 def _currency(t: str) -> str:
-    from paperlane.operators.extract import CURRENCY_SYMBOLS
-
     code = f"regexp_extract({t}, {_rx(r'(?i)\bcurrency\s*[:.]?\s*([A-Za-z]{3})\b')}, 1)"
     sym = "CASE " + " ".join(f"WHEN contains({t}, {_q(s)}) THEN {_q(c)}" for s, c in CURRENCY_SYMBOLS) + " ELSE '' END"
     return f"CASE WHEN {code} <> '' THEN upper({code}) ELSE {sym} END"
@@ -626,12 +663,9 @@ CATEGORY_CASE = None
 
 
 def extract_sql() -> dict[str, str]:
-    from paperlane.sources.fixtures import CATEGORY_BY_PTYPE
-
     out = {}
     it = with_fixtures(["invoice_text"], "")
     out["extract_baseline"] = it + f"\nSELECT doc_id, {_inv_no('text')} AS invoiceNumber, {_inv_date('text')} AS invoiceDate FROM invoice_text"
-    from paperlane.operators.extract import DATE_VALUE
     out["normalize_invoice_date"] = it + f"""
 SELECT doc_id, raw_date, {_norm_date('raw_date')} AS invoiceDate
 FROM (SELECT doc_id, regexp_extract(text, {_rx(DATE_VALUE)}, 1) AS raw_date FROM invoice_text)"""
@@ -692,17 +726,15 @@ SELECT doc_id, coalesce(b.buyerName, '') AS buyerName FROM inv LEFT JOIN b ON {n
 
 
 def _classify_cte(src: str) -> str:
-    from paperlane.operators.classify import AMOUNT_LABELS, VENDOR_LINE
-
     kind = "CASE " + " ".join(
         f"WHEN regexp_matches(p, {_rx(r'(?i)\b' + k.replace(' ', chr(92) + 's+') + r'\b')}) THEN {_q(k)}"
         for k in vocab.NON_INVOICE_KINDS) + " END"
     return f""",
-c0 AS (SELECT doc_id, substr(text, 1, 4000) AS p FROM {src}),
+c0 AS (SELECT doc_id, text AS p FROM {src}),
 c1 AS (SELECT doc_id, {_inv_no('p')} AS detected_invoice_number, regexp_extract(p, {_rx(VENDOR_LINE)}, 1) AS detected_vendor,
               {_inv_date('p')} <> '' AS has_date, ({_amount('p', AMOUNT_LABELS)}) IS NOT NULL AS has_amount,
               {kind} AS doc_kind, regexp_matches(p, '(?i)\\binvoice\\b') AS mentions_invoice FROM c0),
-c2 AS (SELECT *, detected_invoice_number <> '' AND has_date AND detected_vendor <> '' AND has_amount AND doc_kind IS NULL AS is_invoice,
+c2 AS (SELECT *, detected_invoice_number <> '' AND has_date AND detected_vendor <> '' AND has_amount AS is_invoice,
               list_filter([CASE WHEN detected_invoice_number = '' THEN 'invoice number' END,
                            CASE WHEN NOT has_date THEN 'invoice date' END,
                            CASE WHEN detected_vendor = '' THEN 'vendor' END,
@@ -739,8 +771,6 @@ def _esc(x: str) -> str:
 
 
 def notify_sql() -> dict[str, str]:
-    from paperlane.operators import notify as nt
-
     base = with_fixtures(["messages", "attachments"], "") + f""",
 outcomes AS (SELECT message_id, att_id, name AS filename, reason, is_valid FROM attachments WHERE {USABLE}
              AND message_id IN (SELECT id FROM messages WHERE {WIN_ALL})),
@@ -760,7 +790,7 @@ rt AS (SELECT message_id,
         head, tail = fmt.split("{subject}")
         return f"{_q(head)} || m.subject || {_q(tail)}"
 
-    day = _q(nt.long_date(__import__('datetime').datetime(2001, 8, 1)))
+    day = _q('01 August 2001')
     name = _esc("m.sender_name")
     table = ("'<table><thead><tr><th>Attachment</th><th>Reason</th></tr></thead><tbody>' || rt.rejected_rows || "
              "'</tbody></table>'")
@@ -781,9 +811,9 @@ m AS (SELECT id AS message_id, coalesce(subject, '(no subject)') AS subject,
       FROM messages WHERE {WIN_ALL}),
 k AS (SELECT rt.*, m.subject, m.sender_name, {kind} AS kind FROM rt JOIN m USING (message_id))
 SELECT message_id, kind, valid_count, invalid_count,
-       CASE kind WHEN 'success' THEN {subj(nt.SUBJECT_SUCCESS).replace('m.subject', 'subject')}
-                 WHEN 'full_failure' THEN {subj(nt.SUBJECT_FAILURE).replace('m.subject', 'subject')}
-                 ELSE {subj(nt.SUBJECT_PARTIAL).replace('m.subject', 'subject')} END AS subject,
+       CASE kind WHEN 'success' THEN {subj(SUBJECT_SUCCESS).replace('m.subject', 'subject')}
+                 WHEN 'full_failure' THEN {subj(SUBJECT_FAILURE).replace('m.subject', 'subject')}
+                 ELSE {subj(SUBJECT_PARTIAL).replace('m.subject', 'subject')} END AS subject,
        '<html><body>' || CASE kind WHEN 'success' THEN {success.replace('m.sender_name', 'sender_name').replace('rt.', '')}
                                    WHEN 'full_failure' THEN {failure.replace('m.sender_name', 'sender_name').replace('rt.', '')}
                                    ELSE {partial.replace('m.sender_name', 'sender_name').replace('rt.', '')} END
@@ -817,13 +847,14 @@ SELECT run_id, min(logged_at) AS session_start, max(logged_at) + INTERVAL 30 MIN
 FROM s GROUP BY run_id, sid"""
     sb = with_fixtures(["source_blobs"], "")
     out["stream_new_documents"] = sb + f"""
-SELECT DISTINCT container, name FROM (
-  SELECT container, name FROM source_blobs
-  UNION ALL SELECT container, name FROM source_blobs WHERE last_modified <= TIMESTAMP '2024-01-10 06:00:00')"""
+SELECT DISTINCT container, name, last_modified FROM (
+  SELECT container, name, last_modified FROM source_blobs
+  UNION ALL SELECT container, name, last_modified FROM source_blobs WHERE last_modified <= TIMESTAMP '2024-01-10 06:00:00'
+  UNION ALL SELECT container, name, last_modified + INTERVAL 1 DAY FROM source_blobs WHERE size % 10 = 0)"""
     out["stream_skip_processed"] = (sb + path_ctes("source_blobs", out="src_paths") + "," + FIXTURES["translated_blobs"]
                                     + """
 SELECT name FROM src_paths WHERE _dir || _clean || '_en' || _suf NOT IN (SELECT name FROM translated_blobs)""")
-    allsrc = FIXTURES["source_blobs"].strip().replace(f"\n  WHERE e.ts <= {AS_OF_BLOB}", "")
+    allsrc = FIXTURES["source_blobs"].strip()
     out["stream_late_reconcile"] = "WITH " + allsrc + f"""
 SELECT name, last_modified FROM source_blobs WHERE last_modified > {AS_OF_BLOB}"""
     return out
@@ -834,7 +865,9 @@ SELECT name, last_modified FROM source_blobs WHERE last_modified > {AS_OF_BLOB}"
 def injected_sql() -> dict[str, str]:
     return {"injected_document_function": with_fixtures(["ocr_text"], "") + """
 SELECT doc_id, CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars, CAST(NULL AS VARCHAR) AS error,
-       CAST(1 AS INTEGER) AS attempts FROM ocr_text"""}
+       CAST(1 AS INTEGER) AS attempts FROM ocr_text""", "call_policy": with_fixtures(["ocr_text"], "") + """
+SELECT doc_id, CASE WHEN doc_id % 10 <> 7 THEN CAST(length(coalesce(text, '')) AS BIGINT) END AS n_chars,
+       CASE WHEN doc_id % 10 = 7 THEN 'ValueError: document refused' END AS error FROM ocr_text"""}
 
 
 
@@ -864,7 +897,7 @@ SELECT count(*) AS total, count(*) FILTER (WHERE success) AS succeeded, count(*)
 
 
 def _ocr_outcomes_sql(force: bool) -> str:
-    tb = with_fixtures(["target_blobs"], "")
+    tb = _as_of(with_fixtures(["target_blobs"], ""))
     body = tb + _reconcile_body(False) + f""",
 prim AS (SELECT doc_id, {L_COLS}, 'lookback' AS path FROM source_blobs
          WHERE last_modified >= {AS_OF_BLOB} - INTERVAL 24 HOUR AND lower(name) LIKE '%.pdf'),
@@ -911,8 +944,6 @@ SELECT 'ocr-20240110-120000-000000', 'OCRPipeline', 'workflow_completed', NULL,
 
 def _email_scan_cte() -> str:
     from paperlane.operators.classify import AMOUNT_LABELS, VENDOR_LINE
-    from paperlane.operators.language import FUNCTION_WORDS, LANGS
-
     hits = ",\n         ".join(
         f"len(list_filter(tok, lambda t: list_contains([{', '.join(_q(w) for w in FUNCTION_WORDS[l])}], t))) AS h_{l}"
         for l in LANGS)
@@ -932,20 +963,20 @@ ua AS (SELECT * EXCLUDE (is_valid, reason) FROM attachments WHERE {USABLE} AND m
 at0 AS (SELECT ua.*, coalesce(CASE WHEN ua.line_no % 2 = 1 THEN it.text ELSE d.text END, '') AS ocr_text
         FROM ua LEFT JOIN invoice_text it ON it.doc_id = ua.message_id LEFT JOIN documents d ON d.doc_id = ua.part_key),
 at1 AS (SELECT *, coalesce(name, 'attachment_' || att_id) AS filename, NOT regexp_matches(ocr_text, '\\S') AS is_empty,
-               regexp_extract_all(lower(substr(ocr_text, 1, 500)), '\\p{{L}}+') AS tok FROM at0),
+               regexp_extract_all(lower(ocr_text), '\\p{{L}}+') AS tok FROM at0),
 at2 AS (SELECT *, {hits} FROM at1),
 at3 AS (SELECT *, CASE WHEN is_empty OR ({total}) = 0 THEN NULL ELSE {best} END AS detected,
-               CASE WHEN ({total}) > 0 THEN {top} / ({total}) ELSE 0.0 END AS score FROM at2),
+               CASE WHEN ({total}) > 0 THEN {top} / ({total}) ELSE 0.0 END AS score, {top} AS hits, len(tok) AS n_tok FROM at2),
 at4 AS (SELECT *, CASE WHEN is_empty THEN NULL
-                       ELSE coalesce(CASE WHEN score >= 0.5 AND length(detected) = 2 THEN lower(detected) END, 'xx') END AS lang_code
+                       ELSE coalesce(CASE WHEN score >= 0.5 AND hits >= 2 AND 50 * hits >= n_tok AND length(detected) = 2 THEN lower(detected) END, 'xx') END AS lang_code
         FROM at3),
 at5 AS (SELECT *, CASE WHEN coalesce(lang_code, 'xx') NOT IN ('en', 'xx') THEN {tr_expr} ELSE ocr_text END AS translated_text
         FROM at4),
-at6 AS (SELECT *, substr(translated_text, 1, 4000) AS p FROM at5),
+at6 AS (SELECT *, translated_text AS p FROM at5),
 at7 AS (SELECT *, {_inv_no('p')} AS detected_invoice_number, regexp_extract(p, {_rx(VENDOR_LINE)}, 1) AS detected_vendor,
                {_inv_date('p')} <> '' AS has_date, ({_amount('p', AMOUNT_LABELS)}) IS NOT NULL AS has_amount,
                {kind} AS doc_kind FROM at6),
-at8 AS (SELECT *, detected_invoice_number <> '' AND has_date AND detected_vendor <> '' AND has_amount AND doc_kind IS NULL AS is_invoice,
+at8 AS (SELECT *, detected_invoice_number <> '' AND has_date AND detected_vendor <> '' AND has_amount AS is_invoice,
                list_filter([CASE WHEN detected_invoice_number = '' THEN 'invoice number' END,
                             CASE WHEN NOT has_date THEN 'invoice date' END,
                             CASE WHEN detected_vendor = '' THEN 'vendor' END,
@@ -1038,10 +1069,15 @@ res AS (
   SELECT name, true, target_name, json_name, NULL, true, NULL, NULL, NULL, NULL, NULL
   FROM s WHERE target_name IN (SELECT name FROM translated_blobs))""")
     out["translate_batch_results"] = base + "\nSELECT * FROM res"
-    out["write_extraction_json"] = base + """
-SELECT json_blob AS name,
-       '{"invoiceNumber":' || to_json(invoiceNumber) || ',"invoiceDate":' || to_json(invoiceDate) ||
-       ',"doctype":' || to_json(doctype) || ',"currency":' || to_json(currency) || '}' AS json
+    parts = {f: f"'\"{f}\":' || to_json({f})" for f in (
+        "invoiceNumber", "invoiceDate", "purchaseOrderNumber", "currency", "vendorNumber", "Bank_Account_Number",
+        "Global_Bank_Identifier", "invoiceType", "doctype")}
+    parts |= {f: f"'\"{f}\":' || CAST({f} AS VARCHAR)" for f in ("totalInvoiceAmount", "taxAmount")}
+    out["write_extraction_json"] = base.replace("det.currency END AS currency\n", "det.currency END AS currency,\n" + ", ".join(
+        f"det.{f}" for f in ("purchaseOrderNumber", "vendorNumber", "totalInvoiceAmount", "taxAmount", "Bank_Account_Number",
+                             "Global_Bank_Identifier")) + "\n").replace(
+        "NULL, true, NULL, NULL, NULL, NULL, NULL\n", "NULL, true, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL\n") + f"""
+SELECT json_blob AS name, '{{' || concat_ws(',', {", ".join(parts[f] for f in EXTRACTED_FIELDS)}) || '}}' AS json
 FROM res WHERE success AND NOT skipped"""
     return out
 

@@ -115,13 +115,27 @@ def currency(text) -> Column:
     return F.when(code != "", F.upper(code)).otherwise(F.coalesce(sym, F.lit("")))
 
 
+def parse_amount(raw: Column) -> Column:
+    """``1,200.50``, ``1.200,50``, ``1200,5`` and ``1.200.300`` as decimals."""
+    plain = (F.when(raw.rlike(r"^-?[0-9.]*,[0-9]{1,2}$"), F.replace(F.replace(raw, F.lit("."), F.lit("")), F.lit(","), F.lit(".")))
+              .when(raw.rlike(r"^-?[0-9]{1,3}([.][0-9]{3}){2,}$"), F.replace(raw, F.lit("."), F.lit("")))
+              .otherwise(F.replace(raw, F.lit(","), F.lit(""))))
+    return plain.try_cast("decimal(18,2)")
+
+
 def amount_after(text, labels, low: Column | None = None) -> Column:
-    """Decimal amount after one of ``labels`` (thousands commas dropped)."""
-    pat = r"(?i)\b(?:" + "|".join(l.replace(" ", r"\s+") for l in labels) + r")\s*[:.]?\s*(-?[0-9][0-9,]*(?:\.[0-9]+)?)"
+    """Decimal amount after the first of ``labels`` (in that order) that has
+    one. A rate between label and value is passed over; a value that ``%`` or
+    a unit (a word in small letters) follows is no amount."""
     t = _c(text)
-    firsts = sorted({l.split()[0] for l in labels})
-    raw = F.coalesce(gated(t, firsts, F.regexp_replace(F.regexp_extract(t, pat, 1), ",", ""), low), F.lit(""))
-    return F.when(raw == "", F.lit(None).cast("decimal(18,2)")).otherwise(raw.try_cast("decimal(18,2)"))
+    found = []
+    for label in labels:
+        pat = (r"\b(?i:" + label.replace(" ", r"\s+") + r")\s*(?:[0-9]+(?:[.,][0-9]+)?\s*%)?\s*[:.]?\s*"
+               r"(-?[0-9](?:[0-9.,]*[0-9])?)([ \t]*(?:%|[a-z]+))?")
+        values, units = (F.regexp_extract_all(t, F.lit(pat), F.lit(g)) for g in (1, 2))
+        amounts = F.filter(F.arrays_zip(values.alias("v"), units.alias("u")), lambda x: x["u"] == "")
+        found.append(gated(t, [label.split()[0]], F.get(amounts, F.lit(0))["v"], low))
+    return parse_amount(F.coalesce(*found))
 
 
 def invoice_type(text, cur: Column) -> Column:
@@ -245,7 +259,7 @@ def parse_details(df: DataFrame, json_col: str = "details_json") -> DataFrame:
     """JSON -> typed struct ``d`` (a wrong-typed field becomes null, the
     rest is kept) plus the VARIANT form ``v`` for type checks."""
     return df.withColumns({"d": F.from_json(F.col(json_col), DETAILS_TYPE),
-                           "v": F.parse_json(F.col(json_col))})
+                           "v": F.try_parse_json(F.col(json_col))})
 
 
 def flatten_line_items(df: DataFrame, key: str = "doc_id", json_col: str = "details_json") -> DataFrame:
@@ -272,16 +286,18 @@ def validate_extraction(df: DataFrame, json_col: str = "details_json") -> DataFr
     v = F.col("v")
 
     def present(f):
-        return F.try_variant_get(v, f"$.{f}", "variant").isNotNull()
+        part = F.try_variant_get(v, f"$.{f}", "variant")
+        return part.isNotNull() & ~F.is_variant_null(part)
 
     def json_type(f):
         return F.schema_of_variant(F.try_variant_get(v, f"$.{f}", "variant"))
 
-    checks = []
+    # null or broken JSON breaks one rule, not the job
+    checks = [F.when(v.isNull(), F.lit("malformed_json"))]
     for f in vocab.DETAILS_REQUIRED:
         checks.append(F.when(~present(f), F.lit(f"missing:{f}")))
     for f in NUMBER_FIELDS:
-        checks.append(F.when(present(f) & (json_type(f) == "STRING"), F.lit(f"not_number:{f}")))
+        checks.append(F.when(present(f) & json_type(f).isin("STRING", "BOOLEAN"), F.lit(f"not_number:{f}")))
     checks.append(F.when(present("doctype") & ~F.col("d.doctype").isin(*vocab.DOCTYPES, "N/A"),
                          F.lit("enum:doctype")))
     checks.append(F.when(present("invoiceType") & ~F.col("d.invoiceType").isin(*vocab.INVOICE_TYPES),

@@ -14,7 +14,8 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -28,22 +29,26 @@ class CallPolicy:
     jitter: float = 0.2
     retry_on: tuple = (Exception,)
 
+    def waits(self) -> list[float]:
+        """Seconds to wait before each further attempt: ``base_delay`` times a
+        power of ``backoff``, up to ``jitter`` more, never above ``max_delay``."""
+        steps = (min(self.base_delay * self.backoff ** k, self.max_delay) for k in range(self.max_attempts - 1))
+        return [min(s * (1 + self.jitter * random.random()), self.max_delay) for s in steps]
+
     def call(self, fn: Callable, *args):
         """Returns ``(result, error, attempts)``; never raises."""
-        delay = self.base_delay
-        for attempt in range(1, self.max_attempts + 1):
+        if self.max_attempts < 1:
+            return None, "no attempt made", 0
+        error = None
+        for made, wait in enumerate([0.0, *self.waits()], start=1):
+            time.sleep(wait)
             try:
-                return fn(*args), None, attempt
-            except self.retry_on as exc:  # noqa: PERF203
-                if attempt == self.max_attempts:
-                    return None, f"{type(exc).__name__}: {exc}", attempt
-                sleep_for = min(delay + random.uniform(0, delay * self.jitter), self.max_delay)
-                if sleep_for > 0:
-                    time.sleep(sleep_for)
-                delay = min(delay * self.backoff, self.max_delay)
-            except Exception as exc:  # not retried
-                return None, f"{type(exc).__name__}: {exc}", attempt
-        return None, "no attempt made", 0
+                return fn(*args), None, made
+            except Exception as exc:  # noqa: BLE001 - every failure becomes a value
+                error = f"{type(exc).__name__}: {exc}"
+                if not isinstance(exc, self.retry_on):
+                    break
+        return None, error, made
 
 
 NO_WAIT = CallPolicy(base_delay=0.0)
@@ -81,7 +86,7 @@ def apply_document_fn(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
                     r, e, a = policy.call(call, inp.iloc[i:i + 1])
                     vals = {n: (r[n].iloc[0] if e is None and r is not None and len(r) else None) for n in out_names}
                     vals["error"] = e
-                    vals["attempts"] = a
+                    vals["attempts"] = att + a  # those of the whole batch went before
                     rows.append(vals)
                 out = pd.DataFrame(rows, columns=out_names + ["error", "attempts"])
             for c in reversed(keep):
@@ -92,8 +97,13 @@ def apply_document_fn(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
 
 
 def structured_output_schema(json_schema: dict) -> T.DataType:
-    """L3: JSON-schema (function-call ``parameters``) -> Spark type for ``from_json``."""
+    """L3: JSON-schema (function-call ``parameters``) -> Spark type for
+    ``from_json``. In a list of types ``null`` adds nothing (every field may be
+    null); several others become text."""
     t = json_schema.get("type")
+    if isinstance(t, list):
+        named = [x for x in t if x != "null"]
+        t = named[0] if len(named) == 1 else "string"
     if t == "object":
         props = json_schema.get("properties", {})
         return T.StructType([T.StructField(k, structured_output_schema(v), True) for k, v in props.items()])
@@ -101,3 +111,29 @@ def structured_output_schema(json_schema: dict) -> T.DataType:
         return T.ArrayType(structured_output_schema(json_schema.get("items", {"type": "string"})))
     return {"string": T.StringType(), "number": T.DoubleType(), "integer": T.LongType(),
             "boolean": T.BooleanType()}.get(t, T.StringType())
+
+
+def schema_violations(record: Column, json_schema: dict, at: str = "") -> list[Column]:
+    """L3: what a typed record breaks of its schema: ``missing:<path>`` for a
+    required field that is null and ``enum:<path>`` for a value outside the
+    field's list; one column each, null where all is well. Objects are followed;
+    of an array the first violation of its items is told."""
+    out = []
+    for name, rule in json_schema.get("properties", {}).items():
+        value, path = record[name], f"{at}{name}"
+        if name in json_schema.get("required", ()):
+            out.append(F.when(value.isNull(), F.lit(f"missing:{path}")))
+        if "enum" in rule:
+            listed = [x for x in rule["enum"] if x is not None]
+            out.append(F.when(~value.isin(*listed), F.lit(f"enum:{path}")))
+        if rule.get("type") == "object":
+            out += [F.when(value.isNotNull(), c) for c in schema_violations(value, rule, f"{path}.")]
+        if rule.get("type") == "array" and rule.get("items", {}).get("type") == "object":
+            out.append(F.get(F.flatten(F.transform(value, _item_check(rule["items"], f"{path}."))), F.lit(0)))
+    return out
+
+
+def _item_check(schema: dict, at: str):
+    """The violations of one array item, as an array."""
+    return lambda item: F.filter(F.array(*schema_violations(item, schema, at), F.lit(None).cast("string")),
+                                 lambda x: x.isNotNull())

@@ -138,6 +138,7 @@ def parse_lookback(raw, default: float, zero_means_default: bool = False) -> Col
     ``zero_means_default`` gives the mail scanner's ``hours or default`` rule (Q12).
     """
     c = F.col(raw) if isinstance(raw, str) else raw
-    parsed = F.when(F.trim(c) == "", F.lit(None)).otherwise(F.trim(c).try_cast("double"))
+    parsed = F.when(F.trim(c) == "", F.lit(None)).otherwise(F.when(
+        F.trim(c).rlike(r"(?i)^[+-]?(\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?$"), F.trim(c).try_cast("double")))
     bad = parsed.isNull() | (parsed == 0) if zero_means_default else parsed.isNull()
     return F.when(bad, F.lit(float(default))).otherwise(parsed)

@@ -135,9 +135,10 @@ def scan_summary(window_messages: DataFrame, outcomes: DataFrame, valid_col: str
     Both inputs are tagged and unioned, then reduced by one global aggregate
     (partial per task, one final row): no join of the two totals.
     """
-    m = window_messages.select(F.lit(True).alias("_is_msg"), F.lit(None).cast("long").alias("_mid"),
+    id_type = outcomes.schema["message_id"].dataType  # message ids are often text
+    m = window_messages.select(F.lit(True).alias("_is_msg"), F.lit(None).cast(id_type).alias("_mid"),
                                F.lit(None).cast("boolean").alias("_v"))
-    o = outcomes.select(F.lit(False).alias("_is_msg"), F.col("message_id").cast("long").alias("_mid"),
+    o = outcomes.select(F.lit(False).alias("_is_msg"), F.col("message_id").alias("_mid"),
                         F.col(valid_col).alias("_v"))
     u = m.unionByName(o)
     is_o = ~F.col("_is_msg")

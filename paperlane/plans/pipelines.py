@@ -58,7 +58,7 @@ def ocr_batch_outcomes(source: DataFrame, target: DataFrame, texts: DataFrame, l
 
 def ocr_batch_log(outcomes: DataFrame, run_id: str, as_of: dt.datetime) -> DataFrame:
     """J2 log rows: one ``ocr_completed`` / ``ocr_failed`` per file plus the final
-    ``workflow_completed`` row (always written, even when files failed)."""
+    ``workflow_completed`` row (also when files failed; an empty worklist logs nothing)."""
     ok = F.col("error").isNull()
     per_file = sk.log_rows(
         outcomes, run_id, "OCRPipeline", F.when(ok, "ocr_completed").otherwise("ocr_failed"),
@@ -66,7 +66,7 @@ def ocr_batch_log(outcomes: DataFrame, run_id: str, as_of: dt.datetime) -> DataF
         detail=F.when(ok, F.concat(F.lit("Output: "), F.col("output_name"))).otherwise(F.col("error")),
         logged_at=as_of)
     final = sk.log_rows(
-        outcomes.agg(F.count(F.lit(1)).alias("n")), run_id, "OCRPipeline", "workflow_completed", "Completed",
+        outcomes.agg(F.count(F.lit(1)).alias("n")).where("n > 0"), run_id, "OCRPipeline", "workflow_completed", "Completed",
         detail=F.format_string("Processed %d file(s).", F.col("n")), logged_at=as_of)
     return sk.union_log(per_file, final)
 
@@ -97,6 +97,7 @@ def email_scan_outcomes(messages: DataFrame, attachments: DataFrame, lookback_ho
                    .when(failed_tr, F.concat(F.lit("Processing error: "), F.col("translation_error")))
                    .otherwise(F.coalesce(F.col("reason"), F.lit(vocab.NO_REASON))),
     })
+    j = j.withColumn("lang_code", F.when(~F.coalesce(failed_tr, F.lit(False)), F.col("lang_code")))
     routed = ml.route_by_outcome(j)
     return routed.select("message_id", "att_id", "filename", "is_valid", "container", "blob_name", "lang_code",
                          "reason", "is_empty")
@@ -141,15 +142,18 @@ def email_scan_log(messages: DataFrame, outcomes: DataFrame, lookback_hours: flo
 
 
 def run_email_scan(messages: DataFrame, attachments: DataFrame, lookback_hours: float, as_of: dt.datetime, out_dir: str) -> dict[str, str]:
-    """Write outcomes once, then notifications / summary / log from the written table."""
+    """Write outcomes once, then notifications / summary / log from the written
+    table. Each run has folders of its own (a run that is repeated replaces
+    them), earlier runs stay; the log is one table."""
     spark = messages.sparkSession
-    paths = {k: f"{out_dir.rstrip('/')}/{k}" for k in ("outcomes", "notifications", "summary", "log")}
+    rid = f"email-{as_of.strftime('%Y%m%d-%H%M%S-%f')}"  # H19 format, no Spark job needed
+    paths = {k: f"{out_dir.rstrip('/')}/{k}/run_id={rid}" for k in ("outcomes", "notifications", "summary")}
+    paths["log"] = f"{out_dir.rstrip('/')}/log"
     email_scan_outcomes(messages, attachments, lookback_hours, as_of).write.mode(
         "overwrite").parquet(paths["outcomes"])
     outcomes = spark.read.parquet(paths["outcomes"])
     email_scan_notifications(messages, outcomes, as_of).write.mode("overwrite").parquet(paths["notifications"])
     email_scan_summary(messages, outcomes, lookback_hours, as_of).write.mode("overwrite").parquet(paths["summary"])
-    rid = f"email-{as_of.strftime('%Y%m%d-%H%M%S-%f')}"  # H19 format, no Spark job needed
     sk.append_process_log(email_scan_log(messages, outcomes, lookback_hours, as_of, rid), paths["log"])
     return paths
 

@@ -176,7 +176,7 @@ def q_scan_blob_listing(spark, sf):
 
 @register("lookback_filter")
 def q_lookback_filter(spark, sf):
-    return ls.lookback_filter(fx.source_blobs(spark, sf), 12, fx.AS_OF_BLOB).select(*LISTING_COLS)
+    return ls.lookback_filter(fx.source_blobs(spark, sf, fx.AS_OF_BLOB), 12, fx.AS_OF_BLOB).select(*LISTING_COLS)
 
 
 @register("pdf_filter")
@@ -186,30 +186,30 @@ def q_pdf_filter(spark, sf):
 
 @register("same_utc_day_filter")
 def q_same_utc_day_filter(spark, sf):
-    return ls.same_utc_day_filter(fx.source_blobs(spark, sf), fx.AS_OF_BLOB).select(*LISTING_COLS)
+    return ls.same_utc_day_filter(fx.source_blobs(spark, sf, fx.AS_OF_BLOB), fx.AS_OF_BLOB).select(*LISTING_COLS)
 
 
 @register("reconcile_unprocessed")
 def q_reconcile_unprocessed(spark, sf):
-    return ls.reconcile_unprocessed(fx.source_blobs(spark, sf), fx.target_blobs(spark, sf),
+    return ls.reconcile_unprocessed(fx.source_blobs(spark, sf, fx.AS_OF_BLOB), fx.target_blobs(spark, sf, fx.AS_OF_BLOB),
                                     fx.AS_OF_BLOB).select(*LISTING_COLS)
 
 
 @register("reconcile_unprocessed_normalized")
 def q_reconcile_unprocessed_normalized(spark, sf):
-    return ls.reconcile_unprocessed(fx.source_blobs(spark, sf), fx.target_blobs(spark, sf),
+    return ls.reconcile_unprocessed(fx.source_blobs(spark, sf, fx.AS_OF_BLOB), fx.target_blobs(spark, sf, fx.AS_OF_BLOB),
                                     fx.AS_OF_BLOB, normalize_keys=True).select(*LISTING_COLS)
 
 
 @register("ocr_worklist")
 def q_ocr_worklist(spark, sf):
-    return ls.ocr_worklist(fx.source_blobs(spark, sf), fx.target_blobs(spark, sf), 12,
+    return ls.ocr_worklist(fx.source_blobs(spark, sf, fx.AS_OF_BLOB), fx.target_blobs(spark, sf, fx.AS_OF_BLOB), 12,
                            fx.AS_OF_BLOB).select(*LISTING_COLS, "path")
 
 
 @register("ocr_worklist_reconcile")
 def q_ocr_worklist_reconcile(spark, sf):
-    return ls.ocr_worklist(fx.source_blobs(spark, sf), fx.target_blobs(spark, sf), 0,
+    return ls.ocr_worklist(fx.source_blobs(spark, sf, fx.AS_OF_BLOB), fx.target_blobs(spark, sf, fx.AS_OF_BLOB), 0,
                            fx.AS_OF_BLOB).select(*LISTING_COLS, "path")
 
 
@@ -659,7 +659,7 @@ def _ocr_outcomes(spark, sf, force=True):
     texts = fx.ocr_pairs(spark, sf).select(
         "doc_id", "original_text",
         F.when(F.col("doc_id") % 13 == 0, F.lit("  ")).otherwise(F.col("ocr_text")).alias("ocr_text"))
-    return pl.ocr_batch_outcomes(fx.source_blobs(spark, sf), fx.target_blobs(spark, sf), texts, 24,
+    return pl.ocr_batch_outcomes(fx.source_blobs(spark, sf, fx.AS_OF_BLOB), fx.target_blobs(spark, sf, fx.AS_OF_BLOB), texts, 24,
                                  fx.AS_OF_BLOB, force_img_processing=force)
 
 
@@ -744,9 +744,7 @@ def q_translate_exit_status(spark, sf):
 @register("write_extraction_json")
 def q_write_extraction_json(spark, sf):
     ok = _batch(spark, sf).where(F.col("success") & ~F.col("skipped"))
-    return sk.extraction_documents(ok.select("json_blob", F.from_json("extracted_json", "invoiceNumber string, "
-                                             "invoiceDate string, doctype string, currency string").alias("x")),
-                                   fields=["x.invoiceNumber", "x.invoiceDate", "x.doctype", "x.currency"])
+    return ok.select(F.col("json_blob").alias("name"), F.col("extracted_json").alias("json"))  # every extracted field
 
 
 @register("overwrite_by_key")
@@ -773,8 +771,10 @@ def q_stream_lineage_counts(spark, sf):
 def q_stream_new_documents(spark, sf):
     page1 = fx.source_blobs(spark, sf).select(*LISTING_COLS)
     page2 = fx.source_blobs(spark, sf, as_of=fx.AS_OF_BLOB.replace(hour=6)).select(*LISTING_COLS)
-    out = sj.new_documents(page1.unionByName(page2))
-    return _ntz(out, "last_modified").select("container", "name")
+    again = page1.where(F.col("size") % 10 == 0).withColumn(
+        "last_modified", F.col("last_modified") + F.expr("INTERVAL 1 DAY"))  # uploaded once more
+    out = sj.new_documents(page1.unionByName(page2).unionByName(again))
+    return _ntz(out, "last_modified").select("container", "name", "last_modified")
 
 
 @register("stream_skip_processed")
@@ -816,6 +816,24 @@ def q_injected_document_function(spark, sf):
     return inj.apply_document_fn(d, _measure_service, ["text"], schema, keep_cols=["doc_id"], policy=inj.NO_WAIT)
 
 
+def _refusing_service(batch):
+    """As :func:`_measure_service`, but it refuses documents with an id that ends in 7."""
+    if (batch["doc_id"] % 10 == 7).any():
+        raise ValueError("document refused")
+    return _measure_service(batch)
+
+
+@register("call_policy")
+def q_call_policy(spark, sf):
+    """L2 through L1: a batch that fails is tried again row by row; a refused
+    document costs its own result only."""
+    schema = T.StructType([T.StructField("n_chars", T.LongType())])
+    policy = inj.CallPolicy(max_attempts=2, base_delay=0.0)
+    out = inj.apply_document_fn(fx.ocr_text(spark, sf), _refusing_service, ["doc_id", "text"], schema,
+                                keep_cols=["doc_id"], policy=policy)
+    return out.select("doc_id", "n_chars", "error")
+
+
 # ---------------------------------------------------------------------------------------------
 # remaining inventory items under their own names
 # ---------------------------------------------------------------------------------------------
@@ -833,12 +851,9 @@ def q_scan_documents(spark, sf):
 def q_period_filter(spark, sf):
     """Rows selected by each period predicate."""
     log = fx.process_log(spark, sf)
-    parts = [log.where(lin.period_predicate(log, p, fx.AS_OF_LOG)).agg(F.count(F.lit(1)).alias("n_rows"))
-             .select(F.lit(p).alias("period"), "n_rows") for p in vocab.VALID_PERIODS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    counts = log.agg(*(F.count_if(lin.period_predicate(log, p, fx.AS_OF_LOG)).alias(p) for p in vocab.VALID_PERIODS))
+    return counts.select(F.inline(F.array(*(F.struct(F.lit(p).alias("period"), F.col(p).alias("n_rows"))
+                                            for p in vocab.VALID_PERIODS))))
 
 
 @register("response_filter_echo")

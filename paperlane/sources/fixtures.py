@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperlane import vocab
-from paperlane.sources.tables import memo_per_app, read_table
+from paperlane.sources.tables import read_table
 
 # Fixed anchors of the fixtures (never now()).
 AS_OF_LOG = dt.datetime(2024, 1, 30, 12, 0, 0)
@@ -30,7 +30,6 @@ def _case(key: Column, values) -> Column:
 
 
 # --- A1 ------------------------------------------------------------------------------
-@memo_per_app
 def process_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return process_log_from(read_table(spark, sf_dir, "events"))
 
@@ -63,9 +62,8 @@ def _doc_blob_name(doc_id: Column, lang: Column) -> Column:
     return F.concat(F.lit("source/"), _doc_blob_stem(doc_id, lang), ext)
 
 
-@memo_per_app
-def source_blobs(spark: SparkSession, sf_dir: str, as_of: dt.datetime | None = AS_OF_BLOB) -> DataFrame:
-    """Listing of the source container as it exists at ``as_of``."""
+def source_blobs(spark: SparkSession, sf_dir: str, as_of: dt.datetime | None = None) -> DataFrame:
+    """Listing of the source container, all of it or as it was at ``as_of``."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts")
     df = docs.join(ev, ev.event_id == docs.doc_id * 5, "inner").select(
@@ -82,8 +80,7 @@ def source_blobs(spark: SparkSession, sf_dir: str, as_of: dt.datetime | None = A
 
 
 # --- A3 ---------------------------------------------------------------------------------
-@memo_per_app
-def target_blobs(spark: SparkSession, sf_dir: str, as_of: dt.datetime | None = AS_OF_BLOB) -> DataFrame:
+def target_blobs(spark: SparkSession, sf_dir: str, as_of: dt.datetime | None = None) -> DataFrame:
     from paperlane.functions.naming import normalize_blob_name
 
     src = source_blobs(spark, sf_dir, as_of)
@@ -101,7 +98,6 @@ def target_blobs(spark: SparkSession, sf_dir: str, as_of: dt.datetime | None = A
 
 
 # --- A4 ------------------------------------------------------------------------------------
-@memo_per_app
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
@@ -117,7 +113,6 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@memo_per_app
 def nested_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4 in the mail server's nested shape: ``from.emailAddress.{address,name}``."""
     m = messages(spark, sf_dir)
@@ -135,7 +130,6 @@ ATTACHMENT_MIME_BY_PARTKEY = ("application/pdf", "Application/PDF; name=x", "ima
                               "application/msword", None)
 
 
-@memo_per_app
 def attachments(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     return li.select(
@@ -158,7 +152,6 @@ def attachments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- A6 ---------------------------------------------------------------------------------------
-@memo_per_app
 def ocr_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read_table(spark, sf_dir, "documents")
     return d.select("doc_id", _doc_blob_name(F.col("doc_id"), F.col("lang")).alias("filename"), "text", "lang")
@@ -175,7 +168,6 @@ def _invoice_date_text(d: Column, key: Column) -> Column:
              .otherwise(F.upper(F.date_format(d, "dd-MMM-yyyy"))))
 
 
-@memo_per_app
 def order_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vendor of an order = supplier with the lowest supplier key on its lines."""
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
@@ -185,7 +177,6 @@ def order_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "vendor_key", F.col("s_name").alias("vendor_name"))
 
 
-@memo_per_app
 def invoice_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     v = order_vendor(spark, sf_dir)
@@ -221,7 +212,6 @@ def _cents(x: Column) -> Column:
     return F.floor(x * 100 + 0.5) / 100
 
 
-@memo_per_app
 def extraction_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One structured-output JSON document per order, with planted violations.
 
@@ -283,7 +273,6 @@ def extraction_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- A9 -----------------------------------------------------------------------------------------
-@memo_per_app
 def ocr_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return d.select(
@@ -296,13 +285,11 @@ def ocr_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- A10 ------------------------------------------------------------------------------------------
-@memo_per_app
 def doc_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
 
 
 # --- names with many path shapes (documents + web page paths) -------------------------------
-@memo_per_app
 def blob_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names for the naming functions: document blob names plus the paths of
     the crawled pages (directories, trailing ``/``, no extension, ``./`` and
@@ -321,7 +308,6 @@ def blob_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.unionByName(page_names)
 
 
-@memo_per_app
 def translated_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target container of the translator: outputs that already exist."""
     from paperlane.functions.naming import json_blob_name, translated_blob_name
@@ -336,7 +322,6 @@ def translated_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.unionByName(jsons)
 
 
-@memo_per_app
 def blob_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upload log of the mail scanner: one write per attachment."""
     a = attachments(spark, sf_dir)
@@ -347,7 +332,6 @@ def blob_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "written_at", "tiebreak", "size", "att_id", "message_id")
 
 
-@memo_per_app
 def attachments_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5 with the OCR result of each attachment: odd line numbers carry the
     order's invoice text, even ones the prose document whose id is the part

@@ -6,7 +6,6 @@ are pushed into the parquet scan by Catalyst (``ReadSchema`` /
 """
 from __future__ import annotations
 
-import functools
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,28 +18,6 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def memo_per_app(fn):
-    """Memoise a DataFrame builder per Spark application and arguments.
-
-    DataFrames are immutable and lazy, so a definition can be shared; this
-    saves the file listing, footer reads and analysis of re-building the same
-    input for every query. Every action still reads and computes in full.
-    """
-    cache: dict = {}
-
-    @functools.wraps(fn)
-    def wrapper(spark: SparkSession, *args, **kwargs):
-        key = (spark.sparkContext.applicationId, id(spark), args, tuple(sorted(kwargs.items())))
-        df = cache.get(key)
-        if df is None:
-            df = cache[key] = fn(spark, *args, **kwargs)
-        return df
-
-    wrapper.cache_clear = cache.clear
-    return wrapper
-
-
-@memo_per_app
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}; expected one of {TABLES}")

@@ -38,9 +38,9 @@ def lineage_window_counts(log: DataFrame, window: str = "30 minutes", watermark:
 
 # --- K2 --------------------------------------------------------------------------------------
 def new_documents(listing: DataFrame, watermark: str = "1 day", ts: str = "last_modified",
-                  key=("container", "name")) -> DataFrame:
-    """Each blob once: duplicates of a name within the watermark are dropped
-    (a re-listed or re-uploaded blob is not processed twice)."""
+                  key=("container", "name", "last_modified")) -> DataFrame:
+    """Each upload once: a blob that is listed again within the watermark is
+    dropped, one that was uploaded again (a newer ``last_modified``) is not."""
     df = event_time(listing, ts)
     if df.isStreaming:
         return df.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(list(key))
