@@ -20,7 +20,9 @@ FUNCTION_WORDS = {
 FUNCTION_WORDS = {k: v.split() for k, v in FUNCTION_WORDS.items()}
 LANGS = tuple(FUNCTION_WORDS)
 EXTRACTED_FIELDS = ("invoiceNumber", "invoiceDate", "doctype", "invoiceType", "purchaseOrderNumber", "vendorNumber",
-                    "currency", "totalInvoiceAmount", "taxAmount", "Bank_Account_Number", "Global_Bank_Identifier")
+                    "currency", "totalInvoiceAmount", "taxAmount", "Bank_Account_Number", "Global_Bank_Identifier", "vatTaxAmount",
+                    "totalNetAmount", "taxIdentification", "receiverVATID", "taxPercentage", "vatPercentage",
+                    "withholdingPercentage", "Bank_Key", "buyerName")
 DATE_VALUE = r"(?i)\b(?:invoice|billing|issue)?\s*date\s*[:.]?\s*([0-9]{1,4}[-/][0-9A-Za-z]{1,3}[-/][0-9]{1,4})"
 VENDOR_LINE = r"(?im)^\s*(?:vendor|supplier|seller|from)\s*[:#]\s*(\S.*?)\s*$"
 AMOUNT_LABELS = ("grand total", "total amount", "amount due", "balance due", "total")
@@ -138,15 +140,32 @@ invoice_text AS (
   SELECT o.o_orderkey AS doc_id,
          concat_ws(chr(10),
            CASE WHEN o.o_orderkey % 9 = 0 THEN 'DELIVERY NOTE' WHEN o.o_orderkey % 11 = 0 THEN 'CREDIT NOTE' ELSE 'INVOICE' END,
-           CASE WHEN o.o_orderkey % 13 <> 0 THEN 'Invoice No: INV' || CAST(o.o_orderkey AS VARCHAR) END,
+           CASE WHEN o.o_orderkey % 13 <> 0 THEN CASE o.o_orderkey % 5 WHEN 1 THEN 'Invoice Number: ' WHEN 2 THEN 'Invoice # '
+                WHEN 3 THEN 'Document Number: ' WHEN 4 THEN 'Reference Number: ' ELSE 'Invoice No: ' END || 'INV' || CAST(o.o_orderkey AS VARCHAR) END,
+           CASE WHEN o.o_orderkey % 29 = 0 THEN 'Invoice Date: 31-31-2024' ELSE
            'Invoice Date: ' || CASE o.o_orderkey % 4 WHEN 0 THEN strftime(o.o_orderdate, '%d-%m-%Y')
                                    WHEN 1 THEN strftime(o.o_orderdate, '%d/%m/%Y')
                                    WHEN 2 THEN strftime(o.o_orderdate, '%Y-%m-%d')
-                                   ELSE upper(strftime(o.o_orderdate, '%d-%b-%Y')) END,
+                                   ELSE upper(strftime(o.o_orderdate, '%d-%b-%Y')) END END,
+           CASE WHEN o.o_orderkey % 31 = 0 THEN 'e-Serbest Meslek Makbuzu' WHEN o.o_orderkey % 37 = 0 THEN 'Dekont'
+                WHEN o.o_orderkey % 41 = 0 THEN 'Import goods' WHEN o.o_orderkey % 47 = 0 THEN 'NOTERLÎK E-MAKBUZU' END,
            CASE WHEN v.vendor_name IS NOT NULL THEN 'Vendor: ' || v.vendor_name END,
            CASE WHEN o.o_orderkey % 2 = 0 THEN 'PO: 45' || lpad(CAST(o.o_orderkey AS VARCHAR), 8, '0') END,
            'Currency: ' || CASE o.o_orderkey % 4 WHEN 0 THEN 'TRY' WHEN 1 THEN 'USD' WHEN 2 THEN 'EUR' ELSE 'JPY' END,
-           'Total: ' || CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) AS VARCHAR)) AS text
+           CASE WHEN o.o_orderkey % 6 = 1 THEN 'Total: 5 items' END,
+           CASE WHEN o.o_orderkey % 3 = 0 THEN 'Grand Total: ' ELSE 'Total: ' END ||
+             CASE o.o_orderkey % 5 WHEN 0 THEN replace(CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) AS VARCHAR), '.', ',')
+               WHEN 1 THEN format('{:,.2f}', CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) AS DOUBLE))
+               ELSE CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END,
+           CASE WHEN o.o_orderkey % 4 <> 3 THEN 'Net amount: ' || CAST(o.o_orderkey * 91 // 100 AS VARCHAR) || '.' || lpad(CAST(o.o_orderkey * 91 % 100 AS VARCHAR), 2, '0') END,
+           CASE WHEN o.o_orderkey % 4 = 0 THEN 'Tax ' || CAST(o.o_orderkey % 9 + 1 AS VARCHAR) || '%: ' || CAST(o.o_orderkey * 7 // 100 AS VARCHAR) || '.' || lpad(CAST(o.o_orderkey * 7 % 100 AS VARCHAR), 2, '0') END,
+           CASE WHEN o.o_orderkey % 4 = 1 THEN 'VAT (' || CAST(o.o_orderkey % 20 + 1 AS VARCHAR) || ',5%)' || chr(10) || 'VAT amount: ' || CAST(o.o_orderkey * 13 // 100 AS VARCHAR) || '.' || lpad(CAST(o.o_orderkey * 13 % 100 AS VARCHAR), 2, '0') END,
+           CASE WHEN o.o_orderkey % 8 = 2 THEN 'Withholding rate: ' || CAST(o.o_orderkey % 3 + 2 AS VARCHAR) || '%' END,
+           CASE WHEN o.o_orderkey % 3 = 1 THEN 'Vendor No: V-' || CAST(o.o_orderkey * 3 AS VARCHAR) END,
+           CASE WHEN o.o_orderkey % 3 = 2 THEN 'Account No: ' || lpad(CAST(o.o_orderkey * 17 AS VARCHAR), 12, '1') || chr(10) || 'SWIFT: BNKA'
+             || lpad(CAST(o.o_orderkey % 10000 AS VARCHAR), 4, '0') || chr(10) || 'Bank key: BK' || CAST(o.o_orderkey AS VARCHAR) END,
+           CASE WHEN o.o_orderkey % 7 = 0 THEN 'Tax ID: ' || lpad(CAST(o.o_orderkey AS VARCHAR), 10, '2') || chr(10) || 'Buyer VAT ID: TR'
+             || lpad(CAST(o.o_orderkey AS VARCHAR), 9, '3') || chr(10) || 'Buyer: Buyer ' || CAST(o.o_orderkey % 100 AS VARCHAR) END) AS text
   FROM orders o LEFT JOIN order_vendor v ON o.o_orderkey = v.l_orderkey)"""
 
 FIXTURES["ocr_pairs"] = f"""
@@ -632,6 +651,15 @@ def _inv_type(t: str, cur: str) -> str:
             f"WHEN regexp_matches({t}, {_rx(r'(?i)\bimport')}) THEN 'IMPORT' ELSE 'STANDARD' END")
 
 
+def _percent(t: str, label: str) -> str:
+    p = r"(?i)\b" + label + r"\s*(?:rate|amount)?\s*[:(]?\s*([0-9]{1,3}(?:[.,][0-9]{1,2})?)\s*%"
+    return f"TRY_CAST(replace(regexp_extract({t}, {_rx(p)}, 1), ',', '.') AS DECIMAL(9,2))"
+
+
+NEW_TEXT = ("taxIdentification", "receiverVATID", "Bank_Key", "buyerName")
+NEW_NUMBERS = ("vatTaxAmount", "totalNetAmount", "taxPercentage", "vatPercentage", "withholdingPercentage")
+
+
 def _details_cte(src: str = "invoice_text") -> str:
     po = f"regexp_extract(text, {_rx('(' + vocab.PO_NUMBER_IN_TEXT + ')')}, 1)"
     return f""",
@@ -641,7 +669,15 @@ det0 AS (
          {_amount('text', ('grand total', 'total amount', 'amount due', 'total'))} AS totalInvoiceAmount,
          {_amount('text', ('tax amount', 'tax'))} AS taxAmount,
          regexp_extract(text, {_rx(r'(?i)\b(?:account\s*(?:no\.?|number)?)\s*[:#]?\s*([0-9]{9,18})\b')}, 1) AS Bank_Account_Number,
-         regexp_extract(text, {_rx(r'(?i)\b(?:swift|bic)\s*[:#]?\s*([A-Za-z0-9]{11}|[A-Za-z0-9]{8})\b')}, 1) AS Global_Bank_Identifier
+         regexp_extract(text, {_rx(r'(?i)\b(?:swift|bic)\s*[:#]?\s*([A-Za-z0-9]{11}|[A-Za-z0-9]{8})\b')}, 1) AS Global_Bank_Identifier,
+         {_amount('text', ('vat amount', 'vat total', 'vat'))} AS vatTaxAmount,
+         {_amount('text', ('net amount', 'net total', 'subtotal'))} AS totalNetAmount,
+         regexp_extract(text, {_rx(r'(?i)\btax\s*(?:id|no\.?|number)\s*[:#]?\s*([0-9]{10,11})\b')}, 1) AS taxIdentification,
+         regexp_extract(text, {_rx(r'(?i)\b(?:buyer|customer|receiver)\s*vat\s*(?:id|no\.?)?\s*[:#]?\s*([A-Za-z0-9]{8,14})\b')}, 1) AS receiverVATID,
+         {_percent('text', 'tax')} AS taxPercentage, {_percent('text', 'vat')} AS vatPercentage,
+         {_percent('text', 'withholding')} AS withholdingPercentage,
+         regexp_extract(text, {_rx(r'(?i)\bbank\s*(?:key|code)\s*[:#]?\s*([A-Za-z0-9]{3,15})\b')}, 1) AS Bank_Key,
+         trim(regexp_extract(text, {_rx(r'(?im)^\s*(?:buyer|bill to|customer)\s*:\s*(\S[^\n]*)$')}, 1)) AS buyerName
   FROM {src}),
 det1 AS (SELECT *, {_inv_type('text', 'currency')} AS invoiceType FROM det0),
 det AS (SELECT *, CASE WHEN regexp_matches(text, '(?i)invoice') AND purchaseOrderNumber <> '' AND invoiceType <> 'RETURN' THEN 'POI'
@@ -684,7 +720,7 @@ FROM (SELECT c_custkey, CAST(c_custkey AS VARCHAR) || '0000000' AS account,
     out["extract_details_doctype"] = d + "\nSELECT doc_id, purchaseOrderNumber, doctype FROM det"
     out["extract_details_invoice_type"] = d + "\nSELECT doc_id, currency, invoiceType FROM det"
     out["extract_details_amounts_ids"] = d + ("\nSELECT doc_id, vendorNumber, totalInvoiceAmount, taxAmount, currency, "
-                                              "Bank_Account_Number, Global_Bank_Identifier FROM det")
+                                              "Bank_Account_Number, Global_Bank_Identifier, " + ", ".join(NEW_TEXT + NEW_NUMBERS) + " FROM det")
     cat = "CASE " + " ".join(f"WHEN p_type = {_q(a)} THEN {_q(b)}" for a, b in CATEGORY_BY_PTYPE) + " ELSE 'OTHER_SERVICES' END"
     out["flatten_line_items"] = f"""
 WITH li AS (
@@ -1071,12 +1107,12 @@ res AS (
     out["translate_batch_results"] = base + "\nSELECT * FROM res"
     parts = {f: f"'\"{f}\":' || to_json({f})" for f in (
         "invoiceNumber", "invoiceDate", "purchaseOrderNumber", "currency", "vendorNumber", "Bank_Account_Number",
-        "Global_Bank_Identifier", "invoiceType", "doctype")}
-    parts |= {f: f"'\"{f}\":' || CAST({f} AS VARCHAR)" for f in ("totalInvoiceAmount", "taxAmount")}
+        "Global_Bank_Identifier", "invoiceType", "doctype", *NEW_TEXT)}
+    parts |= {f: f"'\"{f}\":' || CAST({f} AS VARCHAR)" for f in ("totalInvoiceAmount", "taxAmount", *NEW_NUMBERS)}
     out["write_extraction_json"] = base.replace("det.currency END AS currency\n", "det.currency END AS currency,\n" + ", ".join(
         f"det.{f}" for f in ("purchaseOrderNumber", "vendorNumber", "totalInvoiceAmount", "taxAmount", "Bank_Account_Number",
-                             "Global_Bank_Identifier")) + "\n").replace(
-        "NULL, true, NULL, NULL, NULL, NULL, NULL\n", "NULL, true, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL\n") + f"""
+                             "Global_Bank_Identifier", *NEW_TEXT, *NEW_NUMBERS)) + "\n").replace(
+        "NULL, true, NULL, NULL, NULL, NULL, NULL\n", "NULL, true" + ", NULL" * 20 + "\n") + f"""
 SELECT json_blob AS name, '{{' || concat_ws(',', {", ".join(parts[f] for f in EXTRACTED_FIELDS)}) || '}}' AS json
 FROM res WHERE success AND NOT skipped"""
     return out

@@ -138,6 +138,12 @@ def amount_after(text, labels, low: Column | None = None) -> Column:
     return parse_amount(F.coalesce(*found))
 
 
+def percentage(text, label: str) -> Column:
+    """The rate (per cent) that follows ``label``, with ``rate`` or ``amount`` between or not."""
+    raw = F.regexp_extract(_c(text), r"(?i)\b" + label + r"\s*(?:rate|amount)?\s*[:(]?\s*([0-9]{1,3}(?:[.,][0-9]{1,2})?)\s*%", 1)
+    return F.replace(raw, F.lit(","), F.lit(".")).try_cast("decimal(9,2)")
+
+
 def invoice_type(text, cur: Column) -> Column:
     """Keyword priority RETURN > FREELANCE > RECEIPT > NOTARY > FOREIGN_CURRENCY > IMPORT > STANDARD."""
     t = _c(text)
@@ -151,7 +157,8 @@ def invoice_type(text, cur: Column) -> Column:
 
 
 def extract_details(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Doctype, invoiceType, PO / vendor numbers, amounts, currency, bank ids."""
+    """Doctype, invoiceType, PO / vendor / tax numbers, amounts, rates,
+    currency, bank ids, buyer."""
     t = F.col(text_col)
     df = df.withColumn("__low", F.lower(t))
     low = F.col("__low")
@@ -166,6 +173,16 @@ def extract_details(df: DataFrame, text_col: str = "text") -> DataFrame:
         "taxAmount": amount_after(t, ("tax amount", "tax"), low),
         "Bank_Account_Number": F.regexp_extract(t, r"(?i)\b(?:account\s*(?:no\.?|number)?)\s*[:#]?\s*([0-9]{9,18})\b", 1),
         "Global_Bank_Identifier": F.regexp_extract(t, r"(?i)\b(?:swift|bic)\s*[:#]?\s*([A-Za-z0-9]{11}|[A-Za-z0-9]{8})\b", 1),
+        "vatTaxAmount": amount_after(t, ("vat amount", "vat total", "vat"), low),
+        "totalNetAmount": amount_after(t, ("net amount", "net total", "subtotal"), low),
+        "taxIdentification": F.regexp_extract(t, r"(?i)\btax\s*(?:id|no\.?|number)\s*[:#]?\s*([0-9]{10,11})\b", 1),
+        "receiverVATID": F.regexp_extract(
+            t, r"(?i)\b(?:buyer|customer|receiver)\s*vat\s*(?:id|no\.?)?\s*[:#]?\s*([A-Za-z0-9]{8,14})\b", 1),
+        "taxPercentage": percentage(t, "tax"),
+        "vatPercentage": percentage(t, "vat"),
+        "withholdingPercentage": percentage(t, "withholding"),
+        "Bank_Key": F.regexp_extract(t, r"(?i)\bbank\s*(?:key|code)\s*[:#]?\s*([A-Za-z0-9]{3,15})\b", 1),
+        "buyerName": F.trim(F.regexp_extract(t, r"(?im)^\s*(?:buyer|bill to|customer)\s*:\s*(\S[^\n]*)$", 1)),
     })
     out = out.withColumn("invoiceType", invoice_type(t, F.col("currency")))
     has_invoice = t.rlike("(?i)invoice")
@@ -176,7 +193,9 @@ def extract_details(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 BASELINE_FIELDS = ["invoiceNumber", "invoiceDate"]
 DETAIL_FIELDS = ["doctype", "invoiceType", "purchaseOrderNumber", "vendorNumber", "currency",
-                 "totalInvoiceAmount", "taxAmount", "Bank_Account_Number", "Global_Bank_Identifier"]
+                 "totalInvoiceAmount", "taxAmount", "Bank_Account_Number", "Global_Bank_Identifier", "vatTaxAmount",
+                 "totalNetAmount", "taxIdentification", "receiverVATID", "taxPercentage", "vatPercentage",
+                 "withholdingPercentage", "Bank_Key", "buyerName"]
 
 
 def merge_extractions(baseline: DataFrame, details: DataFrame, key: str = "doc_id") -> DataFrame:

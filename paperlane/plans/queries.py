@@ -549,7 +549,9 @@ def q_extract_details_invoice_type(spark, sf):
 @register("extract_details_amounts_ids")
 def q_extract_details_amounts_ids(spark, sf):
     return _details(spark, sf).select("doc_id", "vendorNumber", "totalInvoiceAmount", "taxAmount", "currency",
-                                      "Bank_Account_Number", "Global_Bank_Identifier")
+                                      "Bank_Account_Number", "Global_Bank_Identifier", "vatTaxAmount", "totalNetAmount",
+                                      "taxIdentification", "receiverVATID", "taxPercentage", "vatPercentage",
+                                      "withholdingPercentage", "Bank_Key", "buyerName")
 
 
 @register("flatten_line_items")

@@ -177,20 +177,44 @@ def order_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "vendor_key", F.col("s_name").alias("vendor_name"))
 
 
+INVOICE_LABELS = ("Invoice No: ", "Invoice Number: ", "Invoice # ", "Document Number: ", "Reference Number: ")
+
+
+def _hundredths(n: Column) -> Column:
+    """A whole number of hundredths as text."""
+    return F.concat(F.floor(n / 100).cast("string"), F.lit("."), F.lpad((n % 100).cast("string"), 2, "0"))
+
+
 def invoice_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     v = order_vendor(spark, sf_dir)
     k = F.col("o_orderkey")
+    price = F.col("o_totalprice").cast("decimal(18,2)")
     title = F.when(k % 9 == 0, "DELIVERY NOTE").when(k % 11 == 0, "CREDIT NOTE").otherwise("INVOICE")
     lines = F.concat_ws(
         "\n",
         title,
-        F.when(k % 13 != 0, F.concat(F.lit("Invoice No: INV"), k.cast("string"))),
-        F.concat(F.lit("Invoice Date: "), _invoice_date_text(F.col("o_orderdate"), k)),
+        F.when(k % 13 != 0, F.concat(_case(k % 5, INVOICE_LABELS), F.lit("INV"), k.cast("string"))),
+        F.when(k % 29 == 0, F.lit("Invoice Date: 31-31-2024")).otherwise(
+            F.concat(F.lit("Invoice Date: "), _invoice_date_text(F.col("o_orderdate"), k))),
+        F.when(k % 31 == 0, F.lit(vocab.FREELANCE_KEYWORD)).when(k % 37 == 0, F.lit(vocab.RECEIPT_KEYWORD))
+         .when(k % 41 == 0, F.lit("Import goods")).when(k % 47 == 0, F.lit(vocab.NOTARY_KEYWORD)),
         F.when(F.col("vendor_name").isNotNull(), F.concat(F.lit("Vendor: "), F.col("vendor_name"))),
         F.when(k % 2 == 0, F.concat(F.lit("PO: 45"), F.lpad(k.cast("string"), 8, "0"))),
         F.concat(F.lit("Currency: "), _case(k % 4, CURRENCY_BY_KEY)),
-        F.concat(F.lit("Total: "), F.col("o_totalprice").cast("decimal(18,2)").cast("string")),
+        F.when(k % 6 == 1, F.lit("Total: 5 items")),
+        F.concat(F.when(k % 3 == 0, "Grand Total: ").otherwise("Total: "),
+                 F.when(k % 5 == 0, F.replace(price.cast("string"), F.lit("."), F.lit(",")))
+                  .when(k % 5 == 1, F.format_number(price, 2)).otherwise(price.cast("string"))),
+        F.when(k % 4 != 3, F.concat(F.lit("Net amount: "), _hundredths(k * 91))),
+        F.when(k % 4 == 0, F.concat(F.lit("Tax "), (k % 9 + 1).cast("string"), F.lit("%: "), _hundredths(k * 7))),
+        F.when(k % 4 == 1, F.concat(F.lit("VAT ("), (k % 20 + 1).cast("string"), F.lit(",5%)\nVAT amount: "), _hundredths(k * 13))),
+        F.when(k % 8 == 2, F.concat(F.lit("Withholding rate: "), (k % 3 + 2).cast("string"), F.lit("%"))),
+        F.when(k % 3 == 1, F.concat(F.lit("Vendor No: V-"), (k * 3).cast("string"))),
+        F.when(k % 3 == 2, F.concat(F.lit("Account No: "), F.lpad((k * 17).cast("string"), 12, "1"), F.lit("\nSWIFT: BNKA"),
+                                    F.lpad((k % 10000).cast("string"), 4, "0"), F.lit("\nBank key: BK"), k.cast("string"))),
+        F.when(k % 7 == 0, F.concat(F.lit("Tax ID: "), F.lpad(k.cast("string"), 10, "2"), F.lit("\nBuyer VAT ID: TR"),
+                                    F.lpad(k.cast("string"), 9, "3"), F.lit("\nBuyer: Buyer "), (k % 100).cast("string"))),
     )
     return o.join(v, o.o_orderkey == v.l_orderkey, "left").select(
         k.alias("doc_id"), lines.alias("text"))
