@@ -1083,10 +1083,12 @@ SELECT {rid}, 'EmailScanner', 'workflow_completed', NULL, 1, 'Completed', {ts},
 FROM outcomes"""
     tr_expr = ("array_to_string(list_transform(range(0, CAST(ceil(length(text) / 9000.0) AS BIGINT)), "
                "lambda i: '[EN]' || substr(text, CAST(i * 9000 + 1 AS BIGINT), 9000)), chr(10))")
-    base = (with_fixtures(["source_blobs", "ocr_text"], "") + path_ctes("source_blobs", out="src_paths") + ","
+    base = (with_fixtures(["source_blobs", "ocr_text", "invoice_text"], "") + path_ctes("source_blobs", out="src_paths") + ","
             + FIXTURES["translated_blobs"] + f""",
 s AS (SELECT name, _dir || _clean || '_en' || _suf AS target_name, _dir || _clean || '_en.json' AS json_name FROM src_paths),
-pay AS (SELECT filename AS name, CASE WHEN contains(filename, '_13') THEN ' ' ELSE text END AS text FROM ocr_text),
+pay AS (SELECT filename AS name, CASE WHEN contains(filename, '_13') THEN ' ' WHEN ocr_text.doc_id % 2 = 0 THEN
+          coalesce(iv.text, ocr_text.text) ELSE ocr_text.text END AS text
+        FROM ocr_text LEFT JOIN invoice_text iv ON iv.doc_id = ocr_text.doc_id),
 todo AS (SELECT s.*, pay.text FROM s LEFT JOIN pay USING (name) WHERE target_name NOT IN (SELECT name FROM translated_blobs)),
 tt AS (SELECT name AS doc_id, name, target_name, json_name,
               CASE WHEN text IS NULL THEN 'Downloaded blob is empty'
@@ -1105,6 +1107,19 @@ res AS (
   SELECT name, true, target_name, json_name, NULL, true, NULL, NULL, NULL, NULL, NULL
   FROM s WHERE target_name IN (SELECT name FROM translated_blobs))""")
     out["translate_batch_results"] = base + "\nSELECT * FROM res"
+    t_id, t_at = "'translation-20240110-120000-000000'", "TIMESTAMP '2024-01-10 12:00:00'"
+    out["translate_batch_log"] = base + f"""
+SELECT {t_id} AS run_id, 'DocTranslator' AS workflow_name,
+       CASE WHEN success THEN 'translation_completed' ELSE 'translation_failed' END AS step_name, name AS step_value,
+       1 AS item_count, CASE WHEN success THEN 'Completed' ELSE 'Failed' END AS status, {t_at} AS logged_at,
+       CASE WHEN success THEN translated_blob ELSE error END AS detail FROM res WHERE NOT skipped
+UNION ALL
+SELECT {t_id}, 'DocTranslator', 'extraction_completed', name, 1, 'Completed', {t_at}, json_blob FROM res
+WHERE success AND NOT skipped
+UNION ALL
+SELECT {t_id}, 'DocTranslator', 'workflow_completed', NULL, 1, 'Completed', {t_at},
+       format('total={{:d}} succeeded={{:d}} failed={{:d}}', count(*), count(*) FILTER (WHERE success),
+              count(*) FILTER (WHERE NOT success)) FROM res"""
     parts = {f: f"'\"{f}\":' || to_json({f})" for f in (
         "invoiceNumber", "invoiceDate", "purchaseOrderNumber", "currency", "vendorNumber", "Bank_Account_Number",
         "Global_Bank_Identifier", "invoiceType", "doctype", *NEW_TEXT)}

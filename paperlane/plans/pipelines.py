@@ -198,6 +198,25 @@ def translate_batch(source: DataFrame, existing: DataFrame, payloads: DataFrame,
     return done.unionByName(skipped)
 
 
+def translate_batch_log(results: DataFrame, run_id: str, as_of: dt.datetime) -> DataFrame:
+    """J4 log rows: per blob that was not skipped its translation step and,
+    once translated, its extraction step; then the run's ``workflow_completed``
+    row with the summary line."""
+    ok = F.col("success")
+    translation = F.struct(F.when(ok, "translation_completed").otherwise("translation_failed").alias("step"),
+                           F.when(ok, "Completed").otherwise("Failed").alias("status"),
+                           F.when(ok, F.col("translated_blob")).otherwise(F.col("error")).alias("detail"))
+    extraction = F.when(ok, F.struct(F.lit("extraction_completed").alias("step"), F.lit("Completed").alias("status"),
+                                     F.col("json_blob").alias("detail")))
+    steps = results.where(~F.col("skipped")).select("name", F.explode(F.filter(
+        F.array(translation, extraction), lambda s: s.isNotNull())).alias("s"))
+    per_blob = sk.log_rows(steps, run_id, "DocTranslator", F.col("s.step"), F.col("s.status"),
+                           step_value=F.col("name"), detail=F.col("s.detail"), logged_at=as_of)
+    final = sk.log_rows(batch_summary(results), run_id, "DocTranslator", "workflow_completed", "Completed",
+                        detail=F.col("summary"), logged_at=as_of)
+    return sk.union_log(per_blob, final)
+
+
 def batch_summary(results: DataFrame) -> DataFrame:
     """E5: total / succeeded / failed (one row) and the summary string."""
     s = results.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("success")).alias("succeeded"))

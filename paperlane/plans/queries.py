@@ -6,12 +6,14 @@ whole input tables. Column names equal those of the DuckDB twins in
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from paperlane import vocab
 from paperlane.operators import lineage as lin
+from paperlane.session import ensure_checkpoint_dir
 from paperlane.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -657,6 +659,16 @@ from paperlane.plans import pipelines as pl  # noqa: E402
 RUN_AS_OF = fx.AS_OF_BLOB
 
 
+EXTRACTED = [(f, "string" if f not in ("totalInvoiceAmount", "taxAmount", "vatTaxAmount", "totalNetAmount", "taxPercentage",
+                                       "vatPercentage", "withholdingPercentage") else "decimal(18,2)")
+             for f in ex.BASELINE_FIELDS + ex.DETAIL_FIELDS]
+
+
+def _folder(spark, tag: str) -> str:
+    """A new folder for a sink query, in the shared folder of the session."""
+    return f"{ensure_checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
 def _ocr_outcomes(spark, sf, force=True):
     texts = fx.ocr_pairs(spark, sf).select(
         "doc_id", "original_text",
@@ -677,8 +689,10 @@ def q_ocr_batch_log(spark, sf):
 
 @register("dead_letter")
 def q_dead_letter(spark, sf):
-    ok, failed = sk.split_dead_letters(_ocr_outcomes(spark, sf))
-    return failed.select("doc_id", "name", "failed_name", "error")
+    """B4, written and read again."""
+    out = _folder(spark, "dead-letters")
+    sk.write_with_dead_letters(_ocr_outcomes(spark, sf), out, "run-1")
+    return sk.read_dead_letters(spark, out).select("doc_id", "name", "failed_name", "error")
 
 
 def _scan(spark, sf):
@@ -709,7 +723,11 @@ def q_append_process_log(spark, sf):
 
 
 def _payloads(spark, sf):
-    d = fx.ocr_text(spark, sf).select(F.col("filename").alias("name"), "text")
+    """Invoices and prose, mixed; some payloads are blank."""
+    invoices = fx.invoice_text(spark, sf).select("doc_id", F.col("text").alias("invoice"))
+    d = fx.ocr_text(spark, sf).join(invoices, "doc_id", "left").select(
+        F.col("filename").alias("name"),
+        F.when(F.col("doc_id") % 2 == 0, F.coalesce("invoice", "text")).otherwise(F.col("text")).alias("text"))
     return d.withColumn("text", F.when(F.col("name").contains("_13"), F.lit(" ")).otherwise(F.col("text")))
 
 
@@ -728,6 +746,11 @@ def q_translate_batch_results(spark, sf):
                     x["currency"].alias("currency"))
 
 
+@register("translate_batch_log")
+def q_translate_batch_log(spark, sf):
+    return pl.translate_batch_log(_batch(spark, sf), "translation-20240110-120000-000000", RUN_AS_OF)
+
+
 @register("batch_summary")
 def q_batch_summary(spark, sf):
     return pl.batch_summary(_batch(spark, sf))
@@ -746,12 +769,20 @@ def q_translate_exit_status(spark, sf):
 @register("write_extraction_json")
 def q_write_extraction_json(spark, sf):
     ok = _batch(spark, sf).where(F.col("success") & ~F.col("skipped"))
-    return ok.select(F.col("json_blob").alias("name"), F.col("extracted_json").alias("json"))  # every extracted field
+    out = _folder(spark, "extraction-json")  # B3, every extracted field, written and read again
+    record = ", ".join(f"{f} {t}" for f, t in EXTRACTED)
+    rows = ok.select("json_blob", F.from_json("extracted_json", record).alias("x")).select("json_blob", "x.*")
+    sk.write_extraction_json(rows, out, "run-1")
+    return sk.read_extraction_json(spark, out)
 
 
 @register("overwrite_by_key")
 def q_overwrite_by_key(spark, sf):
-    return ls.latest_write_per_blob(fx.blob_writes(spark, sf)).select("container", "name", "written_at", "att_id")
+    """B1: two runs written one after the other, the present state read again."""
+    out, writes = _folder(spark, "blobs"), fx.blob_writes(spark, sf)
+    for run in (0, 1):
+        state = sk.overwrite_by_key(writes.where(F.col("message_id") % 2 == run), out, f"run-{run}")
+    return state.select("container", "name", "written_at", "att_id")
 
 
 # ---------------------------------------------------------------------------------------------
@@ -912,7 +943,9 @@ def q_stream_route(spark, sf):
     """K4 batch twin: the rows the routing sink writes, by container."""
     new = sj.new_documents(fx.source_blobs(spark, sf).select(*LISTING_COLS))
     todo = sj.skip_processed(new, fx.translated_blobs(spark, sf))
-    return todo.select("container", "name")
+    out = _folder(spark, "routed")
+    sj.route_sink(out)(todo.select(*LISTING_COLS), 0)
+    return spark.read.parquet(out).select("container", "name")
 
 
 @register("structured_output_schema")
