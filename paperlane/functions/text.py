@@ -1,9 +1,9 @@
 """Native text expressions: prefixes, chunks, numbers, language acceptance,
 white-space guards (H12-H16, C8, C9).
 
-Everything here is a Catalyst expression (higher-order array functions
-included), so it runs inside whole-stage code generation with no Python
-worker.
+Everything here is a Catalyst expression with no Python worker. Higher-order
+array functions (``transform``, ``filter``) are evaluated per row outside
+whole-stage code generation.
 """
 from __future__ import annotations
 

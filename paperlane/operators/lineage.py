@@ -116,7 +116,7 @@ def run_drilldown(log: DataFrame, run_id: str) -> DataFrame:
 def latest_step_per_run(log: DataFrame) -> DataFrame:
     """most recent step row per run.
 
-    ``max_by`` over a struct is a hash aggregate with a map-side partial step,
+    ``max_by`` over a struct is an aggregate with a map-side partial step,
     so a run holding a large share of the log never lands whole in one task
     (a ``row_number`` window would sort the whole run in one partition).
     """

@@ -94,27 +94,27 @@ def skip_if_exists(source: DataFrame, existing: DataFrame, target_name=nm.transl
     ``require_also`` (e.g. the JSON name) makes a row count as done only when
     both outputs exist (SURVEY Q7 option).
     """
-    src = source.withColumn("target_name", target_name(F.col("name")))
-    have = existing.select(F.col("name").alias("target_name")).distinct()
+    out = source.withColumn("target_name", target_name(F.col("name")))
+    needed = ["target_name"]
     if require_also is not None:
-        src = src.withColumn("target_json", require_also(F.col("name")))
-        have_json = existing.select(F.col("name").alias("target_json")).distinct()
-        done = src.join(have, "target_name", "left_semi").join(have_json, "target_json", "left_semi")
-        todo = src.join(done.select("name").distinct(), "name", "left_anti")
-    else:
-        done = src.join(have, "target_name", "left_semi")
-        todo = src.join(have, "target_name", "left_anti")
-    return (done.withColumn("status", F.lit("skipped"))
-            .unionByName(todo.withColumn("status", F.lit("todo"))))
+        out = out.withColumn("target_json", require_also(F.col("name")))
+        needed.append("target_json")
+    done = F.lit(True)
+    for target in needed:  # one join for each output; its right side has a row for each name at most
+        have = existing.select(F.col("name").alias(target)).distinct().withColumn(f"__{target}", F.lit(True))
+        out = out.join(have, target, "left")
+        done = done & F.col(f"__{target}").isNotNull()
+    return (out.withColumn("status", F.when(done, "skipped").otherwise("todo"))
+            .drop(*(f"__{t}" for t in needed)))
 
 
 def latest_write_per_blob(writes: DataFrame, keys=("container", "name"),
                           order=("written_at", "tiebreak")) -> DataFrame:
     """F2 / B1: last write wins per key.
 
-    Implemented as ``max(struct(order..., payload...))`` per key: a hash
-    aggregate with a map-side partial step, so a key written very often is
-    reduced before the shuffle (a ``row_number`` window would sort every write
+    Implemented as ``max(struct(order..., payload...))`` per key: an aggregate
+    (by sorting, as the struct isn't of fixed width) with a map-side partial
+    step, so a key written very often is reduced before the shuffle (a ``row_number`` window would sort every write
     of the hot key in one task).
     """
     others = [c for c in writes.columns if c not in keys and c not in order]

@@ -76,12 +76,10 @@ def run_sessions(log: DataFrame, gap: str = "30 minutes", watermark: str | None
                  ts: str = "logged_at", key: str = "run_id") -> DataFrame:
     """Activity sessions per run: events closer than ``gap`` form one session.
 
-    Sessions are merged inside each input partition before the shuffle
-    (``mergeSessionsInLocalPartition``), so a very active run is
+    Sessions are merged inside each input partition before the shuffle (a
+    setting of :data:`paperlane.session.BASE_CONF`), so a very active run is
     pre-aggregated instead of shipping all its events to one task.
     """
-    spark = log.sparkSession
-    spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     df = event_time(log, ts)
     if watermark and df.isStreaming:
         df = df.withWatermark(ts, watermark)
@@ -89,11 +87,3 @@ def run_sessions(log: DataFrame, gap: str = "30 minutes", watermark: str | None
             .agg(F.count(F.lit(1)).alias("n_events"), F.sum("item_count").cast("bigint").alias("items"))
             .select(key, F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
                     "n_events", "items"))
-
-
-def start_to_memory(df: DataFrame, name: str, checkpoint: str, mode: str = "append"):
-    """Run a streaming DataFrame to completion over what is available."""
-    q = (df.writeStream.outputMode(mode).format("memory").queryName(name)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q

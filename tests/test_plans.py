@@ -3,10 +3,11 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from paperlane.plans.queries import REGISTRY
 from tests.conftest import SF_SMALL
 
-PYTHON_ALLOWED = {"translate_documents_distributed", "injected_document_function", "classify_invoice_learned"}
+PYTHON_ALLOWED = {"translate_documents_distributed", "injected_document_function", "call_policy",
+                  "classify_invoice_learned"}
 PUSHDOWN = {
     "lineage_summary_today": "GreaterThanOrEqual(ts,2024-01-30",
     "lineage_counts_yesterday": "LessThan(ts,2024-01-30",
@@ -20,7 +21,7 @@ PUSHDOWN = {
 def plans(spark):
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # untruncated scan descriptions
     out = {}
-    for name, fn in entry.queries().items():
+    for name, fn in REGISTRY.items():
         if name == "classify_invoice_learned":  # fitting a model runs jobs while planning
             continue
         out[name] = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
@@ -41,3 +42,8 @@ def test_python_only_where_designated(plans):
 def test_filters_reach_the_scan(plans, name, needle):
     pushed = " ".join(re.findall(r"PushedFilters: \[[^\]]*\]", plans[name]))
     assert needle in pushed, pushed
+
+
+@pytest.mark.parametrize("name, most", [("skip_if_exists", 6), ("skip_if_exists_both_outputs", 10), ("period_filter", 1)])
+def test_scan_counts(plans, name, most):
+    assert plans[name].count("Scan parquet") <= most

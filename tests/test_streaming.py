@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from paperlane.sources import fixtures as fx
 from paperlane.streaming import jobs as sj
+from tests.streaming_util import start_to_memory
 from tests.conftest import SF_SMALL
 
 
@@ -20,7 +21,7 @@ def _events_stream(spark):
 def test_stream_lineage_counts_matches_batch_up_to_watermark(spark):
     d, ev = _events_stream(spark)
     stream = sj.lineage_window_counts(fx.process_log_from(ev))
-    sj.start_to_memory(stream, "k1_out", os.path.join(d, "_ckpt_k1"))
+    start_to_memory(stream, "k1_out", os.path.join(d, "_ckpt_k1"))
     got = {(r.window_start, r.step_name): r.total for r in spark.table("k1_out").collect()}
     batch = sj.lineage_window_counts(fx.process_log(spark, SF_SMALL), watermark=None)
     exp = {(r.window_start, r.step_name): r.total for r in batch.collect()}
@@ -35,7 +36,7 @@ def test_stream_lineage_counts_matches_batch_up_to_watermark(spark):
 def test_stream_sessions_match_batch(spark):
     d, ev = _events_stream(spark)
     stream = sj.run_sessions(fx.process_log_from(ev))
-    sj.start_to_memory(stream, "k6_out", os.path.join(d, "_ckpt_k6"))
+    start_to_memory(stream, "k6_out", os.path.join(d, "_ckpt_k6"))
     got = {(r.run_id, r.session_start): (r.n_events, r.items) for r in spark.table("k6_out").collect()}
     exp = {(r.run_id, r.session_start): (r.n_events, r.items)
            for r in sj.run_sessions(fx.process_log(spark, SF_SMALL), watermark=None).collect()}
