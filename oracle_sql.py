@@ -393,7 +393,8 @@ t AS (
   SELECT message_id, att_id, name,
          CASE WHEN is_valid THEN 'raw-invoices/' || regexp_replace(regexp_extract(name, '^(.*)\\.[^.]+$', 1), '_([a-zA-Z]{2})$', '') || '_en' || regexp_extract(name, '^.+(\\.[^.]+)$', 1)
               ELSE 'invalid-invoices/' || name END AS target_name
-  FROM attachments),
+  FROM (SELECT message_id, att_id, is_valid, CASE WHEN message_id % 3 = 0 THEN message_id || '-' || att_id || '-' || name
+                                                  ELSE name END AS name FROM attachments)),
 c AS (SELECT target_name, count(*) AS n_sources FROM t GROUP BY target_name HAVING count(*) > 1)
 SELECT t.message_id, t.att_id, t.name, t.target_name, c.n_sources FROM t JOIN c USING (target_name)"""
     return out
@@ -475,7 +476,7 @@ SELECT message_id, att_id,
                                || regexp_extract(name, '^.+(\\.[^.]+)$', 1)
             ELSE name END AS blob_name,
        {ct} AS content_type
-FROM outcomes"""
+FROM outcomes WHERE content_type IS NOT NULL"""
     return out
 
 

@@ -241,7 +241,9 @@ def q_latest_write_per_blob(spark, sf):
 
 @register("target_name_collisions")
 def q_target_name_collisions(spark, sf):
-    w = fx.attachments(spark, sf)
+    """most attachments are named alike; of every third message the names are its own."""
+    own = F.concat(F.col("message_id").cast("string"), F.lit("-"), F.col("att_id"), F.lit("-"), F.col("name"))
+    w = fx.attachments(spark, sf).withColumn("name", F.when(F.col("message_id") % 3 == 0, own).otherwise(F.col("name")))
     stored = F.when(F.col("is_valid"), nm.raw_invoice_blob_name("name", F.lit("en"))).otherwise(F.col("name"))
     df = w.select("message_id", "att_id", "name",
                   F.concat(F.when(F.col("is_valid"), F.lit("raw-invoices/")).otherwise(F.lit("invalid-invoices/")),
@@ -357,7 +359,9 @@ def q_route_by_outcome(spark, sf):
     o = _stand_in_outcomes(spark, sf).select(
         "message_id", "att_id", F.col("name").alias("filename"), "is_valid",
         F.lit("en").alias("lang_code"), F.col("content_type").isNull().alias("is_empty"))
-    return ml.route_by_outcome(o).select("message_id", "att_id", "container", "blob_name", "content_type")
+    out = _folder(spark, "containers")  # B2: routed, written by container and read again
+    sk.route_to_containers(ml.route_by_outcome(o), out, "run-1")
+    return spark.read.parquet(out).select("message_id", "att_id", "container", "blob_name", "content_type")
 
 
 # ---------------------------------------------------------------------------------------------
