@@ -49,11 +49,9 @@ def expression_tokens(text: str) -> list[str]:
     end, a comment end, a word that follows an operand)."""
     import re
 
-    tokens, depth = [], 0
+    tokens, depth, end = [], 0, 0
     for m in re.finditer(r"[ \t]*(?:([()])|([a-z0-9][a-z0-9.+:-]*))", text):
-        if tokens and m.start() != end:  # noqa: F821 - set at the end of the loop
-            break
-        if not tokens and m.start():
+        if m.start() != end:
             break
         t = m[1] or m[2].rstrip(".:-")
         operand = bool(tokens) and (tokens[-1] == ")" or tokens[-1] not in (*_RANK, "("))
@@ -63,7 +61,7 @@ def expression_tokens(text: str) -> list[str]:
             break
         depth += (t == "(") - (t == ")")
         tokens.append(t)
-        end = m.end()  # noqa: F841
+        end = m.end()
     return tokens
 
 
