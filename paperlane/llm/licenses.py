@@ -5,7 +5,8 @@ between two) finds the notice phrases; another over the lower-cased text finds
 identifier tags. The expression after a tag is tokenised, brought to postfix
 order by a shunting yard (``with`` binds tighter than ``and``, ``and`` than
 ``or``) and evaluated to its alternatives: sets of licences that hold
-together. A broken expression (missing operand, unbalanced parenthesis) gives
+together; one with over 64 alternatives is given as it is written. Its licences
+are its labels, at any size. A broken expression (missing operand, unbalanced parenthesis) gives
 the label ``invalid-expression`` instead of licences.
 
 Everything is local to one document: no shuffle, memory follows the longest
@@ -101,7 +102,7 @@ def postfix(tokens: list[str]) -> list[str] | None:
 def alternatives(tokens: list[str], most: int = 64) -> list[frozenset[str]] | None:
     """The sets of licences, each of which satisfies the expression (``a with
     e`` is one licence). None when it is broken or has over ``most``
-    alternatives (both are reported as invalid, never cut)."""
+    alternatives; :func:`licences` tells the two apart."""
     rpn = postfix(tokens)
     if rpn is None:
         return None
@@ -125,6 +126,32 @@ def alternatives(tokens: list[str], most: int = 64) -> list[frozenset[str]] | No
     return stack[0]
 
 
+def licences(tokens: list[str]) -> set[str] | None:
+    """All licences of an expression of any size; None when it is broken."""
+    rpn = postfix(tokens)
+    if rpn is None:
+        return None
+    stack: list[set[str]] = []
+    for t in rpn:
+        if t not in _RANK:
+            stack.append({t})
+            continue
+        b, a = stack.pop(), stack.pop()
+        if t != "with":
+            small, large = sorted((a, b), key=len)
+            large |= small
+            stack.append(large)
+        elif len(a) == len(b) == 1:
+            stack.append({f"{a.pop()} with {b.pop()}"})
+        else:
+            return None
+    return stack[0]
+
+
+def as_written(tokens: list[str]) -> str:
+    return " ".join(tokens).replace("( ", "(").replace(" )", ")")
+
+
 def scan_text(text: bytes, phrases, tags):
     """The result columns of one text; ``phrases`` and ``tags`` are automata."""
     joined = b" " + b" ".join(text.translate(ALNUM_LOWER).split()) + b" "
@@ -149,9 +176,15 @@ def scan_text(text: bytes, phrases, tags):
         tokens = expression_tokens(line.lstrip(" \t"))
         if not tokens:
             continue
-        sets = alternatives(tokens)
-        labels |= {"invalid-expression"} if sets is None else {f"spdx:{x}" for s in sets for x in s}
-        expressions.append(" or ".join(" and ".join(sorted(s)) for s in sets or []) or "invalid")
+        names = licences(tokens)
+        if names is None:
+            labels.add("invalid-expression")
+            expressions.append("invalid")
+        else:
+            labels |= {f"spdx:{x}" for x in names}
+            sets = alternatives(tokens)
+            expressions.append(as_written(tokens) if sets is None else
+                               " or ".join(" and ".join(sorted(s)) for s in sets))
         doubt = min(doubt, 1 - WEIGHTS["tag"])
     score = 0.0 if not labels else min(1.0, 1 - doubt + 0.01 * (min(len(labels), 5) - 1))
     return (n_words, n_base, first, last, ",".join(sorted(base)), ",".join(sorted(labels)), round(score, 6),

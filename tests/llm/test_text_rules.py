@@ -164,3 +164,17 @@ def test_winnowing_guarantee():
         from paperlane.llm.common import rolling
         pa, pb = (set(rolling(x, 5)[decontaminate.winnow(rolling(x, 5), 6)].tolist()) for x in (a, b))
         assert pa & pb
+
+
+def test_expressions_of_many_alternatives_are_valid(spark):
+    groups = [f"(a{i} OR b{i})" for i in range(7)]  # 128 alternatives
+    text = "SPDX-License-Identifier: "
+    rows = [(1, text + " AND ".join(groups)), (2, text + " AND ".join(groups[:6])),
+            (3, text + " AND ".join(groups) + " AND"), (4, text + " AND ".join(groups) + " WITH c")]
+    got = {r.doc_id: r for r in licenses.scan_licenses(docs(spark, rows)).collect()}
+    names = sorted(f"spdx:{x}{i}" for x in "ab" for i in range(7))
+    assert got[1].labels == ",".join(names)
+    assert got[1].expressions == [" and ".join(groups).lower()]
+    assert len(got[2].expressions[0].split(" or ")) == 64
+    assert [got[i].labels for i in (3, 4)] == ["invalid-expression"] * 2
+    assert [got[i].expressions for i in (3, 4)] == [["invalid"]] * 2
