@@ -1,7 +1,7 @@
 """The stages of ``corpus_pipeline``, each one call of an operator.
 
-All but the last return the columns of their input. Rows are chosen by id:
-rows that repeat an id stay or go together.
+All but the last return the columns of their input. Rows are chosen one by
+one: those with the same id or none are decided each by its own text.
 """
 from __future__ import annotations
 
@@ -9,20 +9,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, decontaminate, linededup, simhash, toxicity
-from .common import table
+from .common import table, written
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` less the rows whose id is in ``gone`` (``doc_id``)."""
-    gone = gone.select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone"]), "left_anti")
+#: The number of a row, which the operators take in place of its id.
+ROW = "__row"
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number for each row; written, so that it stays the same."""
+    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-rows")
+
+
+def _chosen(rows: DataFrame, numbers: DataFrame, how: str) -> DataFrame:
+    """``rows`` with (``left_semi``) or without (``left_anti``) the numbers in ``doc_id``."""
+    return rows.join(numbers.select(F.col("doc_id").alias(ROW)), ROW, how).drop(ROW)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score under one half."""
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score_documents(docs, model)
-    return _without(docs, scored.filter("score >= 0.5"))
+    rows = _numbered(docs)
+    scored = toxicity.score_documents(rows, model, id_col=ROW)
+    return _chosen(rows, scored.filter("score >= 0.5"), "left_anti")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,15 +41,21 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash group the document with the smallest id."""
-    groups = simhash.simhash_groups(docs)
-    return _without(docs, groups.filter("not (doc_id <=> component_id)"))
+    """Of each SimHash group the row with the smallest id, of equal ids the
+    first one; a row without an id only where no other has one."""
+    rows = _numbered(docs)
+    groups = simhash.simhash_groups(rows, id_col=ROW).select(F.col("doc_id").alias(ROW), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)
+    kept = (rows.select("doc_id", ROW).join(groups, ROW).groupBy("component_id").agg(F.min(order).alias("first"))
+            .select(F.col(f"first.{ROW}").alias("doc_id")))
+    return _chosen(rows, kept, "left_semi")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
-    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.filter("n_hit > 0"))
+    rows = _numbered(docs)
+    found = decontaminate.find_contamination(rows, table(spark, sf_dir, "benchmark"), id_col=ROW)
+    return _chosen(rows, found.filter("n_hit > 0"), "left_anti")
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,3 +59,19 @@ def test_pipeline(spark):
     assert gone and sum(labels.get(i, 1) == 1 for i in gone) >= 0.9 * len(gone)
     assert [n for n, _ in pipeline.STAGES] == ["toxicity", "line_dedup", "simhash_dedup", "decontamination", "byte_bpe"]
     assert decontaminate.WINDOW == 10 and simhash.MOST == 4096
+
+
+def test_stages_decide_by_row(spark):
+    from paperlane.llm import stages
+
+    from .util import docs, prose
+
+    x, y, z = prose(1, 80), prose(2, 80), prose(3, 80)
+    rows = docs(spark, [(1, x), (5, x), (0, y), (1, y), (None, x), (None, z), (None, z), (7, z)])
+    kept = stages.keep_one_of_each_group(spark, rows, SF)
+    assert kept.columns == rows.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(1, x), (0, y), (7, z)])
+    item = max((r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()), key=len)
+    rows = docs(spark, [(None, item), (None, x), (3, item), (3, y)])
+    kept = stages.drop_contaminated(spark, rows, SF)
+    assert {(r.doc_id, r.text) for r in kept.collect()} == {(None, x), (3, y)}
