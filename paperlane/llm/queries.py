@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, licenses, linededup, passages, quality, secrets, simhash, toxicity
-from .common import table
+from . import (bpe, centroids, decontaminate, language, licenses, linededup, passages, quality, resampling, secrets,
+               simhash, tokenfiles, toxicity)
+from .common import new_folder, table
 
 
 def _held_out(remainder: int, modulus: int):
@@ -80,8 +81,28 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
-REGISTRY = {f.__name__: f for f in (op1_toxicity, op2_language_id, op3_secret_scan, op4_byte_bpe, op5_simhash, op6_substring_dedup, op7_line_dedup, op8_quality_rules, op9_decontamination,
-                                       op10_license_scan)}
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = new_folder(spark, "token-files")
+    tokenfiles.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"),
+                            public_tokenizers.PATTERN, end_id=2)
+    return tokenfiles.checksums(tokenfiles.read_tokens(spark, path))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, final = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("centroid_sha256", centroids.centroid_digests(final))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+REGISTRY = {f.__name__: f for f in (
+    op1_toxicity, op2_language_id, op3_secret_scan, op4_byte_bpe, op5_simhash, op6_substring_dedup, op7_line_dedup,
+    op8_quality_rules, op9_decontamination, op10_license_scan, op11_token_files, op12_centroid_clustering,
+    op13_importance_resampling)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -105,4 +105,27 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
 FROM docs LEFT JOIN sums USING (doc_id)"""
 
 
-ORACLES = {"op3_secret_scan": _op3(), "op7_line_dedup": _OP7, "op8_quality_rules": _op8(), "op9_decontamination": _OP9}
+def _op12(k: int = 16, rounds: int = 3, dims: int = 64) -> str:
+    """Rounds of nearest centroid and floored means, written one after the other."""
+    near = """SELECT n, vec_id, v, min(struct_pack(d := list_sum(list_transform(range(1, {dims} + 1),
+        lambda i: (v[i] - w[i]) * (v[i] - w[i])))::BIGINT, c := c)) AS a FROM kept, {of} GROUP BY n, vec_id, v"""
+    parts = []
+    for r in range(rounds):
+        parts.append(f"""a{r} AS ({near.format(dims=dims, of=f"c{r}")}),
+sums{r} AS (SELECT c, i, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT a.c AS c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{r}) GROUP BY c, i),
+means{r} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS w FROM sums{r} GROUP BY c),
+c{r + 1} AS (SELECT c, coalesce(m.w, o.w) AS w FROM c{r} o LEFT JOIN means{r} m USING (c))""")
+    return f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR)) - 1 AS c, v AS w
+  FROM kept QUALIFY row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR)) <= {k}),
+{", ".join(parts)},
+final AS ({near.format(dims=dims, of=f"c{rounds}")})
+SELECT vec_id, a.c::INTEGER AS cluster, a.d AS distance, (sum(a.d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+  (sum(a.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(w, ',')) AS centroid_sha256
+FROM final JOIN c{rounds} ON c = a.c"""
+
+
+ORACLES = {"op3_secret_scan": _op3(), "op7_line_dedup": _OP7, "op8_quality_rules": _op8(), "op9_decontamination": _OP9,
+           "op12_centroid_clustering": _op12()}
