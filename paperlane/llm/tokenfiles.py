@@ -15,8 +15,8 @@ holds a wanted id and pushes the ids into the ORC scan (stripe statistics, row
 index, Bloom filter); :func:`read_span` reads a range of token places.
 
 Encoding: the tokenizers library's own model encodes each distinct pre-token
-once a task; pre-tokens come from the tokenizer's pattern. A task's table of
-them is emptied beyond :data:`KNOWN` entries. Strings of special tokens in a
+once; pre-tokens come from the tokenizer's pattern. A worker keeps a bounded
+table of those seen lately, from task to task. Strings of special tokens in a
 text are ordinary text.
 
 Scale: one shuffle, of the texts; the sort within a partition spills. Range
@@ -33,16 +33,17 @@ the input are ignored.
 from __future__ import annotations
 
 import zlib
-from itertools import chain
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import byte_characters, latin_form
 from .common import arrow_schema, ddl, id_and_text, id_type, slices
 
-KNOWN = 400_000
+#: Entries of a worker's table of pre-tokens; it holds twice as many at most.
+KNOWN = 300_000
 #: Pre-tokens of more bytes than this aren't put into the table of seen ones.
 KNOWN_BYTES = 64
 
@@ -52,8 +53,10 @@ LAYOUT = {"orc.stripe.size": str(32 << 20), "orc.create.index": "true", "orc.row
           "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "compression": "zstd"}
 
 
-class Encoder:
-    """Little-endian 32-bit ids of texts with a tokenizers byte-level BPE."""
+class Encoder(dict):
+    """Little-endian 32-bit ids of texts with a tokenizers byte-level BPE; as a
+    dict, the ids of pre-tokens seen. What has not been used for
+    :data:`KNOWN` new entries is dropped."""
 
     def __init__(self, definition: str, pattern: str):
         import re
@@ -61,32 +64,30 @@ class Encoder:
         import regex
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_str(definition).model
+        super().__init__()
+        self.tokenize = Tokenizer.from_str(definition).model.tokenize
         self.find = regex.compile(pattern).findall
         latin = latin_form(pattern)
         self.latin = latin and re.compile(latin).findall
         self.simple = re.compile("[\x00-ɏ]*").fullmatch
         self.to_chars = dict(enumerate(byte_characters()))
-        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def _ids(self, pre: str) -> bytes:
-        import struct
+    def __missing__(self, pre: str) -> bytes:
+        ids = self.older.get(pre)
+        if ids is None:
+            made = self.tokenize(pre.encode().decode("latin-1").translate(self.to_chars))
+            ids = b"".join([t.id.to_bytes(4, "little") for t in made])
+        if len(pre) <= KNOWN_BYTES:
+            self[pre] = ids
+        return ids
 
-        made = [t.id for t in self.model.tokenize(pre.encode().decode("latin-1").translate(self.to_chars))]
-        return struct.pack(f"<{len(made)}I", *made)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [(self.latin if self.latin and self.simple(t) else self.find)(t) for t in texts]
-        known = self.known
-        if len(known) > KNOWN:
-            known.clear()
-        new = set(chain.from_iterable(cut)).difference(known)
-        known.update((p, self._ids(p)) for p in new)
-        out = [b"".join(map(known.__getitem__, pre)) for pre in cut]
-        for p in new:
-            if len(p) > KNOWN_BYTES:
-                del known[p]
-        return out
+    def encode(self, text: str) -> bytes:
+        if len(self) > KNOWN:
+            self.older = dict(self)
+            self.clear()
+        pre = (self.latin if self.latin and self.simple(text) else self.find)(text)
+        return b"".join(map(self.__getitem__, pre))
 
 
 def _encoded(ordered: DataFrame, definition: str, pattern: str, end_id: int | None) -> DataFrame:
@@ -94,18 +95,22 @@ def _encoded(ordered: DataFrame, definition: str, pattern: str, end_id: int | No
     fields = [("part", "int"), ("at", "long"), ("doc_id", id_type(ordered, "doc_id")), ("n_tokens", "long"),
               ("ids", "array<int>")]
     schema = arrow_schema(fields)
-    shared = ordered.sparkSession.sparkContext.broadcast(definition)  # bounded by the vocabulary
+    # bounded by the vocabulary; a worker keeps its copy, and so the encoder put into it, from task to task
+    shared = ordered.sparkSession.sparkContext.broadcast({"definition": definition})
     end = b"" if end_id is None else end_id.to_bytes(4, "little")
 
     def run(batches):
         import numpy as np
         from pyspark import TaskContext
 
-        part, at, encoder = TaskContext.get().partitionId(), 0, Encoder(shared.value, pattern)
+        part, at, kept = TaskContext.get().partitionId(), 0, shared.value
+        if "encoder" not in kept:
+            kept["encoder"] = Encoder(kept["definition"], pattern)
+        encode = kept["encoder"].encode
         for batch in batches:
-            texts = [t.decode(errors="replace") for t in batch.column("text").to_pylist()]
-            for i, j in slices([len(t) for t in texts]):
-                made = [x + end for x in encoder.encode(texts[i:j])]
+            texts = batch.column("text")
+            for i, j in slices(pc.binary_length(texts).to_pylist()):
+                made = [encode(t.decode(errors="replace")) + end for t in texts.slice(i, j - i).to_pylist()]
                 ends = np.cumsum([0, *map(len, made)]) // 4
                 values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(made))])
                 yield pa.RecordBatch.from_arrays(

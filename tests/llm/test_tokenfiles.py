@@ -57,7 +57,17 @@ def test_ids_equal_the_library_on_any_text(library):
         pool = r.sample(pools, 2)
         texts.append("".join(r.choice([" ", "'", "\t", "\x85", chr(r.randrange(*r.choice(pool)))])
                              for _ in range(r.randrange(60))))
-    assert [list(struct.unpack(f"<{len(b) // 4}I", b)) + [2] for b in own.encode(texts)] == [library(t) for t in texts]
+    assert [list(struct.unpack(f"<{len(b) // 4}I", b)) + [2] for b in map(own.encode, texts)] == [library(t) for t in texts]
+
+
+def test_a_full_table_changes_nothing(library, monkeypatch):
+    monkeypatch.setattr(tokenfiles, "KNOWN", 50)
+    with open(FILE, encoding="utf-8") as f:
+        own = tokenfiles.Encoder(f.read(), P.PATTERN)
+    for i in range(40):
+        text = prose(i % 11, 60)
+        assert own.encode(text) + struct.pack("<I", 2) == struct.pack(f"<{len(library(text))}I", *library(text))
+    assert len(own) <= 50 + 60 and len(own.older) <= 50 + 60
 
 
 def test_edge_rows(spark, library):
