@@ -42,8 +42,8 @@ from pyspark.sql import functions as F
 from .bpe import byte_characters, latin_form
 from .common import arrow_schema, ddl, id_and_text, id_type, slices
 
-#: Entries of a worker's table of pre-tokens; it holds twice as many at most.
-KNOWN = 300_000
+#: Entries of a worker's table of pre-tokens, about 180 bytes each; it holds twice as many at most.
+KNOWN = 700_000
 #: Pre-tokens of more bytes than this aren't put into the table of seen ones.
 KNOWN_BYTES = 64
 
