@@ -168,6 +168,26 @@ invoice_text AS (
              || lpad(CAST(o.o_orderkey AS VARCHAR), 9, '3') || chr(10) || 'Buyer: Buyer ' || CAST(o.o_orderkey % 100 AS VARCHAR) END) AS text
   FROM orders o LEFT JOIN order_vendor v ON o.o_orderkey = v.l_orderkey)"""
 
+_STYLED = """CASE {k} % 5 WHEN 0 THEN replace(CAST(CAST({c} / 100.0 AS DECIMAL(18,2)) AS VARCHAR), '.', ',') WHEN 1 THEN format('{{:,.2f}}', {c} / 100.0)
+    WHEN 2 THEN translate(format('{{:,.2f}}', {c} / 100.0), ',.', '.,') ELSE CAST(CAST({c} / 100.0 AS DECIMAL(18,2)) AS VARCHAR) END"""
+FIXTURES["itemised_invoice_text"] = f"""
+item_lines AS (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY l_linenumber, l_partkey, l_suppkey, q, price, words NULLS FIRST) AS n FROM (
+    SELECT l_orderkey AS k, l_linenumber, l_partkey, l_suppkey, CAST(floor(l_quantity) AS BIGINT) AS q, CAST(floor(p_retailprice * 100 + 0.5) AS BIGINT) AS price,
+           CASE p_type WHEN 'ECONOMY' THEN 'Office cleaning service' WHEN 'SMALL' THEN 'Printing of brochures' WHEN 'MEDIUM' THEN 'Machine maintenance'
+             WHEN 'PROMO' THEN 'Advertising campaign' WHEN 'STANDARD' THEN 'Steel rods 12 mm' WHEN 'LARGE' THEN 'Freight to plant' END AS words
+    FROM lineitem JOIN part ON l_partkey = p_partkey)),
+item_tables AS (
+  SELECT k, CASE k % 7 WHEN 3 THEN 'No  Description  Qty  Unit  Unit price  Net amount' WHEN 5 THEN 'No  Description  Quantity  VAT %  Net amount'
+              ELSE 'No  Description  Qty  Unit  Unit price  VAT %  Net amount' END || chr(10) || string_agg(line, chr(10) ORDER BY n) || chr(10) || 'Payment within 30 days' AS t
+  FROM (SELECT k, n, CAST(n AS VARCHAR) || '  ' || coalesce(words, 'Consulting') || CASE WHEN (k + n) % 4 = 0 THEN chr(10) || '    as ordered' ELSE '' END || ' ' || CAST(q AS VARCHAR)
+          || CASE WHEN k % 7 = 5 THEN '' ELSE ' ' || CASE l_partkey % 3 WHEN 0 THEN 'EA' WHEN 1 THEN 'HUR' ELSE 'kg' END || ' ' || {_STYLED.format(k='k', c='price')} END
+          || CASE WHEN k % 7 = 3 THEN '' ELSE ' ' || CAST(l_partkey % 20 + 1 AS VARCHAR) || '%' END || ' ' || {_STYLED.format(k='k', c='(q * price)')}
+          || CASE WHEN (k + n) % 4 = 1 THEN chr(10) || '    as agreed' ELSE '' END AS line FROM item_lines) GROUP BY k),
+itemised_invoice_text AS (
+  SELECT doc_id, concat_ws(chr(10), i.text, CASE WHEN doc_id % 4 = 0 THEN 'VAT (8%)' || chr(10) || 'VAT amount: ' || CAST(doc_id * 11 // 100 AS VARCHAR) || '.' || lpad(CAST(doc_id * 11 % 100 AS VARCHAR), 2, '0') END, t.t) AS text
+  FROM invoice_text i LEFT JOIN item_tables t ON t.k = i.doc_id)"""
+
 FIXTURES["ocr_pairs"] = f"""
 ocr_pairs AS (
   SELECT d.doc_id, {_DOC_NAME} AS name, text AS original_text,
@@ -177,6 +197,7 @@ ocr_pairs AS (
 FIXTURE_DEPS = {
     "target_blobs": ["source_blobs"],
     "invoice_text": ["order_vendor"],
+    "itemised_invoice_text": ["invoice_text"],
 }
 
 
@@ -618,15 +639,29 @@ def _inv_date(t: str) -> str:
     return _norm_date(f"regexp_extract({t}, {_rx(DATE_VALUE)}, 1)")
 
 
+COUNT_UNITS = ("item items pc pcs piece pieces unit units line lines page pages hour hours day days box boxes pallet pallets "
+               "package packages document documents file files kg km m ea").split()
+CURRENCY_WORDS = "try tl usd eur gbp jpy euro euros dollar dollars lira pound pounds yen".split()
+
+
 def _amount(t: str, labels) -> str:
-    """Label by label, the first value that neither ``%`` nor a word in small letters follows."""
+    """Label by label: of the values on the label's line that neither ``%`` nor a count unit follows, the first
+    with a currency or decimals, else the first."""
     found = []
     for label in labels:
-        pat = (r"\b(?i:" + label.replace(" ", r"\s+") + r")\s*(?:[0-9]+(?:[.,][0-9]+)?\s*%)?\s*[:.]?\s*"
-               r"(-?[0-9](?:[0-9.,]*[0-9])?)([ \t]*(?:%|[a-z]+))?")
-        v, w = (f"regexp_extract_all({t}, {_rx(pat)}, {g})" for g in (1, 2))
-        found.append(f"list_extract(list_filter(list_transform(range(1, len({v}) + 1), lambda i: "
-                     f"CASE WHEN coalesce({w}[i], '') = '' THEN {v}[i] END), lambda x: x IS NOT NULL), 1)")
+        pat = (r"\b(?i:" + label.replace(" ", r"[ \t]+") + r")[ \t]*(?:[0-9]+(?:[.,][0-9]+)?[ \t]*%)?[ \t]*[:.]?[ \t]*"
+               r"([$€£¥₺]|[A-Z]{3}\b)?[ \t]*(-?[0-9](?:[0-9.,]*[0-9])?)[ \t]*(%|[$€£¥₺]|\p{L}+)?")
+        b, v, w = (f"regexp_extract_all({t}, {_rx(pat)}, {g})" for g in (1, 2, 3))
+        no = ", ".join(_q(x) for x in ["%", *COUNT_UNITS])
+        yes = ", ".join(_q(x) for x in [*CURRENCY_WORDS, *(c for c, _ in CURRENCY_SYMBOLS)])
+        ok = f"lower(coalesce({w}[i], '')) NOT IN ({no})"
+        marked = f"(coalesce({b}[i], '') <> '' OR lower(coalesce({w}[i], '')) IN ({yes}) OR regexp_matches({v}[i], '[.,][0-9]{{1,2}}$'))"
+
+        def first(cond: str) -> str:
+            return (f"list_extract(list_filter(list_transform(range(1, len({v}) + 1), lambda i: CASE WHEN {cond} THEN {v}[i] END), "
+                    "lambda x: x IS NOT NULL), 1)")
+
+        found += [first(f"{ok} AND {marked}"), first(ok)]
     raw = "coalesce(" + ", ".join(found) + ")"
     return (f"TRY_CAST(CASE WHEN regexp_full_match({raw}, '-?[0-9.]*,[0-9]{{1,2}}') THEN replace(replace({raw}, '.', ''), ',', '.') "
             f"WHEN regexp_full_match({raw}, '-?[0-9]{{1,3}}([.][0-9]{{3}}){{2,}}') THEN replace({raw}, '.', '') "
@@ -643,11 +678,25 @@ def _kw_rx(words) -> str:
     return r"(?i)\b(?:" + "|".join(w.replace(" ", r"\s+") for w in words) + r")\b"
 
 
+def _title(t: str) -> str:
+    """The first five lines that aren't blank."""
+    return f"regexp_extract({t}, {_rx(r'^(?:' + chr(92) + r's*[^' + chr(92) + r'n]+(?:' + chr(92) + r'n|$)){0,5}')})"
+
+
+def _title_kind(t: str) -> str:
+    head = _title(t)
+    kinds = " ".join(
+        f"WHEN regexp_matches({head}, {_rx(r'(?im)^[ \t]*(?:\p{L}+[ \t]+)?' + k.replace(' ', r'[ \t]+') + r's?[ \t]*$')}) THEN {_q(k)}"
+        for k in vocab.NON_INVOICE_KINDS)
+    return f"CASE WHEN regexp_matches({head}, {_rx(r'(?i)^\s*[^\n]*\binvoice\b')}) THEN NULL {kinds} END"
+
+
 def _inv_type(t: str, cur: str) -> str:
+    head = _title(t)
     return (f"CASE WHEN regexp_matches({t}, {_rx(_kw_rx(vocab.RETURN_KEYWORDS))}) THEN 'RETURN' "
-            f"WHEN regexp_matches({t}, {_rx('(?i)' + vocab.FREELANCE_KEYWORD.replace(' ', chr(92) + 's+'))}) THEN 'FREELANCE_INVOICE' "
-            f"WHEN regexp_matches({t}, {_rx(r'(?i)\b' + vocab.RECEIPT_KEYWORD + r'\b')}) THEN 'RECEIPT' "
-            f"WHEN contains({t}, {_q(vocab.NOTARY_KEYWORD)}) THEN 'NOTARY_E_RECEIPT' "
+            f"WHEN regexp_matches({head}, {_rx('(?i)' + vocab.FREELANCE_KEYWORD.replace(' ', chr(92) + 's+'))}) THEN 'FREELANCE_INVOICE' "
+            f"WHEN regexp_matches({head}, {_rx(r'(?i)\b' + vocab.RECEIPT_KEYWORD + r'\b')}) THEN 'RECEIPT' "
+            f"WHEN contains({head}, {_q(vocab.NOTARY_KEYWORD)}) THEN 'NOTARY_E_RECEIPT' "
             f"WHEN {cur} <> '' AND {cur} <> 'TRY' THEN 'FOREIGN_CURRENCY' "
             f"WHEN regexp_matches({t}, {_rx(r'(?i)\bimport')}) THEN 'IMPORT' ELSE 'STANDARD' END")
 
@@ -686,6 +735,115 @@ det AS (SELECT *, CASE WHEN regexp_matches(text, '(?i)invoice') AND purchaseOrde
                        ELSE 'N/A' END AS doctype FROM det1)"""
 
 
+ITEM_KEYWORDS = """
+CONSTRUCTION_ENGINEERING construction engineering architecture excavation concrete
+CONSTRUCTION_CONSULTING feasibility surveying planning
+CONSTRUCTION_INSPECTION inspection supervision
+CLEANING_FACILITY cleaning janitorial hygiene facility gardening
+PERSONNEL_LABOR labor labour workforce staffing
+PERSONNEL_GENERAL payroll recruitment personnel
+PERSONNEL_TRANSPORT shuttle commuter passenger
+TRANSPORT_FREIGHT freight shipping cargo haulage transport delivery
+PROFESSIONAL_CATERING catering meal meals canteen
+PROFESSIONAL_INTERMEDIARY brokerage commission intermediary agency
+ADVERTISING advertising advertisement campaign marketing media
+MAINTENANCE_TECHNICAL maintenance repair calibration servicing spare
+PRINTING_PUBLISHING printing brochures publishing booklet print
+MANUFACTURING_TEXTILE textile fabric sewing uniform uniforms
+HEALTHCARE_PPP hospital clinical medical healthcare
+METALS_STANDARD copper aluminium zinc lead brass
+METALS_SCRAP scrap
+METALS_RECYCLED recycled ingots
+AGRI_RAW wheat cotton wool hides
+AGRI_FORESTRY timber wood lumber pallets
+INDUSTRIAL_IRON_STEEL steel iron rebar rods
+INDUSTRIAL_OTHER_DELIVERIES machinery equipment pump valve filter"""
+ITEM_COLUMNS = ("lineNumber", "description", "category", "quantity", "unitOfMeasure", "unitPrice", "netAmount", "taxAmount",
+                "taxPercentage", "vatAmount", "vatPercentage", "withholdingPercentage")
+
+
+def _items_cte(src: str) -> str:
+    """Line items of ``src (doc_id, text)``: lines are classified, a recursion line by line builds records (a header opens a
+    table, a total closes it, a rising number opens a record, lines go to an incomplete record, up to four lines), records are
+    read from their end, in the decimal style in which quantity times price gives the amount."""
+    num, money, unit = r"-?[0-9](?:[0-9.,]*[0-9])?", r"-?[0-9][0-9.,]*[.,][0-9]{2}", r"(?: ?(\p{L}{1,4}))?"
+    rate, line, rest = r"(?: ([0-9]{1,2}(?:[.,][0-9]{1,2})?) ?%)?", r"^([0-9]{1,3})[.)]? (.+?)", r"((?: [^0-9]+)?)$"
+    full, short, lump = (_rx(x) for x in (f"{line} ({num}){unit} ({num}){rate} ({num}){rest}", f"{line} ({num}){unit}{rate} ({money}){rest}",
+                                          f"{line}{rate} ({money}){rest}"))
+    word = r"(?:(?:no|nr|line|pos|item|description|goods|service|product|qty|quantity|unit|of|measure|price|rate|vat|kdv|tax|net|total|amount)s?[.:%#]*|[%#|])"
+    only = _rx(rf"(?i)^\s*(?:{word}\s+)*{word}\s*$")
+    total = _rx(r"(?i)^\s*(?:sub\s?total|grand total|total|net total|net amount|vat amount|tax amount|amount due|balance due|vat|tax)\b")
+
+    def done(t: str, flags: str) -> str:
+        return (f"CASE WHEN contains({flags}, 'q') THEN contains({flags}, 'p') AND regexp_matches({t}, {full}) OR regexp_matches({t}, {short}) "
+                f"ELSE regexp_matches({t}, {lump}) END")
+
+    def g(a: int, b: int, c: int) -> str:
+        one = lambda shape, n: f"regexp_extract(rec, {shape}, {n})" if n else "''"
+        return f"CASE WHEN NOT hq THEN {one(lump, c)} WHEN f THEN {one(full, a)} WHEN s THEN {one(short, b)} ELSE '' END"
+
+    def number(x: str, comma: bool) -> str:
+        style = r"^-?(?:[0-9]{1,3}(?:\.[0-9]{3})+|[0-9]+)(?:,[0-9]+)?$" if comma else r"^-?(?:[0-9]{1,3}(?:,[0-9]{3})+|[0-9]+)(?:\.[0-9]+)?$"
+        plain = f"replace(replace({x}, '.', ''), ',', '.')" if comma else f"replace({x}, ',', '')"
+        return f"CASE WHEN regexp_matches({x}, {_rx(style)}) THEN TRY_CAST({plain} AS DECIMAL(18,4)) END"
+
+    def reading(c: str) -> str:
+        return (f"q{c} IS NOT NULL AND (price = '' OR p{c} IS NOT NULL) AND (amount = '' OR a{c} IS NOT NULL) AS fits{c}, "
+                f"abs(q{c} * p{c} - a{c}) <= greatest(0.02, abs(a{c}) * 0.001) AS agrees{c}")
+
+    words = ", ".join(f"({i}, '{row.split()[0]}', '{w}')" for i, row in enumerate(ITEM_KEYWORDS.strip().split("\n")) for w in row.split()[1:])
+    pick = "CASE WHEN fits1 AND coalesce(agrees1, false) THEN 1 WHEN fits2 AND coalesce(agrees2, false) THEN 2 WHEN fits1 THEN 1 ELSE 2 END"
+    return f""",
+ir AS (SELECT doc_id, {_percent('text', 'tax')} AS r_tax, {_percent('text', 'vat')} AS r_vat, {_percent('text', 'withholding')} AS r_wh FROM {src}),
+il0 AS (SELECT doc_id, unnest(ls) AS raw, generate_subscripts(ls, 1) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM {src})),
+il1 AS (SELECT *, trim(regexp_replace(regexp_replace(raw, {_rx(r'[$€£¥₺]|' + chr(92) + r'b(?:TRY|TL|USD|EUR|GBP|JPY)' + chr(92) + 'b')}, ' ', 'g'), '\\s+', ' ', 'g')) AS t,
+  regexp_matches(raw, '[0-9]') AS digits, regexp_matches(raw, '(?i)\\b(?:description|item|goods|service|product)s?\\b') AS hd,
+  regexp_matches(raw, '(?i)\\b(?:qty|quantity)\\b') AS hq, regexp_matches(raw, '(?i)\\b(?:price|rate)\\b') AS hp,
+  regexp_matches(raw, '(?i)\\b(?:amount|net|total)\\b') AS ha FROM il0),
+il2 AS MATERIALIZED (SELECT doc_id, i, t, CASE WHEN NOT digits AND (hd::INT + hq::INT + hp::INT + ha::INT >= 3
+      OR hd::INT + hq::INT + hp::INT + ha::INT >= 2 AND regexp_matches(raw, {only})) THEN 'header'
+    WHEN regexp_matches(raw, {total}) THEN 'total' WHEN regexp_matches(t, '^[0-9]{{1,3}}[.)]? \\S*\\p{{L}}') THEN 'item' ELSE 'other' END AS kind,
+  CASE WHEN hq THEN 'q' ELSE '' END || CASE WHEN hp THEN 'p' ELSE '' END || CASE WHEN ha THEN 'a' ELSE '' END || CASE WHEN regexp_matches(raw, '(?i)\\b(?:vat|kdv)\\b') THEN 'v'
+    WHEN regexp_matches(raw, '(?i)\\btax\\b') THEN 't' ELSE '' END AS cols,
+  coalesce(TRY_CAST(regexp_extract(t, '^([0-9]{{1,3}})', 1) AS INTEGER), 0) AS num, regexp_matches(raw, '^\\s+\\S') AND NOT digits AS trails FROM il1),
+st(doc_id, i, open, fresh, last, flags, complete, span, n, rec, rflags) AS (
+  SELECT doc_id, 0::BIGINT, false, false, 0, '', true, 0, 0, '', '' FROM (SELECT DISTINCT doc_id FROM il2 WHERE kind = 'header')
+  UNION ALL
+  SELECT doc_id, i, CASE act WHEN 'H' THEN true WHEN 'T' THEN false ELSE open END, CASE act WHEN 'H' THEN true WHEN 'N' THEN fresh ELSE false END,
+    CASE act WHEN 'T' THEN 0 WHEN 'B' THEN num ELSE last END, CASE act WHEN 'H' THEN cols ELSE flags END,
+    CASE act WHEN 'H' THEN true WHEN 'T' THEN true WHEN 'B' THEN {done('t', 'flags')} WHEN 'G' THEN complete OR {done("(rec || ' ' || t)", 'flags')} ELSE complete END,
+    CASE act WHEN 'H' THEN 0 WHEN 'T' THEN 0 WHEN 'B' THEN 1 WHEN 'G' THEN span + 1 ELSE span END, CASE act WHEN 'B' THEN n + 1 ELSE n END,
+    CASE act WHEN 'B' THEN t WHEN 'G' THEN rec || ' ' || t ELSE rec END, CASE act WHEN 'B' THEN flags ELSE rflags END
+  FROM (SELECT st.* EXCLUDE (i), l.i, l.t, l.num, l.cols,
+          CASE WHEN kind = 'header' THEN 'H' WHEN NOT open THEN 'N' WHEN kind = 'total' THEN 'T'
+            WHEN kind = 'item' AND (num > last AND num <= last + 10 OR fresh AND num = 1) THEN 'B'
+            WHEN n > 0 AND NOT fresh AND t <> '' AND span < 4 AND (NOT complete OR trails) THEN 'G' ELSE 'N' END AS act
+        FROM st JOIN il2 l ON l.doc_id = st.doc_id AND l.i = st.i + 1)),
+ic0 AS (SELECT doc_id, n, arg_max(rec, i) AS rec, arg_max(rflags, i) AS flags FROM st WHERE n > 0 GROUP BY doc_id, n),
+ic1 AS (SELECT *, contains(flags, 'q') AS hq, contains(flags, 'a') AS ha, contains(flags, 'p') AND regexp_matches(rec, {full}) AS f, regexp_matches(rec, {short}) AS s FROM ic0),
+ic2 AS (SELECT *, {g(1, 1, 1)} AS line, trim(({g(2, 2, 2)}) || ({g(8, 7, 5)})) AS description, CASE WHEN NOT hq THEN '1' ELSE {g(3, 3, 0)} END AS quantity,
+  upper({g(4, 4, 0)}) AS unit, CASE WHEN hq AND NOT f AND NOT ha THEN {g(7, 6, 4)} ELSE {g(5, 0, 0)} END AS price, {g(6, 5, 3)} AS rate,
+  CASE WHEN hq AND NOT f AND NOT ha THEN '' ELSE {g(7, 6, 4)} END AS amount FROM ic1),
+ic3 AS (SELECT *, {number('quantity', False)} AS q1, {number('price', False)} AS p1, {number('amount', False)} AS a1, {number('quantity', True)} AS q2,
+  {number('price', True)} AS p2, {number('amount', True)} AS a2 FROM ic2 WHERE line <> ''),
+ic4 AS (SELECT *, {reading('1')}, {reading('2')} FROM ic3),
+ic5 AS (SELECT *, {pick} AS w FROM ic4),
+ic6 AS (SELECT *, CASE w WHEN 1 THEN q1 ELSE q2 END AS q, CASE w WHEN 1 THEN p1 ELSE p2 END AS p, CASE w WHEN 1 THEN a1 ELSE a2 END AS a,
+  CASE w WHEN 1 THEN agrees1 ELSE agrees2 END AS agrees FROM ic5),
+kw(k, category, word) AS (VALUES {words}),
+cats AS (SELECT doc_id, n, arg_max(category, c * 100 - k) AS category FROM (
+  SELECT doc_id, n, kw.category, kw.k, count(*) AS c FROM (SELECT doc_id, n, unnest(regexp_split_to_array(lower(description), '[^a-z]+')) AS word FROM ic6)
+  JOIN kw USING (word) GROUP BY ALL) GROUP BY doc_id, n),
+ic7 AS (SELECT ic6.*, coalesce(category, 'OTHER_SERVICES') AS category, CAST(coalesce(a, q * p) AS DECIMAL(18,2)) AS net,
+  coalesce(CASE WHEN contains(flags, 'v') THEN TRY_CAST(replace(rate, ',', '.') AS DECIMAL(9,2)) END, r_vat, 0) AS vat,
+  coalesce(CASE WHEN contains(flags, 't') THEN TRY_CAST(replace(rate, ',', '.') AS DECIMAL(9,2)) END, r_tax) AS tax, coalesce(r_wh, 0) AS wh
+  FROM ic6 LEFT JOIN cats USING (doc_id, n) JOIN ir USING (doc_id) WHERE q IS NOT NULL AND (p IS NOT NULL OR a IS NOT NULL)),
+items AS (SELECT doc_id, n, line AS lineNumber, description, category, CAST(q AS DECIMAL(18,3)) AS quantity, unit AS unitOfMeasure,
+  coalesce(p, CASE WHEN q <> 0 THEN CAST(round(CAST(a AS DOUBLE) / CAST(q AS DOUBLE), 4) AS DECIMAL(18,4)) END) AS unitPrice, net AS netAmount,
+  CAST(net * tax * 0.01 AS DECIMAL(18,2)) AS taxAmount, CAST(tax AS DECIMAL(9,2)) AS taxPercentage, CAST(net * vat * 0.01 AS DECIMAL(18,2)) AS vatAmount,
+  CAST(vat AS DECIMAL(9,2)) AS vatPercentage, CAST(wh AS DECIMAL(9,2)) AS withholdingPercentage, agrees FROM ic7)"""
+
+
 FIXTURES["extraction_json"] = """
 extraction_json AS (
   SELECT o.o_orderkey AS doc_id,
@@ -722,6 +880,8 @@ FROM (SELECT c_custkey, CAST(c_custkey AS VARCHAR) || '0000000' AS account,
     out["extract_details_invoice_type"] = d + "\nSELECT doc_id, currency, invoiceType FROM det"
     out["extract_details_amounts_ids"] = d + ("\nSELECT doc_id, vendorNumber, totalInvoiceAmount, taxAmount, currency, "
                                               "Bank_Account_Number, Global_Bank_Identifier, " + ", ".join(NEW_TEXT + NEW_NUMBERS) + " FROM det")
+    out["extract_line_items"] = with_fixtures(["itemised_invoice_text"], "").replace("WITH ", "WITH RECURSIVE ", 1) + _items_cte(
+        "itemised_invoice_text") + f"\nSELECT doc_id, {', '.join(ITEM_COLUMNS)}, agrees FROM items"
     cat = "CASE " + " ".join(f"WHEN p_type = {_q(a)} THEN {_q(b)}" for a, b in CATEGORY_BY_PTYPE) + " ELSE 'OTHER_SERVICES' END"
     out["flatten_line_items"] = f"""
 WITH li AS (
@@ -770,8 +930,9 @@ def _classify_cte(src: str) -> str:
 c0 AS (SELECT doc_id, text AS p FROM {src}),
 c1 AS (SELECT doc_id, {_inv_no('p')} AS detected_invoice_number, regexp_extract(p, {_rx(VENDOR_LINE)}, 1) AS detected_vendor,
               {_inv_date('p')} <> '' AS has_date, ({_amount('p', AMOUNT_LABELS)}) IS NOT NULL AS has_amount,
-              {kind} AS doc_kind, regexp_matches(p, '(?i)\\binvoice\\b') AS mentions_invoice FROM c0),
-c2 AS (SELECT *, detected_invoice_number <> '' AND has_date AND detected_vendor <> '' AND has_amount AS is_invoice,
+              {_title_kind('p')} AS title_kind, coalesce({_title_kind('p')}, {kind}) AS doc_kind,
+              regexp_matches(p, '(?i)\\binvoice\\b') AS mentions_invoice FROM c0),
+c2 AS (SELECT *, detected_invoice_number <> '' AND has_date AND detected_vendor <> '' AND has_amount AND title_kind IS NULL AS is_invoice,
               list_filter([CASE WHEN detected_invoice_number = '' THEN 'invoice number' END,
                            CASE WHEN NOT has_date THEN 'invoice date' END,
                            CASE WHEN detected_vendor = '' THEN 'vendor' END,
@@ -791,7 +952,9 @@ def classify_sql() -> dict[str, str]:
     out = {}
     out["classify_invoice"] = with_fixtures(["invoice_text"], "") + _classify_cte("invoice_text") + """
 SELECT doc_id, is_invoice, confidence, reason, doc_kind, detected_vendor, detected_invoice_number FROM cls"""
-    out["classify_documents"] = with_fixtures(["ocr_text"], "") + _classify_cte("ocr_text") + """
+    out["classify_documents"] = with_fixtures(["ocr_text", "invoice_text"], "") + """,
+mixed AS (SELECT o.doc_id, CASE WHEN o.doc_id % 2 = 0 THEN coalesce(i.text, o.text) ELSE o.text END AS text
+          FROM ocr_text o LEFT JOIN invoice_text i USING (doc_id))""" + _classify_cte("mixed") + """
 SELECT doc_id, is_invoice, confidence, reason FROM cls"""
     out["classification_defaults"] = with_fixtures(["invoice_text"], "") + _classify_cte("invoice_text") + f"""
 SELECT doc_id,
@@ -980,7 +1143,6 @@ SELECT 'ocr-20240110-120000-000000', 'OCRPipeline', 'workflow_completed', NULL,
 
 
 def _email_scan_cte() -> str:
-    from paperlane.operators.classify import AMOUNT_LABELS, VENDOR_LINE
     hits = ",\n         ".join(
         f"len(list_filter(tok, lambda t: list_contains([{', '.join(_q(w) for w in FUNCTION_WORDS[l])}], t))) AS h_{l}"
         for l in LANGS)
@@ -1012,8 +1174,8 @@ at5 AS (SELECT *, CASE WHEN coalesce(lang_code, 'xx') NOT IN ('en', 'xx') THEN {
 at6 AS (SELECT *, translated_text AS p FROM at5),
 at7 AS (SELECT *, {_inv_no('p')} AS detected_invoice_number, regexp_extract(p, {_rx(VENDOR_LINE)}, 1) AS detected_vendor,
                {_inv_date('p')} <> '' AS has_date, ({_amount('p', AMOUNT_LABELS)}) IS NOT NULL AS has_amount,
-               {kind} AS doc_kind FROM at6),
-at8 AS (SELECT *, detected_invoice_number <> '' AND has_date AND detected_vendor <> '' AND has_amount AS is_invoice,
+               {_title_kind('p')} AS title_kind, coalesce({_title_kind('p')}, {kind}) AS doc_kind FROM at6),
+at8 AS (SELECT *, detected_invoice_number <> '' AND has_date AND detected_vendor <> '' AND has_amount AND title_kind IS NULL AS is_invoice,
                list_filter([CASE WHEN detected_invoice_number = '' THEN 'invoice number' END,
                             CASE WHEN NOT has_date THEN 'invoice date' END,
                             CASE WHEN detected_vendor = '' THEN 'vendor' END,
@@ -1084,12 +1246,13 @@ SELECT {rid}, 'EmailScanner', 'workflow_completed', NULL, 1, 'Completed', {ts},
 FROM outcomes"""
     tr_expr = ("array_to_string(list_transform(range(0, CAST(ceil(length(text) / 9000.0) AS BIGINT)), "
                "lambda i: '[EN]' || substr(text, CAST(i * 9000 + 1 AS BIGINT), 9000)), chr(10))")
-    base = (with_fixtures(["source_blobs", "ocr_text", "invoice_text"], "") + path_ctes("source_blobs", out="src_paths") + ","
+    base = (with_fixtures(["source_blobs", "ocr_text", "itemised_invoice_text"], "").replace("WITH ", "WITH RECURSIVE ", 1)
+            + path_ctes("source_blobs", out="src_paths") + ","
             + FIXTURES["translated_blobs"] + f""",
 s AS (SELECT name, _dir || _clean || '_en' || _suf AS target_name, _dir || _clean || '_en.json' AS json_name FROM src_paths),
 pay AS (SELECT filename AS name, CASE WHEN contains(filename, '_13') THEN ' ' WHEN ocr_text.doc_id % 2 = 0 THEN
           coalesce(iv.text, ocr_text.text) ELSE ocr_text.text END AS text
-        FROM ocr_text LEFT JOIN invoice_text iv ON iv.doc_id = ocr_text.doc_id),
+        FROM ocr_text LEFT JOIN itemised_invoice_text iv ON iv.doc_id = ocr_text.doc_id),
 todo AS (SELECT s.*, pay.text FROM s LEFT JOIN pay USING (name) WHERE target_name NOT IN (SELECT name FROM translated_blobs)),
 tt AS (SELECT name AS doc_id, name, target_name, json_name,
               CASE WHEN text IS NULL THEN 'Downloaded blob is empty'
@@ -1125,12 +1288,21 @@ SELECT {t_id}, 'DocTranslator', 'workflow_completed', NULL, 1, 'Completed', {t_a
         "invoiceNumber", "invoiceDate", "purchaseOrderNumber", "currency", "vendorNumber", "Bank_Account_Number",
         "Global_Bank_Identifier", "invoiceType", "doctype", *NEW_TEXT)}
     parts |= {f: f"'\"{f}\":' || CAST({f} AS VARCHAR)" for f in ("totalInvoiceAmount", "taxAmount", *NEW_NUMBERS)}
-    out["write_extraction_json"] = base.replace("det.currency END AS currency\n", "det.currency END AS currency,\n" + ", ".join(
+    of_item = {c: f"'\"{c}\":' || to_json({c})" if c in ("lineNumber", "description", "category", "unitOfMeasure") else f"'\"{c}\":' || CAST({c} AS VARCHAR)"
+               for c in ITEM_COLUMNS}
+    full = base.replace("det.currency END AS currency\n", "det.currency END AS currency,\n" + ", ".join(
         f"det.{f}" for f in ("purchaseOrderNumber", "vendorNumber", "totalInvoiceAmount", "taxAmount", "Bank_Account_Number",
                              "Global_Bank_Identifier", *NEW_TEXT, *NEW_NUMBERS)) + "\n").replace(
-        "NULL, true, NULL, NULL, NULL, NULL, NULL\n", "NULL, true" + ", NULL" * 20 + "\n") + f"""
-SELECT json_blob AS name, '{{' || concat_ws(',', {", ".join(parts[f] for f in EXTRACTED_FIELDS)}) || '}}' AS json
-FROM res WHERE success AND NOT skipped"""
+        "NULL, true, NULL, NULL, NULL, NULL, NULL\n", "NULL, true" + ", NULL" * 20 + "\n")
+    out["write_extraction_json"] = full + _items_cte("tt") + f""",
+lists AS (SELECT doc_id AS name, string_agg('{{' || concat_ws(',', {", ".join(of_item.values())}) || '}}', ',' ORDER BY n) AS items FROM items GROUP BY doc_id)
+SELECT json_blob AS name, '{{' || concat_ws(',', {", ".join(parts[f] for f in EXTRACTED_FIELDS)}, '"invoiceLineItems":[' || coalesce(items, '') || ']') || '}}' AS json
+FROM res LEFT JOIN lists USING (name) WHERE success AND NOT skipped"""
+    required = ("taxAmount", "vatTaxAmount", "totalInvoiceAmount", "taxPercentage", "vatPercentage")  # texts are '' where unknown
+    out["validate_batch"] = full + f""",
+v AS (SELECT name, list_filter([{", ".join(f"CASE WHEN {f} IS NULL THEN 'missing:{f}' END" for f in required)}], lambda x: x IS NOT NULL) AS vs
+      FROM res WHERE success AND NOT skipped)
+SELECT name, CAST(len(vs) AS INTEGER) AS n_violations, array_to_string(vs, ',') AS violations FROM v"""
     return out
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperlane import vocab
+from paperlane.operators.lineitems import ITEM_FIELDS, line_items
 
 
 def _c(x) -> Column:
@@ -123,18 +124,29 @@ def parse_amount(raw: Column) -> Column:
     return plain.try_cast("decimal(18,2)")
 
 
+#: What may be counted: a number before one of these is no amount.
+COUNT_UNITS = ("item", "items", "pc", "pcs", "piece", "pieces", "unit", "units", "line", "lines", "page", "pages", "hour", "hours",
+               "day", "days", "box", "boxes", "pallet", "pallets", "package", "packages", "document", "documents", "file", "files",
+               "kg", "km", "m", "ea")
+CURRENCY_WORDS = ("try", "tl", "usd", "eur", "gbp", "jpy", "euro", "euros", "dollar", "dollars", "lira", "pound", "pounds", "yen")
+
+
 def amount_after(text, labels, low: Column | None = None) -> Column:
     """Decimal amount after the first of ``labels`` (in that order) that has
-    one. A rate between label and value is passed over; a value that ``%`` or
-    a unit (a word in small letters) follows is no amount."""
+    one on its line. A rate between label and value is passed over; a value
+    that ``%`` or a count unit follows is no amount. Of several values of a
+    label the first with a currency or decimals is taken, else the first."""
     t = _c(text)
     found = []
     for label in labels:
-        pat = (r"\b(?i:" + label.replace(" ", r"\s+") + r")\s*(?:[0-9]+(?:[.,][0-9]+)?\s*%)?\s*[:.]?\s*"
-               r"(-?[0-9](?:[0-9.,]*[0-9])?)([ \t]*(?:%|[a-z]+))?")
-        values, units = (F.regexp_extract_all(t, F.lit(pat), F.lit(g)) for g in (1, 2))
-        amounts = F.filter(F.arrays_zip(values.alias("v"), units.alias("u")), lambda x: x["u"] == "")
-        found.append(gated(t, [label.split()[0]], F.get(amounts, F.lit(0))["v"], low))
+        pat = (r"\b(?i:" + label.replace(" ", r"[ \t]+") + r")[ \t]*(?:[0-9]+(?:[.,][0-9]+)?[ \t]*%)?[ \t]*[:.]?[ \t]*"
+               r"([$€£¥₺]|[A-Z]{3}\b)?[ \t]*(-?[0-9](?:[0-9.,]*[0-9])?)[ \t]*(%|[$€£¥₺]|\p{L}+)?")
+        before, values, after = (F.regexp_extract_all(t, F.lit(pat), F.lit(g)) for g in (1, 2, 3))
+        amounts = F.filter(F.arrays_zip(before.alias("b"), values.alias("v"), F.transform(after, F.lower).alias("a")),
+                           lambda x: ~x["a"].isin("%", *COUNT_UNITS))
+        marked = F.filter(amounts, lambda x: (x["b"] != "") | x["a"].isin(*CURRENCY_WORDS, *(s for s, _ in CURRENCY_SYMBOLS))
+                          | x["v"].rlike(r"[.,][0-9]{1,2}$"))
+        found.append(gated(t, [label.split()[0]], F.coalesce(F.get(marked, F.lit(0))["v"], F.get(amounts, F.lit(0))["v"]), low))
     return parse_amount(F.coalesce(*found))
 
 
@@ -144,21 +156,31 @@ def percentage(text, label: str) -> Column:
     return F.replace(raw, F.lit(","), F.lit(".")).try_cast("decimal(9,2)")
 
 
+#: The title of a document: its first lines that aren't blank.
+TITLE = r"^(?:\s*[^\n]+(?:\n|$)){0,5}"
+
+
+def title(text) -> Column:
+    return F.regexp_extract(_c(text), TITLE, 0)
+
+
 def invoice_type(text, cur: Column) -> Column:
-    """Keyword priority RETURN > FREELANCE > RECEIPT > NOTARY > FOREIGN_CURRENCY > IMPORT > STANDARD."""
+    """Keyword priority RETURN > FREELANCE > RECEIPT > NOTARY > FOREIGN_CURRENCY > IMPORT > STANDARD;
+    the freelance, receipt and notary keywords count in the title."""
     t = _c(text)
+    head = title(t)
     return (F.when(t.rlike(_kw(vocab.RETURN_KEYWORDS)), "RETURN")
-             .when(t.rlike("(?i)" + vocab.FREELANCE_KEYWORD.replace(" ", r"\s+")), "FREELANCE_INVOICE")
-             .when(t.rlike(r"(?i)\b" + vocab.RECEIPT_KEYWORD + r"\b"), "RECEIPT")
-             .when(t.contains(vocab.NOTARY_KEYWORD), "NOTARY_E_RECEIPT")
+             .when(head.rlike("(?i)" + vocab.FREELANCE_KEYWORD.replace(" ", r"\s+")), "FREELANCE_INVOICE")
+             .when(head.rlike(r"(?i)\b" + vocab.RECEIPT_KEYWORD + r"\b"), "RECEIPT")
+             .when(head.contains(vocab.NOTARY_KEYWORD), "NOTARY_E_RECEIPT")
              .when((cur != "") & (cur != vocab.HOME_CURRENCY), "FOREIGN_CURRENCY")
              .when(t.rlike(r"(?i)\bimport"), "IMPORT")
              .otherwise("STANDARD"))
 
 
 def extract_details(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Doctype, invoiceType, PO / vendor / tax numbers, amounts, rates,
-    currency, bank ids, buyer."""
+    """Doctype, invoiceType, PO / vendor / tax numbers, amounts, rates,
+    currency, bank ids, buyer, line items."""
     t = F.col(text_col)
     df = df.withColumn("__low", F.lower(t))
     low = F.col("__low")
@@ -184,7 +206,10 @@ def extract_details(df: DataFrame, text_col: str = "text") -> DataFrame:
         "Bank_Key": F.regexp_extract(t, r"(?i)\bbank\s*(?:key|code)\s*[:#]?\s*([A-Za-z0-9]{3,15})\b", 1),
         "buyerName": F.trim(F.regexp_extract(t, r"(?im)^\s*(?:buyer|bill to|customer)\s*:\s*(\S[^\n]*)$", 1)),
     })
-    out = out.withColumn("invoiceType", invoice_type(t, F.col("currency")))
+    items = line_items(t, low, *(F.col(f"{k}Percentage") for k in ("tax", "vat", "withholding")))
+    out = out.withColumns({
+        "invoiceType": invoice_type(t, F.col("currency")),
+        "invoiceLineItems": F.transform(items, lambda x: F.struct(*(x[f].alias(f) for f in ITEM_FIELDS)))})
     has_invoice = t.rlike("(?i)invoice")
     not_return = F.col("invoiceType") != "RETURN"
     return out.withColumn("doctype", F.when(has_invoice & (po != "") & not_return, "POI")
@@ -195,7 +220,15 @@ BASELINE_FIELDS = ["invoiceNumber", "invoiceDate"]
 DETAIL_FIELDS = ["doctype", "invoiceType", "purchaseOrderNumber", "vendorNumber", "currency",
                  "totalInvoiceAmount", "taxAmount", "Bank_Account_Number", "Global_Bank_Identifier", "vatTaxAmount",
                  "totalNetAmount", "taxIdentification", "receiverVATID", "taxPercentage", "vatPercentage",
-                 "withholdingPercentage", "Bank_Key", "buyerName"]
+                 "withholdingPercentage", "Bank_Key", "buyerName", "invoiceLineItems"]
+
+
+def extract_line_items(df: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each line item found in the text."""
+    t = F.col(text_col)
+    df = df.withColumn("__low", F.lower(t))
+    items = line_items(t, F.col("__low"), *(percentage(t, k) for k in ("tax", "vat", "withholding")))
+    return df.select(key, F.inline(items))
 
 
 def merge_extractions(baseline: DataFrame, details: DataFrame, key: str = "doc_id") -> DataFrame:

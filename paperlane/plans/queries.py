@@ -560,6 +560,12 @@ def q_extract_details_amounts_ids(spark, sf):
                                       "withholdingPercentage", "Bank_Key", "buyerName")
 
 
+@register("extract_line_items")
+def q_extract_line_items(spark, sf):
+    """The line items of every invoice, from its text."""
+    return ex.extract_line_items(fx.itemised_invoice_text(spark, sf))
+
+
 @register("flatten_line_items")
 def q_flatten_line_items(spark, sf):
     return ex.flatten_line_items(fx.extraction_json(spark, sf))
@@ -605,7 +611,11 @@ def q_classify_invoice(spark, sf):
 
 @register("classify_documents")
 def q_classify_documents(spark, sf):
-    return cl.classify_rules(fx.ocr_text(spark, sf)).select("doc_id", "is_invoice", "confidence", "reason")
+    """Prose and invoices, mixed."""
+    inv = fx.invoice_text(spark, sf).select("doc_id", F.col("text").alias("invoice"))
+    mixed = fx.ocr_text(spark, sf).join(inv, "doc_id", "left").select(
+        "doc_id", F.when(F.col("doc_id") % 2 == 0, F.coalesce("invoice", "text")).otherwise(F.col("text")).alias("text"))
+    return cl.classify_rules(mixed).select("doc_id", "is_invoice", "confidence", "reason")
 
 
 @register("classification_defaults")
@@ -665,7 +675,11 @@ RUN_AS_OF = fx.AS_OF_BLOB
 
 EXTRACTED = [(f, "string" if f not in ("totalInvoiceAmount", "taxAmount", "vatTaxAmount", "totalNetAmount", "taxPercentage",
                                        "vatPercentage", "withholdingPercentage") else "decimal(18,2)")
-             for f in ex.BASELINE_FIELDS + ex.DETAIL_FIELDS]
+             for f in ex.BASELINE_FIELDS + ex.DETAIL_FIELDS if f != "invoiceLineItems"]
+ITEM_RECORD = "array<struct<" + ", ".join(
+    f"{f}: " + {"quantity": "decimal(18,3)", "unitPrice": "decimal(18,4)"}.get(f, "decimal(18,2)" if f.endswith(("Amount", "Percentage")) else "string")
+    for f in ex.ITEM_FIELDS) + ">>"
+EXTRACTED.append(("invoiceLineItems", ITEM_RECORD))
 
 
 def _folder(spark, tag: str) -> str:
@@ -728,7 +742,7 @@ def q_append_process_log(spark, sf):
 
 def _payloads(spark, sf):
     """Invoices and prose, mixed; some payloads are blank."""
-    invoices = fx.invoice_text(spark, sf).select("doc_id", F.col("text").alias("invoice"))
+    invoices = fx.itemised_invoice_text(spark, sf).select("doc_id", F.col("text").alias("invoice"))
     d = fx.ocr_text(spark, sf).join(invoices, "doc_id", "left").select(
         F.col("filename").alias("name"),
         F.when(F.col("doc_id") % 2 == 0, F.coalesce("invoice", "text")).otherwise(F.col("text")).alias("text"))
@@ -750,6 +764,13 @@ def q_translate_batch_results(spark, sf):
                     x["currency"].alias("currency"))
 
 
+@register("validate_batch")
+def q_validate_batch(spark, sf):
+    """I10 over what J4 extracts."""
+    ok = _batch(spark, sf).where(F.col("success") & ~F.col("skipped"))
+    return ex.validate_extraction(ok, "extracted_json").select("name", "n_violations", "violations")
+
+
 @register("translate_batch_log")
 def q_translate_batch_log(spark, sf):
     return pl.translate_batch_log(_batch(spark, sf), "translation-20240110-120000-000000", RUN_AS_OF)

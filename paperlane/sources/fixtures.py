@@ -220,6 +220,54 @@ def invoice_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("doc_id"), lines.alias("text"))
 
 
+ITEM_TEXT_BY_PTYPE = (("ECONOMY", "Office cleaning service"), ("SMALL", "Printing of brochures"), ("MEDIUM", "Machine maintenance"),
+                      ("PROMO", "Advertising campaign"), ("STANDARD", "Steel rods 12 mm"), ("LARGE", "Freight to plant"))
+
+
+def _styled(cents: Column, key: Column) -> Column:
+    """Cents as text, in the decimal style of the order."""
+    amount = (cents / F.lit(100)).cast("decimal(18,2)")
+    grouped = F.format_number(amount, 2)
+    return (F.when(key % 5 == 0, F.replace(amount.cast("string"), F.lit("."), F.lit(",")))
+             .when(key % 5 == 1, grouped).when(key % 5 == 2, F.translate(grouped, ",.", ".,")).otherwise(amount.cast("string")))
+
+
+def itemised_invoice_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`invoice_text` with VAT on the orders that have tax, and a table of
+    the order's lines: descriptions wrapped before or after the amounts, tables
+    without a rate or a price, four decimal styles."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_suppkey")
+    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
+    words = None
+    for ptype, t in ITEM_TEXT_BY_PTYPE:
+        words = F.when(F.col("p_type") == ptype, t) if words is None else words.when(F.col("p_type") == ptype, t)
+    q = F.floor("l_quantity").cast("bigint")
+    price = F.floor(F.col("p_retailprice") * 100 + 0.5).cast("bigint")
+    line = F.struct("l_linenumber", "l_partkey", "l_suppkey", q.alias("q"), price.alias("price"), words.alias("words"))
+    tables = (li.join(part, li.l_partkey == part.p_partkey).groupBy("l_orderkey")  # an order's lines
+              .agg(F.sort_array(F.collect_list(line)).alias("lines")))
+    k = F.col("l_orderkey")
+
+    def text(x: Column, i: Column) -> Column:
+        n = i + 1
+        wrapped = F.when((k + n) % 4 == 0, "\n    as ordered").otherwise("")
+        rest = F.when((k + n) % 4 == 1, "\n    as agreed").otherwise("")
+        return F.concat(
+            n.cast("string"), F.lit("  "), F.coalesce(x["words"], F.lit("Consulting")), wrapped, F.lit(" "), x["q"].cast("string"),
+            F.when(k % 7 == 5, "").otherwise(F.concat(F.lit(" "), _case(x["l_partkey"] % 3, ("EA", "HUR", "kg")), F.lit(" "), _styled(x["price"], k))),
+            F.when(k % 7 == 3, "").otherwise(F.concat(F.lit(" "), (x["l_partkey"] % 20 + 1).cast("string"), F.lit("%"))),
+            F.lit(" "), _styled(x["q"] * x["price"], k), rest)
+
+    head = (F.when(k % 7 == 3, "No  Description  Qty  Unit  Unit price  Net amount")
+             .when(k % 7 == 5, "No  Description  Quantity  VAT %  Net amount")
+             .otherwise("No  Description  Qty  Unit  Unit price  VAT %  Net amount"))
+    rows = tables.select(k.alias("item_order"), F.concat(head, F.lit("\n"), F.array_join(F.transform("lines", text), "\n"),
+                                                         F.lit("\nPayment within 30 days")).alias("item_table"))
+    inv = invoice_text(spark, sf_dir)
+    vat = F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit("VAT (8%)\nVAT amount: "), _hundredths(F.col("doc_id") * 11)))
+    return inv.join(rows, inv.doc_id == rows.item_order, "left").select("doc_id", F.concat_ws("\n", "text", vat, "item_table").alias("text"))
+
+
 # --- A8 ---------------------------------------------------------------------------------------
 CATEGORY_BY_PTYPE = (
     ("ECONOMY", "OTHER_SERVICES"),
