@@ -98,21 +98,26 @@ ITEM_FIELDS = ("lineNumber", "description", "category", "quantity", "unitOfMeasu
                "taxPercentage", "vatAmount", "vatPercentage", "withholdingPercentage")
 
 
-def _classified(raw: Column) -> Column:
-    """A line's text without currency marks, its kind and what the kind needs."""
+def _measured(raw: Column) -> Column:
+    """A line's text without currency marks, and what it names."""
     text = F.trim(F.regexp_replace(F.regexp_replace(raw, CURRENCY_MARK, " "), r"\s+", " "))
-    digits = raw.rlike("[0-9]")
-    named = {k: raw.rlike(p) for k, p in HEADER_WORDS.items()}
-    n = reduce(lambda a, b: a + b, (c.cast("int") for c in named.values()))
-    header = ~digits & ((n >= HEADER_LEAST) | ((n >= 2) & raw.rlike(COLUMN_WORDS)))
-    kind = (F.when(header, "header").when(raw.rlike(TOTAL_LINE), "total").when(text.rlike(ITEM_LINE), "item")
+    return F.struct(raw.alias("raw"), text.alias("text"), raw.rlike("[0-9]").alias("digits"),
+                    *(raw.rlike(p).alias(k) for k, p in HEADER_WORDS.items()))
+
+
+def _classified(line: Column) -> Column:
+    """A measured line's kind and what the kind needs."""
+    raw, text = line["raw"], line["text"]
+    n = reduce(lambda a, b: a + b, (line[k].cast("int") for k in HEADER_WORDS))
+    header = ~line["digits"] & ((n >= HEADER_LEAST) | ((n >= 2) & raw.rlike(COLUMN_WORDS)))
+    kind = (F.when(header, "header").when(raw.rlike(TOTAL_LINE), "total").when(line["digits"] & text.rlike(ITEM_LINE), "item")
              .otherwise("other"))
-    vat = raw.rlike(VAT_COLUMN)
-    flags = F.concat(F.when(named["quantity"], "q").otherwise(""), F.when(named["price"], "p").otherwise(""),
-                     F.when(named["amount"], "a").otherwise(""), F.when(vat, "v").when(raw.rlike(TAX_COLUMN), "t").otherwise(""))
-    return F.struct(text.alias("text"), kind.alias("kind"), flags.alias("flags"),
-                    F.coalesce(F.regexp_extract(text, "^([0-9]{1,3})", 1).try_cast("int"), F.lit(0)).alias("number"),
-                    (raw.rlike(r"^\s+\S") & ~digits).alias("trails"))
+    flags = F.when(header, F.concat(
+        F.when(line["quantity"], "q").otherwise(""), F.when(line["price"], "p").otherwise(""), F.when(line["amount"], "a").otherwise(""),
+        F.when(raw.rlike(VAT_COLUMN), "v").when(raw.rlike(TAX_COLUMN), "t").otherwise(""))).otherwise("")
+    number = F.when(line["digits"], F.regexp_extract(text, "^([0-9]{1,3})", 1).try_cast("int"))
+    return F.struct(text.alias("text"), kind.alias("kind"), flags.alias("flags"), F.coalesce(number, F.lit(0)).alias("number"),
+                    (raw.rlike(r"^\s+\S") & ~line["digits"]).alias("trails"))
 
 
 def _complete(text: Column, flags: Column) -> Column:
@@ -147,7 +152,7 @@ def _step(s: Column, line: Column) -> Column:
 
 def item_records(text: Column) -> Column:
     """``array<struct<text, flags>>``: the records of the tables of a text."""
-    lines = F.transform(F.split(text, "\n"), _classified)
+    lines = F.transform(F.transform(F.split(text, "\n"), _measured), _classified)
     start = _state(F.lit(False), F.lit(False), F.lit(0), F.lit(""), F.lit(True), F.lit(0),
                    F.array().cast("array<struct<text:string,flags:string>>"))
     return F.aggregate(lines, start, _step)["records"]
@@ -164,27 +169,28 @@ def has_items(text: Column) -> Column:
     return F.exists(item_records(text), lambda r: _complete(r["text"], r["flags"]))
 
 
-def _pieces(r: Column) -> Column:
-    """A record cut into strings ('' where it lacks one); no shape: no number."""
-    t = r["text"]
-    full, short = r["flags"].contains("p") & t.rlike(FULL), t.rlike(SHORT)
-    has_q = r["flags"].contains("q")
+def _cut(r: Column) -> Column:
+    """The pieces of a record ('' where it lacks one): number, description,
+    quantity, unit, price, rate, amount, rest. Null where it has no shape."""
+    t, flags = r["text"], r["flags"]
+    has_q = flags.contains("q")
+
+    def by(shape: str, groups: tuple) -> Column:
+        return F.split(F.regexp_replace(t, shape, "\x01".join(f"${g}" if g else "" for g in groups)), "\x01")
 
-    def group(of_full: int, of_short: int, of_lump: int) -> Column:
-        def one(shape: str, n: int) -> Column:
-            return F.regexp_extract(t, shape, n) if n else F.lit("")
+    return (F.when(~has_q & t.rlike(LUMP), by(LUMP, (1, 2, 0, 0, 0, 3, 4, 5)))
+             .when(has_q & flags.contains("p") & t.rlike(FULL), by(FULL, (1, 2, 3, 4, 5, 6, 7, 8)))
+             .when(has_q & t.rlike(SHORT), by(SHORT, (1, 2, 3, 4, 0, 5, 6, 7))))
 
-        return (F.when(~has_q, one(LUMP, of_lump)).when(full, one(FULL, of_full)).when(short, one(SHORT, of_short))
-                 .otherwise(F.lit("")))
 
-    amount_named = r["flags"].contains("a")
-    last = group(7, 6, 4)
-    alone = has_q & ~full  # one number after the quantity: price or amount, as the header says
+def _pieces(r: Column) -> Column:
+    x, flags = r["x"], r["flags"]
+    alone = flags.contains("q") & (x[4] == "") & ~flags.contains("a")  # one number after the quantity, and it is a price
     return F.struct(
-        group(1, 1, 1).alias("line"), F.trim(F.concat(group(2, 2, 2), group(8, 7, 5))).alias("description"),
-        F.when(~has_q, F.lit("1")).otherwise(group(3, 3, 0)).alias("quantity"), F.upper(group(4, 4, 0)).alias("unit"),
-        F.when(alone & ~amount_named, last).otherwise(group(5, 0, 0)).alias("price"), group(6, 5, 3).alias("rate"),
-        F.when(alone & ~amount_named, F.lit("")).otherwise(last).alias("amount"), r["flags"].alias("flags"))
+        x[0].alias("line"), F.trim(F.concat(x[1], x[7])).alias("description"),
+        F.when(flags.contains("q"), x[2]).otherwise(F.lit("1")).alias("quantity"), F.upper(x[3]).alias("unit"),
+        F.when(alone, x[6]).otherwise(x[4]).alias("price"), x[5].alias("rate"),
+        F.when(alone, F.lit("")).otherwise(x[6]).alias("amount"), flags.alias("flags"))
 
 
 def _reading(p: Column, comma: bool) -> Column:
@@ -214,10 +220,12 @@ def category(description: Column) -> Column:
     table = F.create_map(*(F.lit(x) for c, words in CATEGORY_KEYWORDS.items() for w in words for x in (w, number[c])))
     hits = F.filter(F.transform(F.split(F.lower(description), "[^a-z]+"), lambda w: F.try_element_at(table, w)),
                     lambda h: h.isNotNull())
-    best = F.array_max(F.transform(hits, lambda h: F.struct(F.size(F.filter(hits, lambda x: x == h)).alias("n"),
-                                                            (-h).alias("first"))))
-    names = F.array(*map(F.lit, vocab.LINE_ITEM_CATEGORIES))
-    return F.coalesce(F.get(names, -best["first"]), F.lit(OTHER_CATEGORY))
+
+    def most(found: Column) -> Column:
+        return F.array_max(F.transform(found, lambda h: F.struct(F.size(F.filter(found, lambda x: x == h)).alias("n"), (-h).alias("first"))))
+
+    best = F.get(F.transform(F.array(hits), most), F.lit(0))  # the words are looked up once
+    return F.coalesce(F.get(F.array(*map(F.lit, vocab.LINE_ITEM_CATEGORIES)), -best["first"]), F.lit(OTHER_CATEGORY))
 
 
 def _item(x: Column, tax: Column, vat: Column, withholding: Column) -> Column:
@@ -246,8 +254,9 @@ def line_items(text: Column, low: Column, tax: Column, vat: Column, withholding:
     text). ``low``: the text in lower case; ``tax``, ``vat``, ``withholding``:
     the invoice's rates."""
     has_table = may_have_table(low)
-    cut = F.filter(F.transform(item_records(text), _pieces), lambda p: p["line"] != "")
-    read = F.filter(F.transform(cut, _read), lambda x: x["n"]["q"].isNotNull()
+    cut = F.filter(F.transform(item_records(text), lambda r: F.struct(_cut(r).alias("x"), r["flags"].alias("flags"))),
+                   lambda r: r["x"].isNotNull())
+    read = F.filter(F.transform(F.transform(cut, _pieces), _read), lambda x: x["n"]["q"].isNotNull()
                     & (x["n"]["price"].isNotNull() | x["n"]["amount"].isNotNull()))
     items = F.transform(read, lambda x: _item(x, tax, vat, withholding))
     empty = F.array().cast("array<struct<lineNumber:string,description:string,category:string,quantity:decimal(18,3),"
