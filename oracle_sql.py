@@ -1127,6 +1127,11 @@ FROM op"""
     out["ocr_batch_outcomes"] = _ocr_outcomes_sql(False) + sel
     forced = _ocr_outcomes_sql(True) + ",\noc AS (" + sel + ")"
     out["dead_letter"] = forced + "\nSELECT doc_id, name, failed_name, error FROM oc WHERE error IS NOT NULL"
+    out["ocr_batch_containers"] = forced.replace("SELECT doc_id, container, name, path", "SELECT original_text, ocr_text, doc_id, container, name, path") + """
+SELECT CASE WHEN error IS NULL THEN 'ocr-invoices' ELSE 'failed-invoices' END AS container, coalesce(output_name, failed_name) AS blob_name, doc_id, error,
+       CAST(octet_length(encode(CASE WHEN error IS NULL THEN ocr_text ELSE original_text END)) AS BIGINT) AS n_bytes,
+       sha256(CASE WHEN error IS NULL THEN ocr_text ELSE original_text END) AS content_sha256
+FROM oc"""
     out["ocr_batch_log"] = forced + """
 SELECT 'ocr-20240110-120000-000000' AS run_id, 'OCRPipeline' AS workflow_name,
        CASE WHEN error IS NULL THEN 'ocr_completed' ELSE 'ocr_failed' END AS step_name, name AS step_value,
@@ -1200,6 +1205,10 @@ outcomes AS MATERIALIZED (
 def email_scan_sql() -> dict[str, str]:
     base = _email_scan_cte()
     out = {"email_scan_outcomes": base + "\nSELECT * FROM outcomes"}
+    types = _map_case("lower(regexp_extract(filename, '^.+([.][^.]+)$', 1))", vocab.ATTACHMENT_CONTENT_TYPES, vocab.DEFAULT_CONTENT_TYPE)
+    out["email_scan_containers"] = base + f"""
+SELECT container, blob_name, message_id, att_id, {types} AS content_type, sha256(ocr_text) AS content_sha256
+FROM outcomes JOIN at0 USING (message_id, att_id) WHERE container IS NOT NULL"""
     out["email_scan_summary"] = base + f"""
 SELECT (SELECT count(*) FROM win) AS messages_scanned, count(DISTINCT message_id) AS messages_with_attachments,
        count(*) AS total_attachments,

@@ -25,6 +25,7 @@ from paperlane.operators import notify as nt
 from paperlane.operators import sinks as sk
 from paperlane.operators import translate as tr
 from paperlane.operators.language import detect_language
+from paperlane.plans.staged import StagedRun
 
 
 # ---------------------------------------------------------------------------------------------
@@ -36,9 +37,10 @@ def ocr_batch_outcomes(source: DataFrame, target: DataFrame, texts: DataFrame, l
     """Per worklist file: path taken, output name, success or error.
 
     ``texts``: ``(doc_id, original_text, ocr_text)`` — the text layer before
-    and after OCR. A file whose OCR text is blank fails (dead letter). With
-    ``force_img_processing`` every file takes the enhanced path; otherwise
-    the amount check (I11) picks the path.
+    and after OCR — and, where payloads are to be stored, ``original`` and
+    ``ocr_output`` (bytes), which the outcomes then carry. A file whose OCR text
+    is blank fails (dead letter). With ``force_img_processing`` every file takes
+    the enhanced path; otherwise the amount check (I11) picks the path.
     """
     work = ls.ocr_worklist(source, target, lookback_hours, as_of, normalize_keys)
     j = work.join(texts, "doc_id", "left")
@@ -53,9 +55,26 @@ def ocr_batch_outcomes(source: DataFrame, target: DataFrame, texts: DataFrame, l
         F.when(~failed, nm.ocr_output_name(F.col("name"), F.col("enhanced"))).alias("output_name"),
         F.when(failed, nm.normalize_blob_name(F.col("name"))).alias("failed_name"),
         F.when(failed, F.lit("OCR returned no text")).alias("error"),
+        *(c for c in ("original", "ocr_output") if c in j.columns),
     )
 
 
+def run_ocr_batch(source: DataFrame, target: DataFrame, texts: DataFrame, lookback_hours: float, as_of: dt.datetime, out_dir: str,
+                  **options) -> dict[str, str]:
+    """J2 with its outputs: outcomes and payloads are staged once; from the
+    stage come the files of the target container (OCR output) and of the
+    failed container (original bytes), and the log. A repeated run resumes."""
+    run = StagedRun(source.sparkSession, out_dir, f"ocr-{as_of.strftime('%Y%m%d-%H%M%S-%f')}")
+    stage = run.write("stage", lambda: ocr_batch_outcomes(source, target, texts, lookback_hours, as_of, **options))
+    ok = F.col("error").isNull()
+    run.write("containers", lambda: stage.select(
+        F.when(ok, F.lit(vocab.OCR_TARGET_CONTAINER)).otherwise(F.lit(vocab.OCR_FAILED_CONTAINER)).alias("container"),
+        F.when(ok, F.col("output_name")).otherwise(F.col("failed_name")).alias("blob_name"), "doc_id",
+        F.when(ok, F.col("ocr_output")).otherwise(F.col("original")).alias("content"), "error"), "container")
+    run.step("log", lambda: sk.write_run_log(ocr_batch_log(stage, run.run_id, as_of), f"{run.path}/log"))
+    return {"outcomes": run.folder("stage"), "containers": run.folder("containers"), "log": f"{run.path}/log"}
+
+
 def ocr_batch_log(outcomes: DataFrame, run_id: str, as_of: dt.datetime) -> DataFrame:
     """J2 log rows: one ``ocr_completed`` / ``ocr_failed`` per file plus the final
     ``workflow_completed`` row (also when files failed; an empty worklist logs nothing)."""
@@ -79,7 +98,8 @@ def email_scan_outcomes(messages: DataFrame, attachments: DataFrame, lookback_ho
     """Per usable attachment of every message in the window: OCR-text guard,
     language, translation, classification and routing.
 
-    ``attachments`` carry their OCR result in ``ocr_text``.
+    ``attachments`` carry their OCR result in ``ocr_text`` and, where payloads
+    are to be stored, their bytes in ``content``, which the outcomes then carry.
     """
     translator = translator or tr.prefix_translator()
     window = messages.where(ml.message_window_predicate(messages, lookback_hours, as_of))
@@ -100,7 +120,7 @@ def email_scan_outcomes(messages: DataFrame, attachments: DataFrame, lookback_ho
     j = j.withColumn("lang_code", F.when(~F.coalesce(failed_tr, F.lit(False)), F.col("lang_code")))
     routed = ml.route_by_outcome(j)
     return routed.select("message_id", "att_id", "filename", "is_valid", "container", "blob_name", "lang_code",
-                         "reason", "is_empty")
+                         "reason", "is_empty", *(("content", "content_type") if "content" in attachments.columns else ()))
 
 
 def email_scan_notifications(messages: DataFrame, outcomes: DataFrame, as_of: dt.datetime) -> DataFrame:
@@ -142,20 +162,20 @@ def email_scan_log(messages: DataFrame, outcomes: DataFrame, lookback_hours: flo
 
 
 def run_email_scan(messages: DataFrame, attachments: DataFrame, lookback_hours: float, as_of: dt.datetime, out_dir: str) -> dict[str, str]:
-    """Write outcomes once, then notifications / summary / log from the written
-    table. Each run has folders of its own (a run that is repeated replaces
-    them), earlier runs stay; the log is one table."""
-    spark = messages.sparkSession
+    """J3 with its outputs: outcomes (with ``content``, if the attachments have
+    it) are staged once; from the stage come the files of the raw and the invalid
+    container, notifications, summary and log. Each run has folders of its own,
+    earlier runs stay; a repeated run resumes after its last finished step."""
     rid = f"email-{as_of.strftime('%Y%m%d-%H%M%S-%f')}"  # H19 format, no Spark job needed
-    paths = {k: f"{out_dir.rstrip('/')}/{k}/run_id={rid}" for k in ("outcomes", "notifications", "summary")}
-    paths["log"] = f"{out_dir.rstrip('/')}/log"
-    email_scan_outcomes(messages, attachments, lookback_hours, as_of).write.mode(
-        "overwrite").parquet(paths["outcomes"])
-    outcomes = spark.read.parquet(paths["outcomes"])
-    email_scan_notifications(messages, outcomes, as_of).write.mode("overwrite").parquet(paths["notifications"])
-    email_scan_summary(messages, outcomes, lookback_hours, as_of).write.mode("overwrite").parquet(paths["summary"])
-    sk.append_process_log(email_scan_log(messages, outcomes, lookback_hours, as_of, rid), paths["log"])
-    return paths
+    run = StagedRun(messages.sparkSession, out_dir, rid)
+    outcomes = run.write("outcomes", lambda: email_scan_outcomes(messages, attachments, lookback_hours, as_of))
+    if "content" in outcomes.columns:  # empty texts aren't stored
+        run.write("containers", lambda: outcomes.where(F.col("container").isNotNull()).select(
+            "container", "blob_name", "message_id", "att_id", "content_type", "content"), "container")
+    run.write("notifications", lambda: email_scan_notifications(messages, outcomes, as_of))
+    run.write("summary", lambda: email_scan_summary(messages, outcomes, lookback_hours, as_of))
+    run.step("log", lambda: sk.write_run_log(email_scan_log(messages, outcomes, lookback_hours, as_of, rid), f"{run.path}/log"))
+    return {**{k: run.folder(k) for k in ("outcomes", "containers", "notifications", "summary")}, "log": f"{run.path}/log"}
 
 
 # ---------------------------------------------------------------------------------------------

@@ -687,10 +687,14 @@ def _folder(spark, tag: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
-def _ocr_outcomes(spark, sf, force=True):
-    texts = fx.ocr_pairs(spark, sf).select(
+def _ocr_texts(spark, sf):
+    return fx.ocr_pairs(spark, sf).select(
         "doc_id", "original_text",
         F.when(F.col("doc_id") % 13 == 0, F.lit("  ")).otherwise(F.col("ocr_text")).alias("ocr_text"))
+
+
+def _ocr_outcomes(spark, sf, force=True):
+    texts = _ocr_texts(spark, sf)
     return pl.ocr_batch_outcomes(fx.source_blobs(spark, sf, fx.AS_OF_BLOB), fx.target_blobs(spark, sf, fx.AS_OF_BLOB), texts, 24,
                                  fx.AS_OF_BLOB, force_img_processing=force)
 
@@ -700,9 +704,26 @@ def q_ocr_batch_outcomes(spark, sf):
     return _ocr_outcomes(spark, sf, force=False)
 
 
+def _written(df, tag):
+    """An outcome table, written once and read by all that follows from it."""
+    path = _folder(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @register("ocr_batch_log")
 def q_ocr_batch_log(spark, sf):
-    return pl.ocr_batch_log(_ocr_outcomes(spark, sf), "ocr-20240110-120000-000000", RUN_AS_OF)
+    return pl.ocr_batch_log(_written(_ocr_outcomes(spark, sf), "ocr-outcomes"), "ocr-20240110-120000-000000", RUN_AS_OF)
+
+
+@register("ocr_batch_containers")
+def q_ocr_batch_containers(spark, sf):
+    """The files that a run puts into the target and the failed container, read again."""
+    texts = _ocr_texts(spark, sf).withColumns({"original": F.encode("original_text", "UTF-8"), "ocr_output": F.encode("ocr_text", "UTF-8")})
+    paths = pl.run_ocr_batch(fx.source_blobs(spark, sf, fx.AS_OF_BLOB), fx.target_blobs(spark, sf, fx.AS_OF_BLOB), texts, 24, fx.AS_OF_BLOB,
+                             _folder(spark, "ocr-run"))
+    return spark.read.parquet(paths["containers"]).select("container", "blob_name", "doc_id", "error", F.length("content").cast("long").alias("n_bytes"),
+                                                          F.sha2("content", 256).alias("content_sha256"))
 
 
 @register("dead_letter")
@@ -736,10 +757,19 @@ def q_email_scan_summary(spark, sf):
 
 @register("append_process_log")
 def q_append_process_log(spark, sf):
-    return pl.email_scan_log(fx.messages(spark, sf), _scan(spark, sf), MAIL_ALL_H, fx.AS_OF_MAIL,
+    return pl.email_scan_log(fx.messages(spark, sf), _written(_scan(spark, sf), "scan-outcomes"), MAIL_ALL_H, fx.AS_OF_MAIL,
                              "email-20010801-000000-000000")
 
 
+@register("email_scan_containers")
+def q_email_scan_containers(spark, sf):
+    """The files that a run puts into the raw and the invalid container, read again."""
+    atts = fx.attachments_with_text(spark, sf).withColumn("content", F.encode("ocr_text", "UTF-8"))
+    paths = pl.run_email_scan(fx.messages(spark, sf), atts, MAIL_ALL_H, fx.AS_OF_MAIL, _folder(spark, "scan-run"))
+    return spark.read.parquet(paths["containers"]).select("container", "blob_name", "message_id", "att_id", "content_type",
+                                                          F.sha2("content", 256).alias("content_sha256"))
+
+
 def _payloads(spark, sf):
     """Invoices and prose, mixed; some payloads are blank."""
     invoices = fx.itemised_invoice_text(spark, sf).select("doc_id", F.col("text").alias("invoice"))
