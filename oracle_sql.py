@@ -1054,6 +1054,12 @@ SELECT DISTINCT container, name, last_modified FROM (
     out["stream_skip_processed"] = (sb + path_ctes("source_blobs", out="src_paths") + "," + FIXTURES["translated_blobs"]
                                     + """
 SELECT name FROM src_paths WHERE _dir || _clean || '_en' || _suf NOT IN (SELECT name FROM translated_blobs)""")
+    out["stream_first_of_target"] = (sb + path_ctes("source_blobs", out="src_paths") + "," + FIXTURES["translated_blobs"] + """,
+several AS (SELECT name, last_modified FROM source_blobs UNION ALL
+  SELECT regexp_replace(name, '_[a-z]{2}([.])', '_xx\\1'), last_modified - INTERVAL 1 HOUR FROM source_blobs WHERE size % 3 = 0)"""
+                                     + path_ctes("several", out="sv") + """
+SELECT f.name, f.last_modified FROM (SELECT _dir || _clean || '_en' || _suf AS target, min({'last_modified': last_modified, 'name': name}) AS f FROM sv GROUP BY 1)
+WHERE target NOT IN (SELECT name FROM translated_blobs)""")
     allsrc = FIXTURES["source_blobs"].strip()
     out["stream_late_reconcile"] = "WITH " + allsrc + f"""
 SELECT name, last_modified FROM source_blobs WHERE last_modified > {AS_OF_BLOB}"""

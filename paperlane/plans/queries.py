@@ -870,6 +870,16 @@ def q_stream_skip_processed(spark, sf):
     return sj.skip_processed(fx.source_blobs(spark, sf), fx.translated_blobs(spark, sf)).select("name")
 
 
+@register("stream_first_of_target")
+def q_stream_first_of_target(spark, sf):
+    """K3 batch twin: scans of a document in several languages have one target."""
+    src = fx.source_blobs(spark, sf).select(*LISTING_COLS)
+    other = src.where(F.col("size") % 3 == 0).withColumns({
+        "name": F.regexp_replace("name", "_[a-z]{2}([.])", "_xx$1"), "last_modified": F.col("last_modified") - F.expr("INTERVAL 1 HOUR")})
+    todo = sj.skip_processed(sj.first_of_target(src.unionByName(other)), fx.translated_blobs(spark, sf))
+    return _ntz(todo, "last_modified").select("name", "last_modified")
+
+
 @register("stream_late_reconcile")
 def q_stream_late_reconcile(spark, sf):
     src = fx.source_blobs(spark, sf, as_of=None)

@@ -9,7 +9,9 @@ DataFrame) used as its correctness reference.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
@@ -55,6 +57,37 @@ def skip_processed(stream: DataFrame, processed: DataFrame, target_name=nm.trans
             .join(done, "_target", "left_anti").drop("_target"))
 
 
+def first_of_target(listing: DataFrame, ttl: str | None = "7 days", ts: str = "last_modified",
+                    target_name=nm.translated_blob_name) -> DataFrame:
+    """One source of each target: what the stream itself has taken on is kept as
+    keyed state, so a later batch that names the same target skips it, after a
+    restart too. State goes when the watermark is ``ttl`` past the source's
+    time (a later upload is then taken on again, if its target isn't listed).
+
+    The state is Spark's own (JVM, one row a target); a target that most rows
+    name is one row of state and its rows are dropped as they come. Of several
+    new sources of one target in one batch any is taken; the batch form takes
+    the oldest, then the smallest name. ``ttl`` None: the stream has a watermark.
+    """
+    df = event_time(listing, ts).withColumn("_target", target_name(F.col("name")))
+    if df.isStreaming:
+        df = df if ttl is None else df.withWatermark(ts, ttl)
+        return df.dropDuplicatesWithinWatermark(["_target"]).drop("_target")
+    others = [c for c in df.columns if c not in (ts, "name", "_target")]
+    first = df.groupBy("_target").agg(F.min(F.struct(ts, "name", *others)).alias("_first"))
+    return first.select(*(F.col("_first")[c].alias(c) for c in df.columns if c != "_target"))
+
+
+def skipping_sink(processed: Callable[[SparkSession], DataFrame], write: Callable[[DataFrame, int], None],
+                  target_name=nm.translated_blob_name) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` writer: ``processed`` lists the existing targets anew for
+    each batch (a static join side is listed once, when the query starts), and
+    ``write`` gets what is left."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        write(skip_processed(batch, processed(batch.sparkSession), target_name), batch_id)
+    return run
+
+
 # --- K4 --------------------------------------------------------------------------------------
 def route_sink(out_dir: str, partition_col: str = "container"):
     """``foreachBatch`` writer: each micro-batch lands in its own ``batch_id``
