@@ -6,7 +6,7 @@ CTEs over the driver's pre-registered views; each query string is
 """
 from __future__ import annotations
 
-from paperlane import vocab
+from paperlane import langdata, vocab
 
 AS_OF_LOG = "TIMESTAMP '2024-01-30 12:00:00'"
 # Rules restated from their description, not imported from the code under test.
@@ -513,7 +513,9 @@ chunks AS (
   FROM (SELECT doc_id, text, unnest(range(0, CAST(ceil(length(text) / {size}.0) AS BIGINT))) AS i FROM ocr_text))"""
 
 
-def _lang_sql() -> str:
+def _lang_ctes(src: str, text: str) -> str:
+    """``dl``: the rows of ``src`` with detected, hits, total_hits, score, lang_code. Function words of the whole text; else the
+    script of most letters; else, in up to eight Latin words, three-letter sequences weighed by counts of the samples."""
     hits = ",\n".join(
         f"       len(list_filter(tok, lambda t: list_contains([{', '.join(_q(w) for w in FUNCTION_WORDS[l])}], t))) AS h_{l}"
         for l in LANGS)
@@ -522,18 +524,49 @@ def _lang_sql() -> str:
         + f" THEN '{l}'" for i, l in enumerate(LANGS[:-1])) + f" ELSE '{LANGS[-1]}' END"
     total = " + ".join(f"h_{l}" for l in LANGS)
     top = "greatest(" + ", ".join(f"h_{l}" for l in LANGS) + ")"
-    return with_fixtures(["ocr_text"], "") + f""",
-tk AS (SELECT doc_id, text, lang, regexp_extract_all(lower(text), '\\p{{L}}+') AS tok FROM ocr_text),
-hh AS (SELECT doc_id, text, lang, len(tok) AS n_tok,
+
+    def count(chars: str) -> str:
+        return f"length(regexp_replace(low, '[^{chars}]', '', 'g'))"
+
+    groups = {k: "".join(rf"\p{{{x}}}" for x in xs) for k, xs in langdata.SCRIPTS.items()}
+    counts = ", ".join(f"{count(c)} AS n_{k}" for k, c in groups.items())
+    most = "greatest(" + ", ".join(f"n_{k}" for k in groups) + ")"
+    script = f"""CASE WHEN n_cjk = mx THEN CASE WHEN {count(r'\p{Hiragana}\p{Katakana}')} * 5 >= n_cjk THEN 'ja' ELSE 'zh' END WHEN n_ko = mx THEN 'ko'
+      WHEN n_cyrillic = mx THEN CASE WHEN {count(langdata.SERBIAN)} > 0 THEN 'sr' WHEN {count(langdata.UKRAINIAN)} > {count(langdata.RUSSIAN)} THEN 'uk'
+        WHEN {count(langdata.BULGARIAN)} * 100 >= n_cyrillic AND {count(langdata.RUSSIAN)} = 0 THEN 'bg' ELSE 'ru' END
+      WHEN n_arabic = mx THEN CASE WHEN {count(langdata.URDU)} > 0 THEN 'ur' WHEN {count(langdata.PERSIAN)} > 0 THEN 'fa' ELSE 'ar' END
+      WHEN n_el = mx THEN 'el' WHEN n_he = mx THEN 'he' WHEN n_th = mx THEN 'th' ELSE 'hi' END"""
+    samples = ", ".join(f"('{l}', {_q(t)})" for l, t in langdata.SAMPLES.items())
+    grams = "unnest(list_transform(range(1, length(w) + 1), lambda i: substr(' ' || w || ' ', i, 3)))"
+    return f""",
+tk AS MATERIALIZED (SELECT *, row_number() OVER () AS rid, lower(coalesce({text}, '')) AS low, regexp_extract_all(lower({text}), '\\p{{L}}+') AS tok FROM {src}),
+hh AS (SELECT *, coalesce(len(tok), 0) AS n_tok,
 {hits}
        FROM tk),
-det AS (
-  SELECT doc_id, lang, n_tok,
-         CASE WHEN text IS NULL OR regexp_replace(text, '\\s+', '', 'g') = '' OR ({total}) = 0 THEN NULL ELSE {best} END AS detected,
-         CAST({top} AS INTEGER) AS hits, CAST({total} AS INTEGER) AS total_hits,
-         CASE WHEN ({total}) > 0 THEN {top} / ({total}) ELSE 0.0 END AS score
-  FROM hh),
-dl AS (SELECT *, coalesce(CASE WHEN score >= 0.5 AND hits >= 2 AND 50 * hits >= n_tok AND length(detected) = 2 THEN lower(detected) END, 'xx') AS lang_code FROM det)"""
+hw AS (SELECT *, coalesce({top}, 0) AS top, coalesce({total}, 0) AS total, CASE WHEN ({total}) > 0 THEN {best} END AS w_lang,
+  CASE WHEN ({total}) > 0 THEN {top} / ({total}) ELSE 0.0 END AS w_score FROM hh),
+enough AS (SELECT *, top >= 2 AND 50 * top >= n_tok AND w_score >= 0.5 AS sure, regexp_matches(low, '[{"".join(groups.values())}]') AS beyond FROM hw),
+sc0 AS (SELECT rid, low, {counts}, {count(r'\p{Latin}')} AS n_latin FROM enough WHERE beyond AND NOT sure),
+sc1 AS (SELECT *, {most} AS mx, n_latin + {" + ".join(f"n_{k}" for k in groups)} AS every FROM sc0),
+sc AS (SELECT rid, CASE WHEN mx >= 2 THEN {script} END AS s_lang, CASE WHEN every > 0 THEN mx / every ELSE 0.0 END AS s_score FROM sc1),
+sample_grams AS (SELECT lang, g, count(*) AS c FROM (SELECT lang, {grams} AS g FROM (SELECT lang, unnest(regexp_extract_all(lower(t), '\\p{{L}}+')) AS w
+  FROM (VALUES {samples}) AS v(lang, t))) GROUP BY lang, g),
+sample_sums AS (SELECT lang, sum(c) AS n, (SELECT count(DISTINCT g) FROM sample_grams) AS kinds FROM sample_grams GROUP BY lang),
+short_grams AS (SELECT rid, {grams} AS g FROM (SELECT rid, unnest(tok) AS w FROM enough WHERE NOT sure AND NOT beyond AND n_tok BETWEEN 1 AND 8)),
+weighed AS (SELECT rid, s.lang, sum(CAST(floor(1000 * ln((coalesce(c, 0) + 1) / (n + kinds))) AS BIGINT)) AS w
+  FROM short_grams x CROSS JOIN sample_sums s LEFT JOIN sample_grams p ON p.lang = s.lang AND p.g = x.g GROUP BY rid, s.lang),
+pf AS (SELECT rid, l[1].lang AS p_lang, (l[1].w - l[2].w) / (l[1].w - l[2].w + 1000.0) AS p_score
+  FROM (SELECT rid, list({{'w': w, 'lang': lang}} ORDER BY w DESC, lang DESC) AS l FROM weighed GROUP BY rid)),
+found AS (SELECT enough.*, CASE WHEN sure THEN 'w' WHEN s_lang IS NOT NULL AND s_score >= 0.5 THEN 's' WHEN p_score >= 0.5 THEN 'p' END AS by_what, s_lang, s_score, p_lang, p_score
+  FROM enough LEFT JOIN sc USING (rid) LEFT JOIN pf USING (rid)),
+dl AS (SELECT * EXCLUDE (rid, low, tok, {", ".join(f"h_{l}" for l in LANGS)}, top, total, w_lang, w_score, sure, beyond, by_what, s_lang, s_score, p_lang, p_score),
+  CASE WHEN NOT regexp_matches(low, '\\S') THEN NULL WHEN by_what = 's' THEN s_lang WHEN by_what = 'p' THEN p_lang ELSE w_lang END AS detected,
+  CAST(top AS INTEGER) AS hits, CAST(total AS INTEGER) AS total_hits, CAST(CASE by_what WHEN 's' THEN s_score WHEN 'p' THEN p_score ELSE w_score END AS DOUBLE) AS score,
+  CASE WHEN by_what IS NULL OR NOT regexp_matches(low, '\\S') THEN 'xx' WHEN by_what = 's' THEN s_lang WHEN by_what = 'p' THEN p_lang ELSE w_lang END AS lang_code FROM found)"""
+
+
+def _lang_sql() -> str:
+    return with_fixtures(["ocr_text"], "") + _lang_ctes("ocr_text", "text")
 
 
 NUM_RE = "\\b\\d{1,3}(?:[ ,]\\d{3})*(?:\\.\\d+)?\\b"
@@ -573,6 +606,27 @@ SELECT d.doc_id, coalesce(g.n_chunks, 0) AS n_chunks,
 FROM d LEFT JOIN g ON d.doc_id = g.doc_id"""
     ls = _lang_sql()
     out["detect_language"] = ls + "\nSELECT doc_id, detected, hits, total_hits, score, lang_code FROM dl"
+    letters = ["абвгдежзийклмнопрстуфхцчшщ", "あいうえおかきくけこさしすせそたちつてとなにぬねのは", "一二三四五六七八九十百千万上下左右中大小日月年火水木",
+               "ابتثجحخدذرزسشصضطظعغفقكلمنه", "가나다라마바사아자차카타파하거너더러머버서어저처커터"]
+    cases = " ".join(f"WHEN {i} THEN translate(lower(text), 'abcdefghijklmnopqrstuvwxyz', '{x}')" for i, x in enumerate(letters))
+    out["detect_language_scripts"] = with_fixtures(["ocr_text"], "") + f""",
+scripts AS (SELECT doc_id, CASE doc_id % 6 {cases} ELSE text END AS text FROM ocr_text)""" + _lang_ctes("scripts", "text") + """
+SELECT doc_id, detected, score, lang_code FROM dl"""
+    prof = with_fixtures(["ocr_text"], "") + """,
+pw AS (SELECT doc_id, lang, unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS w FROM ocr_text),
+pg AS (SELECT doc_id, lang, unnest(list_transform(range(1, length(w) + 1), lambda i: substr(' ' || w || ' ', i, 3))) AS gram FROM pw),
+pc AS (SELECT lang, gram, count(*) AS n FROM pg WHERE doc_id % 3 <> 1 AND lang IS NOT NULL GROUP BY lang, gram),
+pt AS (SELECT lang, CAST(sum(n) AS BIGINT) AS total, count(*) AS kinds FROM pc GROUP BY lang),
+pk AS (SELECT lang, gram, n FROM pc QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) <= 2000 UNION ALL SELECT lang, NULL, 0 FROM pt),
+profiles AS (SELECT lang, gram, CAST(floor(ln((n + 1) / (total + kinds)) * 1000) AS BIGINT) AS weight FROM pk JOIN pt USING (lang))"""
+    out["language_profiles"] = prof + "\nSELECT lang, gram, weight FROM profiles"
+    out["language_profile_accuracy"] = prof + """,
+held AS (SELECT doc_id, gram, count(*) AS n FROM pg WHERE doc_id % 3 = 1 GROUP BY doc_id, gram),
+sums AS (SELECT doc_id, z.lang, sum(n * coalesce(p.weight, z.weight)) AS s FROM held CROSS JOIN (SELECT lang, weight FROM profiles WHERE gram IS NULL) z
+  LEFT JOIN profiles p ON p.lang = z.lang AND p.gram = held.gram GROUP BY doc_id, z.lang),
+best AS (SELECT doc_id, lang AS detected FROM sums QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, lang) = 1)
+SELECT lang, count(*) AS n_docs, count(*) FILTER (detected = lang) AS n_correct
+FROM ocr_text LEFT JOIN best USING (doc_id) WHERE doc_id % 3 = 1 GROUP BY lang"""
     out["language_accuracy"] = ls + """
 SELECT lang, count(*) AS n_docs, CAST(sum(CASE WHEN lang_code = lang THEN 1 ELSE 0 END) AS BIGINT) AS n_correct,
        CAST(sum(CASE WHEN lang_code = 'xx' THEN 1 ELSE 0 END) AS BIGINT) AS n_unsure
@@ -1154,14 +1208,6 @@ SELECT 'ocr-20240110-120000-000000', 'OCRPipeline', 'workflow_completed', NULL,
 
 
 def _email_scan_cte() -> str:
-    hits = ",\n         ".join(
-        f"len(list_filter(tok, lambda t: list_contains([{', '.join(_q(w) for w in FUNCTION_WORDS[l])}], t))) AS h_{l}"
-        for l in LANGS)
-    best = "CASE " + " ".join(
-        "WHEN " + " AND ".join([f"h_{l} >= h_{o}" for o in LANGS[i + 1:]] + [f"h_{l} > h_{o}" for o in LANGS[:i]])
-        + f" THEN '{l}'" for i, l in enumerate(LANGS[:-1])) + f" ELSE '{LANGS[-1]}' END"
-    total = " + ".join(f"h_{l}" for l in LANGS)
-    top = "greatest(" + ", ".join(f"h_{l}" for l in LANGS) + ")"
     kind = "CASE " + " ".join(
         f"WHEN regexp_matches(p, {_rx(r'(?i)\b' + k.replace(' ', chr(92) + 's+') + r'\b')}) THEN {_q(k)}"
         for k in vocab.NON_INVOICE_KINDS) + " END"
@@ -1172,14 +1218,8 @@ win AS (SELECT * FROM messages WHERE {WIN_ALL}),
 ua AS (SELECT * EXCLUDE (is_valid, reason) FROM attachments WHERE {USABLE} AND message_id IN (SELECT id FROM win)),
 at0 AS (SELECT ua.*, coalesce(CASE WHEN ua.line_no % 2 = 1 THEN it.text ELSE d.text END, '') AS ocr_text
         FROM ua LEFT JOIN invoice_text it ON it.doc_id = ua.message_id LEFT JOIN documents d ON d.doc_id = ua.part_key),
-at1 AS (SELECT *, coalesce(name, 'attachment_' || att_id) AS filename, NOT regexp_matches(ocr_text, '\\S') AS is_empty,
-               regexp_extract_all(lower(ocr_text), '\\p{{L}}+') AS tok FROM at0),
-at2 AS (SELECT *, {hits} FROM at1),
-at3 AS (SELECT *, CASE WHEN is_empty OR ({total}) = 0 THEN NULL ELSE {best} END AS detected,
-               CASE WHEN ({total}) > 0 THEN {top} / ({total}) ELSE 0.0 END AS score, {top} AS hits, len(tok) AS n_tok FROM at2),
-at4 AS (SELECT *, CASE WHEN is_empty THEN NULL
-                       ELSE coalesce(CASE WHEN score >= 0.5 AND hits >= 2 AND 50 * hits >= n_tok AND length(detected) = 2 THEN lower(detected) END, 'xx') END AS lang_code
-        FROM at3),
+at1 AS (SELECT *, coalesce(name, 'attachment_' || att_id) AS filename, NOT regexp_matches(ocr_text, '\\S') AS is_empty FROM at0){_lang_ctes('at1', 'ocr_text')},
+at4 AS (SELECT * REPLACE (CASE WHEN is_empty THEN NULL ELSE lang_code END AS lang_code) FROM dl),
 at5 AS (SELECT *, CASE WHEN coalesce(lang_code, 'xx') NOT IN ('en', 'xx') THEN {tr_expr} ELSE ocr_text END AS translated_text
         FROM at4),
 at6 AS (SELECT *, translated_text AS p FROM at5),

@@ -441,6 +441,42 @@ def q_language_accuracy(spark, sf):
                                  .alias("n_unsure"))
 
 
+#: Other scripts for the documents' letters: fixed stand-ins of the fixture, letter for letter.
+SCRIPT_LETTERS = ("абвгдежзийклмнопрстуфхцчшщ", "あいうえおかきくけこさしすせそたちつてとなにぬねのは", "一二三四五六七八九十百千万上下左右中大小日月年火水木",
+                  "ابتثجحخدذرزسشصضطظعغفقكلمنه", "가나다라마바사아자차카타파하거너더러머버서어저처커터")
+
+
+def _scripts(spark, sf):
+    """Documents, five in six of them in letters of another script."""
+    t = F.lower(F.col("text"))
+    text = F.when(F.col("doc_id") % 6 == 5, F.col("text"))
+    for i, letters in enumerate(SCRIPT_LETTERS):
+        text = text.when(F.col("doc_id") % 6 == i, F.translate(t, "abcdefghijklmnopqrstuvwxyz", letters))
+    return fx.ocr_text(spark, sf).select("doc_id", "lang", text.alias("text"))
+
+
+@register("detect_language_scripts")
+def q_detect_language_scripts(spark, sf):
+    """I1 over scripts that are not Latin."""
+    return lg.detect_language(_scripts(spark, sf)).select("doc_id", "detected", "score", "lang_code")
+
+
+@register("language_profiles")
+def q_language_profiles(spark, sf):
+    """Character profiles counted from labelled documents (those with an id that is not 1 modulo 3)."""
+    return lg.learn_profiles(fx.ocr_text(spark, sf).where(F.col("doc_id") % 3 != 1))
+
+
+@register("language_profile_accuracy")
+def q_language_profile_accuracy(spark, sf):
+    """Documents that the profiles were not counted from, per language."""
+    docs = fx.ocr_text(spark, sf)
+    held = docs.where(F.col("doc_id") % 3 == 1)
+    found = lg.detect_by_profile(held, _written(lg.learn_profiles(docs.where(F.col("doc_id") % 3 != 1)), "profiles"), "doc_id")
+    return held.join(found, "doc_id", "left").groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.count_if(F.col("detected") == F.col("lang")).alias("n_correct"))
+
+
 @register("accept_lang")
 def q_accept_lang(spark, sf):
     d = lg.detect_language(fx.ocr_text(spark, sf))
