@@ -54,8 +54,6 @@ def amount_integrity_paths(df: DataFrame, name_col: str = "name", original_col:
     """I11 + G3: direct path when the check passes, enhanced (image) path when
     it fails; output names follow H9."""
     checked = amount_check(df, original_col, ocr_col, threshold)
-    normal = (checked.where(~F.col("amounts_missing"))
-              .withColumns({"path": F.lit("normal"), "output_name": nm.ocr_output_name(F.col(name_col), False)}))
-    fallback = (checked.where(F.col("amounts_missing"))
-                .withColumns({"path": F.lit("enhanced"), "output_name": nm.ocr_output_name(F.col(name_col), True)}))
-    return normal.unionByName(fallback)
+    bad = F.col("amounts_missing")
+    return checked.withColumns({"path": F.when(bad, "enhanced").otherwise("normal"),
+                                "output_name": nm.ocr_output_name(F.col(name_col), bad)})

@@ -110,11 +110,13 @@ def translate_native(df: DataFrame, translator: NativeTranslator, text_col: str
 # distributed form
 # ---------------------------------------------------------------------------------------------
 def explode_chunks(df: DataFrame, key_cols: list[str], text_col: str = "text", lang_col: str | None = "lang",
-                   chunk_size: int = vocab.TRANSLATION_CHUNK_SIZE) -> DataFrame:
-    """one row per chunk with its 1-based index."""
+                   chunk_size: int = vocab.TRANSLATION_CHUNK_SIZE, keep_empty: bool = False) -> DataFrame:
+    """one row per chunk with its 1-based index; with ``keep_empty`` a text
+    without chunks keeps one row of nulls."""
     lang = F.col(lang_col) if lang_col else F.lit(None).cast("string")
+    explode = F.posexplode_outer if keep_empty else F.posexplode
     return df.select(*key_cols, lang.alias("src_lang"),
-                     F.posexplode(chunk_text(F.col(text_col), chunk_size)).alias("pos", "chunk")).select(
+                     explode(chunk_text(F.col(text_col), chunk_size)).alias("pos", "chunk")).select(
         *key_cols, "src_lang", (F.col("pos") + 1).alias("chunk_idx"), "chunk")
 
 
@@ -124,6 +126,13 @@ def _batch_udf(translator: BatchTranslator):
 
     @F.pandas_udf(RESULT_TYPE)
     def call(chunks: pd.Series, langs: pd.Series) -> pd.DataFrame:
+        there = chunks.notna().to_numpy()  # the row of an empty text costs no call
+        out = pd.DataFrame({"text": None, "error": None}, index=range(len(chunks)), dtype=object)
+        if there.any():
+            out.loc[there] = translated(chunks[there].reset_index(drop=True), langs[there].reset_index(drop=True)).to_numpy()
+        return out
+
+    def translated(chunks: pd.Series, langs: pd.Series) -> pd.DataFrame:
         text, err, _ = policy.call(fn, chunks, langs)
         if err is None and text is not None and len(text) == len(chunks):
             texts, errors = list(text), [None] * len(chunks)
@@ -149,6 +158,7 @@ def reassemble_chunks(chunks: DataFrame, key_cols: list[str], text_col: str = "t
     parts = F.sort_array(F.collect_list(F.struct(
         F.col("chunk_idx"), F.col(text_col).alias("t"),
         (F.col(error_col) if error_col else F.lit(None).cast("string")).alias("e"))))
+    parts = F.filter(parts, lambda x: x["chunk_idx"].isNotNull())
     g = chunks.groupBy(*key_cols).agg(parts.alias("_p"))
     err = F.get(F.filter(F.transform("_p", lambda x: x["e"]), lambda e: e.isNotNull()), 0)
     return g.select(*key_cols, F.size("_p").alias("n_chunks"), err.alias("translation_error"),
@@ -161,17 +171,15 @@ def translate_distributed(df: DataFrame, translator: BatchTranslator, key_cols:
                           out_col: str = "translated_text") -> DataFrame:
     """Returns ``key_cols + (n_chunks, translation_error, translated_text)``.
 
-    Documents with text go chunk -> repartition -> pandas UDF -> ordered
-    re-assembly; empty documents ('' with no call) come from a narrow filter
-    and are added by ``union``, so the original text is never shuffled back.
+    Chunk -> shuffle by key and chunk -> pandas UDF -> ordered re-assembly; one
+    long document is spread over many tasks. A document without text keeps one
+    row without a chunk, so the texts are read once and never shuffled back. The
+    number of partitions is left to Spark unless the service's own limit asks
+    for ``num_partitions``.
     """
-    ch = explode_chunks(df, key_cols, text_col, lang_col, chunk_size)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ch = ch.repartition(n, *key_cols, "chunk_idx")
+    ch = explode_chunks(df, key_cols, text_col, lang_col, chunk_size, keep_empty=True)
+    by = [*key_cols, "chunk_idx"]
+    ch = ch.repartition(num_partitions, *by) if num_partitions else ch.repartition(*by)
     res = ch.withColumn("_r", _batch_udf(translator)(F.col("chunk"), F.col("src_lang")))
     res = res.select(*key_cols, "chunk_idx", F.col("_r.text").alias("text"), F.col("_r.error").alias("error"))
-    back = reassemble_chunks(res, key_cols, out_col=out_col)
-    empty = df.where(F.coalesce(F.length(F.col(text_col)), F.lit(0)) == 0).select(
-        *key_cols, F.lit(0).alias("n_chunks"), F.lit(None).cast("string").alias("translation_error"),
-        F.lit("").alias(out_col))
-    return back.unionByName(empty)
+    return reassemble_chunks(res, key_cols, out_col=out_col)

@@ -348,7 +348,7 @@ def q_run_exit_status(spark, sf):
 
 @register("split_valid_invalid")
 def q_split_valid_invalid(spark, sf):
-    good, bad = ml.split_valid_invalid(_stand_in_outcomes(spark, sf))
+    good, bad = ml.split_valid_invalid(_written(_stand_in_outcomes(spark, sf), "outcomes"))
     cols = ["message_id", "att_id", "is_valid"]
     return (good.select(*cols, F.lit("valid").alias("half"))
             .unionByName(bad.select(*cols, F.lit("invalid").alias("half"))))
@@ -681,10 +681,11 @@ def q_classification_defaults(spark, sf):
 
 @register("classify_invoice_learned")
 def q_classify_invoice_learned(spark, sf):
-    docs = fx.read_table(spark, sf, "documents").select("doc_id", "text")
-    labelled = docs.join(fx.doc_labels(spark, sf), "doc_id").select("text", F.col("quality").alias("label"))
-    model = cl.train_learned_classifier(labelled)
-    return cl.score_learned(model, docs).select("doc_id", "predicted", "p_positive")
+    """I4 learned: invoices and prose, each scored by a model that has not seen it."""
+    inv = fx.invoice_text(spark, sf).select(F.concat(F.lit("i"), "doc_id").alias("doc"), "text")
+    docs = inv.unionByName(fx.ocr_text(spark, sf).select(F.concat(F.lit("d"), "doc_id").alias("doc"), "text"))
+    voted = _written(cl.weak_labels(docs), "weak-labels")
+    return cl.learned_out_of_fold(voted, "doc").select("doc", "fold", "label", "p_invoice", "predicted")
 
 
 def _notify_inputs(spark, sf):
