@@ -23,7 +23,9 @@ from pyspark.sql import functions as F
 from .common import id_and_text, id_type, map_rows, rolling
 
 #: Per cent of word characters that may lie in n-grams (by length) found twice.
-NGRAM_LIMITS = {5: 25, 6: 22, 8: 20, 10: 18}
+#: They fall with the length and lie below what the base rule has cut already
+#: (20 % of the words in repeated 5-grams), so that they decide.
+NGRAM_LIMITS = {5: 15, 6: 14, 8: 12, 10: 10}
 #: Per cent of word characters that may lie in lines equal to an earlier line.
 LINE_LIMIT = 30
 SYMBOLS = b"#*$%&|<>"

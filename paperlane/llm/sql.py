@@ -3,7 +3,7 @@ here from the contracts; nothing is imported from the operators."""
 from __future__ import annotations
 
 #: Per cent limits of the method's verdict in op8, by n-gram length.
-_OP8 = {5: 25, 6: 22, 8: 20, 10: 18}
+_OP8 = {5: 15, 6: 14, 8: 12, 10: 10}
 _SPACE = r"[\x20\x09-\x0D]"
 
 

@@ -178,3 +178,17 @@ def test_expressions_of_many_alternatives_are_valid(spark):
     assert len(got[2].expressions[0].split(" or ")) == 64
     assert [got[i].labels for i in (3, 4)] == ["invalid-expression"] * 2
     assert [got[i].expressions for i in (3, 4)] == [["invalid"]] * 2
+
+
+def test_the_repetition_verdict_decides(spark):
+    """Documents that the base rule keeps: a passage of 12 or 16 % that comes
+    twice fails, short repeats and clean prose stay."""
+    def twice(n_all: int, n: int, times: int = 2) -> str:
+        words = prose(9, n_all - times * n).split()
+        passage = prose(77, n).split()
+        parts = [words[i * len(words) // times:(i + 1) * len(words) // times] + passage for i in range(times)]
+        return " ".join(w for p in parts for w in p)
+
+    texts = [twice(500, 40), twice(500, 30), twice(500, 10), prose(5, 500), twice(500, 4, 8), "a b c d e f g h i j k l"]
+    got = {r.doc_id: (r.base_failed, r.kept) for r in quality.repetition_coverage(docs(spark, list(enumerate(texts)))).collect()}
+    assert got == {0: (False, False), 1: (False, False), 2: (False, True), 3: (False, True), 4: (False, True), 5: (False, True)}
