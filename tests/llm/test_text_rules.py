@@ -192,3 +192,26 @@ def test_the_repetition_verdict_decides(spark):
     texts = [twice(500, 40), twice(500, 30), twice(500, 10), prose(5, 500), twice(500, 4, 8), "a b c d e f g h i j k l"]
     got = {r.doc_id: (r.base_failed, r.kept) for r in quality.repetition_coverage(docs(spark, list(enumerate(texts)))).collect()}
     assert got == {0: (False, False), 1: (False, False), 2: (False, True), 3: (False, True), 4: (False, True), 5: (False, True)}
+
+
+@pytest.mark.parametrize("text, labels, sure", [
+    ("License-Expression: see the file COPYING", "unknown-identifier", False), ("the spdx-license-identifier: tag is used", "unknown-identifier", False),
+    ("SPDX-License-Identifier: MIT", "spdx:mit", True), ("SPDX-License-Identifier: GPL-2.0+", "spdx:gpl-2.0+", True),
+    ("SPDX-License-Identifier: LicenseRef-Acme", "spdx:licenseref-acme", True), ("SPDX-License-Identifier: MIT OR Own-1", "spdx:mit,spdx:own-1", True),
+    ("THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND", "as-is-text", True)])
+def test_identifiers_are_known_or_reported(spark, text, labels, sure):
+    r = licenses.scan_licenses(docs(spark, [(1, text)])).first()
+    assert r.labels == labels and (r.score >= 0.5) == sure
+
+
+def test_a_text_full_of_tags_takes_linear_time(spark):
+    import time
+
+    t0 = time.time()
+    r = licenses.scan_licenses(docs(spark, [(1, "spdx-license-identifier: " * 200_000), (2, "spdx-license-identifier: mit " * 100_000)])).collect()
+    assert time.time() - t0 < 60 and {x.doc_id: x.labels for x in r} == {1: "unknown-identifier", 2: "spdx:mit"}
+
+
+def test_bytes_that_are_no_text(spark):
+    df = spark.sql("SELECT 1L AS doc_id, cast(x'6D6974FF206D6974206C6963656E7365' AS string) AS text")
+    assert licenses.scan_licenses(df).first().n_words == 3
