@@ -28,6 +28,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from paperlane.sources.files import Folder
+
 from .common import id_and_text, new_folder, written
 
 
@@ -96,14 +98,25 @@ def scan_texts(pending: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 
 
 class BlobLedger:
-    """Scanned triples and findings, as Parquet files under one folder; each
-    update adds a generation."""
+    """Scanned triples and findings, as Parquet files under one folder. Each
+    update adds a generation and commits it by a marker file, written last: a
+    ledger that is opened again (by another process) goes on after the committed
+    generations, and what an update that was cut off has left counts for nothing.
+    One writer at a time."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder, self.generations = spark, folder, 0
+        self.spark, self.folder, self.files = spark, folder, Folder(spark, folder)
+
+    def _generations(self) -> list[int]:
+        return sorted(int(n.removesuffix(".done")) for n in self.files.names("commits"))
+
+    def _next(self) -> int:
+        """Above all generations, also those that were not committed."""
+        seen = [int(n) for what in ("findings", "scanned") for n in self.files.names(what)]
+        return 1 + max([*seen, *self._generations()], default=-1)
 
     def _read(self, what: str) -> DataFrame | None:
-        paths = [f"{self.folder}/{what}/{g}" for g in range(self.generations)]
+        paths = [f"{self.folder}/{what}/{g}" for g in self._generations()]
         return self.spark.read.parquet(*paths) if paths else None
 
     def scanned(self) -> DataFrame | None:
@@ -137,11 +150,12 @@ class BlobLedger:
         todo = written(self.pending(ids, rules).withColumnRenamed("doc_id", "at"), "pending")
         same = (addressed["blob"] == todo["blob"]) & addressed["doc_id"].eqNullSafe(todo["at"])
         texts = addressed.join(todo, same).select(todo["blob"], "text", "todo")
-        scan_texts(texts, rules).write.parquet(f"{self.folder}/findings/{self.generations}")
+        generation = self._next()
+        scan_texts(texts, rules).write.parquet(f"{self.folder}/findings/{generation}")
         labels = F.array(*(F.lit(f"{r.kind}:{r.version}") for r in rules))
         todo.select("blob", F.transform("todo", lambda n: labels[n]).alias("kinds")).write.parquet(
-            f"{self.folder}/scanned/{self.generations}")
-        self.generations += 1
+            f"{self.folder}/scanned/{generation}")
+        self.files.create(f"commits/{generation}.done", "")
         return ids
 
 

@@ -65,3 +65,23 @@ def test_span_text(spark):
     assert text == "" if not slow_spans(TEXTS[1]) else text.startswith("assign:")
     assert found.select(F.sha2(secrets.span_text("found"), 256)).first()[0] in (
         None, hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_a_ledger_is_opened_again_and_survives_a_crash(spark, tmp_path, monkeypatch):
+    """Another process' ledger scans only what is unseen; an update that was cut
+    off between findings and commit counts for nothing and blocks nothing."""
+    from paperlane.sources.files import Folder
+
+    rows = docs(spark, [(1, TEXTS[0]), (3, "plain")])
+    secrets.scan_secrets(rows, secrets.BASE_RULES, secrets.BlobLedger(spark, str(tmp_path))).collect()
+    with monkeypatch.context() as m:
+        m.setattr(Folder, "create", lambda *a: (_ for _ in ()).throw(RuntimeError("lost driver")))
+        try:
+            secrets.scan_secrets(docs(spark, [(4, TEXTS[4])]), secrets.BASE_RULES, secrets.BlobLedger(spark, str(tmp_path)))
+        except RuntimeError:
+            pass
+    again = secrets.BlobLedger(spark, str(tmp_path))
+    assert again._generations() == [0] and again.findings().count() == 1
+    got = {r.doc_id: len(r.found or []) for r in secrets.scan_secrets(docs(spark, [(1, TEXTS[0]), (4, TEXTS[4])]), secrets.BASE_RULES, again).collect()}
+    assert got == {1: 1, 4: 1} and again._generations() == [0, 2]
+    assert spark.read.parquet(f"{tmp_path}/scanned/2").count() == 1  # the first blob isn't scanned again
