@@ -11,8 +11,8 @@ largest marginal's log-odds and of the expected number of toxic tokens); runs
 of tokens with a marginal of at least one half are the offending offsets.
 
 Learning: the model is fitted by the driver on at most :data:`SAMPLE` labelled
-documents of each class (those with the smallest hash of their id), with their
-whole texts. Scoring: no shuffle; a task works on runs of about two million
+documents and :data:`SAMPLE_BYTES` bytes of each class (those with the smallest
+hash of their id), with their whole texts. Scoring: no shuffle; a task works on runs of about two million
 characters, and its chains of tokens by block-wise products of 2 x 2 matrices.
 The model that is sent is bounded by the sample.
 
@@ -30,6 +30,9 @@ from pyspark.sql import functions as F
 from .common import id_and_text, id_type, map_texts
 
 SAMPLE = 600
+#: Bytes of texts of each class that are learned from; a document that does not
+#: fit any more is passed over.
+SAMPLE_BYTES = 8_000_000
 #: Weights smaller than this are left out of the model that is sent.
 LEAST_WEIGHT = 0.02
 #: A feature marks tokens if it stands in at least MARK_LEAST toxic documents
@@ -42,9 +45,21 @@ EPOCHS = 25
 
 
 def words_of(text: str) -> list[str]:
+    """The words of a text, each in lower case."""
     import re
 
-    return re.findall(r"\w+", text.lower())
+    low = text.lower()
+    if len(low) == len(text):
+        return re.findall(r"\w+", low)
+    return [w.lower() for w in re.findall(r"\w+", text)]  # a letter becomes two: the words are those of the text
+
+
+def places_of(text: str) -> list[tuple[int, int]]:
+    """Where the :func:`words_of` a text stand in it."""
+    import re
+
+    low = text.lower()
+    return [m.span() for m in re.finditer(r"\w+", low if len(low) == len(text) else text)]
 
 
 def features(word: str) -> list[str]:
@@ -213,8 +228,6 @@ def fit(texts: list[str], labels: list[int]) -> dict | None:
 def scorer(model: dict | None):
     """A function from a list of texts to (scores, spans of each text as
     ``start:end`` in code points)."""
-    import re
-
     import numpy as np
 
     known: dict[str, float] = {}
@@ -245,7 +258,7 @@ def scorer(model: dict | None):
         for k, i in enumerate(full.tolist()):
             scores[i] = float(made[k])
             if any_toxic[k]:
-                at = [m.span() for m in re.finditer(r"\w+", texts[i].lower())]
+                at = places_of(texts[i])
                 marks = toxic[ends[k] - sizes[i]:ends[k]]
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], marks, [0]])))
                 spans[i] = [f"{at[a][0]}:{at[b - 1][1]}" for a, b in edges.reshape(-1, 2).tolist()]
@@ -255,8 +268,9 @@ def scorer(model: dict | None):
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", sample: int = SAMPLE) -> dict | None:
-    """The model of at most ``sample`` labelled documents of each class. Rows
+          label_col: str = "toxic", sample: int = SAMPLE, most_bytes: int = SAMPLE_BYTES) -> dict | None:
+    """The model of at most ``sample`` labelled documents of each class, of at
+    most ``most_bytes`` together. Rows
     that may not be learnt from are to be left out of ``labels``."""
     marked = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y"))
               .filter("doc_id is not null and y is not null").groupBy("doc_id").agg(F.max("y").alias("y"))
@@ -264,13 +278,19 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rank = F.xxhash64(F.col("doc_id").cast("string"))
     picked = marked.filter("y > 0").orderBy(rank, "doc_id").limit(sample).union(
         marked.filter("y <= 0").orderBy(rank, "doc_id").limit(sample))
-    chosen = {r["doc_id"]: int(r["y"] > 0) for r in picked.collect()}  # 2 * sample rows at most
-    if not chosen:
+    rows = [(r["doc_id"], int(r["y"] > 0)) for r in picked.collect()]  # 2 * sample rows at most, in order of their class' hashes
+    if not rows:
         return None
-    texts = (id_and_text(docs, id_col, text_col, binary=False).filter(F.col("doc_id").isin(list(chosen)))
-             .groupBy("doc_id").agg(F.min("text").alias("text")).collect())
-    texts = sorted((r["doc_id"], r["text"]) for r in texts)
-    return fit([t for _, t in texts], [chosen[i] for i, _ in texts])
+    texts = (id_and_text(docs, id_col, text_col, binary=False).filter(F.col("doc_id").isin([i for i, _ in rows]))
+             .groupBy("doc_id").agg(F.min("text").alias("text")))
+    sizes = {r["doc_id"]: r["n"] for r in texts.select("doc_id", F.octet_length("text").alias("n")).collect()}
+    chosen, room = {}, {0: most_bytes, 1: most_bytes}
+    for i, y in rows:
+        if sizes[i] <= room[y]:
+            room[y] -= sizes[i]
+            chosen[i] = y
+    pairs = sorted((r["doc_id"], r["text"]) for r in texts.filter(F.col("doc_id").isin(list(chosen))).collect())
+    return fit([t for _, t in pairs], [chosen[i] for i, _ in pairs])
 
 
 def score_documents(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -92,3 +92,30 @@ def test_phrase_counts_by_substring_search():
         labelled = language.normal(samples[lang][0]).tobytes()
         for j, x in enumerate(own):
             assert got[k, j] == slow_phrases(x.tobytes(), labelled)
+
+
+def test_toxic_spans_are_places_of_the_text(spark):
+    """Letters that become two in lower case shift nothing."""
+    from paperlane.llm import toxicity
+
+    model = toxicity.fit(["awful vile stuff here", "vile awful words", "so awful and vile", "an awful vile day", "calm nice day", "nice words here"] * 3,
+                         [1, 1, 1, 1, 0, 0] * 3)
+    text = "İstanbul İzmir awful end"
+    for i, (a, b) in enumerate(toxicity.places_of(text)):
+        assert text[a:b].lower() == toxicity.words_of(text)[i]
+    assert toxicity.places_of(text)[2] == (15, 20) and text[15:20] == "awful"
+    _, spans = toxicity.scorer(model)([text])
+    assert all(text[int(x.split(":")[0]):int(x.split(":")[1])].split()[0] in ("İstanbul", "İzmir", "awful", "end") for x in spans[0])
+
+
+def test_toxicity_learns_from_bounded_bytes(spark, monkeypatch):
+    from paperlane.llm import toxicity
+
+    from .util import docs
+
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels: seen.append((sorted(map(len, texts)), sorted(labels))))
+    rows = [(i, "x" * n) for i, n in enumerate((10, 5000, 30, 40, 50))]
+    labels = spark.createDataFrame([(0, 1), (1, 1), (2, 1), (3, 0), (4, 0)], "doc_id long, toxic int")
+    toxicity.learn(docs(spark, rows), labels, most_bytes=60)
+    assert seen == [([10, 30, 40], [0, 1, 1])] or seen == [([10, 30, 50], [0, 1, 1])]
