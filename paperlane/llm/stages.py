@@ -35,9 +35,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that a smaller id keeps; ``n_chars`` follows."""
-    made = linededup.dedup_lines(docs).select(docs.columns)
-    return made.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    """Documents without the lines that a smaller id keeps; ``n_chars``, where
+    there is one, follows. Columns named like the operator's counts are kept."""
+    own = {c: f"__own_{i}" for i, c in enumerate(docs.columns) if c.lower() in ("n_lines", "n_dropped")}
+    made = linededup.dedup_lines(docs.withColumnsRenamed(own)).select(*(F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns))
+    if "n_chars" in docs.columns:
+        made = made.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return made
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

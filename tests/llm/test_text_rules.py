@@ -215,3 +215,47 @@ def test_a_text_full_of_tags_takes_linear_time(spark):
 def test_bytes_that_are_no_text(spark):
     df = spark.sql("SELECT 1L AS doc_id, cast(x'6D6974FF206D6974206C6963656E7365' AS string) AS text")
     assert licenses.scan_licenses(df).first().n_words == 3
+
+
+def test_line_dedup_of_string_and_missing_ids(spark):
+    line, other = "a line of some length", "another line of length"
+    df = spark.createDataFrame([("b", f"{line}\nx"), ("a", line), (None, f"{line}\n{other}"), (None, other), ("c", None)], "doc_id string, text string")
+    got = sorted(((r.doc_id, r.text) for r in linededup.dedup_lines(df, batches=2).collect()), key=repr)
+    assert got == sorted([("b", "x"), ("a", line), (None, other), (None, other), ("c", "")], key=repr)
+
+
+def test_many_rows_without_an_id_are_no_one_group(spark):
+    """What rows without an id lose is gathered text by text."""
+    lines = [f"line number {i} of the table" for i in range(200)]
+    rows = [(i, x) for i, x in enumerate(lines)] + [(None, f"{x}\nown {i}") for i, x in enumerate(lines)]
+    out = linededup.dedup_lines(docs(spark, rows))
+    assert sorted(r.text for r in out.filter("doc_id is null").collect()) == sorted(f"own {i}" for i in range(200))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "__t" in plan.split("Aggregate [")[1][:200]
+
+
+def test_a_store_of_lines_is_opened_again(spark, tmp_path):
+    a, b, c = (f"{x} line of some length" for x in "abc")
+    store = str(tmp_path)
+    first = linededup.dedup_lines(docs(spark, [(1, f"{a}\n{b}"), (2, a)]), store=store)
+    assert {r.doc_id: r.text for r in first.collect()} == {1: f"{a}\n{b}", 2: ""}
+    (tmp_path / "commits" / "00000099.json").write_text('{"levels": [["run-')  # cut off
+    later = linededup.dedup_lines(docs(spark, [(7, f"{b}\n{c}"), (8, c)]), store=store)
+    assert {r.doc_id: r.text for r in later.collect()} == {7: c, 8: ""}
+    assert linededup.Runs(spark, store).read().count() == 3
+
+
+def test_bytes_that_are_no_text_in_lines(spark):
+    df = spark.sql("SELECT * FROM VALUES (1L, 'a line of length'), (2L, cast(x'FF0A61206C696E65206F66206C656E677468' AS string)) AS t(doc_id, text)")
+    assert {r.doc_id: r.text for r in linededup.dedup_lines(df).collect()} == {1: "a line of length", 2: "�"}
+
+
+def test_the_stage_keeps_the_columns_it_is_given(spark):
+    from pyspark.sql import functions as F
+
+    from paperlane.llm import stages
+
+    line = "a line of some length"
+    df = docs(spark, [(1, line), (2, f"{line}\nx")]).withColumn("n_lines", F.lit("mine")).drop("n_chars")
+    out = stages.drop_repeated_lines(spark, df, "")
+    assert out.columns == df.columns and {(r.doc_id, r.text, r.n_lines) for r in out.collect()} == {(1, line, "mine"), (2, "x", "mine")}
