@@ -255,6 +255,9 @@ SELECT * FROM process_log ORDER BY logged_at DESC, run_id, step_name, step_value
     out["workflow_step_counts"] = with_fixtures(["process_log"], f"""
 SELECT workflow_name, step_name, CAST(SUM(item_count) AS BIGINT) AS total, COUNT(*) AS n_rows
 FROM process_log WHERE {PERIOD_SQL['last_30_days']} GROUP BY ROLLUP (workflow_name, step_name)""")
+    out["sealed_workflow_totals"] = with_fixtures(["process_log"], """
+SELECT workflow_name, step_name, CAST(SUM(item_count) AS BIGINT) AS total, COUNT(*) AS n_rows
+FROM process_log WHERE CAST(logged_at AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-30' GROUP BY workflow_name, step_name""")
     out["run_drilldown"] = with_fixtures(["process_log"], """
 SELECT * FROM process_log WHERE run_id = 'run-7'""")
     out["latest_step_per_run"] = with_fixtures(["process_log"], """

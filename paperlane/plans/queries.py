@@ -6,6 +6,7 @@ whole input tables. Column names equal those of the DuckDB twins in
 """
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -890,6 +891,18 @@ def q_overwrite_by_key(spark, sf):
     return state.select("container", "name", "written_at", "att_id")
 
 
+@register("sealed_workflow_totals")
+def q_sealed_workflow_totals(spark, sf):
+    """Totals of 30 whole days from sealed days' sums and the raw rows of the open one."""
+    from paperlane.operators.sealed import SealedCounts
+
+    out, last = _folder(spark, "sealed"), fx.AS_OF_LOG.date()
+    sk.append_process_log(fx.process_log(spark, sf), f"{out}/log")
+    sealed = SealedCounts(spark, f"{out}/log", f"{out}/sums")
+    sealed.seal(last)
+    return sealed.workflow_totals(last - dt.timedelta(days=29), last)
+
+
 # ---------------------------------------------------------------------------------------------
 # streaming batch twins (K1, K2, K3, K5, K6)
 # ---------------------------------------------------------------------------------------------
