@@ -16,12 +16,22 @@ such and does not pass for a missing value.
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: JSON type -> pattern of the type that Spark names for a VARIANT value.
-TYPES = {"string": "^STRING$", "number": r"^(?:BIGINT|DOUBLE|FLOAT|DECIMAL\(.*\))$", "integer": r"^(?:BIGINT|DECIMAL\([0-9]+,0\))$",
-         "boolean": "^BOOLEAN$", "object": "^OBJECT<", "array": "^ARRAY<"}
+SCALARS = {"string": "^STRING$", "number": r"^(?:BIGINT|DOUBLE|FLOAT|DECIMAL\(.*\))$", "integer": r"^(?:BIGINT|DECIMAL\([0-9]+,0\))$",
+           "boolean": "^BOOLEAN$"}
+#: JSON type -> the Spark type that its values alone convert to.
+NESTED = {"object": "map<string,variant>", "array": "array<variant>"}
+
+
+def _let(x: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(x)`` with ``x`` computed once, however often it is used."""
+    return F.get(F.transform(F.array(x), use), F.lit(0))
 
 
 def _types(rule: dict) -> list[str]:
@@ -29,21 +39,30 @@ def _types(rule: dict) -> list[str]:
     return [t] if isinstance(t, str) else list(t)
 
 
+def _has_type(v: Column, types: list[str]) -> Column:
+    scalars = "|".join(SCALARS[t] for t in types if t in SCALARS)
+    # an object or array is known by its conversion: its type would be spelled out from all of it
+    found = [F.try_variant_get(v, "$", NESTED[t]).isNotNull() for t in types if t in NESTED]
+    if scalars:
+        found.append(F.schema_of_variant(v).rlike(scalars))
+    return reduce(lambda a, b: a | b, found)
+
+
 def _value(v: Column, rule: dict, path: str) -> list[Column]:
     """Violations of a value that is there: arrays of strings, null for none."""
     out, types = [], [t for t in _types(rule) if t != "null"]
     if types:
-        right = F.schema_of_variant(v).rlike("|".join(TYPES[t] for t in types))
-        out.append(F.when(~right, F.array(F.lit(f"not_{types[0]}:{path or '$'}"))))
-    text = F.try_variant_get(v, "$", "string")
+        out.append(F.when(~_has_type(v, types), F.array(F.lit(f"not_{types[0]}:{path or '$'}"))))
     if "enum" in rule:
-        out.append(F.when(~text.isin(*(x for x in rule["enum"] if x is not None)), F.array(F.lit(f"enum:{path}"))))
+        listed = [x for x in rule["enum"] if x is not None]
+        out.append(F.when(~F.try_variant_get(v, "$", "string").isin(*listed), F.array(F.lit(f"enum:{path}"))))
     if "pattern" in rule:
-        out.append(F.when((text != "") & ~text.rlike(rule["pattern"]), F.array(F.lit(f"format:{path}"))))
+        out.append(_let(F.try_variant_get(v, "$", "string"), lambda text: F.when(
+            (text != "") & ~text.rlike(rule["pattern"]), F.array(F.lit(f"format:{path}")))))
     if "object" in types:
-        out.append(F.when(F.schema_of_variant(v).rlike(TYPES["object"]), _object(v, rule, path)))
+        out.append(F.when(F.try_variant_get(v, "$", NESTED["object"]).isNotNull(), _object(v, rule, path)))
     if "array" in types and rule.get("items"):
-        items = F.try_variant_get(v, "$", "array<variant>")
+        items = F.try_variant_get(v, "$", NESTED["array"])
         found = F.flatten(F.transform(items, lambda item: _joined(_value(item, rule["items"], path))))
         out.append(F.array_distinct(found))
     return out
@@ -55,21 +74,27 @@ def _joined(parts: list[Column]) -> Column:
 
 
 def _object(v: Column, rule: dict, path: str) -> Column:
-    parts = []
-    for name, child in rule.get("properties", {}).items():
+    def checked(name: str, child: dict) -> Column:
         at = f"{path}.{name}" if path else name
-        value = F.try_variant_get(v, f"$.{name}", "variant")
-        there = value.isNotNull() & ~F.coalesce(F.is_variant_null(value), F.lit(True))
-        if name in rule.get("required", ()):
-            allowed = value.isNotNull() if "null" in _types(child) else there
-            parts.append(F.when(~allowed, F.array(F.lit(f"missing:{at}"))))
-        parts.append(F.when(there, _joined(_value(value, child, at))))
-    return _joined(parts)
+
+        def of(value: Column) -> Column:
+            there = value.isNotNull() & ~F.coalesce(F.is_variant_null(value), F.lit(True))
+            missing = F.array().cast("array<string>")
+            if name in rule.get("required", ()):
+                allowed = value.isNotNull() if "null" in _types(child) else there
+                missing = F.when(~allowed, F.array(F.lit(f"missing:{at}"))).otherwise(missing)
+            return F.when(there, _joined(_value(value, child, at))).otherwise(missing)
+
+        return _let(F.try_variant_get(v, f"$.{name}", "variant"), of)
+
+    return _joined([checked(n, c) for n, c in rule.get("properties", {}).items()])
 
 
 def violations(json: Column, schema: dict) -> Column:
     """Sorted array of what a JSON text breaks of a schema; a text that is no
     JSON (or null) has the one violation ``malformed_json``, one that is not an
     object ``not_object:$``."""
-    v = F.try_parse_json(json)
-    return F.when(v.isNull(), F.array(F.lit("malformed_json"))).otherwise(F.array_sort(_joined(_value(v, {"type": "object", **schema}, ""))))
+    def of(v: Column) -> Column:
+        return F.when(v.isNull(), F.array(F.lit("malformed_json"))).otherwise(F.array_sort(_joined(_value(v, {"type": "object", **schema}, ""))))
+
+    return _let(F.try_parse_json(json), of)
