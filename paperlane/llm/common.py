@@ -127,7 +127,7 @@ def shared_dir(spark: SparkSession) -> str:
     tests) a private one is made."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="paperlane-llm-")
         spark.sparkContext.setCheckpointDir(folder)
