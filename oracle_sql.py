@@ -382,6 +382,7 @@ def listing_sql() -> dict[str, str]:
     tb = _as_of(with_fixtures(["target_blobs"], ""))
     for norm, key in ((False, "reconcile_unprocessed"), (True, "reconcile_unprocessed_normalized")):
         out[key] = tb + _reconcile_body(norm) + "\nSELECT * FROM recon"
+    out["reconcile_with_manifest"] = out["reconcile_unprocessed"]
     for hours, key in ((12, "ocr_worklist"), (0, "ocr_worklist_reconcile")):
         out[key] = tb + _reconcile_body(False) + f""",
 prim AS (SELECT {L_COLS}, 'lookback' AS path FROM source_blobs
@@ -1135,7 +1136,11 @@ def injected_sql() -> dict[str, str]:
 SELECT doc_id, CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars, CAST(NULL AS VARCHAR) AS error,
        CAST(1 AS INTEGER) AS attempts FROM ocr_text""", "call_policy": with_fixtures(["ocr_text"], "") + """
 SELECT doc_id, CASE WHEN doc_id % 10 <> 7 THEN CAST(length(coalesce(text, '')) AS BIGINT) END AS n_chars,
-       CASE WHEN doc_id % 10 = 7 THEN 'ValueError: document refused' END AS error FROM ocr_text"""}
+       CASE WHEN doc_id % 10 = 7 THEN 'ValueError: document refused' END AS error FROM ocr_text""",
+            "concurrent_calls": with_fixtures(["ocr_text"], "") + """
+SELECT doc_id, CASE WHEN doc_id % 10 <> 7 THEN CAST(length(coalesce(text, '')) AS BIGINT) END AS n_chars,
+       CASE WHEN doc_id % 10 = 7 THEN 'ValueError: document refused' END AS error,
+       CAST(CASE WHEN doc_id % 10 = 7 THEN 2 ELSE 1 END AS INTEGER) AS attempts FROM ocr_text"""}
 
 
 

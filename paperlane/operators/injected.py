@@ -9,7 +9,9 @@ a stage (Spark's own task retry still covers lost executors).
 from __future__ import annotations
 
 import random
+import threading
 import time
+from collections import deque
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -96,6 +98,117 @@ def apply_document_fn(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
     return df.select(*dict.fromkeys(keep + in_cols)).mapInPandas(run, schema)
 
 
+@dataclass(frozen=True)
+class Limits:
+    """How a partition calls a service: calls ``at_once``, seconds for one
+    document (its attempts and waits together; None: no limit), and after how
+    many failures in a row the partition's other documents are not sent any
+    more (None: never). ``ahead`` results wait at most for an earlier one."""
+    at_once: int = 5
+    deadline: float | None = 600.0
+    stop_after: int | None = None
+    ahead: int = 20
+
+
+class _Call:
+    __slots__ = ("started", "outcome")
+
+    def __init__(self, outcome=None):
+        self.started, self.outcome = time.monotonic(), outcome
+
+
+class _Calls:
+    """The calls of one partition. A call that passes its deadline is given up:
+    its row gets an error, its thread ends by itself. While ``at_once`` of such
+    threads still run, no other call begins."""
+
+    def __init__(self, fn: Callable, policy: CallPolicy, limits: Limits):
+        self.fn, self.policy, self.limits = fn, policy, limits
+        self.changed, self.running, self.failures, self.late = threading.Condition(), [], 0, 0
+
+    def _start(self, row) -> _Call:
+        if self.limits.stop_after is not None and self.failures >= self.limits.stop_after:
+            return _Call((None, f"not called: {self.failures} failures in a row", 0))
+        made = _Call()
+        self.running.append(made)
+
+        def run():
+            outcome = self.policy.call(self.fn, row)
+            with self.changed:
+                if made.outcome is None:
+                    made.outcome = outcome
+                else:
+                    self.late -= 1
+                self.changed.notify()
+
+        threading.Thread(target=run, daemon=True).start()
+        return made
+
+    def _settle(self) -> None:
+        now, limit = time.monotonic(), self.limits.deadline
+        for made in list(self.running):
+            if made.outcome is None and limit is not None and now - made.started >= limit:
+                made.outcome = (None, f"deadline: no result in {limit:g} s", None)
+                self.late += 1
+            if made.outcome is not None:
+                self.running.remove(made)
+                self.failures = self.failures + 1 if made.outcome[1] is not None else 0
+
+    def outcomes(self, rows):
+        """``(result, error, attempts)`` of each row, in their order."""
+        rows, waiting, more = iter(rows), deque(), True
+        while True:
+            with self.changed:
+                self._settle()
+                while (more and len(waiting) < self.limits.ahead and len(self.running) < self.limits.at_once
+                       and self.late < self.limits.at_once):
+                    row = next(rows, None)
+                    more = row is not None
+                    if more:
+                        waiting.append(self._start(row))
+                if not waiting and not more:
+                    return
+                if not waiting or waiting[0].outcome is None:
+                    ends = [c.started + self.limits.deadline - time.monotonic() for c in self.running
+                            if self.limits.deadline is not None]
+                    self.changed.wait(max(0.0, min(ends)) if ends else None)
+                    continue
+                ready = waiting.popleft().outcome
+            yield ready
+
+
+def apply_concurrently(df: DataFrame, fn: Callable[[dict], dict], in_cols: list[str], out_schema: T.StructType,
+                       keep_cols: list[str] | None = None, policy: CallPolicy = CallPolicy(),
+                       limits: Limits = Limits(), make_client: Callable | None = None, chunk: int = 200) -> DataFrame:
+    """L1 and L2 for services that take one document a call: ``fn(row)`` gets
+    the ``in_cols`` of a row and returns the fields of ``out_schema``; several
+    calls of a partition run at once (they wait for a service, so threads do),
+    rows come out in their order, ``chunk`` at a time, with ``error`` and
+    ``attempts`` (null after a deadline). No failure fails the stage. A result
+    that lacks a field has null there.
+    """
+    keep, names = list(keep_cols or []), [f.name for f in out_schema.fields]
+    schema = T.StructType([df.schema[c] for c in keep] + list(out_schema.fields) + [
+        T.StructField("error", T.StringType()), T.StructField("attempts", T.IntegerType())])
+
+    def run(batches):
+        client = make_client() if make_client else None
+        calls = _Calls((lambda r: fn(r, client)) if make_client else fn, policy, limits)
+        for batch in batches:
+            for begin in range(0, len(batch), chunk):
+                some = batch.iloc[begin:begin + chunk]
+                inputs = [dict(zip(in_cols, values, strict=True)) for values in some[in_cols].itertuples(index=False)]
+                out = {c: some[c].to_numpy() for c in keep}
+                made = list(calls.outcomes(inputs))
+                for n in names:
+                    out[n] = pd.Series([(r or {}).get(n) for r, _, _ in made], dtype=object)
+                out["error"] = pd.Series([e for _, e, _ in made], dtype=object)
+                out["attempts"] = pd.Series([a for _, _, a in made], dtype=object)
+                yield pd.DataFrame(out, columns=schema.names)
+
+    return df.select(*dict.fromkeys(keep + in_cols)).mapInPandas(run, schema)
+
+
 def structured_output_schema(json_schema: dict) -> T.DataType:
     """L3: JSON-schema (function-call ``parameters``) -> Spark type for
     ``from_json``. In a list of types ``null`` adds nothing (every field may be

@@ -204,6 +204,16 @@ def q_reconcile_unprocessed_normalized(spark, sf):
                                     fx.AS_OF_BLOB, normalize_keys=True).select(*LISTING_COLS)
 
 
+@register("reconcile_with_manifest")
+def q_reconcile_with_manifest(spark, sf):
+    """D1 against a bucketed manifest of the target container."""
+    from paperlane.operators.manifest import TargetManifest
+
+    manifest = TargetManifest(spark, _folder(spark, "manifest"), buckets=16)
+    manifest.add(fx.target_blobs(spark, sf, fx.AS_OF_BLOB))
+    return manifest.reconcile(fx.source_blobs(spark, sf, fx.AS_OF_BLOB), fx.AS_OF_BLOB).select(*LISTING_COLS)
+
+
 @register("ocr_worklist")
 def q_ocr_worklist(spark, sf):
     return ls.ocr_worklist(fx.source_blobs(spark, sf, fx.AS_OF_BLOB), fx.target_blobs(spark, sf, fx.AS_OF_BLOB), 12,
@@ -984,6 +994,22 @@ def _refusing_service(batch):
     return _measure_service(batch)
 
 
+def _measure_one(row):
+    """As :func:`_refusing_service` for one document."""
+    if row["doc_id"] % 10 == 7:
+        raise ValueError("document refused")
+    return {"n_chars": len(row["text"] or "")}
+
+
+@register("concurrent_calls")
+def q_concurrent_calls(spark, sf):
+    """L1 and L2 for a service that takes one document a call: five at once, in order."""
+    out = inj.apply_concurrently(fx.ocr_text(spark, sf), _measure_one, ["doc_id", "text"],
+                                 T.StructType([T.StructField("n_chars", T.LongType())]), keep_cols=["doc_id"],
+                                 policy=inj.CallPolicy(max_attempts=2, base_delay=0.0), limits=inj.Limits(deadline=600.0))
+    return out.select("doc_id", "n_chars", "error", "attempts")
+
+
 @register("call_policy")
 def q_call_policy(spark, sf):
     """L2 through L1: a batch that fails is tried again row by row; a refused

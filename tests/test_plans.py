@@ -6,7 +6,7 @@ import pytest
 from paperlane.plans.queries import REGISTRY
 from tests.conftest import SF_SMALL
 
-PYTHON_ALLOWED = {"translate_documents_distributed", "injected_document_function", "call_policy",
+PYTHON_ALLOWED = {"translate_documents_distributed", "injected_document_function", "call_policy", "concurrent_calls",
                   "classify_invoice_learned"}
 PUSHDOWN = {
     "lineage_summary_today": "GreaterThanOrEqual(ts,2024-01-30",
