@@ -8,6 +8,8 @@ and trailing ``/`` dropped).
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ def posix_normalize(path) -> Column:
     pass through a few byte searches.
     """
     p = _c(path)
-    needs = p.rlike(r"//|^\./|/\./|/$")  # one reference to p keeps nested expressions small
+    needs = p.contains("/") & p.rlike(r"//|^\./|/\./|/$")  # one reference to p keeps nested expressions small
     n = F.regexp_replace(p, "/{2,}", "/")
     n = F.regexp_replace(n, r"^(\./)+", "")
     n = F.regexp_replace(n, r"/(\./)+", "/")
@@ -33,6 +35,25 @@ def posix_normalize(path) -> Column:
     return F.when(needs, n).otherwise(p)
 
 
+def _once(x: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(x)`` with ``x`` computed once. A name built of many copies of its
+    path makes a generated method that the JVM no longer compiles."""
+    return F.get(F.transform(F.array(x), use), F.lit(0))
+
+
+def _renamed(path, make: Callable[[Column, Column, Column], Column]) -> Column:
+    """``make(dir, clean stem, suffix)`` of a path that is taken apart once."""
+    def parts(n: Column) -> Column:
+        base = F.substring_index(n, "/", -1)
+        return F.struct(n.substr(F.lit(1), F.length(n) - F.length(base)).alias("dir"), base.alias("base"), path_suffix(base).alias("suffix"))
+
+    def made(x: Column) -> Column:
+        stem = x["base"].substr(F.lit(1), F.length(x["base"]) - F.length(x["suffix"]))
+        return make(x["dir"], F.regexp_replace(stem, vocab.LANG_SUFFIX_PATTERN, ""), x["suffix"])
+
+    return _once(_once(_once(_c(path), posix_normalize), parts), made)
+
+
 def base_name(path) -> Column:
     """Last path component."""
     return F.substring_index(posix_normalize(path), "/", -1)
@@ -76,17 +97,18 @@ def clean_stem(path) -> Column:
 
 def translated_blob_name(path) -> Column:
     """H4: ``dir/<clean stem>_en<suffix>`` (suffix keeps its case)."""
-    return F.concat(dir_prefix(path), clean_stem(path), F.lit("_en"), path_suffix(base_name(path)))
+    return _renamed(path, lambda folder, stem, suffix: F.concat(folder, stem, F.lit("_en"), suffix))
 
 
 def json_blob_name(path) -> Column:
     """H5: ``dir/<clean stem>_en.json``."""
-    return F.concat(dir_prefix(path), clean_stem(path), F.lit("_en.json"))
+    return _renamed(path, lambda folder, stem, suffix: F.concat(folder, stem, F.lit("_en.json")))
 
 
 def raw_invoice_blob_name(path, lang_code) -> Column:
     """H6: ``dir/<clean stem>_<lang><suffix>``."""
-    return F.concat(dir_prefix(path), clean_stem(path), F.lit("_"), _c(lang_code), path_suffix(base_name(path)))
+    lang = _c(lang_code)
+    return _renamed(path, lambda folder, stem, suffix: F.concat(folder, stem, F.lit("_"), lang, suffix))
 
 
 def normalize_blob_name(name) -> Column:
