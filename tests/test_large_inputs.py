@@ -32,3 +32,18 @@ def test_rates_are_searched_once_a_text_and_lines_before_a_table_are_passed_over
     got = [(r.lineNumber, r.description, str(r.netAmount), str(r.vatPercentage), r.agrees) for r in out.collect()]
     assert got == [("1", "Steel rods", "20.00", "8.00", True), ("2", "Freight as ordered", "1200.50", "8.00", True)]
     assert _plan(out).count("bwithholding") == 1
+
+
+def test_a_date_is_parsed_by_the_forms_it_may_have_only(spark):
+    values = ["3-4-2024", "03/04/2024", "2024-4-3", "3-APR-2024", "3-Apr-2024", "31-31-2024", "1-2-03", "2024/4/3", "12024-1-1", "+12024-1-1",
+              "1-1-12024", "1-1-+12024", " 3-4-2024", "3-4-2024 ", "", "x", None, "0-0-0000", "2024-4-3-1", "003-4-2024"]
+    df = one_col(spark, values)
+    plain = F.coalesce(F.date_format(F.coalesce(*[F.try_to_date("v", f) for f in ex.DATE_FORMATS]), "yyyyMMdd"), F.lit(""))
+    rows = df.select("v", ex.normalize_invoice_date("v").alias("got"), plain.alias("plain")).collect()
+    assert [(r.v, r.got) for r in rows] == [(r.v, r.plain) for r in rows]
+    assert _plan(df.select(ex.normalize_invoice_date("v").alias("x"))).count("RLIKE") >= len(ex.DATE_FORMATS)
+
+
+def test_rates_that_are_not_there_are_null(spark):
+    df = one_col(spark, ["VAT (8%)", "VAT 8,5 %", "vat", "", None])
+    assert [str(r[0]) for r in df.select(ex.percentage("v", "vat")).collect()] == ["8.00", "8.50", "None", "None", "None"]
