@@ -47,3 +47,18 @@ def test_a_date_is_parsed_by_the_forms_it_may_have_only(spark):
 def test_rates_that_are_not_there_are_null(spark):
     df = one_col(spark, ["VAT (8%)", "VAT 8,5 %", "vat", "", None])
     assert [str(r[0]) for r in df.select(ex.percentage("v", "vat")).collect()] == ["8.00", "8.50", "None", "None", "None"]
+
+
+def test_sound_records_are_told_by_a_search_and_a_parse(spark):
+    item = ('{"lineNumber": "1", "category": "OTHER_SERVICES", "quantity": 2, "unitOfMeasure": "EA", "unitPrice": 1.5, "netAmount": 3, "vatAmount": 0, '
+            '"vatPercentage": 0, "withholdingPercentage": 0}')
+    good = ('{"doctype": "POI", "invoiceType": "STANDARD", "purchaseOrderNumber": "", "taxAmount": 1, "vatTaxAmount": 1, "totalInvoiceAmount": 10, '
+            '"taxPercentage": 18, "vatPercentage": 8, "currency": "TRY", "invoiceLineItems": [' + item + "]}")
+    cases = [(good, ""), (f"[{good}]", "not_object:$"), (good[:-1], "malformed_json"), (good.replace('"POI"', '"POI", "doctype": "POI"'), "malformed_json"),
+             (good.replace('"doctype": "POI"', '"doct\\u0079pe": 5'), "enum:doctype,not_string:doctype"), (good.replace('"POI"', '"P\\u004fI"'), ""),
+             (good.replace('"quantity": 2', '"quantity" : "NaN"'), "not_number:invoiceLineItems.quantity"),
+             (good.replace("}]", "}, null]"), "not_object:invoiceLineItems"), (good.replace('"TRY"', '"a \\"doctype\\": 5"'), ""),
+             (good.replace('"currency"', '"Currency"'), "missing:currency")]
+    df = ex.validate_extraction(one_col(spark, [c for c, _ in cases], "details_json"))
+    assert [r.violations for r in df.collect()] == [want for _, want in cases]
+    assert "jsontostructs" in _plan(df).lower() or "from_json" in _plan(df).lower()
