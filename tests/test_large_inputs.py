@@ -62,3 +62,13 @@ def test_sound_records_are_told_by_a_search_and_a_parse(spark):
     df = ex.validate_extraction(one_col(spark, [c for c, _ in cases], "details_json"))
     assert [r.violations for r in df.collect()] == [want for _, want in cases]
     assert "jsontostructs" in _plan(df).lower() or "from_json" in _plan(df).lower()
+
+
+def test_texts_are_taken_apart_once_for_all_folds(spark):
+    from paperlane.operators.classify import learned_out_of_fold
+
+    rows = spark.range(60).selectExpr("concat('d', id) doc", "if(id % 2 = 0, 'invoice total due', 'poem of the sea') text", "cast(1 - id % 2 as int) label")
+    out = learned_out_of_fold(rows, "doc")
+    assert out.where("predicted = label").count() == 60
+    plan = _plan(out)
+    assert "text" not in plan and "UDF" not in plan and plan.count("Relation") == 1  # the scores are read, not made again
