@@ -3,6 +3,7 @@ repeats, writers that meet, compaction, payloads."""
 import datetime as dt
 import json
 import os
+import random
 import tempfile
 
 import pytest
@@ -162,6 +163,30 @@ def test_a_killed_scan_goes_on_where_it_stopped(spark, monkeypatch):
     assert len(calls) == 2
 
 
+def test_a_payload_is_written_once(spark):
+    msgs, atts = inputs(spark)
+    payload = random.Random(1).randbytes(400_000)  # can't be compressed
+    atts = atts.withColumn("content", F.when(F.col("att_id") == "a3", F.col("content")).otherwise(F.lit(payload)))
+    out = tempfile.mkdtemp(prefix="scan-")
+    paths = pl.run_email_scan(msgs, atts, 48, dt.datetime(2001, 8, 1), out)
+    assert sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(out) for f in names) < 2.5 * len(payload)
+    assert {r.att_id: bytes(r.content) for r in spark.read.parquet(paths["containers"]).collect()} == {"a1": payload, "a2": payload}
+    rows = {r.att_id: r for r in spark.read.parquet(paths["outcomes"]).collect()}
+    assert len(rows) == 3 and bytes(rows["a3"].content) == b"EMPTY" and rows["a3"].container is None
+    assert spark.read.parquet(paths["summary"]).first().total_attachments == 3
+
+
+def test_payloads_meet_their_attachments_after_the_messages_are_chosen(spark):
+    plan = pl.email_scan_outcomes(fx.messages(spark, SF_SMALL), fx.attachments_with_text(spark, SF_SMALL, payload=True), 61368,
+                                  fx.AS_OF_MAIL)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = [len(x) - len(x.lstrip(" :+-")) for x in plan]
+    chosen = [i for i, x in enumerate(plan) if "Join LeftSemi" in x]
+    assert len(chosen) == 2
+    for i in chosen:  # no text is joined below, so none is shuffled by message
+        right = next(j for j in range(i + 2, len(plan)) if depth[j] == depth[i + 1])
+        assert not any("Join" in x for x in plan[i + 1:right])
+
+
 def test_a_log_that_was_written_but_not_marked_is_not_doubled(spark, monkeypatch):
     msgs, atts = inputs(spark)
     out, as_of = tempfile.mkdtemp(prefix="scan-"), dt.datetime(2001, 8, 1)
